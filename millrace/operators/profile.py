@@ -144,14 +144,17 @@ def equi_height_histogram(df: DataFrame, column: str, steps: int, chunk: Column)
 
 
 def range_borders(
-    borders: DataFrame, fn: str, value: str, low: Column, high: Column, chunk: Column
+    borders: DataFrame, fn: str, value: str, low: Column, high: Column, chunk: Column,
+    on_right: Column | None = None,
 ) -> DataFrame:
     """Left and right border of every range of each function, numbered from 1.
 
     Each distinct border closes one range; a last range runs from the greatest
-    border to ``high``.
+    border to ``high``.  ``on_right``: the border value itself belongs to the
+    range on its right.
     """
-    points = borders.select(fn, value).distinct()
+    right = F.lit(False) if on_right is None else on_right
+    points = borders.groupBy(fn, value).agg(F.bool_or(right).alias("_right"))
     got = chunked(
         points, [fn], chunk, [F.col(value)],
         local={"_rn": lambda w: F.row_number().over(w), "_lag": lambda w: F.lag(value).over(w)},
@@ -166,10 +169,13 @@ def range_borders(
         F.coalesce("_lag", "_prev", low).alias("left_border"),
         F.col(value).alias("right_border"),
         (F.col("_rn") + F.col("_before")).cast("long").alias("number"),
+        F.col("_right").alias("include_left"),
+        (~F.col("_right")).alias("include_right"),
     )
     closing = points.groupBy(fn).agg(F.max(value).alias("left_border"), F.count(F.lit(1)).alias("_n"))
     return ranges.unionByName(closing.select(
-        fn, "left_border", high.alias("right_border"), (F.col("_n") + 1).alias("number")
+        fn, "left_border", high.alias("right_border"), (F.col("_n") + 1).alias("number"),
+        F.lit(False).alias("include_left"), F.lit(True).alias("include_right"),
     ))
 
 
@@ -180,10 +186,29 @@ def alignment(ranges: DataFrame) -> DataFrame:
     )
 
 
-def last_aligned(ranges: DataFrame, fn: str, name) -> DataFrame:
-    """Range of one function just before the first number whose borders differ."""
-    first = alignment(ranges).filter("n_borders > 1").agg(F.min("number")).scalar()
-    return ranges.filter((F.col(fn) == name) & (F.col("number") == first - 1))
+def last_aligned(ranges: DataFrame, fn: str, name: str, at_least: int | None = None) -> DataFrame:
+    """Range of one function just before the first number whose borders differ.
+
+    With ``at_least`` the number does not fall below it (borders that differ
+    from the start have no aligned range).
+    """
+    last = alignment(ranges).filter("n_borders > 1").agg(F.min("number") - 1).scalar()
+    if at_least is not None:
+        last = F.greatest(last, F.lit(at_least))
+    return ranges.filter((F.col(fn) == name) & (F.col("number") == last))
+
+
+def segment_minmax(df: DataFrame, segment: list[Column], columns: list[str]) -> DataFrame:
+    """Rows and value range of every column per segment, one pass and one row per (segment, column)."""
+    measures = [m for i, c in enumerate(columns) for m in (F.min(c).alias(f"_a{i}"), F.max(c).alias(f"_b{i}"))]
+    wide = df.groupBy(*segment).agg(F.count(F.lit(1)).alias("n_rows"), *measures)
+    keys = [c for c in wide.columns if not c.startswith(("_a", "_b")) and c != "n_rows"]
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(f"_a{i}").cast("double").alias("min_value"),
+                 F.col(f"_b{i}").cast("double").alias("max_value"))
+        for i, c in enumerate(columns)
+    ]
+    return wide.select(*keys, "n_rows", F.inline(F.array(*cells)))
 
 
 def history_stats(df: DataFrame, run: str, step: str, value: str, first: int, last: int) -> DataFrame:
