@@ -33,7 +33,8 @@ def json_rows(df: DataFrame, data: str, fields: dict[str, str]) -> DataFrame:
     return rows.select(*df.columns, *typed)
 
 
-def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, str]) -> DataFrame:
+def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, str],
+                    ignore_case: bool = False) -> DataFrame:
     """One row per ``element`` at any depth of an XML or HTML text, attributes as typed columns.
 
     Every start tag is taken whole and its attributes are read by name, so an
@@ -42,12 +43,14 @@ def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, st
     """
     hidden = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(script|style)\b.*?</\1>"
     quoted = "\"[^\"]*\"|'[^']*'"
-    tag = rf"<(?:[\w.-]+:)?{element}((?:\s+[\w:.-]+(?:\s*=\s*(?:{quoted}))?)*)\s*/?>"
+    case = "(?i)" if ignore_case else ""
+    hidden = case + hidden
+    tag = rf"{case}<(?:[\w.-]+:)?{element}((?:\s+[\w:.-]+(?:\s*=\s*(?:{quoted}))?)*)\s*/?>"
     seen = F.regexp_replace(F.col(data), hidden, "")
     rows = df.select("*", F.posexplode(F.regexp_extract_all(seen, F.lit(tag), F.lit(1))).alias("pos", "_tag"))
 
     def read(attr: str, kind: str) -> Column:
-        at = rf"\s{attr}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+        at = rf"{case}\s{attr}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
         found = F.regexp_like("_tag", F.lit(at))
         text = F.concat(F.regexp_extract("_tag", at, 1), F.regexp_extract("_tag", at, 2))
         return F.when(found, unescape_markup(text)).try_cast(kind).alias(attr)

@@ -62,6 +62,28 @@ def width_chunk(value: Column, width: float) -> Column:
     return F.floor(value / F.lit(width))
 
 
+def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) -> Column:
+    """Equal slices of a column's range, as many as the row count asks for.
+
+    Small frames get one slice, so the scan is a plain window there; on large
+    ones a key that holds most of the rows is spread over many slices.
+    """
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "timestamp_ntz":
+        place = lambda c: F.unix_micros(c.cast("timestamp"))
+    elif kind == "timestamp":
+        place = F.unix_micros
+    elif kind == "date":
+        place = F.unix_date
+    else:
+        place = lambda c: c
+    at = place(F.col(column)).cast("double")
+    low, high = df.agg(F.min(at)).scalar(), df.agg(F.max(at)).scalar()
+    slices = F.ceil(df.agg(F.count(F.lit(1))).scalar() / F.lit(rows_per_slice))
+    spot = F.try_divide((at - low) * slices, high - low)
+    return F.coalesce(F.floor(spot), F.when(F.col(column).isNotNull(), F.lit(0).cast("long")))
+
+
 def running_sum(df, keys, chunk, order, value: Column, out: str) -> DataFrame:
     """Inclusive running sum; ``order`` must be total for equal results on every run."""
     got = chunked(

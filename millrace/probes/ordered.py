@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import profile
 from millrace.operators.blocks import block_lists
 from millrace.operators.running import best_so_far as flag_best
-from millrace.operators.running import previous_value
+from millrace.operators.running import previous_value, slice_chunk
 from millrace.probes.registry import Tables, probe
 from millrace.sources.tables import materialize
 
@@ -53,7 +53,9 @@ SELECT user_id, event_id, lag(event_id, 1, -1) OVER (PARTITION BY user_id ORDER
 """)
 def lag_default(t: Tables):
     events = t.events.select("user_id", "event_id")
-    return previous_value(events, ["user_id"], F.floor(F.col("event_id") / 10000), "event_id", F.lit(-1).cast("long"), "prev_event")
+    return previous_value(
+        events, ["user_id"], slice_chunk(events, "event_id"), "event_id", F.lit(-1).cast("long"), "prev_event"
+    )
 
 
 @probe("best_so_far", """
@@ -63,7 +65,7 @@ SELECT user_id, event_id, value, prev IS NULL OR value > prev AS is_best FROM p
 """)
 def best_so_far(t: Tables):
     events = t.events.select("user_id", "event_id", "ts", "value")
-    flagged = flag_best(events, ["user_id"], F.to_date("ts"), [F.col("ts"), F.col("event_id")], "value")
+    flagged = flag_best(events, ["user_id"], slice_chunk(events, "ts"), [F.col("ts"), F.col("event_id")], "value")
     return flagged.select("user_id", "event_id", "value", "is_best")
 
 

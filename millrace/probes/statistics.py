@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import metrics, profile
-from millrace.operators.running import exact_quantile, row_numbers, width_chunk
+from millrace.operators.running import exact_quantile, row_numbers, slice_chunk, width_chunk
 from millrace.probes.registry import Tables, probe
 
 
@@ -263,9 +263,7 @@ SELECT user_id, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS st
        round(avg(value) FILTER (WHERE epoch BETWEEN 6 AND 9), 6) AS slice_mean FROM h GROUP BY 1
 """)
 def metric_history_stats(t: Tables):
-    history = row_numbers(
-        t.events.select("user_id", "ts", "event_id", "value"), ["user_id"], F.to_date("ts"),
-        [F.col("ts"), F.col("event_id")], "epoch",
-    )
+    events = t.events.select("user_id", "ts", "event_id", "value")
+    history = row_numbers(events, ["user_id"], slice_chunk(events, "ts"), [F.col("ts"), F.col("event_id")], "epoch")
     out = profile.history_stats(history, "user_id", "epoch", "value", 6, 9)
     return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("mean", "std", "slice_mean")])
