@@ -64,33 +64,33 @@ def tag_union(tagged: dict[str, DataFrame], column: str) -> DataFrame:
     return out
 
 
-def shuffle_key(key: Column, seed: int) -> Column:
-    """Order of a seeded shuffle, the same on every run and engine."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
-
-
 def exact_split(
-    df: DataFrame, key: str, seed: int, parts: list[tuple[str, float]], out: str = "split", digits: int = 4
+    df: DataFrame, key: str, seeds: int | list[int], parts: list[tuple[str, float]], out: str = "split",
+    digits: int = 3,
 ) -> DataFrame:
     """Shuffle by seed and cut into parts of exact size.
 
     ``parts`` after the first have ``floor(n * fraction)`` rows; the first part
-    takes the rest and comes first.  ``key`` must be unique.
+    takes the rest and comes first.  ``key`` must be unique.  A list of seeds
+    gives every row once per seed, with a ``seed`` column, in the same pass.
 
     Hash prefixes are counted first.  A prefix that no cut falls into gets its
     part straight away; only rows of the few prefixes with a cut inside are
-    ranked.  The frame itself is never shuffled.
+    ranked.  The counts have at most ``16 ** digits`` rows per seed whatever the
+    size of the frame, so they are broadcast and the frame is never shuffled.
     """
-    digest = shuffle_key(F.col(key), seed)
-    rows = df.withColumns({"_h": digest, "_b": F.substring(digest, 1, digits)})
-    counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 16 ** digits rows: one task is enough.
-    order = Window.partitionBy(F.lit(0)).orderBy("_b")
+    many = [seeds] if isinstance(seeds, int) else list(seeds)
+    each = F.explode(F.array(*[F.lit(s) for s in many]))
+    rows = df.withColumn("seed", each)
+    digest = F.md5(F.concat(F.col("seed").cast("string"), F.lit("|"), F.col(key).cast("string")))
+    rows = rows.withColumn("_h", digest).withColumn("_b", F.substring("_h", 1, digits))
+    counts = rows.groupBy("seed", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("seed").orderBy("_b")
     counts = counts.select(
-        "_b",
+        "seed", "_b",
         (F.sum("_n").over(order) - F.col("_n")).alias("_before"),
         F.sum("_n").over(order).alias("_upto"),
-        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
+        F.sum("_n").over(Window.partitionBy("seed")).alias("_total"),
     )
     sizes = [F.floor(F.col("_total") * F.lit(f).cast("decimal(9,6)")) for _, f in parts[1:]]
     ends, end = [], F.col("_total")
@@ -107,8 +107,9 @@ def exact_split(
 
     first, last = part_of(F.col("_before") + 1), part_of(F.col("_upto"))
     counts = counts.withColumns({"_first": first, "_one": first == last})
-    placed = rows.join(counts, "_b")
+    placed = rows.join(F.broadcast(counts), ["seed", "_b"])
     whole = placed.filter("_one").withColumn(out, F.col("_first"))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) + F.col("_before")
+    rank = F.row_number().over(Window.partitionBy("seed", "_b").orderBy("_h", key)) + F.col("_before")
     cut = placed.filter("not _one").withColumn(out, part_of(rank))
-    return whole.select(*df.columns, out).unionByName(cut.select(*df.columns, out))
+    kept = [*df.columns, out] if isinstance(seeds, int) else [*df.columns, "seed", out]
+    return whole.select(*kept).unionByName(cut.select(*kept))

@@ -1 +1,72 @@
-"""Placeholder."""
+"""Random rows beside the rows of a driver table."""
+
+from pyspark.sql import functions as F
+
+from millrace import datagen as dg
+from millrace.probes.registry import Tables, probe
+
+_AS_OF = "2024-06-01 00:00:00"
+_SPECS = [
+    dg.Spec("id", "int", identity=True), dg.Spec("label", "varchar(12)"), dg.Spec("level", "tinyint"), dg.Spec("amount", "int"),
+    dg.Spec("price", "money"), dg.Spec("seen", "datetime"), dg.Spec("active", "bit"), dg.Spec("code", "uniqueidentifier"),
+    dg.Spec("digest", "varbinary(8)"), dg.Spec("shape", "geometry"),
+]
+
+
+@probe("random_rows_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, {'count(*)' if c == 'shape' else 'CAST(0 AS BIGINT)'} AS n_null, "
+    f"{'NULL' if c == 'shape' else 'true'} AS in_bounds FROM orders"
+    for c in ["label", "level", "amount", "price", "seen", "active", "code", "digest", "shape"]
+))
+def random_rows_stats(t: Tables):
+    """One random row per order; the identity column is skipped, unknown types are null."""
+    rows = dg.fill_table(t.orders.select("o_orderkey"), "o_orderkey", _SPECS, 42, _AS_OF)
+    stamp = lambda s: F.lit(s).cast("timestamp_ntz")
+    good = {
+        "label": (F.length("label") <= 12) & F.regexp_like("label", F.lit("^[-0-9A-Za-z ]*$")),
+        "level": F.col("level").between(50, 99), "amount": F.col("amount").between(0, 24999),
+        "price": (F.col("price") >= 0) & (F.col("price") < 1000),
+        "seen": (F.col("seen") >= stamp(dg.FIRST_TIME)) & (F.col("seen") <= stamp(_AS_OF)),
+        "active": F.col("active").isin(True, False),
+        "code": F.regexp_like("code", F.lit("^[0-9A-F]{8}(-[0-9A-F]{4}){3}-[0-9A-F]{12}$")),
+        "digest": F.octet_length("digest") == 5, "shape": F.lit(None).cast("boolean"),
+    }
+    row = rows.agg(*[m for c, ok in good.items() for m in (
+        F.count_if(F.col(c).isNull()).alias(f"{c}_null"), F.bool_and(ok).alias(f"{c}_ok"))], F.count(F.lit(1)).alias("n"))
+    cells = [F.struct(F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(f"{c}_null").alias("n_null"),
+                      F.col(f"{c}_ok").alias("in_bounds")) for c in good]
+    return row.select(F.inline(F.array(*cells)))
+
+
+@probe("random_text_shape", """
+SELECT count(*) AS n, true AS one_in_five_empty, true AS many_values FROM customer
+""")
+def random_text_shape(t: Tables):
+    """About 16 of 80 picks give no character; texts differ from row to row."""
+    rows = dg.fill_table(t.customer.select("c_custkey"), "c_custkey", [dg.Spec("label", "varchar(40)")], 7, _AS_OF)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.length("label")).between(30.5, 33.5).alias("one_in_five_empty"),
+        (F.approx_count_distinct("label") > F.count(F.lit(1)) * 0.9).alias("many_values"),
+    )
+
+
+@probe("random_schema")
+def random_schema(t: Tables):
+    """A table of random columns, one row per customer; seeds fix columns and values."""
+    specs = dg.random_specs(11, dg.MANY_ROW_TYPES)
+    return dg.fill_random(t.customer.select("c_custkey"), "c_custkey", specs, 11, _AS_OF)
+
+
+@probe("random_schema_types")
+def random_schema_types(t: Tables):
+    """All types of both kinds of random tables: rows, nulls and distinct values per column."""
+    keys = t.customer.select("c_custkey")
+    many = [dg.Spec(f"Many{i}", k) for i, k in enumerate(dg.MANY_ROW_TYPES, 1)]
+    one = [dg.Spec(f"One{i}", k) for i, k in enumerate(dg.ONE_ROW_TYPES, 1)]
+    row = lambda df, specs: df.agg(*[m for s in specs for m in (
+        F.count(s.name).alias(f"{s.name}_n"), F.approx_count_distinct(s.name).alias(f"{s.name}_d"))])
+    lines = lambda r, specs: r.select(F.inline(F.array(*[
+        F.struct(F.lit(s.name).alias("column"), F.lit(s.type).alias("type"), F.col(f"{s.name}_n").alias("n"),
+                 (F.col(f"{s.name}_d") > 1).alias("varies")) for s in specs])))
+    a = lines(row(dg.fill_random(keys, "c_custkey", many, 5, _AS_OF), many), many)
+    return a.unionByName(lines(row(dg.fill_random(keys, "c_custkey", one, 5, _AS_OF, many=False), one), one))

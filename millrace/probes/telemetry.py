@@ -48,10 +48,10 @@ STAND_INS = {
                100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, 'COLUMNSTORE' AS data_compression_desc,
                sum(CASE WHEN year(l_shipdate) % 2 = 0 THEN 1 ELSE 0 END) AS rows FROM {{lineitem}} GROUP BY 3, 4""",
     "segment": f"""
-        SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, {_FLAG} AS row_group_id, c AS column_id,
-               min(CASE c WHEN 1 THEN l_partkey ELSE l_suppkey END) AS min_data_id,
-               max(CASE c WHEN 1 THEN l_partkey ELSE l_suppkey END) AS max_data_id
-        FROM {{lineitem}} JOIN (SELECT 1 AS c UNION ALL SELECT 2) x ON l_returnflag <> 'R' GROUP BY 1, 2, 3""",
+        SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, {_FLAG} AS row_group_id, 1 AS column_id,
+               min(l_partkey) AS min_data_id, max(l_partkey) AS max_data_id FROM {{lineitem}} WHERE l_returnflag <> 'R' GROUP BY 1, 2
+        UNION ALL SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER), {_FLAG}, 2, min(l_suppkey), max(l_suppkey)
+        FROM {{lineitem}} WHERE l_returnflag <> 'R' GROUP BY 1, 2""",
     "col": "SELECT 1 AS object_id, 1 AS column_id, 'l_partkey' AS name",
     "unit": f"""
         SELECT 100 + n AS container_id, 'IN_ROW_DATA' AS type_desc, n * 10 AS total_pages FROM ({_PARTS}) p
