@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -14,6 +17,16 @@ from millrace.operators.rows import exact_split, flag
 PARTS = [("train", 0.8), ("val", 0.2)]
 
 
+@contextmanager
+def reused(df: DataFrame):
+    """Keep a frame that several passes read; lost blocks are computed again."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def yes_no(df: DataFrame, *columns: str, yes: str = "Yes") -> DataFrame:
     """Text answers to 0/1; used for training and for scoring alike."""
     return df.withColumns({c: flag(F.col(c) == yes) for c in columns})
@@ -55,12 +68,13 @@ def train(df: DataFrame, categorical: list[str], numeric: list[str], label: str,
 
     Spark minimizes the mean loss, hence 1 / (C * rows); the bias stays free.
     """
-    n = df.count()
-    model = LogisticRegression(
-        featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-        maxIter=iterations,
-    )
-    return Pipeline(stages=[*encoder(categorical, numeric), model]).fit(df)
+    with reused(df.select(*categorical, *numeric, label)) as rows:
+        n = rows.count()
+        model = LogisticRegression(
+            featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
+            standardization=False, maxIter=iterations,
+        )
+        return Pipeline(stages=[*encoder(categorical, numeric), model]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: list[str], threshold: float = 0.5, strict: bool = False) -> DataFrame:
@@ -84,11 +98,11 @@ def accuracy(scored: DataFrame, label: str) -> DataFrame:
 def eliminate(train_df: DataFrame, val_df: DataFrame, categorical: list[str], numeric: list[str], label: str, c: float = 10.0) -> DataFrame:
     """Validation accuracy of a refit without each feature."""
     spark, out = train_df.sparkSession, []
-    for name in [*categorical, *numeric]:
-        cats, nums = [x for x in categorical if x != name], [x for x in numeric if x != name]
-        model = train(train_df, cats, nums, label, c)
-        scored = score(model, val_df, [label], strict=True)
-        out.append((name, accuracy(scored, label).first()[0]))
+    with reused(train_df) as fit_on, reused(val_df) as judge_on:
+        for name in [*categorical, *numeric]:
+            cats, nums = [x for x in categorical if x != name], [x for x in numeric if x != name]
+            scored = score(train(fit_on, cats, nums, label, c), judge_on, [label], strict=True)
+            out.append((name, accuracy(scored, label).first()[0]))
     return spark.createDataFrame(out, "feature string, accuracy double")
 
 
@@ -120,7 +134,8 @@ def predict_network(model, df: DataFrame, vector: str, keep: list[str]) -> DataF
 def compare(train_df: DataFrame, val_df: DataFrame, categorical: list[str], numeric: list[str], label: str, values: list[float]) -> DataFrame:
     """Validation accuracy for each value of C."""
     out = []
-    for c in values:
-        scored = score(train(train_df, categorical, numeric, label, c), val_df, [label])
-        out.append((float(c), accuracy(scored, label).first()[0]))
+    with reused(train_df) as fit_on, reused(val_df) as judge_on:
+        for c in values:
+            scored = score(train(fit_on, categorical, numeric, label, c), judge_on, [label])
+            out.append((float(c), accuracy(scored, label).first()[0]))
     return train_df.sparkSession.createDataFrame(out, "c double, accuracy double")
