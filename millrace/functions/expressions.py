@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Payment codes and their texts.
@@ -24,8 +24,25 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_int(c: Column | str) -> Column:
-    return as_col(c).try_cast("int")
+def safe_int(c: Column | str, text: bool = False) -> Column:
+    """Whole number or null.
+
+    A failed cast costs an exception per row, so dirty ``text`` is looked at
+    first and cast only where it has the shape of a whole number.
+    """
+    c = as_col(c)
+    if not text:
+        return c.try_cast("int")
+    return F.when(F.regexp_like(c, F.lit(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$")), c.try_cast("int"))
+
+
+def is_text(df: DataFrame, name: str) -> bool:
+    return df.select(name).schema[0].dataType.simpleString() == "string"
+
+
+def safe_int_of(df: DataFrame, name: str) -> Column:
+    """``safe_int`` of a column of ``df``, guarded if it is text."""
+    return safe_int(name, is_text(df, name))
 
 
 def numeric(c: Column | str) -> Column:
@@ -41,8 +58,8 @@ def lookup_text(c: Column, texts: dict, other: str | None = None) -> Column:
     return out
 
 
-def payment_description(c: Column | str) -> Column:
-    return lookup_text(safe_int(c), PAYMENT_TEXT, PAYMENT_OTHER)
+def payment_description(c: Column | str, text: bool = False) -> Column:
+    return lookup_text(safe_int(c, text), PAYMENT_TEXT, PAYMENT_OTHER)
 
 
 def surrogate_key(*cols: Column | str) -> Column:

@@ -41,25 +41,26 @@ def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, st
     attribute that is missing on one element shifts no other; a namespace
     prefix on the element is ignored.  Comments, CDATA, scripts and styles hold no elements.
     """
-    hidden = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(script|style)\b.*?</\1>"
-    quoted = "\"[^\"]*\"|'[^']*'"
     case = "(?i)" if ignore_case else ""
-    hidden = case + hidden
+    hidden = case + r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(script|style)\b.*?</\1>"
+    quoted = "\"[^\"]*\"|'[^']*'"
     tag = rf"{case}<(?:[\w.-]+:)?{element}((?:\s+[\w:.-]+(?:\s*=\s*(?:{quoted}))?)*)\s*/?>"
     seen = F.regexp_replace(F.col(data), hidden, "")
     rows = df.select("*", F.posexplode(F.regexp_extract_all(seen, F.lit(tag), F.lit(1))).alias("pos", "_tag"))
 
-    def read(attr: str, kind: str) -> Column:
-        at = rf"{case}\s{attr}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-        found = F.regexp_like("_tag", F.lit(at))
-        text = F.concat(F.regexp_extract("_tag", at, 1), F.regexp_extract("_tag", at, 2))
-        return F.when(found, unescape_markup(text)).try_cast(kind).alias(attr)
-
-    return rows.select(*df.columns, "pos", *[read(a, k) for a, k in fields.items()])
+    # One match per attribute, as a column of its own so that it is not repeated;
+    # the quotes tell an empty value from a missing one.
+    found = {a: F.regexp_extract("_tag", rf"{case}\s{a}\s*=\s*({quoted})", 1) for a in fields}
+    rows = rows.select(*df.columns, "pos", *[c.alias(a) for a, c in found.items()])
+    inside = {a: F.when(F.col(a) != "", F.substring(a, F.lit(2), F.length(a) - 2)) for a in fields}
+    rows = rows.withColumns(inside)
+    typed = {a: unescape_markup(F.col(a)) if k == "string" else F.col(a).try_cast(k) for a, k in fields.items()}
+    return rows.withColumns(typed)
 
 
 def unescape_markup(text: Column) -> Column:
     # The five entities XML defines; the ampersand comes last.
+    plain = text
     for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return F.when(F.contains(plain, F.lit("&")), text).otherwise(plain)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIAS = "bias"
@@ -97,9 +97,11 @@ def rmse_of(fits: dict[float, Fit], df: DataFrame, target: str, label: str = "ri
 
 
 def grouped_rmse(fits: dict, df: DataFrame, group: str, target: str) -> DataFrame:
-    """RMSE per group, each group predicted by its own fit."""
+    """RMSE per group, each group predicted by its own fit, and their spread over the groups."""
     predicted = F.lit(None).cast("double")
     for value, f in fits.items():
         predicted = F.when(F.col(group) == F.lit(value), f.predict()).otherwise(predicted)
     error = F.pow(F.col(target) - predicted, F.lit(2))
-    return df.groupBy(group).agg(F.sqrt(F.avg(error)).alias("rmse"))
+    out = df.groupBy(group).agg(F.sqrt(F.avg(error)).alias("rmse"))
+    # One row per fit: a single task holds them all.
+    return out.withColumn("std", F.stddev_pop("rmse").over(Window.partitionBy(F.lit(0))))

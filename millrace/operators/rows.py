@@ -64,9 +64,42 @@ def tag_union(tagged: dict[str, DataFrame], column: str) -> DataFrame:
     return out
 
 
+def split_cuts(df: DataFrame, key: str, seeds: list[int], parts: list[tuple[str, float]], digits: int = 3) -> dict:
+    """Last (digest, key) of every part but the last, per seed.
+
+    Two passes: hash prefixes are counted (at most ``16 ** digits`` rows per
+    seed, whatever the size of the frame), then only the rows of the prefixes
+    that hold a cut are ranked.  What reaches the driver is one row per cut.
+    """
+    rows = _digests(df.select(key), key, F.explode(F.array(*[F.lit(s) for s in seeds])))
+    rows = rows.withColumn("_b", F.substring("_h", 1, digits))
+    counts = rows.groupBy("_seed", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("_seed").orderBy("_b")
+    total = F.sum("_n").over(Window.partitionBy("_seed"))
+    counts = counts.select("_seed", "_b", "_n", F.sum("_n").over(order).alias("_upto"), total.alias("_total"))
+    sizes = [F.floor(F.col("_total") * F.lit(f).cast("decimal(9,6)")) for _, f in parts[1:]]
+    ends, end = [], F.col("_total")
+    for (name, _), size in zip(reversed(parts[:-1]), reversed(sizes)):
+        end = end - size
+        ends.insert(0, F.struct(F.lit(name).alias("name"), end.alias("at")))
+    cuts = counts.select("_seed", "_b", (F.col("_upto") - F.col("_n")).alias("_before"), "_upto", F.inline(F.array(*ends)))
+    cuts = cuts.filter((F.col("at") > F.col("_before")) & (F.col("at") <= F.col("_upto")))
+    wanted = cuts.groupBy("_seed", "_b").agg(
+        F.collect_list(F.struct("name", (F.col("at") - F.col("_before")).alias("at"))).alias("_cuts")
+    )
+    rank = F.row_number().over(Window.partitionBy("_seed", "_b").orderBy("_h", key))
+    ranked = rows.join(F.broadcast(wanted), ["_seed", "_b"]).withColumn("_rn", rank)
+    hits = ranked.select("_seed", "_h", F.col(key).alias("_key"), "_rn", F.inline("_cuts")).filter("_rn = at")
+    return {(r["_seed"], r["name"]): (r["_h"], r["_key"]) for r in hits.collect()}
+
+
+def _digests(df: DataFrame, key: str, seed: Column) -> DataFrame:
+    rows = df.withColumn("_seed", seed)
+    return rows.withColumn("_h", F.md5(F.concat(F.col("_seed").cast("string"), F.lit("|"), F.col(key).cast("string"))))
+
+
 def exact_split(
-    df: DataFrame, key: str, seeds: int | list[int], parts: list[tuple[str, float]], out: str = "split",
-    digits: int = 3,
+    df: DataFrame, key: str, seeds: int | list[int], parts: list[tuple[str, float]], out: str = "split"
 ) -> DataFrame:
     """Shuffle by seed and cut into parts of exact size.
 
@@ -74,42 +107,26 @@ def exact_split(
     takes the rest and comes first.  ``key`` must be unique.  A list of seeds
     gives every row once per seed, with a ``seed`` column, in the same pass.
 
-    Hash prefixes are counted first.  A prefix that no cut falls into gets its
-    part straight away; only rows of the few prefixes with a cut inside are
-    ranked.  The counts have at most ``16 ** digits`` rows per seed whatever the
-    size of the frame, so they are broadcast and the frame is never shuffled.
+    The cuts are found first; from then on a row's part is a comparison inside
+    the row, with no shuffle, join or window.
     """
     many = [seeds] if isinstance(seeds, int) else list(seeds)
-    each = F.explode(F.array(*[F.lit(s) for s in many]))
-    rows = df.withColumn("seed", each)
-    digest = F.md5(F.concat(F.col("seed").cast("string"), F.lit("|"), F.col(key).cast("string")))
-    rows = rows.withColumn("_h", digest).withColumn("_b", F.substring("_h", 1, digits))
-    counts = rows.groupBy("seed", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy("seed").orderBy("_b")
-    counts = counts.select(
-        "seed", "_b",
-        (F.sum("_n").over(order) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(order).alias("_upto"),
-        F.sum("_n").over(Window.partitionBy("seed")).alias("_total"),
-    )
-    sizes = [F.floor(F.col("_total") * F.lit(f).cast("decimal(9,6)")) for _, f in parts[1:]]
-    ends, end = [], F.col("_total")
-    for size in reversed(sizes):
-        end = end - size
-        ends.insert(0, end)
+    cuts = split_cuts(df, key, many, parts)
+    rows = _digests(df, key, F.lit(seeds) if isinstance(seeds, int) else F.explode(F.array(*[F.lit(s) for s in many])))
+    here = F.struct(F.col("_h").alias("h"), F.col(key).alias("k"))
 
-    def part_of(position: Column) -> Column:
-        """Part of the row at a position counted from 1."""
+    def part_of(seed: int) -> Column:
         label = F.lit(parts[-1][0])
-        for (name, _), last in reversed(list(zip(parts[:-1], ends))):
-            label = F.when(position <= last, F.lit(name)).otherwise(label)
+        for name, _ in reversed(parts[:-1]):
+            if (seed, name) in cuts:  # a part without rows has no cut
+                digest, last = cuts[seed, name]
+                upto = F.struct(F.lit(digest).alias("h"), F.lit(last).cast(df.schema[key].dataType).alias("k"))
+                label = F.when(here <= upto, F.lit(name)).otherwise(label)
         return label
 
-    first, last = part_of(F.col("_before") + 1), part_of(F.col("_upto"))
-    counts = counts.withColumns({"_first": first, "_one": first == last})
-    placed = rows.join(F.broadcast(counts), ["seed", "_b"])
-    whole = placed.filter("_one").withColumn(out, F.col("_first"))
-    rank = F.row_number().over(Window.partitionBy("seed", "_b").orderBy("_h", key)) + F.col("_before")
-    cut = placed.filter("not _one").withColumn(out, part_of(rank))
-    kept = [*df.columns, out] if isinstance(seeds, int) else [*df.columns, "seed", out]
-    return whole.select(*kept).unionByName(cut.select(*kept))
+    label = part_of(many[-1])
+    for seed in many[:-1]:
+        label = F.when(F.col("_seed") == seed, part_of(seed)).otherwise(label)
+    if isinstance(seeds, int):
+        return rows.withColumn(out, label).select(*df.columns, out)
+    return rows.withColumn(out, label).select(*df.columns, F.col("_seed").alias("seed"), out)

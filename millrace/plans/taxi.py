@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import days_between, numeric, payment_description, safe_int, surrogate_key
+from millrace.functions.expressions import (
+    days_between, is_text, numeric, payment_description, safe_int_of, surrogate_key,
+)
 from millrace.operators.joins import role_join
 from millrace.operators.rows import first_per_key, limited, tag_union
 from millrace.plans.models import Model
@@ -32,21 +34,22 @@ def stage_trips(
     for name, value in (fixed or {}).items():
         raw = raw.withColumn(name, F.lit(value))
     one = first_per_key(raw.filter(F.col("vendorid").isNotNull()), ["vendorid", pickup], order)
+    whole = lambda name: safe_int_of(raw, name)
     staged = one.select(
         surrogate_key("vendorid", pickup).alias("tripid"),
-        safe_int("vendorid").alias("vendorid"),
-        safe_int("ratecodeid").alias("ratecodeid"),
-        safe_int("pulocationid").alias("pickup_locationid"),
-        safe_int("dolocationid").alias("dropoff_locationid"),
+        whole("vendorid").alias("vendorid"),
+        whole("ratecodeid").alias("ratecodeid"),
+        whole("pulocationid").alias("pickup_locationid"),
+        whole("dolocationid").alias("dropoff_locationid"),
         F.col(pickup).cast("timestamp_ntz").alias("pickup_datetime"),
         F.col(dropoff).cast("timestamp_ntz").alias("dropoff_datetime"),
         "store_and_fwd_flag",
-        safe_int("passenger_count").alias("passenger_count"),
+        whole("passenger_count").alias("passenger_count"),
         numeric("trip_distance").alias("trip_distance"),
-        safe_int("trip_type").alias("trip_type"),
+        whole("trip_type").alias("trip_type"),
         *[numeric(c).alias(c) for c in MONEY],
-        F.coalesce(safe_int("payment_type"), F.lit(0)).alias("payment_type"),
-        payment_description("payment_type").alias("payment_type_description"),
+        F.coalesce(whole("payment_type"), F.lit(0)).alias("payment_type"),
+        payment_description("payment_type", is_text(raw, "payment_type")).alias("payment_type_description"),
     )
     return limited(staged, test_run, test_rows)
 

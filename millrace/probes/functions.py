@@ -13,8 +13,8 @@ SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS l
 """)
 def safe_cast(t: Tables):
     parts = F.split("o_orderpriority", "-", 2)
-    return t.orders.select("o_orderkey", x.safe_int(F.get(parts, F.lit(0))).alias("level"),
-                           x.safe_int(F.get(parts, F.lit(1))).alias("not_a_number"))
+    return t.orders.select("o_orderkey", x.safe_int(F.get(parts, F.lit(0)), text=True).alias("level"),
+                           x.safe_int(F.get(parts, F.lit(1)), text=True).alias("not_a_number"))
 
 
 @probe("payment_description", """
@@ -27,7 +27,7 @@ def payment_description(t: Tables):
     odd = F.when(F.col("l_returnflag") == "A", "x").when(F.col("l_returnflag") != "N", "0")
     code = F.when(F.col("l_linenumber") == 7, odd).otherwise(F.col("l_linenumber").cast("string"))
     codes = t.lineitem.select(code.alias("code"))
-    return codes.groupBy("code", x.payment_description("code").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    return codes.groupBy("code", x.payment_description("code", text=True).alias("text")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @probe("surrogate_key", """
