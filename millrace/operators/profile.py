@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,24 +77,22 @@ def long_form(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
 def mutual_information(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     """Mutual information (natural log) of each column with a label.
 
-    Works on the contingency counts only; the totals per label value and per
-    feature value are joined, so no window gathers a wide feature.
+    From counts alone: n MI = S(xy) - S(x) - S(y) + n ln n with S = sum of
+    c ln c over the counts c.  The label takes part as one more feature, whose
+    S(x) is the S(y) of all others, so the data is read once.
     """
-    cells = long_form(df, columns, [label]).groupBy("feature", "value", label).agg(
-        F.count(F.lit(1)).alias("nxy")
+    own = "\0label"
+    named = df.select(*columns, label, F.col(label).cast("string").alias(own))
+    cells = long_form(named, [*columns, own], [label]).groupBy("feature", "value", label).agg(
+        F.count(F.lit(1)).alias("c")
     )
-    values = cells.groupBy("feature", "value").agg(F.sum("nxy").alias("nx"))
-    labels = df.groupBy(label).agg(F.count(F.lit(1)).alias("ny"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    null_safe = (F.struct("feature", "value")).alias("_x")
-    got = (
-        cells.select("feature", "nxy", null_safe, F.struct(label).alias("_y"))
-        .join(values.select(null_safe, "nx"), "_x")
-        .join(labels.select(F.struct(label).alias("_y"), "ny"), "_y")
-    )
-    p = F.col("nxy") / total
-    term = p * F.log(F.col("nxy") * total / (F.col("nx") * F.col("ny")))
-    return got.groupBy("feature").agg(F.sum(term).alias("mi"))
+    s = lambda c: F.sum(F.col(c) * F.ln(c))
+    values = cells.groupBy("feature", "value").agg(F.sum("c").alias("x"), s("c").alias("sxy"))
+    # One row per feature from here on.
+    sums = values.groupBy("feature").agg(F.sum("x").alias("n"), F.sum("sxy").alias("sxy"), s("x").alias("sx"))
+    sy = F.max(F.when(F.col("feature") == own, F.col("sx"))).over(Window.partitionBy(F.lit(0)))
+    mi = (F.col("sxy") - F.col("sx") - F.col("sy")) / F.col("n") + F.ln("n")
+    return sums.withColumn("sy", sy).filter(F.col("feature") != own).select("feature", mi.alias("mi"))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -112,8 +110,9 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 def equi_width_histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Rows per equal slice of [min, max]; the maximum belongs to the last slice."""
     rows = df.select(F.col(column).cast("double").alias("_v")).filter("_v is not null")
-    low, high = rows.agg(F.min("_v")).scalar(), rows.agg(F.max("_v")).scalar()
-    slot = F.floor((F.col("_v") - low) * F.lit(bins) / F.nullif(high - low, F.lit(0.0)))
+    span = rows.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high")).alias("span")).scalar()
+    width = F.nullif(span["high"] - span["low"], F.lit(0.0))
+    slot = F.floor((F.col("_v") - span["low"]) * F.lit(bins) / width)
     slot = F.coalesce(F.least(slot + 1, F.lit(bins)), F.lit(1)).cast("int")
     return rows.groupBy(slot.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")

@@ -78,9 +78,10 @@ def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) ->
     else:
         place = lambda c: c
     at = place(F.col(column)).cast("double")
-    low, high = df.agg(F.min(at)).scalar(), df.agg(F.max(at)).scalar()
-    slices = F.ceil(df.agg(F.count(F.lit(1))).scalar() / F.lit(rows_per_slice))
-    spot = F.try_divide((at - low) * slices, high - low)
+    span = F.struct(F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"))
+    span = df.agg(span.alias("span")).scalar()
+    slices = F.ceil(span["n"] / F.lit(rows_per_slice))
+    spot = F.try_divide((at - span["low"]) * slices, span["high"] - span["low"])
     return F.coalesce(F.floor(spot), F.when(F.col(column).isNotNull(), F.lit(0).cast("long")))
 
 

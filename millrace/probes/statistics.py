@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import metrics, profile
 from millrace.operators.running import exact_quantile, row_numbers, slice_chunk, width_chunk
 from millrace.probes.registry import Tables, probe
+from millrace.sources.tables import materialize
 
 
 @probe("distinct_counts", """
@@ -68,7 +69,9 @@ SELECT feature, value, round(avg(quality), 6) AS mean, round(avg(quality) - any_
        round(avg(quality) / any_value(m), 6) AS risk FROM u, g GROUP BY 1, 2
 """)
 def risk_ratio(t: Tables):
-    out = profile.group_risk(_labelled(t), ["lang", "source"], "quality")
+    # Read twice (groups and global mean), so the join is stored first.
+    labelled = materialize(_labelled(t).select("lang", "source", "quality"), t.scratch("labelled"))
+    out = profile.group_risk(labelled, ["lang", "source"], "quality")
     return out.select("feature", "value", *[F.round(c, 6).alias(c) for c in ("mean", "diff", "risk")])
 
 

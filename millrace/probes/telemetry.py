@@ -10,6 +10,7 @@ from millrace.plans import telemetry as tm
 from millrace.probes.registry import Tables, probe
 
 _PARTS = "SELECT DISTINCT CAST(year(l_shipdate) - 1994 AS INTEGER) AS n FROM {lineitem}"
+_OBJ = "CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END"
 _FLAG = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
 
 STAND_INS = {
@@ -39,24 +40,24 @@ STAND_INS = {
         SELECT CASE user_id % 4 WHEN 0 THEN 'Server:Availability Replica' WHEN 1 THEN 'server:DATABASE replica' ELSE 'Buffer Manager' END AS object_name,
                event_type AS counter_name, concat('u', user_id) AS instance_name, event_id AS cntr_value, 65792 AS cntr_type FROM {events}""",
     "row_group": f"""
-        SELECT 1 AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, {_FLAG} AS row_group_id,
+        SELECT {_OBJ} AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, {_FLAG} AS row_group_id,
                'COMPRESSED' AS state_desc, count(*) AS total_rows, sum(CASE WHEN l_tax = 0 THEN 1 ELSE 0 END) AS deleted_rows,
                CAST(sum(floor(l_extendedprice)) AS BIGINT) AS size_in_bytes, min(l_shipdate) AS created_time, max(l_shipdate) AS closed_time
-        FROM {{lineitem}} GROUP BY 3, 4""",
+        FROM {{lineitem}} GROUP BY 1, 3, 4""",
     "partition": f"""
-        SELECT 1 AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number,
-               100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, 'COLUMNSTORE' AS data_compression_desc,
-               sum(CASE WHEN year(l_shipdate) % 2 = 0 THEN 1 ELSE 0 END) AS rows FROM {{lineitem}} GROUP BY 3, 4""",
+        SELECT {_OBJ} AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number,
+               {_OBJ} * 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, 'COLUMNSTORE' AS data_compression_desc,
+               sum(CASE WHEN year(l_shipdate) % 2 = 0 THEN 1 ELSE 0 END) AS rows FROM {{lineitem}} GROUP BY 1, 3, 4""",
     "segment": f"""
-        SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, {_FLAG} AS row_group_id, 1 AS column_id,
+        SELECT {_OBJ} * 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_id, {_FLAG} AS row_group_id, 1 AS column_id,
                min(l_partkey) AS min_data_id, max(l_partkey) AS max_data_id FROM {{lineitem}} WHERE l_returnflag <> 'R' GROUP BY 1, 2
-        UNION ALL SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER), {_FLAG}, 2, min(l_suppkey), max(l_suppkey)
+        UNION ALL SELECT {_OBJ} * 100 + CAST(year(l_shipdate) - 1994 AS INTEGER), {_FLAG}, 2, min(l_suppkey), max(l_suppkey)
         FROM {{lineitem}} WHERE l_returnflag <> 'R' GROUP BY 1, 2""",
-    "col": "SELECT 1 AS object_id, 1 AS column_id, 'l_partkey' AS name",
+    "col": f"SELECT DISTINCT {_OBJ} AS object_id, 1 AS column_id, 'l_partkey' AS name FROM {{lineitem}}",
     "unit": f"""
         SELECT 100 + n AS container_id, 'IN_ROW_DATA' AS type_desc, n * 10 AS total_pages FROM ({_PARTS}) p
         UNION ALL SELECT 100 + n, 'LOB_DATA', n * 7 FROM ({_PARTS}) p""",
-    "idx": "SELECT 1 AS object_id, 1 AS index_id, 'CCI' AS name",
+    "idx": f"SELECT DISTINCT {_OBJ} AS object_id, 1 AS index_id, concat('CCI_', l_linestatus) AS name FROM {{lineitem}}",
     "page": """
         SELECT 100 + CAST(year(l_shipdate) - 1994 AS INTEGER) AS rowset_id, l_linenumber AS file_id, l_orderkey AS page_id, 1 AS index_id,
                l_returnflag AS type_desc, 1 AS is_allocated, 0 AS is_iam_page, l_linestatus AS page_type_desc FROM {lineitem}""",
@@ -76,9 +77,9 @@ STAND_INS = {
                CASE WHEN l_returnflag = 'A' THEN NULL ELSE concat('IX_', l_returnflag) END AS name,
                CASE WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS data_space_id FROM {{lineitem}}""",
     "space": "SELECT 1 AS data_space_id, 'PRIMARY' AS name UNION ALL SELECT 2, 'ps_year'",
-    "scheme": "SELECT 2 AS data_space_id, 'ps_year' AS name, 7 AS function_id",
+    "scheme": "SELECT 2 AS data_space_id, 'ps_year' AS name, 7 AS function_id UNION ALL SELECT 3, 'ps_other', 8",
     "destination": f"SELECT 2 AS partition_scheme_id, n AS destination_id, 10 + n % 2 AS data_space_id FROM ({_PARTS}) p",
-    "filegroup": "SELECT 10 AS data_space_id, 'FG_EVEN' AS name",
+    "filegroup": "SELECT 10 AS data_space_id, 'FG_EVEN' AS name UNION ALL SELECT 12, 'FG_NONE'",
     "border": f"SELECT 7 AS function_id, n AS boundary_id, (n + 1994) * 100 AS value FROM ({_PARTS}) p WHERE n < 7",
     "lock": """
         SELECT o_custkey % 50 AS request_session_id,
@@ -144,14 +145,17 @@ STAND_INS = {
     "buffer": "SELECT doc_id AS session_id, source AS event_info FROM {documents}",
     "plan_text": "SELECT page_id AS plan_handle, url AS query_plan FROM {pages}",
     "part_rows": """
-        SELECT 1 AS object_id, 'icon.lineitem' AS table_name, 1 AS index_id, 7 AS function_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number,
-               5 AS used_page_count, count(*) AS row_count FROM {lineitem} GROUP BY 5""",
-    "stats": "SELECT 1 AS object_id, 1 AS stats_id, 'PK_stats' AS name UNION ALL SELECT 1, 2, 'other'",
-    "inc_stats": """
-        SELECT 1 AS object_id, 1 AS stats_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, max(l_shipdate) AS last_updated,
+        SELECT CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS object_id, concat('icon.', l_linestatus) AS table_name, 1 AS index_id, 7 AS function_id,
+               CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, 5 AS used_page_count, count(*) AS row_count
+        FROM {lineitem} GROUP BY l_linestatus, 5""",
+    "stats": f"""
+        SELECT DISTINCT {_OBJ} AS object_id, 1 AS stats_id, 'PK_stats' AS name FROM {{lineitem}}
+        UNION ALL SELECT DISTINCT {_OBJ}, 2, 'other' FROM {{lineitem}}""",
+    "inc_stats": f"""
+        SELECT {_OBJ} AS object_id, 1 AS stats_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, max(l_shipdate) AS last_updated,
                sum(CASE WHEN l_tax > 0 THEN 1 ELSE 0 END) AS rows, count(DISTINCT l_orderkey) AS rows_sampled, 200 AS steps,
                count(*) AS unfiltered_rows, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS modification_counter
-        FROM {lineitem} GROUP BY 3""",
+        FROM {{lineitem}} GROUP BY 1, 3""",
     "cust_part": """
         SELECT o_custkey AS object_id, 1 AS partition_number, 1 AS index_id,
                count(*) * CASE o_custkey % 3 WHEN 0 THEN 10 WHEN 1 THEN 1000 ELSE 5000 END AS rows FROM {orders} GROUP BY o_custkey""",
@@ -177,7 +181,7 @@ def _frames(t: Tables, *keys: str):
     out = []
     for k in keys:
         used = {d: getattr(t, d) for d in _DRIVER if "{" + d + "}" in STAND_INS[k]}
-        out.append(t.spark.sql(STAND_INS[k].replace("{{", "{").replace("}}", "}") if not used else STAND_INS[k], **used))
+        out.append(t.spark.sql(STAND_INS[k], **used))
     return out
 
 
