@@ -24,8 +24,7 @@ def to_snake(name: str) -> str:
 def to_camel(name: str) -> str:
     """``Shots_On.Target(x)`` -> ``shotsOnTargetx``."""
     flat = name.replace(".", "_").translate({ord("("): None, ord(")"): None}).lower()
-    head, *tail = re.split(r"_(?=.)", flat)
-    return head + "".join(t[0].upper() + t[1:] for t in tail)
+    return re.sub(r"_(.)", lambda found: found[1].upper(), flat)
 
 
 def to_plain(name: str) -> str:
