@@ -99,7 +99,7 @@ def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its path and whole text."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
 
