@@ -50,6 +50,15 @@ def limited(df: DataFrame, test_run: bool = True, n: int = 100) -> DataFrame:
     return df.limit(n) if test_run else df
 
 
+def in_order(df: DataFrame, *keys) -> DataFrame:
+    """Sorted by ``keys``, ties by a hash of the row.
+
+    The order is total but for equal rows, and a key shared by very many rows
+    can be cut into several ranges instead of ending up in one task.
+    """
+    return df.orderBy(*keys, F.xxhash64(*df.columns))
+
+
 def repeat_rows(df: DataFrame, times: int, out: str = "copy") -> DataFrame:
     """Every row ``times`` times, numbered from 1, without a join or shuffle."""
     return df.withColumn(out, F.explode(F.sequence(F.lit(1), F.lit(times))))

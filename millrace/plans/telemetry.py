@@ -15,6 +15,7 @@ from millrace.functions.expressions import (
 )
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
 from millrace.operators.joins import borders_by_offset, coalesced_join
+from millrace.operators.rows import in_order
 
 # Alert limits.
 SEND_QUEUE_LIMIT_KB = 10240
@@ -47,11 +48,12 @@ def _groups(ag: DataFrame, replica: DataFrame) -> DataFrame:
 
 def replica_inventory(ag: DataFrame, replica: DataFrame, state: DataFrame) -> DataFrame:
     """One line per replica with its group and current state."""
-    return _groups(ag, replica).join(state, "replica_id").select(
+    report = _groups(ag, replica).join(state, "replica_id").select(
         F.col("name").alias("group_name"), "replica_server_name", "availability_mode_desc", "failover_mode_desc",
         "read_only_routing_url", "cluster_type_desc", "role_desc", "operational_state_desc", "connected_state_desc",
         "synchronization_health_desc",
-    ).orderBy("group_name", "replica_server_name")
+    )
+    return in_order(report, "group_name", "replica_server_name")
 
 
 def replica_lag(
@@ -60,12 +62,13 @@ def replica_lag(
     """Queues of every database copy and the seconds since its last commit."""
     names = database.select("database_id", F.col("name").alias("database_name"))
     joined = db_state.join(_groups(ag, replica), "replica_id").join(names, "database_id")
-    return joined.select(
+    report = joined.select(
         F.col("name").alias("group_name"), "database_id", "database_name", "replica_server_name",
         "availability_mode_desc", "synchronization_state_desc", "synchronization_health_desc", "log_send_queue_size",
         "log_send_rate", "redo_queue_size", "redo_rate", "last_commit_time",
         seconds_behind(F.col("last_commit_time"), as_of).alias("seconds_behind"),
-    ).orderBy("group_name", "database_name", "replica_server_name")
+    )
+    return in_order(report, "group_name", "database_name", "replica_server_name")
 
 
 def role_description(ag: DataFrame, replica: DataFrame, state: DataFrame, server: str) -> DataFrame:
@@ -92,9 +95,10 @@ def counters(counter: DataFrame, parts: list[str], ignore_case: bool = True) ->
     wanted = F.lit(False)
     for part in parts:
         wanted = wanted | name.contains(part.lower() if ignore_case else part)
-    return counter.filter(wanted).select(
+    report = counter.filter(wanted).select(
         "object_name", "counter_name", "instance_name", "cntr_value", "cntr_type"
-    ).orderBy("object_name", "counter_name", "instance_name")
+    )
+    return in_order(report, "object_name", "counter_name", "instance_name")
 
 
 def health_report(
@@ -115,12 +119,13 @@ def health_report(
         _groups(ag, replica).join(state, "replica_id").join(copies, "replica_id", "left")
         .join(names, "database_id", "left")
     )
-    return joined.select(
+    report = joined.select(
         F.col("name").alias("group_name"), "replica_server_name", "role_desc", "operational_state_desc",
         "connected_state_desc", "synchronization_health_desc", "database_name", "synchronization_state_desc",
         "log_send_queue_size", "log_send_rate", "redo_queue_size", "redo_rate",
         F.when(issue, "ISSUE").when(slow, "PERFORMANCE_CONCERN").otherwise("HEALTHY").alias("health_status"),
-    ).orderBy("group_name", "replica_server_name", "database_name")
+    )
+    return in_order(report, "group_name", "replica_server_name", "database_name")
 
 
 def redo_status(rate: Column, queue: Column) -> Column:
@@ -138,13 +143,14 @@ def redo_report(
     names = database.select("database_id", F.col("name").alias("database_name"))
     rate, queue = F.col("redo_rate"), F.col("redo_queue_size")
     joined = db_state.filter("is_local = 1").join(_groups(ag, own), "replica_id").join(names, "database_id")
-    return joined.select(
+    report = joined.select(
         F.col("name").alias("group_name"), "database_name", "redo_queue_size", "redo_rate", "log_send_queue_size",
         "log_send_rate", "last_redone_lsn", "last_redone_time",
         seconds_behind(F.col("last_redone_time"), as_of).alias("seconds_since_redo"),
         redo_status(rate, queue).alias("redo_status"),
         F.when(rate > 0, int_div(queue, rate)).alias("catch_up_seconds"),
-    ).orderBy(F.desc("redo_queue_size"))
+    )
+    return in_order(report, F.desc("redo_queue_size"))
 
 
 # Storage ------------------------------------------------------------------
@@ -157,7 +163,7 @@ def row_group_report(
     keys = ["object_id", "index_id", "partition_number"]
     parts = partition.select(*keys, "partition_id")
     names = column.select("object_id", "column_id", F.col("name").alias("column_name"))
-    return (
+    report = (
         row_group.join(parts, keys)
         .join(segment, ["partition_id", "row_group_id"], "left")
         .join(names, ["object_id", "column_id"], "left")
@@ -166,27 +172,29 @@ def row_group_report(
             "max_data_id", "deleted_rows",
             int_div(F.col("size_in_bytes"), F.lit(1024 * 1024)).alias("size_mb"), "created_time", "closed_time",
         )
-        .orderBy("partition_number", "row_group_id")
     )
+    return in_order(report, "partition_number", "row_group_id")
 
 
 def storage_pages(unit: DataFrame, partition: DataFrame, index: DataFrame) -> DataFrame:
     """Pages per index partition that holds rows."""
     names = index.select("object_id", "index_id", F.col("name").alias("index_name"))
     filled = partition.filter(F.col("rows") > 0)
-    return unit.join(filled, F.col("container_id") == F.col("partition_id")).join(names, ["object_id", "index_id"]).select(
+    report = unit.join(filled, F.col("container_id") == F.col("partition_id")).join(names, ["object_id", "index_id"]).select(
         "index_name", "index_id", "partition_number", "data_compression_desc", "type_desc", "total_pages", "rows"
-    ).orderBy("partition_number")
+    )
+    return in_order(report, "partition_number")
 
 
 def page_listing(page: DataFrame, internal: DataFrame) -> DataFrame:
     """Pages of internal partitions (delta stores), newest partition first."""
     inner = internal.select(F.col("partition_id").alias("rowset_id"), "row_group_id", "internal_object_type_desc",
                             "data_compression_desc")
-    return page.join(inner, "rowset_id").select(
+    report = page.join(inner, "rowset_id").select(
         "file_id", "page_id", "index_id", "type_desc", "is_allocated", "is_iam_page", "page_type_desc",
         "row_group_id", "internal_object_type_desc", "data_compression_desc", "rowset_id",
-    ).orderBy(F.desc("rowset_id"), "page_id")
+    )
+    return in_order(report, F.desc("rowset_id"), "page_id")
 
 
 def storage_summary(
@@ -260,12 +268,13 @@ def lock_waits(
     key = F.struct(F.coalesce("_object", "_part_object").alias("object_id"), F.coalesce("_part_index", F.lit(1)).alias("index_id"))
     rows = rows.withColumn("_key", F.when(key["object_id"].isNotNull(), key))
     rows = coalesced_join(rows, indexes, [F.col("_key")], F.col("_index_key"))
-    return rows.select(
+    report = rows.select(
         "request_session_id", "resource_type",
         F.when(F.col("resource_type") == "OBJECT", F.col("_object_name")).otherwise(F.col("_part_name")).alias("object_name"),
         "index_name", "resource_subtype", "resource_description", "resource_associated_entity_id", "request_mode",
         "request_status", "blocking_session_id", (F.col("wait_duration_ms") / F.lit(1000.0)).alias("wait_seconds"),
-    ).orderBy("request_session_id", "resource_associated_entity_id")
+    )
+    return in_order(report, "request_session_id", "resource_associated_entity_id")
 
 
 def _feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, feature: str) -> DataFrame:
@@ -279,21 +288,23 @@ def memory_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, featu
     """One row per operator of the feedback JSON."""
     fields = {"NodeId": "int", "AdditionalMemoryKB": "int", "Count": "int", "Average": "bigint", "Variance": "bigint"}
     rows = json_rows(_feedback(feedback, plan, hint, feature), "feedback_data", fields)
-    return rows.select(
+    report = rows.select(
         "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "query_hint_text",
         F.col("NodeId").alias("node_id"), F.col("AdditionalMemoryKB").alias("granted_memory_kb"),
         F.col("Count").alias("count"), F.col("Average").alias("average"), F.col("Variance").alias("variance"), "query_id",
-    ).orderBy("query_id")
+    )
+    return in_order(report, "query_id")
 
 
 def estimation_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, feature: str = "CE Feedback") -> DataFrame:
     """Estimation hints in use and what they mean; rows without a hint are left out."""
     used = json_value(F.col("feedback_data"), "Feedback hints")
     rows = _feedback(feedback, plan, hint, feature).withColumn("hint_in_use", used).filter("hint_in_use <> ''")
-    return rows.select(
+    report = rows.select(
         "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "hint_in_use",
         "query_hint_text", lookup_text(F.col("hint_in_use"), HINT_TEXT).alias("meaning"), "query_id",
-    ).orderBy("query_id")
+    )
+    return in_order(report, "query_id")
 
 
 def cpu_groups(node: DataFrame, scheduler: DataFrame) -> DataFrame:
@@ -345,9 +356,10 @@ def query_store_top(query: DataFrame, plan: DataFrame, runtime: DataFrame, as_of
 
 def plan_operators(plan: DataFrame, plan_column: str = "query_plan") -> DataFrame:
     """One row per operator of every plan text."""
-    return markup_elements(plan.select("plan_id", plan_column), plan_column, "RelOp", PLAN_ATTRIBUTES).drop(
+    report = markup_elements(plan.select("plan_id", plan_column), plan_column, "RelOp", PLAN_ATTRIBUTES).drop(
         plan_column, "pos"
-    ).orderBy("plan_id", "NodeId")
+    )
+    return in_order(report, "plan_id", "NodeId")
 
 
 def top_io(stats: DataFrame, database_id: int | None = None, n: int = 50) -> DataFrame:
@@ -391,7 +403,7 @@ def running_statements(
     requests = request.select("session_id", "sql_handle", "plan_handle", "wait_type", "wait_time", "start_time",
                               "statement_start_offset", "statement_end_offset")
     start, end = F.col("statement_start_offset"), F.col("statement_end_offset")
-    return (
+    report = (
         own.join(threads, ["session_id", "database_id"]).join(requests, "session_id")
         .join(grant.select("session_id", "dop", "granted_memory_kb"), "session_id", "left")
         .join(text.select("sql_handle", "text"), "sql_handle")
@@ -402,8 +414,9 @@ def running_statements(
             "dop", "granted_memory_kb", "open_tran", "waitresource", "start_time",
             statement_slice(F.col("text"), start, end, 0, 0).alias("statement"),
             F.col("event_info").alias("parent_statement"), "query_plan",
-        ).orderBy("session_id")
+        )
     )
+    return in_order(report, "session_id")
 
 
 # Statistics ---------------------------------------------------------------
@@ -420,26 +433,29 @@ def stats_freshness(
     rows = filled.join(upper, ["function_id", "partition_number"], "left").join(first_stats, "object_id")
     rows = rows.withColumn("upper_border", F.coalesce("_upper", F.lit(open_border)).cast("int"))
     rows = rows.filter(F.col("upper_border").between(first, last))
-    return rows.join(properties, ["object_id", "stats_id", "partition_number"]).select(
+    report = rows.join(properties, ["object_id", "stats_id", "partition_number"]).select(
         "table_name", "stats_name", "partition_number", "upper_border", "last_updated", "row_count",
         F.col("rows").alias("stats_row_count"), "rows_sampled", "steps", "unfiltered_rows", "modification_counter",
-    ).orderBy("table_name", F.desc("upper_border"))
+    )
+    return in_order(report, "table_name", F.desc("upper_border"))
 
 
 def stats_threshold(partition: DataFrame, properties: DataFrame) -> DataFrame:
     """Whether the changes since the last update pass the update threshold."""
     limit = update_threshold(F.col("rows"))
     changes = properties.select("object_id", "modification_counter", "last_updated")
-    return partition.filter((F.col("index_id") <= 1) & (F.col("rows") > 0)).join(changes, "object_id").select(
+    report = partition.filter((F.col("index_id") <= 1) & (F.col("rows") > 0)).join(changes, "object_id").select(
         "object_id", "partition_number", F.col("rows").alias("current_rows"), "modification_counter", "last_updated",
         limit.alias("update_threshold"),
         F.when(F.col("modification_counter") >= limit, "Should Update").otherwise("Below Threshold").alias("update_status"),
-    ).orderBy("partition_number")
+    )
+    return in_order(report, "partition_number")
 
 
 def stats_catalog(table: DataFrame, stats: DataFrame, columns: DataFrame, name: str) -> DataFrame:
     """Statistics of one table with the columns they cover."""
     own = table.filter(F.col("table_name") == name)
-    return own.join(stats, "object_id").join(columns, ["object_id", "stats_id"], "left").select(
+    report = own.join(stats, "object_id").join(columns, ["object_id", "stats_id"], "left").select(
         "schema_name", "table_name", "stats_name", "column_name", "stats_id", "is_incremental", "last_updated"
-    ).orderBy("stats_name", "column_name")
+    )
+    return in_order(report, "stats_name", "column_name")

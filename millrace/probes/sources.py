@@ -70,9 +70,7 @@ FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-1
 """)
 def partitioned_sink_pruned_read(t: Tables):
     days = t.events.withColumn("pickup_date", F.to_date("ts"))
-    path = tables.write_partitioned(
-        days, t.scratch("events_by_day"), ["pickup_date"], spread=4, spread_on="event_id"
-    )
+    path = tables.write_partitioned(days, t.scratch("events_by_day"), ["pickup_date"])
     read = t.spark.read.parquet(path)
     wanted = F.col("pickup_date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-19").cast("date"))
     return read.filter(wanted).groupBy("pickup_date").agg(

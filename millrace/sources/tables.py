@@ -6,20 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], spread: int = 1, spread_on: str | None = None) -> str:
+def write_partitioned(df: DataFrame, path: str, by: list[str]) -> str:
     """Parquet dataset with one folder per value of ``by``.
 
     Rows of one folder are gathered first, so tasks do not each write a small
-    file into every folder.  A folder that may hold much of the data is spread
-    over ``spread`` files by a hash of ``spread_on``.
+    file into every folder.  The rebalance hint lets the adaptive planner split
+    a folder that holds much of the data over several tasks and files.
     """
-    keys = [F.col(c) for c in by]
-    if spread > 1:
-        keys.append(F.pmod(F.xxhash64(F.col(spread_on)), F.lit(spread)))
-    df.repartition(*keys).write.mode("overwrite").partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
     return path
 
 
+def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows ranged and sorted by ``keys``.
+
+    A hash of the row is the last range key: without it all rows of one hot key
+    would fall into one range, that is one task and one file.
+    """
+    return df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
+
+
 def write_partitioned_clustered(
     df: DataFrame, path: str, partition: dict[str, Column], cluster: list[str]
 ) -> str:
@@ -29,15 +35,12 @@ def write_partitioned_clustered(
     files with narrow key ranges, which Parquet statistics can skip.
     """
     parts = df.withColumns(partition)
-    keys = [*partition, *cluster]
-    parts.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
-        *partition
-    ).parquet(path)
+    _ranged(parts, [*partition, *cluster]).write.mode("overwrite").partitionBy(*partition).parquet(path)
     return path
 
 
 def write_clustered(df: DataFrame, path: str, cluster: list[str]) -> str:
-    df.repartitionByRange(*cluster).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
+    _ranged(df, cluster).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -66,7 +66,7 @@ def test_labelled_folders(spark, tmp_path):
 
 def test_partitioned_table_is_pruned(spark, tmp_path):
     df = spark.range(100).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("day"))
-    path = tables.write_partitioned(df, str(tmp_path / "t"), ["day"], spread=2, spread_on="id")
+    path = tables.write_partitioned(df, str(tmp_path / "t"), ["day"])
     one = spark.read.parquet(path).filter("day = date'2024-01-03'")
     assert one.count() == 20
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -81,6 +81,19 @@ def test_clustered_files_have_narrow_ranges(spark, tmp_path):
     assert all(a.max_value <= b.min_value for a, b in zip(report, report[1:]))
 
 
+def test_hot_key_is_spread_over_files(spark, tmp_path):
+    df = spark.range(4000).select("id", F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("k"))
+    # Small partitions would be merged again, which is not the point here.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = tables.write_clustered(df, str(tmp_path / "h"), ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    report = files.segment_report(spark.read.parquet(path), "k").collect()
+    assert len(report) == 4 and max(r.n_rows for r in report) < 1500
+    assert sum(r.n_rows for r in report) == 4000
+
+
 def test_fill_empty_refill(spark, tmp_path):
     name = "refilled_table"
     tables.publish(spark.range(5), name, str(tmp_path / "r"))
