@@ -31,6 +31,19 @@ def coalesced_join(left: DataFrame, right: DataFrame, left_keys: list[Column], r
     return left.join(right, F.coalesce(*left_keys) == right_key, "left")
 
 
+def left_join_many(few: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """Left join of a short table to a long one on a key one value of which may hold much of the long one.
+
+    The planner cannot split the right side of a left join.  As an inner join
+    the long side can be split or streamed past a broadcast; rows of the short
+    table without a partner are added, found by the distinct keys alone.
+    """
+    met = many.join(few, key)
+    alone = few.join(many.select(key).distinct(), key, "left_anti")
+    order = [key, *[c for c in few.columns if c != key], *[c for c in many.columns if c != key]]
+    return met.select(*order).unionByName(alone, allowMissingColumns=True)
+
+
 def borders_by_offset(parts: DataFrame, borders: DataFrame, keys: list[str], number: str, border_id: str,
                       value: str) -> DataFrame:
     """Lower and upper border of each part: border ``n - 1`` and border ``n``."""

@@ -14,7 +14,7 @@ from millrace.functions.expressions import (
     concat_empty, int_div, lookup_text, seconds_behind, statement_slice, update_threshold,
 )
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
-from millrace.operators.joins import borders_by_offset, coalesced_join
+from millrace.operators.joins import borders_by_offset, coalesced_join, left_join_many
 from millrace.operators.rows import in_order
 
 # Alert limits.
@@ -115,10 +115,8 @@ def health_report(
         | (F.col("synchronization_health_desc") != "HEALTHY")
     )
     slow = (F.col("log_send_queue_size") > SEND_QUEUE_LIMIT_KB) | (F.col("redo_queue_size") > SEND_QUEUE_LIMIT_KB)
-    joined = (
-        _groups(ag, replica).join(state, "replica_id").join(copies, "replica_id", "left")
-        .join(names, "database_id", "left")
-    )
+    replicas = _groups(ag, replica).join(state, "replica_id")
+    joined = left_join_many(replicas, copies, "replica_id").join(names, "database_id", "left")
     report = joined.select(
         F.col("name").alias("group_name"), "replica_server_name", "role_desc", "operational_state_desc",
         "connected_state_desc", "synchronization_health_desc", "database_name", "synchronization_state_desc",
@@ -277,18 +275,17 @@ def lock_waits(
     return in_order(report, "request_session_id", "resource_associated_entity_id")
 
 
-def _feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, feature: str) -> DataFrame:
-    wanted = feedback.filter(F.col("feature_desc") == feature)
-    return wanted.join(plan.select("plan_id", "query_id"), "plan_id").join(
+def _with_hints(rows: DataFrame, plan: DataFrame, hint: DataFrame) -> DataFrame:
+    return rows.join(plan.select("plan_id", "query_id"), "plan_id").join(
         hint.select("query_id", "query_hint_text"), "query_id", "left"
     )
 
 
 def memory_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, feature: str = "Memory Grant Feedback") -> DataFrame:
-    """One row per operator of the feedback JSON."""
+    """One row per operator of the feedback JSON; it is parsed where it is scanned, before the joins."""
     fields = {"NodeId": "int", "AdditionalMemoryKB": "int", "Count": "int", "Average": "bigint", "Variance": "bigint"}
-    rows = json_rows(_feedback(feedback, plan, hint, feature), "feedback_data", fields)
-    report = rows.select(
+    parsed = json_rows(feedback.filter(F.col("feature_desc") == feature), "feedback_data", fields).drop("feedback_data")
+    report = _with_hints(parsed, plan, hint).select(
         "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "query_hint_text",
         F.col("NodeId").alias("node_id"), F.col("AdditionalMemoryKB").alias("granted_memory_kb"),
         F.col("Count").alias("count"), F.col("Average").alias("average"), F.col("Variance").alias("variance"), "query_id",
@@ -297,10 +294,11 @@ def memory_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, featu
 
 
 def estimation_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, feature: str = "CE Feedback") -> DataFrame:
-    """Estimation hints in use and what they mean; rows without a hint are left out."""
+    """Estimation hints in use and what they mean; rows without a hint are left out before the joins."""
     used = json_value(F.col("feedback_data"), "Feedback hints")
-    rows = _feedback(feedback, plan, hint, feature).withColumn("hint_in_use", used).filter("hint_in_use <> ''")
-    report = rows.select(
+    wanted = feedback.filter(F.col("feature_desc") == feature)
+    hinted = wanted.withColumn("hint_in_use", used).drop("feedback_data").filter("hint_in_use <> ''")
+    report = _with_hints(hinted, plan, hint).select(
         "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "hint_in_use",
         "query_hint_text", lookup_text(F.col("hint_in_use"), HINT_TEXT).alias("meaning"), "query_id",
     )

@@ -151,18 +151,19 @@ def lateral_outer(t: Tables):
 
 
 def _trade_edges(t: Tables):
-    """Distinct (customer nation, supplier nation) pairs that trade."""
-    # Distinct (customer, supplier) pairs first; nations join the shorter list.
-    orders = t.orders.select("o_orderkey", "o_custkey")
-    pairs = (
-        t.lineitem.select("l_orderkey", "l_suppkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("o_custkey", "l_suppkey").distinct()
+    """Distinct (customer nation, supplier nation) pairs that trade.
+
+    Lines are reduced to distinct (order, supplier nation) before they meet the
+    orders, so an order with very many lines is at most one row per nation there.
+    """
+    sold = (
+        t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .select("l_orderkey", F.col("s_nationkey").alias("j")).distinct()
     )
-    return (
-        pairs.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(F.col("c_nationkey").alias("i"), F.col("s_nationkey").alias("j")).distinct()
+    bought = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.col("c_nationkey").alias("i")
     )
+    return sold.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).select("i", "j").distinct()
 
 
 _TRADE_SQL = """

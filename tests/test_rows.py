@@ -77,6 +77,15 @@ def test_role_join_and_orphans(spark):
     assert [tuple(r) for r in joins.orphans(child, "k", dim, "k").collect()] == [(99, 2)]
 
 
+def test_left_join_many(spark):
+    few = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
+    many = spark.createDataFrame([(1, 10), (1, 11), (3, None), (9, 5), (None, 6)], "k int, v int")
+    want = few.join(many, "k", "left")
+    got = joins.left_join_many(few, many, "k")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_graph_example(spark):
     points = spark.range(1, 7).select(F.col("id").cast("int").alias("v"))
     pairs = [(i, j) for i in range(1, 7) for j in range(i + 1, 7)]
