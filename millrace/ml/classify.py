@@ -12,7 +12,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.metrics import auc
 from millrace.operators.rows import exact_split, flag
+from millrace.operators.running import width_chunk
 
 PARTS = [("train", 0.8), ("val", 0.2)]
 
@@ -91,6 +93,14 @@ def score_json(model: PipelineModel, records: DataFrame, data: str, schema: str,
     return score(model, yes_no(rows, *answers), keep)
 
 
+def fit_and_judge(df: DataFrame, key: str, categorical: list[str], numeric: list[str], label: str, seed: int = 2, c: float = 10.0):
+    """Fit on 80 % of the rows; the model and the ROC AUC on the rest."""
+    train_df, val_df = split_80_20(df, key, seed)
+    model = train(train_df, categorical, numeric, label, c)
+    scored = score(model, val_df, [label])
+    return model, auc(scored, "probability", label, width_chunk(F.col("probability"), 0.001))
+
+
 def accuracy(scored: DataFrame, label: str) -> DataFrame:
     return scored.agg(F.avg((F.col("flag") == (F.col(label) == 1)).cast("int")).alias("accuracy"))
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import numeric, season_start
 from millrace.functions.names import columns_except, drop_first, rename_all, to_camel
 from millrace.operators.rows import sentinel_to_null
 from millrace.plans.models import Model
-from millrace.sources.files import promote_first_row
+from millrace.sources.files import promote_first_row, read_csv
 
 # Dataset -> published table, cluster keys of the tables, tables
 # partitioned by season, the duplicate column of the match statistics and the
@@ -43,6 +43,19 @@ DUPLICATE_STAT = "offsides1"
 GOAL_CODES = [1, 2]
 
 
+def read_sources(spark: SparkSession, root: str, datasets: list[str] | None = None, encodings: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The CSV files below ``root`` by dataset name, every column as text, header row as names.
+
+    Only files that are not UTF-8 need an entry in ``encodings``.  The file of
+    players carries its names in the first data row, which ``clean`` deals with.
+    """
+    encodings = encodings or {}
+    return {
+        name: read_csv(spark, f"{root}/{name}.csv", encoding=encodings.get(name, "utf-8"), infer=False)
+        for name in datasets or list(TABLE_NAMES)
+    }
+
+
 def clean(dataset: str, raw: DataFrame, index_column: bool = True) -> DataFrame:
     """Drop the exporter's index column, fix the names, mark nulls, add the season start."""
     df = drop_first(raw) if index_column else raw

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import (
-    days_between, is_text, numeric, payment_description, safe_int_of, surrogate_key,
+    days_between, is_text, numeric, payment_description, safe_int_of, same_day, surrogate_key,
 )
 from millrace.operators.joins import role_join
-from millrace.operators.rows import first_per_key, limited, tag_union
+from millrace.functions.names import rename_all, to_snake
+from millrace.operators.rows import first_per_key, keep_positive, limited, tag_union
+from millrace.plans import quality
 from millrace.plans.models import Model
+from millrace.sources.files import read_csv
+from millrace.sources.tables import write_partitioned
 
 # Money columns of the trip files, accepted payment codes, the
 # borough of unknown zones, the text replaced in service zones, the FHV year.
@@ -22,6 +26,81 @@ SERVICE_ZONE_TEXT = ("Boro", "Green")
 FHV_DAYS = ("2019-01-01", "2019-12-31")
 
 
+# Typed columns of the green and yellow trip files, in file order;
+# {p} is the prefix of the two time columns.
+TRIP_SCHEMA = (
+    "VendorID long, {p}_pickup_datetime timestamp_ntz, {p}_dropoff_datetime timestamp_ntz, store_and_fwd_flag string, "
+    "RatecodeID long, PULocationID long, DOLocationID long, passenger_count long, trip_distance double, "
+    "fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, ehail_fee double, "
+    "improvement_surcharge double, total_amount double, payment_type long, trip_type long, congestion_surcharge double"
+)
+PREFIX = {"green": "lpep", "yellow": "tpep"}
+
+
+def read_trips(spark: SparkSession, paths: str | list[str], kind: str = "green") -> DataFrame:
+    """Monthly trip files (plain or gzip) as one typed frame; columns are matched by position."""
+    schema = TRIP_SCHEMA.format(p=PREFIX[kind])
+    return read_csv(spark, paths, schema=schema, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+
+
+def clean_trips(raw: DataFrame, kind: str = "green") -> DataFrame:
+    """Trips with passengers and distance, their pick-up date, names in snake case."""
+    prefix = PREFIX[kind]
+    kept = keep_positive(raw, "passenger_count", "trip_distance")
+    return rename_all(kept.withColumn(f"{prefix}_pickup_date", F.to_date(f"{prefix}_pickup_datetime")), to_snake)
+
+
+def check_clean(trips: DataFrame) -> DataFrame:
+    """Report of the step checks of cleaned trips."""
+    zeros = [quality.no_zero("passenger_count"), quality.no_zero("trip_distance")]
+    return quality.report(
+        quality.has_rows(trips), quality.first_column(trips, "vendor_id"), quality.row_checks(trips, zeros)
+    )
+
+
+def load_trips(spark: SparkSession, paths: str | list[str], out: str, kind: str = "green") -> str:
+    """Files to a checked Parquet dataset with one folder per pick-up date."""
+    trips = clean_trips(read_trips(spark, paths, kind), kind)
+    path = write_partitioned(trips, out, [f"{PREFIX[kind]}_pickup_date"])
+    # Checked on the written files, so that the source is read once.
+    quality.enforce(check_clean(spark.read.parquet(path)))
+    return path
+
+
+def trips_within_day(trips: DataFrame, day: str, prefix: str = "lpep") -> DataFrame:
+    """Number of trips that start and end on one day."""
+    inside = same_day(F.col(f"{prefix}_pickup_datetime"), day) & same_day(F.col(f"{prefix}_dropoff_datetime"), day)
+    return trips.filter(inside).agg(F.count(F.lit(1)).alias("n"))
+
+
+def longest_by_day(trips: DataFrame, prefix: str = "lpep") -> DataFrame:
+    days = trips.groupBy(F.to_date(f"{prefix}_pickup_datetime").alias("day"))
+    return days.agg(F.max("trip_distance").alias("longest")).orderBy(F.desc("longest"), "day")
+
+
+def total_by_borough(trips: DataFrame, zones: DataFrame, day: str, prefix: str = "lpep") -> DataFrame:
+    """Amount per known pick-up borough on one day; summed per zone before the join."""
+    per_zone = trips.filter(same_day(F.col(f"{prefix}_pickup_datetime"), day)).groupBy("PULocationID").agg(
+        F.sum("total_amount").alias("_total")
+    )
+    known = known_zones(zones).select(F.col("locationid").alias("PULocationID"), "borough")
+    return per_zone.join(known, "PULocationID").groupBy("borough").agg(F.sum("_total").alias("total"))
+
+
+def best_tip_by_dropoff(
+    trips: DataFrame, zones: DataFrame, pickup_zone: str, first: str, last: str, prefix: str = "lpep"
+) -> DataFrame:
+    """Greatest tip per drop-off zone of trips from one zone; taken per zone id before the names join."""
+    span = days_between(F.col(f"{prefix}_pickup_datetime"), first, last)
+    pickup = zones.filter(F.col("zone") == pickup_zone).select(F.col("locationid").alias("PULocationID"))
+    names = zones.select(F.col("locationid").alias("DOLocationID"), F.col("zone").alias("dropoff_zone"))
+    per_zone = trips.filter(span).join(pickup, "PULocationID", "left_semi").groupBy("DOLocationID").agg(
+        F.max("tip_amount").alias("_tip")
+    )
+    best = per_zone.join(names, "DOLocationID").groupBy("dropoff_zone").agg(F.max("_tip").alias("max_tip"))
+    return best.orderBy(F.desc("max_tip"), "dropoff_zone")
+
+
 def stage_trips(
     raw: DataFrame, pickup: str, dropoff: str, order: list[str], fixed: dict | None = None,
     test_run: bool = False, test_rows: int = 100,

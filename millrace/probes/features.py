@@ -147,6 +147,12 @@ def logreg_scores(t: Tables):
     return classify.score(model, val, ["doc_id", "label"]).select("doc_id", "label", F.round("probability", 4).alias("probability"), "flag")
 
 
+@probe("churn_auc")
+def churn_auc(t: Tables):
+    _, area = classify.fit_and_judge(_churn(t), "doc_id", _CATS, _NUMS, "label")
+    return area.select(F.round("auc", 3).alias("auc"), "n_pos", "n_neg")
+
+
 @probe("model_roundtrip", "SELECT count(*) AS n, true AS same FROM documents")
 def model_roundtrip(t: Tables):
     """A saved and loaded model scores every document as before."""

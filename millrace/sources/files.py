@@ -6,16 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Typed columns of the trip files (names as in the files).
-TRIP_SCHEMA = (
-    "VendorID long, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
-    "store_and_fwd_flag string, RatecodeID long, PULocationID long, DOLocationID long, "
-    "passenger_count long, trip_distance double, fare_amount double, extra double, mta_tax double, "
-    "tip_amount double, tolls_amount double, ehail_fee double, improvement_surcharge double, "
-    "total_amount double, payment_type long, trip_type long, congestion_surcharge double"
-)
-
-
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
@@ -23,11 +13,13 @@ def read_csv(
     encoding: str = "utf-8",
     null_value: str | None = None,
     header: bool = True,
+    infer: bool = True,
     **options,
 ) -> DataFrame:
     """CSV files (plain or gzip) as one frame.
 
-    Give a schema wherever it is known: without one Spark reads the files twice.
+    Give a schema wherever it is known: to infer one Spark reads the files
+    twice.  With neither, every column is text.
     ``cp1252`` files are read as Latin-1, which maps every byte, and the 27
     characters in which the two differ are then put right in the text columns.
     """
@@ -40,7 +32,7 @@ def read_csv(
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
-    df = (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(paths)
+    df = (reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)).csv(paths)
     return fix_cp1252(df) if cp1252 else df
 
 
@@ -72,7 +64,7 @@ def promote_header(spark: SparkSession, path: str, **options) -> DataFrame:
     Only the first row is fetched to learn the names; the row itself is then
     left out by value.
     """
-    raw = read_csv(spark, path, header=False, schema=None, inferSchema=False, **options)
+    raw = read_csv(spark, path, header=False, infer=False, **options)
     return promote_first_row(raw)
 
 

@@ -86,6 +86,12 @@ def test_scoring_and_saving(spark, tmp_path):
     assert classify.feature_names(model, ["c"], ["v"]) == ["c=x", "c=y", "c=z", "v"]
 
 
+def test_fit_and_judge(spark):
+    _, area = classify.fit_and_judge(people(spark), "id", ["c"], ["v"], "label")
+    got = area.first()
+    assert got.n_pos + got.n_neg == 60 and got.auc > 0.9
+
+
 def test_json_scoring_prepares_like_training(spark):
     df = people(spark).withColumn("paperless", F.when(F.col("v") > 0, "Yes").otherwise("No"))
     ready = classify.yes_no(df, "paperless")

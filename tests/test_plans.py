@@ -155,3 +155,54 @@ def test_filters_reach_the_scan(spark, tmp_path):
     spark.range(10).select(F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"), "id").write.parquet(path)
     plan = spark.read.parquet(path).filter(same_day(F.col("ts"), "2024-01-01")).select("id")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+HEAD = ("VendorID,lpep_pickup_datetime,lpep_dropoff_datetime,store_and_fwd_flag,RatecodeID,PULocationID,DOLocationID,passenger_count,"
+        "trip_distance,fare_amount,extra,mta_tax,tip_amount,tolls_amount,ehail_fee,improvement_surcharge,total_amount,payment_type,trip_type,"
+        "congestion_surcharge\n")
+
+
+def trip_files(tmp_path):
+    import gzip
+
+    paths = []
+    for month in ("10", "11"):
+        lines = [f"2,2020-{month}-0{d} 10:00:00,2020-{month}-0{d} {h},N,1,{pu},{do},{n},{dist},10,0,0.5,{tip},0,,0.3,{total},1,1,0"
+                 for d, h, pu, do, n, dist, tip, total in [
+                     (1, "10:30:00", 1, 2, 1, 1.5, 3, 20), (1, "23:59:59", 1, 264, 2, 9.5, 7, 30), (2, "10:30:00", 264, 2, 0, 1.0, 1, 5),
+                     (2, "10:40:00", 2, 1, "", 1.0, 1, 5), (3, "10:30:00", 2, 1, 1, 0, 1, 5)]]
+        path = tmp_path / f"green_2020-{month}.csv.gz"
+        path.write_bytes(gzip.compress((HEAD + "\n".join(lines) + "\n").encode()))
+        paths.append(str(path))
+    return paths
+
+
+def test_trip_files_to_dataset(spark, tmp_path):
+    paths = trip_files(tmp_path)
+    raw = taxi.read_trips(spark, paths)
+    assert raw.count() == 10
+    out = taxi.load_trips(spark, paths, str(tmp_path / "out"))
+    got = spark.read.parquet(out)
+    # Trips without passengers (0 or null) or distance are gone.
+    assert got.count() == 4 and got.columns[0] == "vendor_id" and "pulocation_id" in got.columns
+    assert sorted(str(r[0]) for r in got.select("lpep_pickup_date").distinct().collect()) == ["2020-10-01", "2020-11-01"]
+    bad = taxi.check_clean(raw)
+    assert {(r.check, r.column): r.status for r in bad.collect()}[("first_column", "vendor_id")] == "fail"
+
+
+def test_trip_questions(spark, tmp_path):
+    trips = taxi.read_trips(spark, trip_files(tmp_path))
+    assert taxi.trips_within_day(trips, "2020-10-01").first().n == 2
+    assert [(str(r.day), r.longest) for r in taxi.longest_by_day(trips).limit(2).collect()] == [("2020-10-01", 9.5), ("2020-11-01", 9.5)]
+    assert {r.borough: r.total for r in taxi.total_by_borough(trips, zones(spark), "2020-10-02").collect()} == {"Bronx": 5.0}
+    best = taxi.best_tip_by_dropoff(trips, zones(spark), "A", "2020-10-01", "2020-10-31").collect()
+    assert [(r.dropoff_zone, r.max_tip) for r in best] == [("N", 7.0), ("B", 3.0)]
+
+
+def test_league_files(spark, tmp_path):
+    (tmp_path / "club.csv").write_text('"","club_id","club_name","website"\n"0","120","Arsenal","Null"\n')
+    (tmp_path / "player.csv").write_bytes(',"a","b"\n0,player_id,player_name\n1,7,Agüero\n'.encode("cp1252"))
+    raw = football.read_sources(spark, str(tmp_path), ["club", "player"], {"player": "cp1252"})
+    got = football.clean_all(raw)
+    assert got["club"].first().asDict() == {"clubId": "120", "clubName": "Arsenal", "website": "Null"}
+    assert got["player"].first().asDict() == {"playerId": "7", "playerName": "Agüero"}
