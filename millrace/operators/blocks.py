@@ -11,14 +11,13 @@ def block_rows(df: DataFrame, keys: list[str], text: str, size: int = 6) -> Data
 
     All lines count, blank ones too.
     """
-    lines = F.transform(
-        F.split(F.col(text), r"\r\n|\r|\n"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")
-    )
+    whole = F.col(text)
+    unix = F.replace(F.replace(whole, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = F.split(F.when(F.contains(whole, F.lit("\r")), unix).otherwise(whole), "\n")
+    # Only the two lines that count are trimmed.
+    line = lambda at: F.regexp_replace(F.coalesce(F.get("_lines", at), F.lit("")), r"^\s+|\s+$", "")
     numbers = F.sequence(F.lit(0), F.floor((F.size("_lines") - 1) / size).cast("int"))
-    blocks = F.transform(numbers, lambda b: F.struct(
-        F.get("_lines", b * size).alias("head"),
-        F.coalesce(F.get("_lines", b * size + 1), F.lit("")).alias("item"),
-    ))
+    blocks = F.transform(numbers, lambda b: F.struct(line(b * size).alias("head"), line(b * size + 1).alias("item")))
     rows = df.select(*keys, lines.alias("_lines")).select(*keys, F.posexplode(blocks).alias("block", "_r"))
     return rows.select(*keys, "block", "_r.head", "_r.item")
 

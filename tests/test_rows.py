@@ -126,6 +126,12 @@ def test_blocks_sample(spark):
     assert got == {"F1": "J1, J2", "F2": "J3"}
 
 
+def test_blocks_know_all_line_ends(spark):
+    df = spark.createDataFrame([(1, SAMPLE.replace("\n", "\r\n")), (2, SAMPLE.replace("\n", "\r"))], "id int, text string")
+    got = {(r["id"], r["head"]): r["items"] for r in blocks.block_lists(df, ["id"], "text").collect()}
+    assert got == {(i, h): v for i in (1, 2) for h, v in (("F1", "J1, J2"), ("F2", "J3"))}
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["a", "b", " c ", "", "\t"]), max_size=40), min_size=1, max_size=5))
 def test_blocks_by_brute_force(spark, texts):
