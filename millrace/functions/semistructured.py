@@ -42,10 +42,13 @@ def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, st
     prefix on the element is ignored.  Comments, CDATA, scripts and styles hold no elements.
     """
     case = "(?i)" if ignore_case else ""
-    hidden = case + r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(script|style)\b.*?</\1>"
-    quoted = "\"[^\"]*\"|'[^']*'"
-    tag = rf"{case}<(?:[\w.-]+:)?{element}((?:\s+[\w:.-]+(?:\s*=\s*(?:{quoted}))?)*)\s*/?>"
-    seen = F.regexp_replace(F.col(data), hidden, "")
+    # Possessive quantifiers: nothing is tried twice, however long the text.
+    hidden = case + r"(?s)<(?>!--(?>[^-]++|-(?!->))*+-->|!\[CDATA\[.*?\]\]>|(script|style)\b.*?</\1>)"
+    quoted = "\"[^\"]*+\"|'[^']*+'"
+    tag = rf"{case}<(?:[\w.-]++:)?{element}((?:\s++[\w:.-]++(?:\s*+=\s*+(?:{quoted}))?)*+)\s*+/?>"
+    text = F.lower(data) if ignore_case else F.col(data)
+    may_hide = F.contains(text, F.lit("<!")) | F.contains(text, F.lit("<script")) | F.contains(text, F.lit("<style"))
+    seen = F.when(may_hide, F.regexp_replace(F.col(data), hidden, "")).otherwise(F.col(data))
     rows = df.select("*", F.posexplode(F.regexp_extract_all(seen, F.lit(tag), F.lit(1))).alias("pos", "_tag"))
 
     # One match per attribute, as a column of its own so that it is not repeated;
