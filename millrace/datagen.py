@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import clock_seconds
+
 # Alphabet and pick range of random text (picks past the end give
 # no character), value ranges of the numeric types, first time, bytes per binary.
 ALPHABET = "0123456789-ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz"
@@ -105,7 +107,7 @@ def table_value(spec: Spec, draw: Draw, as_of: str) -> Column:
     if kind in ("decimal", "float", "money", "smallmoney", "double"):
         return draw.below(NUMBER_RANGE).cast("double") * draw.factor()
     if kind in ("datetime", "smalldatetime", "datetime2", "timestamp", "timestamp_ntz"):
-        minutes = F.floor(F.timestamp_diff("MINUTE", first, F.lit(as_of).cast("timestamp_ntz")) + 1)
+        minutes = F.floor((clock_seconds(F.lit(as_of).cast("timestamp_ntz")) - clock_seconds(first)) / 60) + 1
         return F.timestamp_add("MINUTE", F.floor(draw.unit() * minutes).cast("int"), first)
     if kind in ("bit", "boolean"):
         return draw.below(2).cast("int").cast("boolean")

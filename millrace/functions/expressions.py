@@ -90,9 +90,19 @@ def between_midnights(ts: Column, first: str, last: str) -> Column:
     return ts.between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))
 
 
+def clock_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 on the clock the time was read from.
+
+    A cast to a time with zone would bring in the session's zone, whose summer
+    time skips and repeats an hour.
+    """
+    of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(F.to_date(ts)).cast("long") * 86400 + of_day
+
+
 def seconds_behind(ts: Column, as_of: Column) -> Column:
     """Second boundaries crossed from ``ts`` to ``as_of`` (fractions cut on both sides)."""
-    return F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(ts.cast("timestamp"))
+    return clock_seconds(as_of) - clock_seconds(ts)
 
 
 def season_start(season: Column) -> Column:

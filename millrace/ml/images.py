@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +100,8 @@ def score_images(df: DataFrame, key: str, pixels: str, shape: tuple[int, int, in
     The network has a fixed size, so its weights are sent once per executor;
     images are scored in small batches to bound memory.
     """
+    # Workers get the functions of this module sent along and need no installed package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     sent = df.sparkSession.sparkContext.broadcast(weights)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import clock_seconds
+
 OverWindow = Callable[[WindowSpec], Column]
 
 
@@ -70,7 +72,7 @@ def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) ->
     """
     kind = df.schema[column].dataType.simpleString()
     if kind == "timestamp_ntz":
-        place = lambda c: F.unix_micros(c.cast("timestamp"))
+        place = clock_seconds
     elif kind == "timestamp":
         place = F.unix_micros
     elif kind == "date":

@@ -138,7 +138,7 @@ STAND_INS = {
                o_orderpriority AS waitresource FROM {orders}""",
     "request": """
         SELECT doc_id AS session_id, doc_id AS sql_handle, doc_id AS plan_handle, lang AS wait_type, n_chars AS wait_time,
-               TIMESTAMP '2024-01-01 00:00:00' AS start_time, doc_id % 50 * 2 AS statement_start_offset,
+               DATE '2024-01-01' AS start_time, doc_id % 50 * 2 AS statement_start_offset,
                CASE WHEN doc_id % 3 = 0 THEN -1 ELSE doc_id % 50 * 2 + n_chars END AS statement_end_offset FROM {documents}""",
     "grant_": "SELECT vec_id AS session_id, label AS dop, vec_id * 10 AS granted_memory_kb FROM {embeddings}",
     "text_": "SELECT doc_id AS sql_handle, text FROM {documents}",

@@ -106,6 +106,16 @@ def test_seconds_count_boundaries(one):
     assert one(x.seconds_behind(F.lit(None).cast("timestamp_ntz"), stamp("2024-01-01"))) is None
 
 
+def test_seconds_ignore_summer_time(one, spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = lambda s: F.lit(s).cast("timestamp_ntz")
+        assert one(x.seconds_behind(stamp("2024-03-10 01:59:59"), stamp("2024-03-10 03:00:00"))) == 3601
+        assert one(x.clock_seconds(stamp("1969-12-31 23:59:59.5"))) == -1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_day_filters(spark):
     df = spark.sql("SELECT explode(array('2022-06-30 00:00:00','2022-06-30 23:59:59','2022-07-01 00:00:00')) s").select(
         F.col("s").cast("timestamp_ntz").alias("ts"))
