@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 BIAS = "bias"
 
 
-def _terms(features: list[str]) -> list[tuple[str, Column]]:
-    return [(BIAS, F.lit(1.0))] + [(f, F.col(f).cast("double")) for f in features]
+def _terms(features: list[str], bias: bool = True) -> list[tuple[str, Column]]:
+    return [(BIAS, F.lit(1.0))] * bias + [(f, F.col(f).cast("double")) for f in features]
 
 
-def _sums(features: list[str], target: str) -> tuple[list[Column], list[tuple[str, str]]]:
-    terms = _terms(features)
+def _sums(features: list[str], target: str, bias: bool = True) -> tuple[list[Column], list[tuple[str, str]]]:
+    terms = _terms(features, bias)
     cols, names = [], []
     for i, (a, x) in enumerate(terms):
         for b, y in [*terms[i:], (target, F.col(target).cast("double"))]:
@@ -43,21 +43,23 @@ def gram(df: DataFrame, features: list[str], target: str) -> DataFrame:
 
 @dataclass
 class Fit:
-    features: list[str]
+    """Weights by term; the bias, if there is one, comes first."""
+
+    terms: list[str]
     weights: np.ndarray
 
     def predict(self) -> Column:
-        out = F.lit(float(self.weights[0]))
-        for f, w in zip(self.features, self.weights[1:]):
-            out = out + F.col(f) * F.lit(float(w))
+        out = F.lit(0.0)
+        for term, w in self.named():
+            out = out + (F.lit(w) if term == BIAS else F.col(term) * F.lit(w))
         return out
 
     def named(self) -> list[tuple[str, float]]:
-        return list(zip([BIAS, *self.features], map(float, self.weights)))
+        return list(zip(self.terms, map(float, self.weights)))
 
 
-def _matrices(row, features: list[str], target: str, names) -> tuple[np.ndarray, np.ndarray]:
-    order = {n: i for i, n in enumerate([BIAS, *features])}
+def _matrices(row, terms: list[str], target: str, names) -> tuple[np.ndarray, np.ndarray]:
+    order = {n: i for i, n in enumerate(terms)}
     xtx, xty = np.zeros((len(order), len(order))), np.zeros(len(order))
     for i, (a, b) in enumerate(names):
         if b == target and b not in order:
@@ -72,20 +74,24 @@ def solve(xtx: np.ndarray, xty: np.ndarray, ridge: float = 0.0) -> np.ndarray:
     return np.linalg.solve(xtx + ridge * np.eye(len(xty)), xty)
 
 
-def fit(df: DataFrame, features: list[str], target: str, ridges: tuple[float, ...] = (0.0,)) -> dict[float, Fit]:
+def fit(
+    df: DataFrame, features: list[str], target: str, ridges: tuple[float, ...] = (0.0,), bias: bool = True
+) -> dict[float, Fit]:
     """One pass over the data for all ridge values."""
     if target in features:
         raise ValueError("the target must not be a feature")
-    cols, names = _sums(features, target)
-    xtx, xty = _matrices(df.agg(*cols).first(), features, target, names)
-    return {r: Fit(features, solve(xtx, xty, r)) for r in ridges}
+    cols, names = _sums(features, target, bias)
+    terms = [BIAS] * bias + list(features)
+    xtx, xty = _matrices(df.agg(*cols).first(), terms, target, names)
+    return {r: Fit(terms, solve(xtx, xty, r)) for r in ridges}
 
 
 def fit_groups(df: DataFrame, group: str, features: list[str], target: str, ridge: float = 0.0) -> dict:
     """One fit per value of a short grouping column (seeds, folds), in one pass."""
     cols, names = _sums(features, target)
     rows = df.groupBy(group).agg(*cols).collect()
-    return {r[group]: Fit(features, solve(*_matrices(r, features, target, names), ridge)) for r in rows}
+    terms = [BIAS, *features]
+    return {r[group]: Fit(terms, solve(*_matrices(r, terms, target, names), ridge)) for r in rows}
 
 
 def rmse_of(fits: dict[float, Fit], df: DataFrame, target: str, label: str = "ridge") -> DataFrame:

@@ -108,13 +108,22 @@ def goal_scorers(matches: DataFrame, performance: DataFrame, players: DataFrame)
     )
 
 
-def top_scorers(goals: DataFrame, first: str, last: str, n: int = 10) -> DataFrame:
-    """Players with the most goals in a span of seasons."""
+def top_scorers(
+    matches: DataFrame, performance: DataFrame, players: DataFrame, first: str, last: str, n: int = 10
+) -> DataFrame:
+    """Players with the most goals in a span of seasons.
+
+    The same rows as the scorer mart, counted per player before names are
+    joined, so a player with very many goals is one row there.
+    """
     span = F.col("seasonStartYear").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    counted = goals.filter(span).groupBy("playerId").agg(
-        F.count(F.lit(1)).alias("goals"), F.first("playerName").alias("playerName")
+    goals = performance.filter(F.col("typeOfStat").isin(*GOAL_CODES))
+    counted = (
+        goals.join(matches.filter(span).select("matchId"), "matchId")
+        .groupBy("playerId").agg(F.count(F.lit(1)).alias("goals"))
     )
-    return counted.orderBy(F.desc("goals"), "playerId").limit(n)
+    named = counted.join(players.select("playerId", "playerName"), "playerId")
+    return named.orderBy(F.desc("goals"), "playerId").limit(n)
 
 
 def best_away_possession(games: DataFrame, first: str, last: str, per_season: int = 1) -> DataFrame:

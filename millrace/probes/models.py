@@ -185,16 +185,16 @@ goals AS (SELECT {_SEASON} AS "seasonStartYear", l_partkey AS "playerId", o_orde
 """
 
 
-def _goals(t: Tables):
+def _goal_sources(t: Tables):
     raw = _league(t)
     clean = football.clean_all({k: raw[k] for k in ("match", "player_performance")})
     players = t.part.select(F.col("p_partkey").alias("playerId"), F.col("p_name").alias("playerName"))
-    return football.goal_scorers(clean["match"], clean["player_performance"], players)
+    return clean["match"], clean["player_performance"], players
 
 
 @probe("goal_scorers_mart", f"WITH {_GOALS_SQL} SELECT * FROM goals")
 def goal_scorers_mart(t: Tables):
-    return _goals(t)
+    return football.goal_scorers(*_goal_sources(t))
 
 
 @probe("top_scorers", f"""
@@ -202,7 +202,7 @@ WITH {_GOALS_SQL} SELECT "playerId", count(*) AS goals, any_value("playerName")
 WHERE "seasonStartYear" BETWEEN DATE '1996-01-01' AND DATE '1999-01-01' GROUP BY 1 ORDER BY goals DESC, "playerId" LIMIT 10
 """)
 def top_scorers(t: Tables):
-    return football.top_scorers(_goals(t), "1996-01-01", "1999-01-01")
+    return football.top_scorers(*_goal_sources(t), "1996-01-01", "1999-01-01")
 
 
 @probe("league_tables", f"""

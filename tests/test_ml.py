@@ -35,6 +35,18 @@ def test_plain_fit_agrees_with_the_library(spark):
     assert np.allclose(linear.fit(df, ["a", "b"], "y")[0.0].weights, [model.intercept, *model.coefficients])
 
 
+def test_five_rows_without_bias(spark):
+    x = [[27, 1675, 521], [52, 2359, 591], [52, 2127, 512], [52, 996, 264], [29, 716, 214]]
+    y = [950, 1300, 800, 1000, 1300]
+    df = spark.createDataFrame([(*a, b) for a, b in zip(x, y)], "age int, rooms int, bedrooms int, y int")
+    fit = linear.fit(df, ["age", "rooms", "bedrooms"], "y", bias=False)[0.0]
+    m = np.array(x, dtype=float)
+    assert fit.terms == ["age", "rooms", "bedrooms"]
+    assert np.allclose(fit.weights, np.linalg.inv(m.T @ m) @ m.T @ np.array(y))
+    got = [r.p for r in df.select("age", "rooms", fit.predict().alias("p")).orderBy("age", "rooms").collect()]
+    assert np.allclose(sorted(got), sorted(m @ fit.weights))
+
+
 def test_target_is_no_feature(spark):
     _, _, df = regression(spark)
     with pytest.raises(ValueError):

@@ -79,7 +79,7 @@ def test_goal_scorers(spark):
     players = spark.createDataFrame([(7, "P"), (8, "Q")], "playerId int, playerName string")
     goals = football.goal_scorers(matches, perf, players)
     assert goals.count() == 3
-    top = football.top_scorers(goals, "1999-01-01", "2000-01-01", 1).first()
+    top = football.top_scorers(matches, perf, players, "1999-01-01", "2000-01-01", 1).first()
     assert (top.playerName, top.goals) == ("P", 2)
 
 
