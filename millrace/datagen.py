@@ -27,6 +27,9 @@ FIRST_TIME = "2000-01-01 00:00:00"
 BINARY_BYTES = 5
 LONGEST_TEXT = 10000
 
+# Longest text written out as one expression.
+UNROLLED_TEXT = 64
+
 # Types of random tables, for one row and for many rows.
 ONE_ROW_TYPES = [
     "TINYINT", "SMALLINT", "INT", "BIGINT", "BIT", "DECIMAL(10, 2)", "NUMERIC(10, 2)", "FLOAT", "REAL", "CHAR(10)",
@@ -85,10 +88,20 @@ class Draw:
         return F.upper(F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]))
 
     def text(self, length: int) -> Column:
+        """``length`` picks, four out of each hash; a pick is a 16-bit number modulo the pick range."""
         if length < 1:
             return F.lit("")
-        pick = lambda i: F.substring(F.lit(ALPHABET), (self.below(PICKS, i) + 1).cast("int"), F.lit(1))
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(length)), pick), "")
+
+        def pick(i: int | Column, part: int | Column, shift: int | Column) -> Column:
+            number = F.shiftrightunsigned(self.hash(part), shift) if isinstance(shift, int) else F.call_function(
+                "shiftrightunsigned", self.hash(part), shift)
+            at = F.pmod(number.bitwiseAND(F.lit(65535)), F.lit(PICKS)) + 1
+            return F.substring(F.lit(ALPHABET), at.cast("int"), F.lit(1))
+
+        if length <= UNROLLED_TEXT:  # plain expressions are compiled, a lambda is interpreted
+            return F.concat(*[pick(i, i // 4, 16 * (i % 4)) for i in range(length)])
+        each = lambda i: pick(i, F.floor(i / 4).cast("int"), (i % 4 * 16).cast("int"))
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), each), "")
 
 
 def table_value(spec: Spec, draw: Draw, as_of: str) -> Column:

@@ -204,6 +204,16 @@ def test_random_rows_repeat(spark):
     assert one.select(F.countDistinct("u")).first()[0] == 500
 
 
+def test_long_and_short_texts_follow_one_rule(spark, monkeypatch):
+    specs = [dg.Spec("t", "varchar(50)")]
+    short = dg.random_table(spark, specs, 300, 4, AS_OF).collect()
+    monkeypatch.setattr(dg, "UNROLLED_TEXT", 10)
+    assert short == dg.random_table(spark, specs, 300, 4, AS_OF).collect()
+    sizes = [len(r.t) for r in short]
+    assert max(sizes) <= 50 and 38 < sum(sizes) / 300 < 42  # 64 of 80 picks give a character
+    assert len({r.t for r in short}) == 300 and set("".join(r.t for r in short)) == set(dg.ALPHABET)
+
+
 def test_random_schema(spark):
     for seed in range(5):
         specs = dg.random_specs(seed, dg.MANY_ROW_TYPES)
