@@ -1,0 +1,34 @@
+"""The registered queries of this subpackage: each applies one operator to its whole table."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm import bpe
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+#: Vocabulary of the token queries; a parameter of the operators.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def query(name: str, sql: str | None = None):
+    def add(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql.strip()
+        return fn
+    return add
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest_rows(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
