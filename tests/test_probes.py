@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from millrace.probes import ORACLES, QUERIES
 from tools.check import compare, oracle
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are absent")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -31,4 +32,4 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
