@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest_rows(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.grouped(spark, table(spark, folder, "documents"), shingle=4, radius=4)
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return rows.select("doc_id", fingerprint, "component_id")
