@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, simhash
+from millrace.llm import bpe, decontaminate, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_decontaminate")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, folder, "documents"), ["doc_id"], "text", table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest_rows(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
