@@ -107,9 +107,10 @@ class Benchmark:
         self.owners, self.owner_at = owned[:, 1], np.searchsorted(owned[:, 0], np.arange(len(unique) + 1))
         size = len(self.vocabulary) + 1
         self.seeds = []
-        for n in range(1, SEED + 1):
+        seed = min(SEED, window)
+        for n in range(1, seed + 1):
             # items of n words, or n words in a row of longer items if n is the seed length
-            some = np.flatnonzero((counts[item] == n) & (place == 0) if n < SEED else self.left >= n)
+            some = np.flatnonzero((counts[item] == n) & (place == 0) if n < seed else self.left >= n)
             self.seeds.append(np.unique(self.code(self.text, some, n, size)))
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
