@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, simhash
+from millrace.llm import bpe, decontaminate, language, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,14 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_language")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    net = language.learn(docs, "text", "lang", ~language.held_out(docs["doc_id"]))
+    found = language.predict(docs, ["doc_id"], "text", net)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest_rows(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
