@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, simhash
+from millrace.llm import bpe, decontaminate, language, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.grouped(spark, table(spark, folder, "documents"), shingle=4, radius=4)
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.select("doc_id", fingerprint, "component_id")
+
+
+@query("op8_repeats")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(spark, table(spark, folder, "documents"), ["doc_id"], length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
