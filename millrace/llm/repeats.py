@@ -403,8 +403,12 @@ def _keep(data: np.ndarray, runs: list[int] | None, whole: bool, length: int) ->
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key: str = "doc_id", text: str = "text", length: int = 400,
-                    names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"), crowd: int = CROWD) -> DataFrame:
-    """``carry`` columns of every row, and under ``names`` the bytes of its text, those removed, in how many runs, and the rest (binary)."""
+                    names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"), characters: bool = False,
+                    crowd: int = CROWD) -> DataFrame:
+    """``carry`` columns of every row, and under ``names`` the bytes of its text, those removed, in how many runs, and the rest.
+
+    The rest is binary; with ``characters`` it is text, without the bytes of characters that a cut has parted.
+    """
     found = repeated_runs(spark, docs, key, text, length, crowd)
     stem = "_" + max([*docs.columns, *names], key=len)
     inner = [stem + x for x in ("t1", "t2", "text", "runs", "copies")]
@@ -414,7 +418,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key:
     joined = rows.join(found, inner[:2], "left").select(*carry, *inner[2:])
     n = len(carry)
     schema = T.StructType([*docs.select(*carry).schema.fields, *[T.StructField(x, T.LongType()) for x in names[:3]],
-                           T.StructField(names[3], T.BinaryType())])
+                           T.StructField(names[3], T.StringType() if characters else T.BinaryType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, n):
@@ -422,7 +426,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key:
             out = [_keep(data[a:b], r, (c or 1) > 1, length) for a, b, r, c in
                    zip(at[:-1], at[1:], part.column(n + 1).to_pylist(), part.column(n + 2).to_pylist())]
             kept, removed, spans = zip(*out)
+            rest = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if characters else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(np.diff(at)), pa.array(removed, pa.int64()),
-                                              pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*carry, *names])
+                                              pa.array(spans, pa.int64()), rest], names=[*carry, *names])
 
     return joined.mapInArrow(run, schema)
