@@ -15,9 +15,10 @@ else goes; matches never cross texts, and strings are judged on the input.
    array ``grouping_suffix_array`` builds.  Neighbours in it that agree in enough
    bytes, and whose few bytes in front of the block border are equal, start
    equal strings.
-5. An anchor with more than ``crowd`` different contexts does not fit the rule
-   that a task holds whole anchors.  Its strings are told apart further by their
-   own 128-bit hashes, counted in a shuffle with partial sums.
+5. An anchor with more than ``crowd`` different contexts would not fit a task.
+   Its contexts are cut into finer ones of a few starts, which mostly collapse
+   or part, and go through 3 and 4 again; what is still crowded is cut into
+   single strings, for which the count of 3 says it all.
 
 Null texts count as empty; texts shorter than ``length`` keep all their bytes.
 """
@@ -41,6 +42,10 @@ GRAM, BLOCK = 32, 32
 #: Different contexts of one anchor that one task takes, and bytes of contexts it sorts together.
 CROWD, SORTED_BYTES = 512, 4 << 20
 
+#: What a context was cut from and where, its anchor's key, its own hash, anchor place, number of starts, bytes.
+CONTEXT = "p1 long, p2 long, lo long, key long, c1 long, c2 long, left long, starts long, context binary"
+CONTEXT_NAMES = [x.split()[0] for x in CONTEXT.split(", ")]
+
 _base = 0x9E3779B97F4A7C15 | 1
 _back = pow(_base, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -308,20 +313,37 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, key: str, text: str, len
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(rows), part.column(1).take(rows), pa.array(first - at[of]), pa.array(keys),
                 pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(left), pa.array(starts), pa.array(texts, pa.binary())],
-                names=["t1", "t2", "lo", "key", "c1", "c2", "left", "starts", "context"])
+                names=CONTEXT_NAMES)
 
     # rows that repeat text and key may both get through; their strings are repeated in truth
     one = named.select("t1", "t2", "_text", F.xxhash64("_key").alias("r"))
     asked = wanted.select("t1", "t2", "keys", F.xxhash64("rep").alias("r"))
     contexts = scratch.write(one.join(asked, ["t1", "t2", "r"]).select("t1", "t2", "_text", "keys").mapInArrow(
-        cut, "t1 long, t2 long, lo long, key long, c1 long, c2 long, left long, starts long, context binary"), "contexts")
-    where = F.xxhash64("t1", "t2", "lo")
+        cut, CONTEXT), "contexts")
+    runs = _resolve(scratch, contexts, length, crowd, [max(1, length // 25), 1])
+    each = _placed(contexts, runs)
+    more = different.filter("copies > 1").select("t1", "t2", "copies")
+    return scratch.write(each.withColumnsRenamed({"p1": "t1", "p2": "t2"}).join(more, ["t1", "t2"], "full").select("t1", "t2", "runs", F.coalesce("copies", F.lit(1).cast("long")).alias("copies")), "found")
+
+
+def _placed(contexts: DataFrame, runs: DataFrame) -> DataFrame:
+    """Runs of contexts as runs of what they were cut from."""
+    moved = F.transform("runs", lambda x: x + F.col("lo"))
+    spans = contexts.select("p1", "p2", "lo", "c1", "c2").join(runs, ["c1", "c2"]).select("p1", "p2", moved.alias("runs"))
+    return spans.groupBy("p1", "p2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+
+
+def _resolve(scratch: Scratch, contexts: DataFrame, length: int, crowd: int, steps: list[int]) -> DataFrame:
+    """(c1, c2, runs): the repeated starts of each different context."""
+    tag = f"-{len(steps)}"
+    where = F.xxhash64("p1", "p2", "lo")
     counted = scratch.write(contexts.groupBy("key", "c1", "c2").agg(
-        F.count("*").alias("n"), F.min(where).alias("rep"), F.max("starts").alias("starts")), "counted")
-    crowds = scratch.write(counted.groupBy("key").agg(F.count("*").alias("width")).filter("width > 1"), "crowds")
-    asked = scratch.write(counted.join(crowds, "key").select("key", "c1", "c2", "rep", "width"), "asked")
-    chosen = contexts.withColumn("rep", where).join(asked, ["key", "c1", "c2", "rep"]).select(
-        "key", "c1", "c2", "left", "starts", "context", "width")
+        F.count("*").alias("n"), F.min(where).alias("rep"), F.max("starts").alias("starts")), "counted" + tag)
+    # the strings of a context that occurs more than once are all repeated
+    parts = [counted.filter("n > 1").select("c1", "c2", F.array(F.lit(0).cast("long"), F.col("starts")).alias("runs"))]
+    widths = scratch.write(counted.groupBy("key").agg(F.count("*").alias("width")).filter("width > 1"), "widths" + tag)
+    asked = scratch.write(counted.join(widths, "key").select("key", "c1", "c2", "rep", "width"), "asked" + tag)
+    chosen = contexts.withColumn("rep", where).join(asked, ["key", "c1", "c2", "rep"])
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _whole_keys(batches, 5, SORTED_BYTES):
@@ -332,41 +354,51 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, key: str, text: str, len
             yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), _runs(of, hit - at[of], part.num_rows)],
                                              names=["c1", "c2", "runs"])
 
-    sorted_ = chosen.filter(F.col("width") <= crowd).select("key", "c1", "c2", "left", "starts", "context")
-    parts = [sorted_.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "c1 long, c2 long, runs array<long>")]
-    parts.append(counted.filter("n > 1").select("c1", "c2", F.array(F.lit(0).cast("long"), F.col("starts")).alias("runs")))
-    if not crowds.filter(F.col("width") > crowd).isEmpty():
-        parts.append(_crowded(scratch, chosen.filter(F.col("width") > crowd), length))
+    few = chosen.filter(F.col("width") <= crowd).select("key", "c1", "c2", "left", "starts", "context")
+    parts.append(few.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "c1 long, c2 long, runs array<long>"))
+    if steps and not widths.filter(F.col("width") > crowd).isEmpty():
+        finer = scratch.write(chosen.filter(F.col("width") > crowd).select(*CONTEXT_NAMES).mapInArrow(
+            _finer(length, steps[0]), CONTEXT), "finer" + tag)
+        found = _resolve(scratch, finer, length, crowd, steps[1:])
+        parts.append(_placed(finer, found).withColumnsRenamed({"p1": "c1", "p2": "c2"}))
     runs = parts[0]
     for part in parts[1:]:
         runs = runs.unionByName(part)
-    runs = scratch.write(runs.filter(F.size("runs") > 0), "runs")
-    moved = F.transform("runs", lambda x: x + F.col("lo"))
-    spans = contexts.select("t1", "t2", "lo", "c1", "c2").join(runs, ["c1", "c2"]).select("t1", "t2", moved.alias("runs"))
-    each = spans.groupBy("t1", "t2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    more = different.filter("copies > 1").select("t1", "t2", "copies")
-    return scratch.write(each.join(more, ["t1", "t2"], "full").select("t1", "t2", "runs", F.coalesce("copies", F.lit(1).cast("long")).alias("copies")), "found")
+    return scratch.write(runs.filter(F.size("runs") > 0), "runs" + tag)
 
 
-def _crowded(scratch: Scratch, contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated starts of contexts whose anchor has too many of them: strings by their hash, counted with partial sums."""
-    def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2, 1 << 18):
-            names, counts = [], part.column(3).to_numpy()
-            for held, n in zip(part.column(2).to_pylist(), counts.tolist()):
-                names += [xxhash.xxh3_128_digest(held[i:i + length]) for i in range(n)]
-            ids = np.frombuffer(b"".join(names), "<i8").reshape(-1, 2)
-            rows = pa.array(np.repeat(np.arange(part.num_rows), counts))
+def _finer(length: int, step: int):
+    """Cuts contexts into contexts of up to ``step`` starts, counted back from the anchor.
+
+    All strings that start in such a range share the bytes in between: their
+    hash takes the place of the anchor's key.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 8, 1 << 20):
+            rows: list[int] = []
+            numbers: list[tuple[int, int, int]] = []
+            keys, names, texts = [], [], []
+            for i, (key, left, starts, held) in enumerate(zip(*(part.column(k).to_pylist() for k in (3, 6, 7, 8)))):
+                # starts left - q for q in (r * step, (r + 1) * step)
+                for r in range((left - starts + 1) // step, left // step + 1):
+                    core = left - r * step
+                    first, last = max(0, core - step + 1), min(starts - 1, core)
+                    text = held[first:last + length]
+                    rows.append(i)
+                    numbers.append((first, core - first, last - first + 1))
+                    keys.append(xxhash.xxh3_64_intdigest(held[core:core - step + 1 + length], seed=(key ^ r) & (2**64 - 1)))
+                    names.append(xxhash.xxh3_128_digest(text, seed=core - first))
+                    texts.append(text)
+            if not rows:
+                continue
+            ids, held = np.frombuffer(b"".join(names), "<i8").reshape(-1, 2), np.array(numbers, np.int64)
+            of = pa.array(rows)
             yield pa.RecordBatch.from_arrays([
-                part.column(0).take(rows), part.column(1).take(rows), pa.array(ranges(np.zeros(len(counts), np.int64), counts)),
-                pa.array(ids[:, 0]), pa.array(ids[:, 1])], names=["c1", "c2", "i", "s1", "s2"])
-
-    rows = scratch.write(contexts.select("c1", "c2", "context", "starts").mapInArrow(
-        strings, "c1 long, c2 long, i long, s1 long, s2 long"), "strings")
-    many = scratch.write(rows.groupBy("s1", "s2").agg(F.count("*").alias("n")).filter("n > 1").select("s1", "s2"), "many")
-    hit = rows.join(many, ["s1", "s2"])
-    flat = F.flatten(F.transform(F.sort_array(F.collect_list("i")), lambda i: F.array(i, i + 1)))
-    return hit.groupBy("c1", "c2").agg(flat.alias("runs"))
+                part.column(4).take(of), part.column(5).take(of), pa.array(held[:, 0]), pa.array(np.array(keys, np.uint64).view(np.int64)),
+                pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(held[:, 1]), pa.array(held[:, 2]), pa.array(texts, pa.binary())],
+                names=CONTEXT_NAMES)
+
+    return run
 
 
 def _whole_keys(batches: Iterable[pa.RecordBatch], sized: int, limit: int) -> Iterator[pa.RecordBatch]:
