@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, repeats, simhash
+from millrace.llm import bpe, decontaminate, language, repeats, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", fingerprint, "component_id")
 
 
+@query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.learn(docs, "doc_id", "text", labels, "doc_id", "toxic", ~language.held_out(labels["doc_id"], 5, 0))
+    found = toxicity.score(docs, ["doc_id"], "text", model)
+    return found.select("doc_id", language.held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op8_repeats")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(spark, table(spark, folder, "documents"), ["doc_id"], length=400)

@@ -35,11 +35,11 @@ from millrace.llm.batches import slices
 
 #: Labelled documents of each class that training takes at most, and characters of each.
 PER_CLASS, CHARACTERS = 2500, 8000
-WINDOW, GRAM, LEVEL = 64, 5, 3
+WINDOW, GRAM, LEVEL = 64, 5, 6
 #: Bytes of prose that both dictionaries share, and of marks in each.
 SHARED, MARKED = 8192, 16384
 #: A mark occurs in this share of its class's documents, and so many times the other's share.
-SUPPORT, LIFT = 0.012, 12
+SUPPORT, LIFT = 0.006, 40
 GAINS = (2, 3, 4, 5, 6)
 
 
