@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, repeats, simhash, toxicity
+from millrace.llm import bpe, decontaminate, language, repeats, simhash, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(spark, table(spark, folder, "documents"), ["doc_id"], length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_vectors")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_copies(spark, table(spark, folder, "embeddings"), "vec_id", "embedding", "label", least=0.98)
