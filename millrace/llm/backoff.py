@@ -1,0 +1,111 @@
+"""Stupid-backoff scores of documents, computed relationally.
+
+Words are runs of letters and digits, lower-cased.  N-grams are told by the
+64-bit hash of their words, and their count tables are dealt out by that hash.
+A document is scored by the other documents: its own counts are taken off.  From
+the highest order down, the n-grams of a document are joined to the count table
+of their order.  One that others have adds the logarithm of its count and passes
+its context on as a denominator; one that they have not costs the logarithm of
+the discount and passes on what is left without its first word.  Both are summed
+per document and n-gram before they move to the next lower order.  A word that
+others have not counts as half an occurrence; the last denominator is the number
+of all words of others, 1 at least.
+
+Both sides of each join are written tables, so a frequent n-gram can be split.
+Null and empty texts have no words and score 0.  Rows that repeat a key are one
+document, also those of null key; n-grams do not cross rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm.scratch import Scratch
+
+DISCOUNT = 0.4
+
+
+def words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def _name(some: list[Column]) -> Column:
+    return F.xxhash64(F.lit(len(some)), *some) if some else F.lit(0).cast("long")
+
+
+def _grams(rows: DataFrame, n: int, top: bool) -> DataFrame:
+    """N-grams of all rows; those of the highest order all predict their last word, of lower ones a text's first does."""
+    def gram(i: Column) -> Column:
+        at = [F.get("w", i + k) for k in range(n)]
+        asked = F.lit(1).cast("long") if top else (i == 0).cast("long")
+        return F.struct(_name(at).alias("gram"), _name(at[:-1]).alias("context"), _name(at[1:]).alias("shorter"), asked.alias("asked"))
+
+    some = rows.filter(F.size("w") >= n)
+    every = F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), gram)).alias("g")
+    return some.select("doc", every).select("doc", "g.*", F.lit(1).cast("long").alias("own"), F.lit(0).cast("long").alias("divided"))
+
+
+def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int = 3, discount: float = DISCOUNT) -> DataFrame:
+    """Per different ``key``: n_words and score, the sum of the natural logarithms of its words' scores."""
+    scratch = Scratch(spark, "backoff")
+    rows = docs.select(docs[key].alias("doc"), words(docs[text]).alias("w"))
+    ids = scratch.write(rows.groupBy("doc").agg(F.sum(F.size("w")).cast("long").alias("n_words")), "ids")
+    total = ids.agg(F.sum("n_words")).first()[0] or 0
+    carried, parts = None, []
+    for n in range(order, 0, -1):
+        grams = _grams(rows, n, n == order)
+        if carried is not None:
+            none = F.lit(None).cast("long")
+            grams = grams.unionByName(carried.select("doc", "gram", none.alias("context"), none.alias("shorter"), "asked",
+                                                     F.lit(0).cast("long").alias("own"), "divided"))
+        mine = scratch.write(grams.groupBy("doc", "gram").agg(
+            F.max("context").alias("context"), F.max("shorter").alias("shorter"),
+            *[F.sum(c).alias(c) for c in ("asked", "own", "divided")]), f"mine{n}")
+        counts = scratch.write(mine.groupBy("gram").agg(F.sum("own").alias("n")), f"counts{n}")
+        found = mine.join(counts, "gram").withColumn("others", F.col("n") - F.col("own"))
+        log = F.log(F.greatest(F.col("others").cast("double"), F.lit(0.5)))
+        unseen = F.log(F.lit(float(discount))) if n > 1 else log
+        part = F.col("asked") * F.when(F.col("others") > 0, log).otherwise(unseen) - F.col("divided") * log
+        bare = F.col("asked") if n == 1 else F.lit(0).cast("long")
+        found = scratch.write(found.select("doc", "context", "shorter", "asked", "others", part.alias("part"), bare.alias("bare")), f"found{n}")
+        parts.append(found.groupBy("doc").agg(F.sum("part").alias("part"), F.sum("bare").alias("bare")))
+        seen = F.col("others") > 0
+        carried = found.filter("asked > 0").select(
+            "doc", F.when(seen, F.col("context")).otherwise(F.col("shorter")).alias("gram"),
+            F.when(seen, 0).otherwise(F.col("asked")).alias("asked"), F.when(seen, F.col("asked")).otherwise(0).alias("divided"))
+        scratch.drop(f"mine{n}", f"counts{n}")
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    summed = every.groupBy(F.col("doc").alias("d")).agg(F.sum("part").alias("part"), F.sum("bare").alias("bare"))
+    both = ids.join(summed, ids["doc"].eqNullSafe(summed["d"]), "left")
+    rest = F.log(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)).cast("double"))
+    return both.select(F.col("doc").alias(key), "n_words", F.coalesce(F.col("part") - F.col("bare") * rest, F.lit(0.0)).alias("score"))
+
+
+#: The scores of order 3 in DuckDB's SQL, on words instead of hashes.
+SQL = r"""
+with d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') w from documents),
+sizes as (select doc_id, sum(len(w))::bigint n_words from d group by 1),
+p as (select doc_id, w, unnest(range(1, len(w) + 1)) i from d),
+t as (select doc_id, w[i] k1, case when i > 1 then w[i - 1] || ' ' || w[i] end k2,
+             case when i > 2 then w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] end k3,
+             case when i > 1 then w[i - 1] end x1, case when i > 2 then w[i - 2] || ' ' || w[i - 1] end x2 from p),
+o1 as (select doc_id, k1 k, count(*) n from t group by 1, 2), o2 as (select doc_id, k2 k, count(*) n from t where k2 is not null group by 1, 2),
+o3 as (select doc_id, k3 k, count(*) n from t where k3 is not null group by 1, 2),
+c1 as (select k, sum(n) n from o1 group by 1), c2 as (select k, sum(n) n from o2 group by 1), c3 as (select k, sum(n) n from o3 group by 1),
+r1 as (select doc_id, k, c1.n - o1.n n from o1 join c1 using (k)), r2 as (select doc_id, k, c2.n - o2.n n from o2 join c2 using (k)),
+r3 as (select doc_id, k, c3.n - o3.n n from o3 join c3 using (k)),
+s as (select t.doc_id,
+        case when a3.n > 0 then ln(a3.n) - ln(b2.n)
+             else case when k3 is not null then ln(0.4) else 0 end
+                + case when a2.n > 0 then ln(a2.n) - ln(b1.n)
+                       else case when k2 is not null then ln(0.4) else 0 end + ln(greatest(a1.n, 0.5))
+                          - ln(greatest((select sum(n_words) from sizes) - sizes.n_words, 1)) end end score
+      from t join sizes using (doc_id)
+      left join r3 a3 on a3.doc_id = t.doc_id and a3.k = k3 left join r2 b2 on b2.doc_id = t.doc_id and b2.k = x2
+      left join r2 a2 on a2.doc_id = t.doc_id and a2.k = k2 left join r1 b1 on b1.doc_id = t.doc_id and b1.k = x1
+      left join r1 a1 on a1.doc_id = t.doc_id and a1.k = k1)
+select sizes.doc_id, sizes.n_words, round(coalesce(sum(score), 0), 4) score from sizes left join s on s.doc_id = sizes.doc_id group by 1, 2
+"""

@@ -2,14 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task works on at a time (one longer text is taken alone).
 SLICE_BYTES = 4 << 20
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the modules that tasks import to the executors, once an application.
+
+    Spark copies the archive from the driver to every executor by itself.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="millrace-ship-"), "millrace_llm.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for name in ("__init__.py", "session.py", *(f"llm/{f}" for f in sorted(os.listdir(os.path.dirname(os.path.abspath(__file__)))) if f.endswith(".py"))):
+            archive.write(os.path.join(package, name), f"millrace/{name}")
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with the modules that ``run`` imports at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
 
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string or binary column; null counts as empty."""

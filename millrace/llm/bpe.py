@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, lists, ranges, slices
+from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
 
 #: Rank of a pair that is no token.
 NONE = np.int32(2**31 - 1)
@@ -244,7 +244,7 @@ def encode(docs: DataFrame, keys: list[str], text: str, ranks: str, pattern: str
             flat, counts = vocabulary.encode([x or "" for x in part.column(n).to_pylist()])
             yield pa.RecordBatch.from_arrays([*part.columns[:n], lists(flat, counts, pa.int32())], names=[*keys, ids])
 
-    return chosen.mapInArrow(run, schema)
+    return mapped(chosen, run, schema)
 
 
 def decode(encoded: DataFrame, keys: list[str], ids: str, ranks: str, decoded: str = "decoded") -> DataFrame:
@@ -263,7 +263,7 @@ def decode(encoded: DataFrame, keys: list[str], ids: str, ranks: str, decoded: s
                 texts = pa.array([held[a:b] for a, b in zip(at[:-1], at[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*some.columns[:n], texts], names=[*keys, decoded])
 
-    return encoded.select(*keys, ids).mapInArrow(run, schema)
+    return mapped(encoded.select(*keys, ids), run, schema)
 
 
 def digest_rows(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

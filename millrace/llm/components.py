@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.scratch import Scratch
 
 
+def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Hang the trees of ``a`` and ``b`` together, each on its smallest node; ``parent`` ends up flat for their roots."""
+    while len(a):
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent[:] = up
+        low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
+        differ = low != high
+        a, b = a[differ], b[differ]
+        np.minimum.at(parent, high[differ], low[differ])
+
+
 def _lowest(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     # written, so that the join below deals both sides out by itself and may split a hot node
     return scratch.write(edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), name)

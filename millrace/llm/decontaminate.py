@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, lists, ranges, slices
+from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
 
 #: Bytes of benchmark text sent along with one pass.
 BLOCK_BYTES = 4 << 20
@@ -274,7 +274,7 @@ def hits(docs: DataFrame, carry: list[str], text: str, items: DataFrame, item_ke
     for k, block in enumerate(blocks):
         last = k == len(blocks) - 1
         middle = [] if last else [T.StructField(held, T.StringType())]
-        out = out.mapInArrow(one(block, k == 0, last), T.StructType([*fields, *middle, *state]))
+        out = mapped(out, one(block, k == 0, last), T.StructType([*fields, *middle, *state]))
     return out
 
 
@@ -304,7 +304,7 @@ def longest_matches(docs: DataFrame, key: str, text: str, items: DataFrame, item
                     pa.array([benchmark.ids[i] for i in benchmark.item[some]], pa.string()), pa.array(benchmark.place[some]),
                     part.column(0).take(pa.array(doc)), pa.array(at[some] - starts[doc]), pa.array(n[some])], names=schema.names)
 
-        parts.append(chosen.mapInArrow(run, schema))
+        parts.append(mapped(chosen, run, schema))
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     found = parts[0]

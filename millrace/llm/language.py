@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, ranges, slices
+from millrace.llm.batches import byte_view, mapped, ranges, slices
 
 #: Bytes of a window, filter widths, filters of each width, size of a byte's vector.
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 16, 8
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, carry: list[str], text: str, net: Network | None, n
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array([called[b] for b in best], pa.string()), pa.array(score)],
                                              names=[*carry, *names])
 
-    return docs.select(*carry, docs[text].cast("string").alias(held)).mapInArrow(run, schema)
+    return mapped(docs.select(*carry, docs[text].cast("string").alias(held)), run, schema)
 
 
 def held_out(key: str | Column, folds: int = 4, fold: int = 2) -> Column:

@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, repeats, simhash, toxicity, vectors
+from millrace.llm import backoff, bpe, decontaminate, language, licences, repeats, simhash, tokencount, toxicity, vectors
+from millrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 #: Vocabulary of the token queries; a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Its free id, which ends documents in token files.
+END = 50256
 
 
 def query(name: str, sql: str | None = None):
@@ -48,6 +51,20 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    ids = bpe.encode(table(spark, folder, "documents"), [], "text", RANKS, public_tokenizers.PATTERN)
+    path = f"{Scratch(spark, 'tokens').base}/files"
+    tokencount.write_tokens(ids, "ids", path, END)
+    return tokencount.count_tokens(spark, path, END)
+
+
+@query("op4_licences", licences.scan_sql())
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known(spark, licences.LICENCES),
+                         licences.known(spark, licences.NOTICES))
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest_rows(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -74,6 +91,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op9_backoff", backoff.SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = backoff.scores(spark, table(spark, folder, "documents"), "doc_id", "text", order=3)
+    return found.select("doc_id", "n_words", F.round("score", 4).alias("score"))
+
+
 @query("op10_vectors")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_copies(spark, table(spark, folder, "embeddings"), "vec_id", "embedding", "label", least=0.98)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, lists, ranges, slices
+from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
 from millrace.llm.scratch import Scratch
 
 #: Bytes whose hash chooses anchors, and bytes of a symbol (less for short lengths).
@@ -282,7 +282,7 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, key: str, text: str, len
 
     schema = T.StructType([T.StructField("t1", long), T.StructField("t2", long), named.schema["_key"], T.StructField("keys", T.ArrayType(long))])
     lengthy = named.filter(F.octet_length("_text") >= length)
-    found = lengthy.mapInArrow(find, schema)
+    found = mapped(lengthy, find, schema)
     different = scratch.write(found.groupBy("t1", "t2").agg(
         F.count("*").alias("copies"), F.min("_key").alias("rep"), F.first("keys").alias("keys")), "different")
     keyed = different.select("t1", "t2", "rep", F.explode("keys").alias("key"))
@@ -318,8 +318,8 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, key: str, text: str, len
     # rows that repeat text and key may both get through; their strings are repeated in truth
     one = named.select("t1", "t2", "_text", F.xxhash64("_key").alias("r"))
     asked = wanted.select("t1", "t2", "keys", F.xxhash64("rep").alias("r"))
-    contexts = scratch.write(one.join(asked, ["t1", "t2", "r"]).select("t1", "t2", "_text", "keys").mapInArrow(
-        cut, CONTEXT), "contexts")
+    flagged = one.join(asked, ["t1", "t2", "r"]).select("t1", "t2", "_text", "keys")
+    contexts = scratch.write(mapped(flagged, cut, CONTEXT), "contexts")
     runs = _resolve(scratch, contexts, length, crowd, [max(1, length // 25), 1])
     each = _placed(contexts, runs)
     more = different.filter("copies > 1").select("t1", "t2", "copies")
@@ -355,10 +355,10 @@ def _resolve(scratch: Scratch, contexts: DataFrame, length: int, crowd: int, ste
                                              names=["c1", "c2", "runs"])
 
     few = chosen.filter(F.col("width") <= crowd).select("key", "c1", "c2", "left", "starts", "context")
-    parts.append(few.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "c1 long, c2 long, runs array<long>"))
+    parts.append(mapped(few.repartition("key").sortWithinPartitions("key"), sort, "c1 long, c2 long, runs array<long>"))
     if steps and not widths.filter(F.col("width") > crowd).isEmpty():
-        finer = scratch.write(chosen.filter(F.col("width") > crowd).select(*CONTEXT_NAMES).mapInArrow(
-            _finer(length, steps[0]), CONTEXT), "finer" + tag)
+        crowded = chosen.filter(F.col("width") > crowd).select(*CONTEXT_NAMES)
+        finer = scratch.write(mapped(crowded, _finer(length, steps[0]), CONTEXT), "finer" + tag)
         found = _resolve(scratch, finer, length, crowd, steps[1:])
         parts.append(_placed(finer, found).withColumnsRenamed({"p1": "c1", "p2": "c2"}))
     runs = parts[0]
@@ -462,4 +462,4 @@ def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key:
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(np.diff(at)), pa.array(removed, pa.int64()),
                                               pa.array(spans, pa.int64()), rest], names=[*carry, *names])
 
-    return joined.mapInArrow(run, schema)
+    return mapped(joined, run, schema)

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import slices
-from millrace.llm.components import components
+from millrace.llm.batches import mapped, slices
+from millrace.llm.components import components, unite
 from millrace.llm.scratch import Scratch
 
 #: Fingerprints of one bucket that are compared in one group.
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, keys: list[str | Column], text: str, shingle:
             found = fingerprints_of(part.column(len(names)).to_pylist(), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], names=[*names, into])
 
-    return chosen.mapInArrow(run, schema)
+    return mapped(chosen, run, schema)
 
 
 def _shifted(planes: np.ndarray, begin: int, end: int, by: int) -> np.ndarray:
@@ -117,19 +117,6 @@ def within(planes: np.ndarray, valid: np.ndarray, begin: int, by: int, radius: i
     return ~over
 
 
-def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    while len(a):
-        while True:
-            up = parent[parent]
-            if (up == parent).all():
-                break
-            parent[:] = up
-        low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
-        differ = low != high
-        a, b = a[differ], b[differ]
-        np.minimum.at(parent, high[differ], low[differ])
-
-
 def forest(group: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (two arrays of fingerprints) that join what the radius joins inside each group; ``group`` is sorted."""
     starts = np.flatnonzero(np.diff(group, prepend=group[:1] - 1)) if len(group) else np.zeros(0, np.int64)
@@ -158,8 +145,8 @@ def forest(group: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarr
             close = within(planes, part, begin, by, radius)
             if close.any():
                 at = np.flatnonzero(np.unpackbits(close.view(np.uint8), bitorder="little")) + begin * 64
-                _unite(parent, at, at + by)
-    _unite(parent, np.arange(n), parent.copy())
+                unite(parent, at, at + by)
+    unite(parent, np.arange(n), parent.copy())
     hung = np.flatnonzero(parent != np.arange(n))
     return prints[hung], prints[parent[hung]]
 
@@ -205,7 +192,7 @@ def links(spark: SparkSession, prints: DataFrame, radius: int, chunk: int = CHUN
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    return dealt.select("grp", "fp").repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "a long, b long")
+    return mapped(dealt.select("grp", "fp").repartition("grp").sortWithinPartitions("grp"), run, "a long, b long")
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import slices
+from millrace.llm.batches import mapped, slices
 
 #: Labelled documents of each class that training takes at most, and characters of each.
 PER_CLASS, CHARACTERS = 2500, 8000
@@ -206,4 +206,4 @@ def score(docs: DataFrame, carry: list[str], text: str, model: Model, name: str
             found = [model.score(gains, t) for t in part.column(n).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(found, pa.float64())], names=[*carry, name])
 
-    return docs.select(*carry, docs[text].cast("string").alias(held)).mapInArrow(run, schema)
+    return mapped(docs.select(*carry, docs[text].cast("string").alias(held)), run, schema)

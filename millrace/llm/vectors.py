@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.components import components
+from millrace.llm.batches import mapped
+from millrace.llm.components import components, unite
 from millrace.llm.scratch import Scratch
 
 #: Vectors of one part of a cell; labels that get centres, centres in all, vectors a label that they are chosen from.
@@ -124,8 +125,6 @@ def linked(rows: np.ndarray, copies: np.ndarray, side: np.ndarray, least: float)
 
     side: 0 and 1 compare the two sides, all 0 compares the rows with each other.
     """
-    from millrace.llm.simhash import _unite
-
     limit = np.sqrt(max(0.0, 2 - 2 * least))
     points, degree, parent = unit(rows), np.zeros(len(rows), np.int64), np.arange(len(rows))
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -143,8 +142,8 @@ def linked(rows: np.ndarray, copies: np.ndarray, side: np.ndarray, least: float)
             p, q = p[near], q[near]
             np.add.at(degree, p, copies[q])
             np.add.at(degree, q, copies[p])
-            _unite(parent, p, q)
-    _unite(parent, np.arange(len(rows)), parent.copy())
+            unite(parent, p, q)
+    unite(parent, np.arange(len(rows)), parent.copy())
     return degree, parent
 
 
@@ -207,7 +206,7 @@ def near_copies(spark: SparkSession, table: DataFrame, key: str, vector: str, la
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(cell), pa.array(far), part.column(5), part.column(6)],
                                              names=["node", "code", "code2", "cell", "far", "copies", "v"])
 
-    cells = scratch.write(single.mapInArrow(assign, "node long, code long, code2 long, cell int, far double, copies long, v array<double>"), "cells")
+    cells = scratch.write(mapped(single, assign, "node long, code long, code2 long, cell int, far double, copies long, v array<double>"), "cells")
     # one row a cell: CENTRES at most, and one for each label without centres
     held = cells.groupBy("code", "code2", "cell").agg(F.max("far").alias("radius"), F.count("*").alias("n"))
     held = scratch.write(held.withColumn("parts", F.ceil(F.col("n") / chunk).cast("int")), "held")
@@ -248,7 +247,7 @@ def near_copies(spark: SparkSession, table: DataFrame, key: str, vector: str, la
             yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[root[some]]), pa.array(degree[some])], names=["node", "root", "n"])
 
     ordered = seated.repartition("grp", "code", "code2").sortWithinPartitions("grp", "code", "code2", "side", "node")
-    found = scratch.write(ordered.mapInArrow(compare, "node long, root long, n long"), "found")
+    found = scratch.write(mapped(ordered, compare, "node long, root long, n long"), "found")
     joined = scratch.write(components(spark, found, "node", "root"), "joined")
     degrees = scratch.write(found.groupBy("node").agg(F.sum("n").alias("n")), "degrees")
     known = groups.select(*same, "node", "copies")
