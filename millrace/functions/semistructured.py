@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,30 +35,49 @@ def json_rows(df: DataFrame, data: str, fields: dict[str, str]) -> DataFrame:
     return rows.select(*df.columns, *typed)
 
 
+# An attribute: its name, then perhaps a value in double, single or no quotes.
+# Possessive quantifiers: nothing is tried twice, however long the text.
+_ATTRIBUTE = r"""([^\s"'>/=]++)(\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?"""
+
+
 def markup_elements(df: DataFrame, data: str, element: str, fields: dict[str, str],
-                    ignore_case: bool = False) -> DataFrame:
+                    ignore_case: bool = False, whole: bool = False) -> DataFrame:
     """One row per ``element`` at any depth of an XML or HTML text, attributes as typed columns.
 
-    Every start tag is taken whole and its attributes are read by name, so an
-    attribute that is missing on one element shifts no other; a namespace
-    prefix on the element is ignored.  Comments, CDATA, scripts and styles hold no elements.
+    Every start tag is split once into its attribute names and values; a name is
+    looked up in that list, so text inside another value is never taken for an
+    attribute.  Values may stand in either quotes or in none, with or without
+    blanks between attributes; of a repeated attribute the first counts.  A
+    namespace prefix on the element is ignored.  Comments, CDATA, scripts and
+    styles hold no elements.  ``whole`` leaves out texts that are cut off, that
+    is, do not end with the end tag of their first element.
     """
     case = "(?i)" if ignore_case else ""
-    # Possessive quantifiers: nothing is tried twice, however long the text.
     hidden = case + r"(?s)<(?>!--(?>[^-]++|-(?!->))*+-->|!\[CDATA\[.*?\]\]>|(script|style)\b.*?</\1>)"
-    quoted = "\"[^\"]*+\"|'[^']*+'"
-    tag = rf"{case}<(?:[\w.-]++:)?{element}((?:\s++[\w:.-]++(?:\s*+=\s*+(?:{quoted}))?)*+)\s*+/?>"
+    plain = re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE)
+    tag = rf"""{case}<(?:[\w.-]++:)?{element}(?=[\s/>])((?:[\s/"']*+{plain})*+)[\s/"']*+>"""
     text = F.lower(data) if ignore_case else F.col(data)
     may_hide = F.contains(text, F.lit("<!")) | F.contains(text, F.lit("<script")) | F.contains(text, F.lit("<style"))
     seen = F.when(may_hide, F.regexp_replace(F.col(data), hidden, "")).otherwise(F.col(data))
-    rows = df.select("*", F.posexplode(F.regexp_extract_all(seen, F.lit(tag), F.lit(1))).alias("pos", "_tag"))
-
-    # One match per attribute, as a column of its own so that it is not repeated;
-    # the quotes tell an empty value from a missing one.
-    found = {a: F.regexp_extract("_tag", rf"{case}\s{a}\s*=\s*({quoted})", 1) for a in fields}
-    rows = rows.select(*df.columns, "pos", *[c.alias(a) for a, c in found.items()])
-    inside = {a: F.when(F.col(a) != "", F.substring(a, F.lit(2), F.length(a) - 2)) for a in fields}
-    rows = rows.withColumns(inside)
+    rows = df
+    if whole:
+        head = r"^(?>\s|<\?[^>]*+>|<!--(?>[^-]++|-(?!->))*+-->|<![^>\[]*+>)*+<"
+        root = F.regexp_extract(data, head + r"([\w:.-]++)", 1)
+        ended = F.endswith(F.rtrim(F.col(data), F.lit(" \t\r\n")), F.concat(F.lit("</"), root, F.lit(">")))
+        alone = F.rlike(F.col(data), F.lit(head + r"""(?>[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>\s*+$"""))
+        rows = df.filter((root != "") & (ended | alone))
+    rows = rows.select("*", F.posexplode(F.regexp_extract_all(seen, F.lit(tag), F.lit(1))).alias("pos", "_tag"))
+
+    listed = lambda col, group: F.regexp_extract_all(col, F.lit(_ATTRIBUTE), F.lit(group))
+    names = listed(F.lower("_tag") if ignore_case else F.col("_tag"), 1)
+    rows = rows.select(*df.columns, "pos", names.alias("_names"), listed(F.col("_tag"), 2).alias("_values"))
+    # "= value" as it stands, empty if there is no value; null if the attribute is missing
+    at = {a: F.nullif(F.array_position("_names", a.lower() if ignore_case else a), F.lit(0)) for a in fields}
+    rows = rows.select(*df.columns, "pos", *[
+        F.ltrim(F.get("_values", (place - 1).cast("int")), F.lit(" \t\r\n\f=")).alias(a) for a, place in at.items()])
+    quoted = lambda c: F.startswith(c, F.lit('"')) | F.startswith(c, F.lit("'"))
+    rows = rows.withColumns({a: F.when(quoted(F.col(a)), F.substring(a, F.lit(2), F.length(a) - 2)).otherwise(
+        F.nullif(F.col(a), F.lit(""))) for a in fields})
     typed = {a: unescape_markup(F.col(a)) if k == "string" else F.col(a).try_cast(k) for a, k in fields.items()}
     return rows.withColumns(typed)
 

@@ -353,8 +353,8 @@ def query_store_top(query: DataFrame, plan: DataFrame, runtime: DataFrame, as_of
 
 
 def plan_operators(plan: DataFrame, plan_column: str = "query_plan") -> DataFrame:
-    """One row per operator of every plan text."""
-    report = markup_elements(plan.select("plan_id", plan_column), plan_column, "RelOp", PLAN_ATTRIBUTES).drop(
+    """One row per operator of every plan text; a plan that is cut off has none."""
+    report = markup_elements(plan.select("plan_id", plan_column), plan_column, "RelOp", PLAN_ATTRIBUTES, whole=True).drop(
         plan_column, "pos"
     )
     return in_order(report, "plan_id", "NodeId")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import binary, expressions as x
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
+from millrace.plans import telemetry
 from millrace.probes.registry import Tables, probe
 
 
@@ -158,18 +159,51 @@ def xml_operators(t: Tables):
     return markup_elements(plans, "plan", "RelOp", wanted).drop("plan", "pos")
 
 
-@probe("html_elements", r"""
-WITH seen AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g') AS h FROM pages),
-tags AS (SELECT page_id, unnest(list_transform(regexp_extract_all(h, '(?i)<a(\s+[^>]*)?>', 1),
-                                               lambda v, i: {'pos': i - 1, 'tag': v}), recursive := true) FROM seen)
-SELECT page_id, CAST(pos AS INTEGER) AS pos,
-       replace(regexp_extract(tag, '(?i)\shref\s*=\s*"([^"]*)"', 1), '&amp;', '&') AS href FROM tags
+_HTML_ATTRIBUTE = r"""'([^\s"''>/=]+)(\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>][^\s>]*))?'"""
+
+
+@probe("html_elements", rf"""
+WITH more AS (SELECT page_id, html || '<a href=/p' || page_id || '>u</a><a title='' href="wrong"'' href="right">q</a>'
+                     || '<a href="u' || page_id || '"title="t">s</a><a HREF=one href=two>r</a><a title=x>n</a>' AS html FROM pages),
+seen AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g') AS h FROM more),
+tags AS (SELECT page_id, unnest(list_transform(regexp_extract_all(h, '(?i)<a((?:[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*)?)>', 1),
+                                               lambda v, i: {{'pos': i - 1, 'tag': v}}), recursive := true) FROM seen),
+found AS (SELECT page_id, pos, list_position(regexp_extract_all(lower(tag), {_HTML_ATTRIBUTE}, 1), 'href') AS place,
+                 regexp_extract_all(tag, {_HTML_ATTRIBUTE}, 3) AS held FROM tags)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, CASE WHEN place > 0 THEN
+       replace(CASE WHEN held[place][1] IN ('"', '''') THEN held[place][2:-2] ELSE held[place] END, '&amp;', '&') END AS href FROM found
 """)
 def html_elements(t: Tables):
-    links = markup_elements(t.pages.select("page_id", "html"), "html", "a", {"href": "string"}, ignore_case=True)
+    """Links, also with values in no quotes, without blanks between them, inside other values, or given twice."""
+    odd = F.concat(
+        "html", F.lit("<a href=/p"), "page_id", F.lit(""">u</a><a title=' href="wrong"' href="right">q</a><a href="u"""), "page_id",
+        F.lit('"title="t">s</a><a HREF=one href=two>r</a><a title=x>n</a>'))
+    links = markup_elements(t.pages.select("page_id", odd.alias("html")), "html", "a", {"href": "string"}, ignore_case=True)
     return links.select("page_id", "pos", "href")
 
 
+@probe("plan_operators", """
+SELECT l_orderkey * 10 + l_linenumber AS plan_id, l_linenumber AS "NodeId", 'Sort' AS "PhysicalOp", 'Sort' AS "LogicalOp",
+       l_quantity AS "EstimateRows", CAST(0.5 AS DOUBLE) AS "EstimateIO", l_discount AS "EstimateCPU", CAST(11 AS DOUBLE) AS "AvgRowSize",
+       l_extendedprice AS "EstimatedTotalSubtreeCost", 'Row' AS "EstimatedExecutionMode", CAST(0 AS DOUBLE) AS "Parallel"
+FROM lineitem WHERE l_returnflag <> 'A'
+UNION ALL SELECT l_orderkey * 10 + l_linenumber, l_linenumber + 50, 'Scan', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM lineitem WHERE l_returnflag <> 'A'
+""")
+def plan_operators(t: Tables):
+    """Plans with all attributes of an operator, and one with few; plans that are cut off have none."""
+    text = lambda c: F.col(c).cast("string")
+    doc = F.concat(
+        F.lit('<Plan><RelOp NodeId="'), text("l_linenumber"), F.lit('" PhysicalOp="Sort" LogicalOp="Sort" EstimateRows="'), text("l_quantity"),
+        F.lit('" EstimateIO="0.5" EstimateCPU="'), text("l_discount"), F.lit('" AvgRowSize="11" EstimatedTotalSubtreeCost="'),
+        text("l_extendedprice"), F.lit('" EstimatedExecutionMode="Row" Parallel="0"><RelOp NodeId=\''),
+        (F.col("l_linenumber") + 50).cast("string"), F.lit("' PhysicalOp='Scan'/></RelOp>"),
+        F.when(F.col("l_returnflag") == "A", "<RelOp NodeId=").otherwise("</Plan>\n"),
+    )
+    plans = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("plan_id"), doc.alias("query_plan"))
+    return telemetry.plan_operators(plans)
+
+
 def _part_bytes(t: Tables):
     return t.part.select("p_partkey", binary.int_to_binary(F.col("p_partkey"), 2).alias("data"))
 

@@ -179,3 +179,18 @@ def test_markup_keeps_attributes_apart(spark):
 def test_markup_empty_value_is_not_missing(spark):
     df = spark.createDataFrame([('<a href="" id="x">',)], "h string")
     assert markup_elements(df, "h", "a", {"href": "string", "alt": "string"}).select("href", "alt").first() == ("", None)
+
+
+def test_markup_attributes_in_any_form(spark):
+    text = """<a href=/x>1</a><a href="u"title="t">2</a><a title=' href="wrong"' href="right">3</a><a href=one HREF='two'/><A disabled href = "4">
+    <abbr href="no"><a>5</a><a data-href="no" href>6</a>"""
+    df = spark.createDataFrame([(text,)], "h string")
+    got = markup_elements(df, "h", "a", {"href": "string", "title": "string"}, ignore_case=True).orderBy("pos").collect()
+    assert [(r.href, r.title) for r in got] == [("/x", None), ("u", "t"), ("right", ' href="wrong"'), ("one", None), ("4", None), (None, None), (None, None)]
+
+
+def test_markup_cut_off(spark):
+    texts = ["<P><R n='1'/></P>", "<P><R n='1'/>", "<P><R n='1'/></P", " <?xml v?><!-- x --><q:P><R n='1'/></q:P> ", "<R n='1'/>", "<R n='1'", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = markup_elements(df, "t", "R", {"n": "int"}, whole=True).select("i", "n").orderBy("i").collect()
+    assert [tuple(r) for r in got] == [(0, 1), (3, 1), (4, 1)]
