@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIAS = "bias"
+#: Fits whose sums may reach the driver together.
+MOST_FITS = 1000
 
 
 def _terms(features: list[str], bias: bool = True) -> list[tuple[str, Column]]:
@@ -24,13 +26,26 @@ def _sums(features: list[str], target: str, bias: bool = True) -> tuple[list[Col
     cols, names = [], []
     for i, (a, x) in enumerate(terms):
         for b, y in [*terms[i:], (target, F.col(target).cast("double"))]:
-            cols.append(F.sum(x * y).alias(f"s{len(cols)}"))
+            cols.append(F.sum(F.when(_complete(features, target), x * y)).alias(f"s{len(cols)}"))
             names.append((a, b))
+    cols.append(F.count_if(~_complete(features, target)).alias("n_null"))
     return cols, names
 
 
+def _complete(features: list[str], target: str) -> Column:
+    whole = F.col(target).isNotNull()
+    for f in features:
+        whole = whole & F.col(f).isNotNull()
+    return whole
+
+
+def _refuse_nulls(row) -> None:
+    if row["n_null"]:
+        raise ValueError(f"{row['n_null']} rows have no target or lack a feature; fill or drop them first")
+
+
 def gram(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Long form of X'X and X'y: one row per (row, col)."""
+    """Long form of X'X and X'y: one row per (row, col); rows with a null take no part."""
     cols, names = _sums(features, target)
     row = df.agg(*cols)
     cells = [
@@ -82,14 +97,20 @@ def fit(
         raise ValueError("the target must not be a feature")
     cols, names = _sums(features, target, bias)
     terms = [BIAS] * bias + list(features)
-    xtx, xty = _matrices(df.agg(*cols).first(), terms, target, names)
+    row = df.agg(*cols).first()
+    _refuse_nulls(row)
+    xtx, xty = _matrices(row, terms, target, names)
     return {r: Fit(terms, solve(xtx, xty, r)) for r in ridges}
 
 
 def fit_groups(df: DataFrame, group: str, features: list[str], target: str, ridge: float = 0.0) -> dict:
-    """One fit per value of a short grouping column (seeds, folds), in one pass."""
+    """One fit per value of a short grouping column (seeds, folds), in one pass; MOST_FITS values at most."""
     cols, names = _sums(features, target)
-    rows = df.groupBy(group).agg(*cols).collect()
+    rows = df.groupBy(group).agg(*cols).limit(MOST_FITS + 1).collect()
+    if len(rows) > MOST_FITS:
+        raise ValueError(f"{group} has more than {MOST_FITS} values")
+    for r in rows:
+        _refuse_nulls(r)
     terms = [BIAS, *features]
     return {r[group]: Fit(terms, solve(*_matrices(r, terms, target, names), ridge)) for r in rows}
 

@@ -51,9 +51,10 @@ def accuracy_by_threshold(df: DataFrame, score: str, label: str, steps: int, str
 def auc(df: DataFrame, score: str, label: str, chunk: Column) -> DataFrame:
     """Area under the ROC curve from rank sums, tied scores sharing their mean rank.
 
-    Rows are counted per score first; ``chunk`` is a monotone function of the score.
+    Rows are counted per score first; ``chunk`` is a monotone function of the
+    score.  Rows without a score or a label take no part, as in ``threshold_counts``.
     """
-    counts = df.groupBy(score).agg(
+    counts = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label) == 1).alias("_p")
     )
     got = running_sum(counts, [], chunk, [F.col(score)], F.col("_n"), "_upto")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.running import chunked, running_sum, upto
+from millrace.operators.running import chunked, exact_quantile, upto
 
 
 def as_rows(one_row: DataFrame, columns: list[str], name: str, measures: dict[str, dict[str, str]]) -> DataFrame:
@@ -62,10 +62,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def group_risk(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """Per value of every column: mean target, difference and ratio to the mean of all rows."""
-    mean = df.agg(F.avg(target)).scalar()
-    rows = long_form(df, columns, [target])
-    out = rows.groupBy("feature", "value").agg(F.avg(target).alias("mean"))
-    return out.withColumns({"diff": F.col("mean") - mean, "risk": F.try_divide(F.col("mean"), mean)})
+    groups = long_form(df, columns, [target]).groupBy("feature", "value").agg(F.avg(target).alias("mean"))
+    # every row is in one group of any one column: the mean of all follows from it
+    one = df.groupBy(columns[0]).agg(F.sum(F.col(target).cast("double")).alias("_s"), F.count(target).alias("_n"))
+    mean = one.agg(F.sum("_s") / F.sum("_n")).scalar()
+    return groups.withColumns({"diff": F.col("mean") - mean, "risk": F.try_divide(F.col("mean"), mean)})
 
 
 def long_form(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
@@ -129,10 +130,15 @@ def equi_height_histogram(df: DataFrame, column: str, steps: int, chunk: Column)
     counts = (
         df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     )
-    total = df.agg(F.count(column)).scalar()
-    upto = running_sum(counts, [], chunk, [F.col(column)], F.col("_n"), "_upto")
-    step = F.ceil(F.col("_upto") * F.lit(steps) / total).cast("int")
-    out = upto.withColumn("step", step).groupBy("step").agg(
+    # the total is carried along with the running sum, so the data is not read for it again
+    whole = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    got = chunked(
+        counts, [], chunk, [F.col(column)],
+        local={"_in": lambda w: F.sum("_n").over(upto(w))}, summary={"_sum": F.sum("_n")},
+        carry={"_before": lambda w: F.sum("_sum").over(upto(w)) - F.col("_sum"), "_total": lambda w: F.sum("_sum").over(whole(w))},
+    )
+    step = F.ceil((F.col("_in") + F.col("_before")) * F.lit(steps) / F.col("_total")).cast("int")
+    out = got.withColumn("step", step).groupBy("step").agg(
         F.max(column).alias("range_hi"),
         F.max_by("_n", column).alias("eq_rows"),
         F.sum("_n").alias("_rows"),
@@ -185,15 +191,12 @@ def alignment(ranges: DataFrame) -> DataFrame:
     )
 
 
-def last_aligned(ranges: DataFrame, fn: str, name: str, at_least: int | None = None) -> DataFrame:
+def last_aligned(ranges: DataFrame, fn: str, name: str) -> DataFrame:
     """Range of one function just before the first number whose borders differ.
 
-    With ``at_least`` the number does not fall below it (borders that differ
-    from the start have no aligned range).
+    No row if all numbers are aligned, or if none is.
     """
     last = alignment(ranges).filter("n_borders > 1").agg(F.min("number") - 1).scalar()
-    if at_least is not None:
-        last = F.greatest(last, F.lit(at_least))
     return ranges.filter((F.col(fn) == name) & (F.col("number") == last))
 
 
@@ -210,9 +213,14 @@ def segment_minmax(df: DataFrame, segment: list[Column], columns: list[str]) ->
     return wide.select(*keys, "n_rows", F.inline(F.array(*cells)))
 
 
-def history_stats(df: DataFrame, run: str, step: str, value: str, first: int, last: int) -> DataFrame:
-    """Mean and sample deviation of a metric history per run, and the mean of a step slice."""
+def history_stats(df: DataFrame, run: str, step: str, value: str, first: int, last: int, chunk: Column) -> DataFrame:
+    """Mean, sample deviation and median of a metric history per run, and the mean of a step slice.
+
+    ``chunk`` is a monotone function of ``value`` (for the median).
+    """
     inside = F.when(F.col(step).between(first, last), F.col(value))
-    return df.groupBy(run).agg(
+    stats = df.groupBy(run).agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.avg(inside).alias("slice_mean")
     )
+    middle = exact_quantile(df, [run], value, chunk).select(F.col(run).alias("_run"), "median")
+    return stats.join(middle, F.col(run).eqNullSafe(F.col("_run")), "left").drop("_run")

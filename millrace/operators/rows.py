@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows that share a hash prefix when a split is cut, about.
+PREFIX_ROWS = 100_000
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the first by ``order`` (nulls first).
 
-    Written as an aggregate, not as a row_number window: each map task already
-    reduces its part of a hot key to one row before the shuffle.
+    The planner limits each map task's part of a key to its first row before the
+    shuffle (WindowGroupLimit), and reads no column that is not asked for.
     """
-    whole = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(F.min_by(whole, F.struct(*order)).alias("_r")).select("_r.*")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rn", first).filter("_rn = 1").drop("_rn")
 
 
 def keep_positive(df: DataFrame, *cols: str) -> DataFrame:
@@ -73,13 +78,16 @@ def tag_union(tagged: dict[str, DataFrame], column: str) -> DataFrame:
     return out
 
 
-def split_cuts(df: DataFrame, key: str, seeds: list[int], parts: list[tuple[str, float]], digits: int = 3) -> dict:
+def split_cuts(df: DataFrame, key: str, seeds: list[int], parts: list[tuple[str, float]], digits: int | None = None) -> dict:
     """Last (digest, key) of every part but the last, per seed.
 
-    Two passes: hash prefixes are counted (at most ``16 ** digits`` rows per
-    seed, whatever the size of the frame), then only the rows of the prefixes
-    that hold a cut are ranked.  What reaches the driver is one row per cut.
+    Two passes: hash prefixes are counted (``16 ** digits`` rows per seed), then
+    only the rows of the prefixes that hold a cut are ranked.  Unless given, the
+    digits follow the row count, so that a prefix holds about PREFIX_ROWS rows
+    or less.  What reaches the driver is one row per cut.
     """
+    if digits is None:
+        digits = max(3, math.ceil(math.log(max(1, df.count()) / PREFIX_ROWS, 16)))
     rows = _digests(df.select(key), key, F.explode(F.array(*[F.lit(s) for s in seeds])))
     rows = rows.withColumn("_b", F.substring("_h", 1, digits))
     counts = rows.groupBy("_seed", "_b").agg(F.count(F.lit(1)).alias("_n"))

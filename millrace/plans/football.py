@@ -40,6 +40,8 @@ CLUSTER_KEYS = {
 }
 BY_SEASON = ["DimManagerClub", "DimPlayerClub", "FactMatch"]
 DUPLICATE_STAT = "offsides1"
+# Names of an index column: none in the header (as Spark reads it), or the exporter's own.
+INDEX_NAMES = ("", "_c0", "Unnamed: 0")
 GOAL_CODES = [1, 2]
 
 
@@ -56,9 +58,14 @@ def read_sources(spark: SparkSession, root: str, datasets: list[str] | None = No
     }
 
 
-def clean(dataset: str, raw: DataFrame, index_column: bool = True) -> DataFrame:
-    """Drop the exporter's index column, fix the names, mark nulls, add the season start."""
-    df = drop_first(raw) if index_column else raw
+def clean(dataset: str, raw: DataFrame, index_column: bool | None = None) -> DataFrame:
+    """Drop the exporter's index column, fix the names, mark nulls, add the season start.
+
+    The first column is an index if it is named like one; ``index_column`` says
+    so where the name does not tell.
+    """
+    drop = raw.columns[0] in INDEX_NAMES if index_column is None else index_column
+    df = drop_first(raw) if drop else raw
     if dataset == "player":
         df = promote_first_row(df)
     df = rename_all(df, to_camel)
@@ -70,7 +77,7 @@ def clean(dataset: str, raw: DataFrame, index_column: bool = True) -> DataFrame:
     return df
 
 
-def clean_all(raw: dict[str, DataFrame], index_column: bool = True) -> dict[str, DataFrame]:
+def clean_all(raw: dict[str, DataFrame], index_column: bool | None = None) -> dict[str, DataFrame]:
     return {name: clean(name, df, index_column) for name, df in raw.items()}
 
 

@@ -13,8 +13,9 @@ from millrace.functions.names import rename_all, to_snake
 from millrace.operators.rows import first_per_key, keep_positive, limited, tag_union
 from millrace.plans import quality
 from millrace.plans.models import Model
+from millrace.session import scratch_path
 from millrace.sources.files import read_csv
-from millrace.sources.tables import write_partitioned
+from millrace.sources.tables import add_partitions, write_partitioned
 
 # Money columns of the trip files, accepted payment codes, the
 # borough of unknown zones, the text replaced in service zones, the FHV year.
@@ -26,21 +27,29 @@ SERVICE_ZONE_TEXT = ("Boro", "Green")
 FHV_DAYS = ("2019-01-01", "2019-12-31")
 
 
-# Typed columns of the green and yellow trip files, in file order;
-# {p} is the prefix of the two time columns.
-TRIP_SCHEMA = (
-    "VendorID long, {p}_pickup_datetime timestamp_ntz, {p}_dropoff_datetime timestamp_ntz, store_and_fwd_flag string, "
-    "RatecodeID long, PULocationID long, DOLocationID long, passenger_count long, trip_distance double, "
-    "fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, ehail_fee double, "
-    "improvement_surcharge double, total_amount double, payment_type long, trip_type long, congestion_surcharge double"
-)
+# Typed columns of the green and yellow trip files, in file order.
+TRIP_SCHEMAS = {
+    "green": (
+        "VendorID long, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz, store_and_fwd_flag string, "
+        "RatecodeID long, PULocationID long, DOLocationID long, passenger_count long, trip_distance double, "
+        "fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, ehail_fee double, "
+        "improvement_surcharge double, total_amount double, payment_type long, trip_type long, congestion_surcharge double"
+    ),
+    "yellow": (
+        "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, passenger_count long, "
+        "trip_distance double, RatecodeID long, store_and_fwd_flag string, PULocationID long, DOLocationID long, "
+        "payment_type long, fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, "
+        "improvement_surcharge double, total_amount double, congestion_surcharge double"
+    ),
+}
 PREFIX = {"green": "lpep", "yellow": "tpep"}
+# Snake-case names as a load writes them, and the names that staging uses.
+STAGED_NAMES = {"vendor_id": "vendorid", "ratecode_id": "ratecodeid", "pulocation_id": "pulocationid", "dolocation_id": "dolocationid"}
 
 
 def read_trips(spark: SparkSession, paths: str | list[str], kind: str = "green") -> DataFrame:
-    """Monthly trip files (plain or gzip) as one typed frame; columns are matched by position."""
-    schema = TRIP_SCHEMA.format(p=PREFIX[kind])
-    return read_csv(spark, paths, schema=schema, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    """Monthly trip files (plain or gzip) as one typed frame; a header that does not name the kind's columns is an error."""
+    return read_csv(spark, paths, schema=TRIP_SCHEMAS[kind], timestampNTZFormat="yyyy-MM-dd HH:mm:ss", enforceSchema=False)
 
 
 def clean_trips(raw: DataFrame, kind: str = "green") -> DataFrame:
@@ -58,13 +67,20 @@ def check_clean(trips: DataFrame) -> DataFrame:
     )
 
 
-def load_trips(spark: SparkSession, paths: str | list[str], out: str, kind: str = "green") -> str:
-    """Files to a checked Parquet dataset with one folder per pick-up date."""
+def load_trips(spark: SparkSession, paths: str | list[str], out: str, kind: str = "green", replace: bool = False) -> str:
+    """Files to a checked Parquet dataset with one folder per pick-up date; earlier loads stay.
+
+    Rows are added to the folders of their dates.  ``replace`` empties these
+    folders first (to load a file again); other dates are never touched.  The
+    load is staged and checked before any of it is published, so a failed check
+    leaves the dataset as it was.
+    """
+    by = f"{PREFIX[kind]}_pickup_date"
     trips = clean_trips(read_trips(spark, paths, kind), kind)
-    path = write_partitioned(trips, out, [f"{PREFIX[kind]}_pickup_date"])
-    # Checked on the written files, so that the source is read once.
-    quality.enforce(check_clean(spark.read.parquet(path)))
-    return path
+    # Checked on the staged files, so that the source is read once.
+    staged = spark.read.schema(trips.schema).parquet(write_partitioned(trips, scratch_path(spark, "load"), [by]))
+    quality.enforce(check_clean(staged))
+    return add_partitions(staged, out, [by], replace)
 
 
 def trips_within_day(trips: DataFrame, day: str, prefix: str = "lpep") -> DataFrame:
@@ -110,6 +126,7 @@ def stage_trips(
     ``order`` makes the kept row certain; rows without vendor are left out;
     ``fixed`` gives columns the files do not have.
     """
+    raw = raw.withColumnsRenamed(STAGED_NAMES)  # names as a load writes them are fine too
     for name, value in (fixed or {}).items():
         raw = raw.withColumn(name, F.lit(value))
     one = first_per_key(raw.filter(F.col("vendorid").isNotNull()), ["vendorid", pickup], order)

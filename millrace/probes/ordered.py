@@ -9,19 +9,25 @@ from millrace.operators.running import previous_value, slice_chunk
 from millrace.probes.registry import Tables, probe
 from millrace.sources.tables import materialize
 
+# Borders of all orders: the first day of every quarter for each priority; one of
+# them has its borders a day later from 1996 on.
 _RANGES_SQL = """
-b AS (SELECT DISTINCT o_orderstatus AS fn, o_orderdate AS v FROM orders WHERE o_totalprice > 400000),
+b AS (SELECT DISTINCT o_orderpriority AS fn, date_trunc('quarter', o_orderdate)
+             + CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '1996-01-01' THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS v FROM orders),
 r AS (SELECT fn, lag(v, 1, TIMESTAMP '1900-01-01 00:00:00') OVER (PARTITION BY fn ORDER BY v) AS left_border, v AS right_border,
-             row_number() OVER (PARTITION BY fn ORDER BY v) AS number, fn = 'F' AS include_left, fn <> 'F' AS include_right FROM b
+             row_number() OVER (PARTITION BY fn ORDER BY v) AS number, fn = '5-LOW' AS include_left, fn <> '5-LOW' AS include_right FROM b
       UNION ALL SELECT fn, max(v), TIMESTAMP '9999-12-31 00:00:00', count(*) + 1, false, true FROM b GROUP BY fn)
 """
 
 
 def _ranges(t: Tables):
-    borders = t.orders.filter("o_totalprice > 400000").select(F.col("o_orderstatus").alias("fn"), F.col("o_orderdate").alias("v"))
     stamp = lambda s: F.lit(s).cast("timestamp_ntz")
+    late = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= stamp("1996-01-01"))
+    quarter = F.date_trunc("quarter", "o_orderdate").cast("timestamp_ntz")
+    border = F.when(late, quarter + F.expr("interval 1 day")).otherwise(quarter)
+    borders = t.orders.select(F.col("o_orderpriority").alias("fn"), border.alias("v"))
     return profile.range_borders(
-        borders, "fn", "v", stamp("1900-01-01"), stamp("9999-12-31"), F.year("v"), on_right=F.col("fn") == "F"
+        borders, "fn", "v", stamp("1900-01-01"), stamp("9999-12-31"), F.year("v"), on_right=F.col("fn") == "5-LOW"
     )
 
 
@@ -38,14 +44,13 @@ def alignment_check(t: Tables):
 
 
 @probe("first_misaligned", f"""
-WITH {_RANGES_SQL}, m AS (SELECT number FROM r GROUP BY 1 HAVING count(DISTINCT left_border) > 1),
-d AS (SELECT * FROM r WHERE number >= 0)
-SELECT * FROM d WHERE fn = 'F' AND number = (SELECT max(x) FROM (SELECT min(number) - 1 AS x FROM m UNION ALL SELECT 1)) ORDER BY left_border
+WITH {_RANGES_SQL}, m AS (SELECT number FROM r GROUP BY 1 HAVING count(DISTINCT left_border) > 1)
+SELECT * FROM r WHERE fn = '1-URGENT' AND number = (SELECT min(number) - 1 FROM m) ORDER BY left_border
 """)
 def first_misaligned(t: Tables):
-    """The last aligned range of one function; the first range where none is aligned."""
+    """The last range of one function before the borders of the functions part."""
     ranges = materialize(_ranges(t), t.scratch("ranges"))
-    return profile.last_aligned(ranges, "fn", "F", at_least=1)
+    return profile.last_aligned(ranges, "fn", "1-URGENT")
 
 
 @probe("lag_default", """

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from millrace.operators import metrics, profile
 from millrace.operators.running import exact_quantile, row_numbers, slice_chunk, width_chunk
 from millrace.probes.registry import Tables, probe
-from millrace.sources.tables import materialize
 
 
 @probe("distinct_counts", """
@@ -69,8 +68,7 @@ SELECT feature, value, round(avg(quality), 6) AS mean, round(avg(quality) - any_
        round(avg(quality) / any_value(m), 6) AS risk FROM u, g GROUP BY 1, 2
 """)
 def risk_ratio(t: Tables):
-    # Read twice (groups and global mean), so the join is stored first.
-    labelled = materialize(_labelled(t).select("lang", "source", "quality"), t.scratch("labelled"))
+    labelled = _labelled(t).select("lang", "source", "quality")
     out = profile.group_risk(labelled, ["lang", "source"], "quality")
     return out.select("feature", "value", *[F.round(c, 6).alias(c) for c in ("mean", "diff", "risk")])
 
@@ -262,11 +260,11 @@ def segment_minmax(t: Tables):
 
 @probe("metric_history_stats", """
 WITH h AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS epoch FROM events)
-SELECT user_id, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+SELECT user_id, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(median(value), 6) AS median,
        round(avg(value) FILTER (WHERE epoch BETWEEN 6 AND 9), 6) AS slice_mean FROM h GROUP BY 1
 """)
 def metric_history_stats(t: Tables):
     events = t.events.select("user_id", "ts", "event_id", "value")
     history = row_numbers(events, ["user_id"], slice_chunk(events, "ts"), [F.col("ts"), F.col("event_id")], "epoch")
-    out = profile.history_stats(history, "user_id", "epoch", "value", 6, 9)
-    return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("mean", "std", "slice_mean")])
+    out = profile.history_stats(history, "user_id", "epoch", "value", 6, 9, slice_chunk(events, "value"))
+    return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("mean", "std", "median", "slice_mean")])

@@ -46,10 +46,3 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the working folder that nothing else uses."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(spark: SparkSession, df):
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    return df.checkpoint(eager=True)

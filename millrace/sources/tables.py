@@ -17,6 +17,20 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> str:
     return path
 
 
+def add_partitions(df: DataFrame, path: str, by: list[str], replace: bool = False) -> str:
+    """Add rows to a dataset with one folder per value of ``by``.
+
+    With ``replace`` the folders that ``df`` has rows for are emptied first;
+    all others stay as they are.
+    """
+    writer = df.hint("rebalance", *by).write.partitionBy(*by)
+    if replace:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode("append").parquet(path)
+    return path
+
+
 def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows ranged and sorted by ``keys``.
 

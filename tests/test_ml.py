@@ -245,3 +245,31 @@ def test_specs_from_a_schema(spark):
 
 def test_tally(spark):
     assert dg.tally(spark, 1000).agg(F.sum("n")).first()[0] == 500500
+
+
+def test_nulls_are_refused(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, None, 4.0), (3.0, 1.0, 5.0), (4.0, 2.0, None)], "a double, b double, y double")
+    with pytest.raises(ValueError, match="2 rows"):
+        linear.fit(df, ["a", "b"], "y")
+    with pytest.raises(ValueError, match="rows"):
+        linear.fit_groups(df.withColumn("g", F.lit(1)), "g", ["a", "b"], "y")
+    got = {(r.row, r.col): r.value for r in linear.gram(df, ["a", "b"], "y").collect()}
+    assert got["bias", "bias"] == 2 and got["a", "b"] == 5 and got["b", "y"] == 11
+
+
+def test_too_many_groups_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(linear, "MOST_FITS", 3)
+    df = spark.range(20).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("a"), F.rand(1).alias("y"))
+    with pytest.raises(ValueError, match="more than 3"):
+        linear.fit_groups(df, "g", ["a"], "y")
+
+
+def test_rank_quality_leaves_out_nulls(spark):
+    from millrace.operators import metrics
+    from millrace.operators.running import width_chunk
+    rows = [(0.9, 1), (0.8, 0), (0.7, 1), (0.1, 0), (None, 1), (0.95, None), (None, None)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    got = metrics.auc(df, "s", "y", width_chunk(F.col("s"), 0.1)).first()
+    assert (got.auc, got.n_pos, got.n_neg) == (0.75, 2, 2)
+    low = metrics.threshold_counts(df, "s", "y", 10).filter("t = 0").first()
+    assert (low.tp, low.fp) == (2, 2)

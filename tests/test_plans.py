@@ -64,13 +64,13 @@ def test_test_run_limit(spark):
 
 def test_football_clean(spark):
     raw = spark.createDataFrame([(0, 5, "1999/00", "\\N"), (1, 6, "2000/01", "x")], "i int, `manager.id` int, season string, `note_(a)` string")
-    got = football.clean("manager_club", raw)
+    got = football.clean("manager_club", raw, index_column=True)
     assert got.columns == ["managerId", "season", "noteA", "seasonStartYear"]
     assert [(r.noteA, r.seasonStartYear.year) for r in got.orderBy("managerId").collect()] == [(None, 1999), ("x", 2000)]
     players = spark.createDataFrame([(0, "player_id", "player_name"), (1, "7", "P")], "i int, a string, b string")
-    assert football.clean("player", players).collect()[0].asDict() == {"playerId": "7", "playerName": "P"}
+    assert football.clean("player", players, True).collect()[0].asDict() == {"playerId": "7", "playerName": "P"}
     stats = spark.createDataFrame([(0, "1", "2", "3")], "i int, match_id string, offsides string, offsides1 string")
-    assert football.clean("club_stats", stats).columns == ["matchId", "offsides"]
+    assert football.clean("club_stats", stats, True).columns == ["matchId", "offsides"]
 
 
 def test_goal_scorers(spark):
@@ -190,6 +190,57 @@ def test_trip_files_to_dataset(spark, tmp_path):
     assert {(r.check, r.column): r.status for r in bad.collect()}[("first_column", "vendor_id")] == "fail"
 
 
+def test_loads_add_up(spark, tmp_path):
+    first, second = trip_files(tmp_path)
+    out = str(tmp_path / "out")
+    days = lambda: {str(r[0]): r[1] for r in spark.read.parquet(out).groupBy("lpep_pickup_date").count().collect()}
+    taxi.load_trips(spark, first, out)
+    taxi.load_trips(spark, [second], out)
+    assert days() == {"2020-10-01": 2, "2020-11-01": 2}
+    taxi.load_trips(spark, second, out, replace=True)
+    assert days() == {"2020-10-01": 2, "2020-11-01": 2}
+    taxi.load_trips(spark, second, out)
+    assert days() == {"2020-10-01": 2, "2020-11-01": 4}
+    # A load that fails its check changes nothing.
+    empty = tmp_path / "empty.csv"
+    empty.write_text(HEAD)
+    with pytest.raises(ValueError, match="has_rows"):
+        taxi.load_trips(spark, str(empty), out, replace=True)
+    assert days() == {"2020-10-01": 2, "2020-11-01": 4}
+
+
+def test_load_to_facts(spark, tmp_path):
+    trips = spark.read.parquet(taxi.load_trips(spark, trip_files(tmp_path), str(tmp_path / "out")))
+    sources = {"green_tripdata": trips, "yellow_tripdata": trips.withColumnsRenamed(
+        {"lpep_pickup_datetime": "tpep_pickup_datetime", "lpep_dropoff_datetime": "tpep_dropoff_datetime"}).limit(0), "taxi_zone_lookup": zones(spark)}
+    fact = build(spark, taxi.trip_models(ORDER), sources, ["fact_trips"], str(tmp_path / "models"), "t2_")["fact_trips"]
+    # One trip of each day ends in a known zone.
+    assert sorted((str(r.pickup_datetime), r.pickup_zone, r.dropoff_zone) for r in fact.collect()) == [
+        ("2020-10-01 10:00:00", "A", "B"), ("2020-11-01 10:00:00", "A", "B")]
+
+
+YELLOW = ("VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,RatecodeID,store_and_fwd_flag,PULocationID,DOLocationID,"
+          "payment_type,fare_amount,extra,mta_tax,tip_amount,tolls_amount,improvement_surcharge,total_amount,congestion_surcharge\n")
+
+
+def test_yellow_files(spark, tmp_path):
+    path = tmp_path / "yellow.csv"
+    path.write_text(YELLOW + "1,2020-10-01 10:00:00,2020-10-01 10:20:00,2,3.5,1,N,224,255,1,10,0.5,0.5,2,0,0.3,13.3,2.5\n")
+    got = spark.read.parquet(taxi.load_trips(spark, str(path), str(tmp_path / "out"), "yellow")).first()
+    assert (got.passenger_count, got.trip_distance, got.pulocation_id, got.dolocation_id, got.total_amount) == (2, 3.5, 224, 255, 13.3)
+    staged = taxi.stage_yellow(spark.read.parquet(str(tmp_path / "out")), ["trip_distance"]).first()
+    assert (staged.vendorid, staged.pickup_locationid, staged.trip_type, float(staged.ehail_fee)) == (1, 224, 1, 0.0)
+    with pytest.raises(Exception):  # a file of the other kind
+        taxi.read_trips(spark, str(path), "green").collect()
+
+
+def test_file_without_index_column(spark):
+    raw = spark.createDataFrame([("120", "7", "Arsenal", "x")], "club_id string, stadium_id string, club_name string, website string")
+    assert football.clean("club", raw).columns == ["clubId", "stadiumId", "clubName", "website"]
+    for name in ("", "_c0", "Unnamed: 0"):
+        assert football.clean("club", spark.createDataFrame([(0, "120")], [name or "x", "club_id"]).toDF(name, "club_id")).columns == ["clubId"]
+
+
 def test_trip_questions(spark, tmp_path):
     trips = taxi.read_trips(spark, trip_files(tmp_path))
     assert taxi.trips_within_day(trips, "2020-10-01").first().n == 2

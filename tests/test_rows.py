@@ -18,7 +18,21 @@ def test_first_per_key_is_sure_and_keeps_null_keys(spark):
 def test_first_per_key_reduces_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 2).alias("k"), "id")
     plan = rows.first_per_key(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial") and plan.count("WindowGroupLimit") == 2
+
+
+def test_first_per_key_reads_only_what_is_asked_for(spark, tmp_path):
+    spark.range(9).select("id", (F.col("id") % 2).alias("k"), F.lit("x").alias("unused")).write.parquet(str(tmp_path / "t"))
+    got = rows.first_per_key(spark.read.parquet(str(tmp_path / "t")), ["k"], ["id"]).select("k", "id")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "unused" not in plan and sorted(map(tuple, got.collect())) == [(0, 0), (1, 1)]
+
+
+def test_split_digits_follow_the_rows(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("key"))
+    want = sorted(map(tuple, rows.exact_split(df, "key", 1, [("a", 0.7), ("b", 0.3)]).collect()))
+    monkeypatch.setattr(rows, "PREFIX_ROWS", 0.001)  # 6 digits
+    assert sorted(map(tuple, rows.exact_split(df, "key", 1, [("a", 0.7), ("b", 0.3)]).collect())) == want
 
 
 @settings(max_examples=6, deadline=None)

@@ -111,3 +111,16 @@ def test_alignment(spark):
     assert [tuple(r) for r in profile.last_aligned(ranges, "fn", "f").collect()] == [("f", 5, 2)]
     same = ranges.filter("number < 3")
     assert profile.last_aligned(same, "fn", "f").collect() == []
+
+
+@pytest.mark.parametrize("odd", [10**9, -10**9])
+def test_an_outlier_does_not_undo_the_slices(spark, odd):
+    rows = [("hot" if i % 3 else f"k{i % 50}", i, i) for i in range(6000)] + [("hot", 6000, odd)]
+    df = spark.createDataFrame(rows, "k string, id long, t long")
+    chunk = slice_chunk(df, "t", 250)
+    sizes = [r.n for r in df.groupBy(chunk.alias("c")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 3 * 6001 / len(sizes)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = df.select("id", F.row_number().over(w).alias("rn"))
+    got = row_numbers(df, ["k"], chunk, [F.col("t"), F.col("id")]).select("id", "rn")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

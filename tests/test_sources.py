@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import cut_lineage, scratch_path, work_dir
+from millrace.session import scratch_path, work_dir
 from millrace.sources import files, jdbc, tables
 
 
@@ -147,12 +147,6 @@ def test_work_folder_comes_from_the_session(spark):
         work_dir(Session("yarn"))
 
 
-def test_cut_lineage_is_a_reliable_checkpoint(spark):
-    df = cut_lineage(spark, spark.range(5).withColumn("x", F.col("id") * 2))
-    assert df.count() == 5
-    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_materialized_result(spark, tmp_path):
     df = tables.materialize(spark.range(7), str(tmp_path / "m"))
     assert df.count() == 7 and os.path.isdir(tmp_path / "m")
