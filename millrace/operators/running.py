@@ -72,8 +72,8 @@ def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) ->
 
     Small frames get one slice, so the scan is a plain window there; on large
     ones a key that holds most of the rows is spread over many slices.  Borders
-    follow SLICE_POINTS approximate quantiles, taken in one pass, and are even
-    in between: an outlier stretches one of these pieces, not all.
+    follow SLICE_POINTS approximate quantiles, taken in one pass at once, and are
+    even in between: an outlier stretches one of these pieces, not all.
     """
     kind = df.schema[column].dataType.simpleString()
     if kind == "timestamp_ntz":
@@ -86,15 +86,22 @@ def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) ->
         place = lambda c: c
     at = place(F.col(column)).cast("double")
     points = F.percentile_approx(at, [i / SLICE_POINTS for i in range(SLICE_POINTS + 1)])
-    span = df.agg(F.struct(points.alias("q"), F.count(F.lit(1)).alias("n")).alias("span")).scalar()
-    point = lambda i: F.get(span["q"], i)
-    piece = F.lit(0)
-    for i in range(1, SLICE_POINTS):
-        piece = piece + (at >= point(F.lit(i))).cast("int")
-    inside = F.try_divide(at - point(piece), point(piece + 1) - point(piece))
-    spot = piece + F.greatest(F.lit(0.0), F.least(F.coalesce(inside, F.lit(0.0)), F.lit(1 - 1e-9)))
-    slices = F.ceil(span["n"] / F.lit(rows_per_slice))
-    return F.when(F.col(column).isNotNull(), F.floor(spot * slices / SLICE_POINTS))
+    # what reaches the driver: a count and SLICE_POINTS + 1 numbers
+    n, q = df.agg(F.count(F.lit(1)), points).first()
+    slices = -(-n // rows_per_slice)
+    known = F.col(column).isNotNull()
+    if slices <= 1 or q is None:
+        return F.when(known, F.lit(0).cast("long"))
+
+    def spot(low: int, high: int) -> Column:
+        """Place of the value among the points low..high, by halving."""
+        if high - low > 1:
+            middle = (low + high) // 2
+            return F.when(at < F.lit(q[middle]), spot(low, middle)).otherwise(spot(middle, high))
+        inside = (at - F.lit(q[low])) / F.lit(q[high] - q[low]) if q[high] > q[low] else F.lit(0.0)
+        return F.lit(float(low)) + F.greatest(F.lit(0.0), F.least(inside, F.lit(1 - 1e-9)))
+
+    return F.when(known, F.floor(spot(0, SLICE_POINTS) * F.lit(slices / SLICE_POINTS)))
 
 
 def running_sum(df, keys, chunk, order, value: Column, out: str) -> DataFrame:

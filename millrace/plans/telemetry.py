@@ -154,34 +154,39 @@ def redo_report(
 # Storage ------------------------------------------------------------------
 
 
+def _of_object(df: DataFrame, object_id: int | None) -> DataFrame:
+    return df if object_id is None else df.filter(F.col("object_id") == object_id)
+
+
 def row_group_report(
-    row_group: DataFrame, partition: DataFrame, segment: DataFrame, column: DataFrame
+    row_group: DataFrame, partition: DataFrame, segment: DataFrame, column: DataFrame, object_id: int | None = None
 ) -> DataFrame:
-    """Row groups of a columnar table with the value range of each column segment."""
+    """Row groups of a columnar table (or of all) with the value range of each column segment."""
     keys = ["object_id", "index_id", "partition_number"]
     parts = partition.select(*keys, "partition_id")
     names = column.select("object_id", "column_id", F.col("name").alias("column_name"))
     report = (
-        row_group.join(parts, keys)
+        _of_object(row_group, object_id).join(parts, keys)
         .join(segment, ["partition_id", "row_group_id"], "left")
         .join(names, ["object_id", "column_id"], "left")
         .select(
-            "state_desc", "partition_number", "row_group_id", "total_rows", "column_name", "min_data_id",
+            "object_id", "state_desc", "partition_number", "row_group_id", "total_rows", "column_name", "min_data_id",
             "max_data_id", "deleted_rows",
-            int_div(F.col("size_in_bytes"), F.lit(1024 * 1024)).alias("size_mb"), "created_time", "closed_time",
+            int_div(F.col("size_in_bytes"), F.lit(1024 * 1024)).alias("size_mb"), "trim_reason_desc",
+            "transition_to_compressed_state_desc", "delta_store_hobt_id", "created_time", "closed_time",
         )
     )
-    return in_order(report, "partition_number", "row_group_id")
+    return in_order(report, "object_id", "partition_number", "row_group_id")
 
 
-def storage_pages(unit: DataFrame, partition: DataFrame, index: DataFrame) -> DataFrame:
-    """Pages per index partition that holds rows."""
+def storage_pages(unit: DataFrame, partition: DataFrame, index: DataFrame, object_id: int | None = None) -> DataFrame:
+    """Pages per index partition of a table (or of all) that holds rows."""
     names = index.select("object_id", "index_id", F.col("name").alias("index_name"))
-    filled = partition.filter(F.col("rows") > 0)
+    filled = _of_object(partition, object_id).filter(F.col("rows") > 0)
     report = unit.join(filled, F.col("container_id") == F.col("partition_id")).join(names, ["object_id", "index_id"]).select(
-        "index_name", "index_id", "partition_number", "data_compression_desc", "type_desc", "total_pages", "rows"
+        "object_id", "index_name", "index_id", "partition_number", "data_compression_desc", "type_desc", "total_pages", "rows"
     )
-    return in_order(report, "partition_number")
+    return in_order(report, "object_id", "partition_number")
 
 
 def page_listing(page: DataFrame, internal: DataFrame) -> DataFrame:
@@ -240,9 +245,14 @@ def storage_summary(
 
 
 def lock_waits(
-    lock: DataFrame, wait: DataFrame, partition: DataFrame, obj: DataFrame, index: DataFrame, own_session: int | None = None
+    lock: DataFrame, wait: DataFrame, partition: DataFrame, obj: DataFrame, index: DataFrame, database_id: int, database: str,
+    own_session: int | None = None,
 ) -> DataFrame:
-    """Locks with the object and index they are on and who blocks them."""
+    """Locks in one database with the object and index they are on and who blocks them.
+
+    Object ids mean something in their own database only, so the partitions,
+    objects and indexes given are those of ``database_id``.
+    """
     waits = wait.select(F.col("resource_address").alias("lock_owner_address"), "blocking_session_id", "wait_duration_ms")
     parts = partition.select(
         F.col("hobt_id").alias("resource_associated_entity_id"), F.col("object_id").alias("_part_object"),
@@ -254,7 +264,7 @@ def lock_waits(
         F.struct("object_id", F.coalesce("index_id", F.lit(1)).alias("index_id")).alias("_index_key"),
         F.col("name").alias("index_name"),
     )
-    held = lock.filter(F.col("resource_associated_entity_id") > 0)
+    held = lock.filter((F.col("resource_associated_entity_id") > 0) & (F.col("resource_database_id") == database_id))
     if own_session is not None:
         held = held.filter(F.col("request_session_id") != own_session)
     rows = (
@@ -267,7 +277,7 @@ def lock_waits(
     rows = rows.withColumn("_key", F.when(key["object_id"].isNotNull(), key))
     rows = coalesced_join(rows, indexes, [F.col("_key")], F.col("_index_key"))
     report = rows.select(
-        "request_session_id", "resource_type",
+        F.lit(database).alias("database_name"), "request_session_id", "resource_type",
         F.when(F.col("resource_type") == "OBJECT", F.col("_object_name")).otherwise(F.col("_part_name")).alias("object_name"),
         "index_name", "resource_subtype", "resource_description", "resource_associated_entity_id", "request_mode",
         "request_status", "blocking_session_id", (F.col("wait_duration_ms") / F.lit(1000.0)).alias("wait_seconds"),
@@ -422,10 +432,11 @@ def running_statements(
 
 def stats_freshness(
     partition: DataFrame, border: DataFrame, stats: DataFrame, properties: DataFrame, first: int, last: int,
-    open_border: int = OPEN_UPPER_BORDER,
+    open_border: int = OPEN_UPPER_BORDER, tables: list[str] | None = None,
 ) -> DataFrame:
-    """Rows, sampled rows and changes per partition within a border range."""
-    filled = partition.filter((F.col("used_page_count") > 0) & F.col("index_id").isin(0, 1, 5) & (F.col("row_count") > 0))
+    """Rows, sampled rows and changes per partition of the named tables (or of all) within a border range."""
+    named = partition if tables is None else partition.filter(F.col("table_name").isin(*tables))
+    filled = named.filter((F.col("used_page_count") > 0) & F.col("index_id").isin(0, 1, 5) & (F.col("row_count") > 0))
     upper = border.select("function_id", F.col("boundary_id").alias("partition_number"), F.col("value").alias("_upper"))
     first_stats = stats.filter("stats_id = 1").select("object_id", "stats_id", F.col("name").alias("stats_name"))
     rows = filled.join(upper, ["function_id", "partition_number"], "left").join(first_stats, "object_id")

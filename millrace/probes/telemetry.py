@@ -27,7 +27,7 @@ STAND_INS = {
                CASE s_suppkey % 13 WHEN 0 THEN 'NOT_HEALTHY' WHEN 1 THEN NULL ELSE 'HEALTHY' END AS synchronization_health_desc
         FROM {supplier}""",
     "db_state": """
-        SELECT o_custkey % 120 AS replica_id, o_orderkey % 30 AS database_id, o_orderstatus AS synchronization_state_desc,
+        SELECT o_custkey AS replica_id, o_orderkey % 30 AS database_id, o_orderstatus AS synchronization_state_desc,
                o_orderpriority AS synchronization_health_desc, CAST(floor(o_totalprice / 40) AS BIGINT) AS log_send_queue_size,
                o_custkey % 9 AS log_send_rate, CAST(floor(o_totalprice / 4) AS BIGINT) AS redo_queue_size, o_orderkey % 5 AS redo_rate,
                o_orderdate AS last_commit_time, o_orderdate AS last_redone_time, o_orderkey AS last_redone_lsn,
@@ -42,7 +42,9 @@ STAND_INS = {
     "row_group": f"""
         SELECT {_OBJ} AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number, {_FLAG} AS row_group_id,
                'COMPRESSED' AS state_desc, count(*) AS total_rows, sum(CASE WHEN l_tax = 0 THEN 1 ELSE 0 END) AS deleted_rows,
-               CAST(sum(floor(l_extendedprice)) AS BIGINT) AS size_in_bytes, min(l_shipdate) AS created_time, max(l_shipdate) AS closed_time
+               CAST(sum(floor(l_extendedprice)) AS BIGINT) AS size_in_bytes, min(l_shipdate) AS created_time, max(l_shipdate) AS closed_time,
+               CASE {_FLAG} WHEN 0 THEN 'BULKLOAD' WHEN 1 THEN 'DICTIONARY_SIZE' END AS trim_reason_desc,
+               CASE {_FLAG} WHEN 2 THEN 'TUPLE_MOVER' END AS transition_to_compressed_state_desc, 500 + {_FLAG} AS delta_store_hobt_id
         FROM {{lineitem}} GROUP BY 1, 3, 4""",
     "partition": f"""
         SELECT {_OBJ} AS object_id, 1 AS index_id, CAST(year(l_shipdate) - 1994 AS INTEGER) AS partition_number,
@@ -82,17 +84,17 @@ STAND_INS = {
     "filegroup": "SELECT 10 AS data_space_id, 'FG_EVEN' AS name UNION ALL SELECT 12, 'FG_NONE'",
     "border": f"SELECT 7 AS function_id, n AS boundary_id, (n + 1994) * 100 AS value FROM ({_PARTS}) p WHERE n < 7",
     "lock": """
-        SELECT o_custkey % 50 AS request_session_id,
-               CASE o_orderkey % 4 WHEN 0 THEN 'OBJECT' WHEN 1 THEN 'PAGE' WHEN 2 THEN 'KEY' ELSE 'DATABASE' END AS resource_type,
-               CASE o_orderkey % 4 WHEN 0 THEN o_custkey % 25 WHEN 3 THEN 0 ELSE 1000 + o_custkey % 60 END AS resource_associated_entity_id,
-               o_orderkey AS lock_owner_address, o_orderstatus AS request_mode, o_orderpriority AS request_status, '' AS resource_subtype,
-               concat('r', o_orderkey) AS resource_description FROM {orders}""",
+        SELECT l_orderkey AS request_session_id, l_linenumber % 2 AS resource_database_id,
+               CASE l_partkey % 4 WHEN 0 THEN 'OBJECT' WHEN 1 THEN 'PAGE' WHEN 2 THEN 'KEY' ELSE 'DATABASE' END AS resource_type,
+               CASE l_partkey % 4 WHEN 0 THEN l_suppkey % 25 WHEN 3 THEN 0 ELSE 1000 + l_suppkey END AS resource_associated_entity_id,
+               l_orderkey * 10 + l_linenumber AS lock_owner_address, l_returnflag AS request_mode, l_linestatus AS request_status,
+               '' AS resource_subtype, concat('r', l_partkey) AS resource_description FROM {lineitem}""",
     "wait": """
-        SELECT o_orderkey AS resource_address, o_custkey % 7 AS blocking_session_id, CAST(floor(o_totalprice) AS BIGINT) AS wait_duration_ms
-        FROM {orders} WHERE o_orderkey % 10 = 0""",
+        SELECT DISTINCT l_orderkey * 10 + l_linenumber AS resource_address, l_orderkey % 7 AS blocking_session_id, l_orderkey * 3 AS wait_duration_ms
+        FROM {lineitem} WHERE l_orderkey % 10 = 0""",
     "hobt": """
         SELECT 1000 + s_suppkey AS hobt_id, CAST(s_nationkey AS BIGINT) AS object_id,
-               CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE NULL END AS index_id FROM {supplier} WHERE s_suppkey < 50""",
+               CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE NULL END AS index_id FROM {supplier} WHERE s_suppkey % 6 <> 5""",
     "tab": "SELECT CAST(n_nationkey AS BIGINT) AS object_id, n_name AS name FROM {nation} WHERE n_nationkey < 22",
     "tidx": """
         SELECT CAST(n_nationkey AS BIGINT) AS object_id, 1 AS index_id, concat('PK_', n_name) AS name FROM {nation} WHERE n_nationkey < 20
@@ -258,25 +260,47 @@ def redo_status(t: Tables):
     )
 
 
-@probe("row_group_report", _with("row_group", "partition", "segment", "col") + """
-SELECT state_desc, r.partition_number, r.row_group_id, total_rows, c.name AS column_name, min_data_id, max_data_id,
-       CAST(deleted_rows AS BIGINT) AS deleted_rows, size_in_bytes // 1048576 AS size_mb, created_time, closed_time
+_ROW_GROUPS = """
+SELECT r.object_id, state_desc, r.partition_number, r.row_group_id, total_rows, c.name AS column_name, min_data_id, max_data_id,
+       CAST(deleted_rows AS BIGINT) AS deleted_rows, size_in_bytes // 1048576 AS size_mb, trim_reason_desc,
+       transition_to_compressed_state_desc, delta_store_hobt_id, created_time, closed_time
 FROM row_group r JOIN partition p USING (object_id, index_id, partition_number)
 LEFT JOIN segment s ON s.partition_id = p.partition_id AND s.row_group_id = r.row_group_id
 LEFT JOIN col c ON c.object_id = r.object_id AND c.column_id = s.column_id
-""")
+"""
+
+
+@probe("row_group_report", _with("row_group", "partition", "segment", "col") + f"""
+{_ROW_GROUPS}""")
 def row_group_report(t: Tables):
     return tm.row_group_report(*_frames(t, "row_group", "partition", "segment", "col"))
 
 
-@probe("storage_pages", _with("unit", "partition", "idx") + """
-SELECT i.name AS index_name, index_id, partition_number, data_compression_desc, type_desc, total_pages, CAST(rows AS BIGINT) AS rows
-FROM unit JOIN partition p ON container_id = partition_id JOIN idx i USING (object_id, index_id) WHERE rows > 0
+@probe("row_groups_of_object", _with("row_group", "partition", "segment", "col") + f"""
+{_ROW_GROUPS} WHERE r.object_id = (SELECT max(object_id) FROM row_group)
 """)
+def row_groups_of_object(t: Tables):
+    frames = _frames(t, "row_group", "partition", "segment", "col")
+    return tm.row_group_report(*frames, object_id=frames[0].agg(F.max("object_id")).first()[0])
+
+
+_STORAGE = """
+SELECT object_id, i.name AS index_name, index_id, partition_number, data_compression_desc, type_desc, total_pages, CAST(rows AS BIGINT) AS rows
+FROM unit JOIN partition p ON container_id = partition_id JOIN idx i USING (object_id, index_id) WHERE rows > 0
+"""
+
+
+@probe("storage_pages", _with("unit", "partition", "idx") + _STORAGE)
 def storage_pages(t: Tables):
     return tm.storage_pages(*_frames(t, "unit", "partition", "idx"))
 
 
+@probe("storage_pages_of_object", _with("unit", "partition", "idx") + _STORAGE + " AND object_id = (SELECT min(object_id) FROM partition)")
+def storage_pages_of_object(t: Tables):
+    frames = _frames(t, "unit", "partition", "idx")
+    return tm.storage_pages(*frames, object_id=frames[1].agg(F.min("object_id")).first()[0])
+
+
 @probe("page_listing", _with("page", "internal") + """
 SELECT file_id, page_id, index_id, type_desc, is_allocated, is_iam_page, page_type_desc, row_group_id, internal_object_type_desc,
        data_compression_desc, rowset_id FROM page JOIN internal ON rowset_id = partition_id
@@ -307,16 +331,16 @@ def storage_summary(t: Tables):
 
 
 @probe("lock_waits", _with("lock", "wait", "hobt", "tab", "tidx") + """
-SELECT request_session_id, resource_type, CASE resource_type WHEN 'OBJECT' THEN o.name ELSE po.name END AS object_name, i.name AS index_name,
+SELECT 'db1' AS database_name, request_session_id, resource_type, CASE resource_type WHEN 'OBJECT' THEN o.name ELSE po.name END AS object_name, i.name AS index_name,
        resource_subtype, resource_description, resource_associated_entity_id, request_mode, request_status, blocking_session_id,
        wait_duration_ms / 1000.0 AS wait_seconds
 FROM lock LEFT JOIN wait ON lock_owner_address = resource_address LEFT JOIN hobt p ON resource_associated_entity_id = hobt_id
 LEFT JOIN tab o ON resource_associated_entity_id = o.object_id LEFT JOIN tab po ON po.object_id = p.object_id
 LEFT JOIN tidx i ON coalesce(o.object_id, p.object_id) = i.object_id AND coalesce(p.index_id, 1) = coalesce(i.index_id, 1)
-WHERE resource_associated_entity_id > 0 AND request_session_id <> 5
+WHERE resource_associated_entity_id > 0 AND request_session_id <> 5 AND resource_database_id = 1
 """)
 def lock_waits(t: Tables):
-    return tm.lock_waits(*_frames(t, "lock", "wait", "hobt", "tab", "tidx"), own_session=5)
+    return tm.lock_waits(*_frames(t, "lock", "wait", "hobt", "tab", "tidx"), database_id=1, database="db1", own_session=5)
 
 
 @probe("memory_feedback", _with("feedback", "plan_of", "hint") + """
@@ -417,6 +441,18 @@ def stats_freshness(t: Tables):
     return tm.stats_freshness(*_frames(t, "part_rows", "border", "stats", "inc_stats"), first=199600, last=10000000)
 
 
+@probe("stats_freshness_of_table", _with("part_rows", "stats", "inc_stats") + """
+SELECT p.table_name, s.name AS stats_name, p.partition_number, 10000000 AS upper_border, last_updated, row_count, CAST(rows AS BIGINT) AS stats_row_count,
+       rows_sampled, steps, unfiltered_rows, CAST(modification_counter AS BIGINT) AS modification_counter
+FROM part_rows p JOIN stats s ON s.object_id = p.object_id AND s.stats_id = 1
+JOIN inc_stats i ON i.object_id = p.object_id AND i.stats_id = 1 AND i.partition_number = p.partition_number WHERE p.table_name = 'icon.O'
+""")
+def stats_freshness_of_table(t: Tables):
+    """One table; without borders every partition is open above."""
+    parts, border, stats, inc = _frames(t, "part_rows", "border", "stats", "inc_stats")
+    return tm.stats_freshness(parts, border.limit(0), stats, inc, first=199600, last=10000000, tables=["icon.O"])
+
+
 @probe("stats_threshold", _with("cust_part", "cust_stats") + """
 , l AS (SELECT *, CASE WHEN rows < 500 THEN 500 WHEN rows <= 25000 THEN rows // 5 ELSE CAST(floor(sqrt(1000.0 * rows)) AS BIGINT) END AS update_threshold
         FROM cust_part JOIN cust_stats USING (object_id))
