@@ -27,8 +27,8 @@ from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
 NONE = np.int32(2**31 - 1)
 #: Rows and columns of a matrix; longer pieces go one at a time.
 CELLS, WIDEST = 1 << 18, 64
-#: Pieces remembered by a task between slices; beyond that it starts anew.
-REMEMBERED = 1 << 19
+#: Pieces remembered by a task between slices; beyond that it starts anew.  Bytes of text in a slice.
+REMEMBERED, SLICE = 1 << 17, 1 << 20
 #: Bytes of a rank file that a task closure may carry.
 RANK_FILE_BYTES = 16 << 20
 
@@ -240,7 +240,7 @@ def encode(docs: DataFrame, keys: list[str], text: str, ranks: str, pattern: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(rank_file, pattern)
-        for part in slices(batches, n):
+        for part in slices(batches, n, SLICE):
             flat, counts = vocabulary.encode([x or "" for x in part.column(n).to_pylist()])
             yield pa.RecordBatch.from_arrays([*part.columns[:n], lists(flat, counts, pa.int32())], names=[*keys, ids])
 
