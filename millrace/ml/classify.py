@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -65,12 +65,14 @@ def feature_names(model: PipelineModel, categorical: list[str], numeric: list[st
 
 
 def train(df: DataFrame, categorical: list[str], numeric: list[str], label: str, c: float = 10.0,
-          iterations: int = 1000) -> PipelineModel:
+          iterations: int = 1000, keep: bool = True) -> PipelineModel:
     """Logistic regression with L2 strength 1/C over the sum of losses.
 
     Spark minimizes the mean loss, hence 1 / (C * rows); the bias stays free.
+    ``keep`` is for frames that the caller does not keep already.
     """
-    with reused(df.select(*categorical, *numeric, label)) as rows:
+    rows = df.select(*categorical, *numeric, label)
+    with reused(rows) if keep else nullcontext(rows) as rows:
         n = rows.count()
         model = LogisticRegression(
             featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
@@ -111,7 +113,7 @@ def eliminate(train_df: DataFrame, val_df: DataFrame, categorical: list[str], nu
     with reused(train_df) as fit_on, reused(val_df) as judge_on:
         for name in [*categorical, *numeric]:
             cats, nums = [x for x in categorical if x != name], [x for x in numeric if x != name]
-            scored = score(train(fit_on, cats, nums, label, c), judge_on, [label], strict=True)
+            scored = score(train(fit_on, cats, nums, label, c, keep=False), judge_on, [label], strict=True)
             out.append((name, accuracy(scored, label).first()[0]))
     return spark.createDataFrame(out, "feature string, accuracy double")
 
@@ -121,18 +123,51 @@ def split_80_20(df: DataFrame, key: str, seed: int) -> tuple[DataFrame, DataFram
     return parts.filter("split = 'train'"), parts.filter("split = 'val'")
 
 
-def train_network(df: DataFrame, vector: str, label: str, hidden: int = 64, step: float = 0.02, iterations: int = 10,
-                  seed: int = 42):
-    """Binary classifier with one hidden layer on array columns; returns model and loss history."""
-    rows = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"), F.col(label).alias("label"))
-    size = rows.select(F.size(vector_to_array("features"))).first()[0]
-    net = MultilayerPerceptronClassifier(
-        layers=[size, hidden, 2], maxIter=iterations, stepSize=step, seed=seed, solver="l-bfgs",
-    )
-    model = net.fit(rows)
-    losses = [float(v) for v in model.summary().objectiveHistory]
-    history = df.sparkSession.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double")
-    return model, history
+def _vectors(df: DataFrame, vector: str, label: str) -> DataFrame:
+    return df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"), F.col(label).cast("double").alias("label"))
+
+
+def train_network(df: DataFrame, vector: str, label: str, hidden: int = 64, step: float | None = None, iterations: int = 10,
+                  seed: int = 42, validation: DataFrame | None = None):
+    """Binary classifier with one hidden layer on array columns; returns a model and the history.
+
+    With ``step`` every epoch is one gradient step of that size over all rows.
+    The model is that of the epoch with the best accuracy on ``validation`` (on
+    ``df`` if none is given), the history has epoch, loss, accuracy,
+    val_accuracy and saved (better than any before).  Without ``step`` the
+    optimizer (L-BFGS) chooses its own; the history then has epoch and loss.
+    """
+    size = df.select(F.size(vector)).first()[0]
+    if step is None:
+        with reused(_vectors(df, vector, label)) as rows:
+            model = MultilayerPerceptronClassifier(layers=[size, hidden, 2], maxIter=iterations, seed=seed, solver="l-bfgs").fit(rows)
+        losses = [float(v) for v in model.summary().objectiveHistory]
+        return model, df.sparkSession.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double")
+    weights, best, kept, history = None, -1.0, None, []
+    with reused(_vectors(df, vector, label)) as rows, reused(_vectors(df if validation is None else validation, vector, label)) as judged:
+        right = lambda model, on: model.transform(on).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+        for epoch in range(1, iterations + 1):
+            net = MultilayerPerceptronClassifier(layers=[size, hidden, 2], maxIter=1, stepSize=step, seed=seed, solver="gd")
+            if weights is not None:
+                net.setInitialWeights(weights)
+            model = net.fit(rows)
+            weights = model.weights
+            value = right(model, judged)
+            same = rows is judged or validation is None
+            history.append((epoch, float(model.summary().objectiveHistory[-1]), value if same else right(model, rows), value, value > best))
+            if value > best:
+                best, kept = value, model
+    return kept, df.sparkSession.createDataFrame(history, "epoch int, loss double, accuracy double, val_accuracy double, saved boolean")
+
+
+def compare_steps(df: DataFrame, validation: DataFrame, vector: str, label: str, steps: list[float], **options) -> DataFrame:
+    """Training histories for several step sizes (learning rates), under each other."""
+    out = None
+    for step in steps:
+        _, history = train_network(df, vector, label, step=step, validation=validation, **options)
+        part = history.select(F.lit(float(step)).alias("step"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def predict_network(model, df: DataFrame, vector: str, keep: list[str]) -> DataFrame:
@@ -146,6 +181,6 @@ def compare(train_df: DataFrame, val_df: DataFrame, categorical: list[str], nume
     out = []
     with reused(train_df) as fit_on, reused(val_df) as judge_on:
         for c in values:
-            scored = score(train(fit_on, categorical, numeric, label, c), judge_on, [label])
+            scored = score(train(fit_on, categorical, numeric, label, c, keep=False), judge_on, [label])
             out.append((float(c), accuracy(scored, label).first()[0]))
     return train_df.sparkSession.createDataFrame(out, "c double, accuracy double")

@@ -195,13 +195,10 @@ def _vectors(t: Tables):
 
 @probe("mlp_train")
 def mlp_train(t: Tables):
-    """Loss per step of a network with 64 hidden units, with the best-so-far flag."""
-    from millrace.operators.running import best_so_far
-
-    _, history = classify.train_network(_vectors(t), "embedding", "y", iterations=10)
-    rising = history.withColumns({"run": F.lit(1), "gain": -F.col("loss")})
-    flagged = best_so_far(rising, ["run"], F.floor(F.col("epoch") / 1000), [F.col("epoch")], "gain", "saved")
-    return flagged.select("epoch", F.round("loss", 4).alias("loss"), "saved")
+    """Loss and accuracy per gradient step of a network with 64 hidden units, with the best-so-far flag."""
+    train, val = classify.split_80_20(_vectors(t), "vec_id", 42)
+    _, history = classify.train_network(train, "embedding", "y", step=0.02, iterations=10, validation=val)
+    return history.withColumns({c: F.round(c, 4) for c in ("loss", "accuracy", "val_accuracy")})
 
 
 @probe("nearest_resize", """

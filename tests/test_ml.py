@@ -273,3 +273,22 @@ def test_rank_quality_leaves_out_nulls(spark):
     assert (got.auc, got.n_pos, got.n_neg) == (0.75, 2, 2)
     low = metrics.threshold_counts(df, "s", "y", 10).filter("t = 0").first()
     assert (low.tp, low.fp) == (2, 2)
+
+
+def test_step_size_matters(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in rng.normal(size=3) + 2 * (i % 2)], i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, vec array<float>, y int")
+    train, val = df.filter("id < 90"), df.filter("id >= 90")
+    got = classify.compare_steps(train, val, "vec", "y", [0.02, 1.0], hidden=6, iterations=6).orderBy("step", "epoch").collect()
+    assert [(r.step, r.epoch) for r in got] == [(s, e) for s in (0.02, 1.0) for e in range(1, 7)]
+    slow, fast = [[r.loss for r in got if r.step == s] for s in (0.02, 1.0)]
+    assert slow != fast and fast[-1] < slow[-1] < slow[0]
+    for s in (0.02, 1.0):
+        best = -1.0
+        for r in [r for r in got if r.step == s]:
+            assert r.saved == (r.val_accuracy > best) and 0 <= r.accuracy <= 1
+            best = max(best, r.val_accuracy)
+    model, history = classify.train_network(train, "vec", "y", hidden=6, step=1.0, iterations=6, validation=val)
+    scored = classify.predict_network(model, val, "vec", ["y"])
+    assert scored.agg(F.avg(((F.col("probability") > 0.5) == (F.col("y") == 1)).cast("int"))).first()[0] == max(r.val_accuracy for r in history.collect())
