@@ -107,15 +107,17 @@ def scan(docs: DataFrame, key: str, text: str, licences: DataFrame, notices: Dat
     """Per row of ``docs``: ``key``, digest of the canonical text, licence (null if unknown), notices (names of those
     that stand on a line of their own, sorted, comma-joined) and n_notices (such lines)."""
     rows = docs.select(docs[key].alias("_key"), F.xxhash64(docs[text].cast("string")).alias("_text"), canonical_lines(docs[text]).alias("lines"))
-    found = rows.select("_key", "_text", F.posexplode("lines").alias("at", "line")).filter("line != ''").select(
-        "_key", "_text", "at", digest(F.col("line")).alias("digest")).join(
-        notices.withColumnRenamed("licence", "name"), "digest").select("_key", "_text", "at", "name").distinct().groupBy("_key", "_text").agg(
-        F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"), F.count("*").alias("n"))
-    whole = rows.select("_key", "_text", whole_digest(F.col("lines")).alias("digest")).join(licences, "digest", "left")
-    named = found.select(F.col("_key").alias("k"), F.col("_text").alias("t"), "names", "n")
-    both = whole.join(named, whole["_key"].eqNullSafe(named["k"]) & whole["_text"].eqNullSafe(named["t"]), "left")
-    return both.select(F.col("_key").alias(key), "digest", "licence", F.coalesce("names", F.lit("")).alias("notices"),
-                       F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"))
+    # place 0: the whole text; the digest of an empty line is left out
+    each = F.concat(F.array(whole_digest(F.col("lines"))), F.transform("lines", lambda x: F.when(x != "", digest(x))))
+    each = rows.select("_key", "_text", F.posexplode(each).alias("at", "digest")).filter("digest is not null")
+    known_ = licences.select("digest", F.lit(True).alias("whole"), "licence").unionByName(notices.select("digest", F.lit(False).alias("whole"), "licence"))
+    named = each.withColumn("whole", F.col("at") == 0).join(known_, ["digest", "whole"], "left").filter("whole or licence is not null")
+    notice = F.when(~F.col("whole"), F.col("licence"))
+    return named.groupBy("_key", "_text").agg(
+        F.max(F.when(F.col("whole"), F.col("digest"))).alias("digest"), F.max(F.when(F.col("whole"), F.col("licence"))).alias("licence"),
+        F.array_join(F.array_sort(F.collect_set(notice)), ",").alias("notices"), F.count(notice).alias("n"), F.count_if("whole").alias("rows"),
+    ).select(F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))).alias("_"), "*").select(
+        F.col("_key").alias(key), "digest", "licence", "notices", F.floor(F.col("n") / F.col("rows")).cast("long").alias("n_notices"))
 
 
 def scan_sql() -> str:
