@@ -26,7 +26,7 @@ def build(
     """Build the wanted models and whatever they need, each once.
 
     Views stay lazy; tables are written below ``root`` (sorted and partitioned
-    as declared) and read back, so later models read files.
+    as declared), stand in the catalog and are read back, so later models read files.
     """
     done: dict[str, DataFrame] = dict(sources)
     open_: set[str] = set()
@@ -51,12 +51,4 @@ def _keep(spark: SparkSession, df: DataFrame, model: Model, name: str, path: str
     if model.kind == "view":
         df.createOrReplaceTempView(name)
         return df
-    if model.partition:
-        tables.write_partitioned_clustered(df, path, model.partition, model.cluster)
-    elif model.cluster:
-        tables.write_clustered(df, path, model.cluster)
-    else:
-        return tables.publish(df, name, path)
-    out = spark.read.parquet(path)
-    out.createOrReplaceTempView(name)
-    return out
+    return tables.publish(df, name, path, cluster=model.cluster, partition=model.partition)

@@ -58,9 +58,14 @@ def write_clustered(df: DataFrame, path: str, cluster: list[str]) -> str:
     return path
 
 
-def publish(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> DataFrame:
-    """Save as a named table at ``path``; returns the table."""
-    df.write.mode(mode).option("path", path).saveAsTable(name)
+def publish(df: DataFrame, name: str, path: str, mode: str = "overwrite", cluster: list[str] | None = None,
+            partition: dict[str, Column] | None = None) -> DataFrame:
+    """Save as a named table at ``path``, sorted by ``cluster`` and with folders by ``partition``; returns the table."""
+    partition = partition or {}
+    rows = df.withColumns(partition) if partition else df
+    if cluster or partition:
+        rows = _ranged(rows, [*partition, *(cluster or [])])
+    rows.write.mode(mode).option("path", path).partitionBy(*partition).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -257,3 +257,15 @@ def test_league_files(spark, tmp_path):
     got = football.clean_all(raw)
     assert got["club"].first().asDict() == {"clubId": "120", "clubName": "Arsenal", "website": "Null"}
     assert got["player"].first().asDict() == {"playerId": "7", "playerName": "Agüero"}
+
+
+def test_laid_out_models_are_catalog_tables(spark, tmp_path):
+    rows = spark.range(20).select("id", (F.col("id") % 3).alias("g"), F.lit("2001-02-03").cast("date").alias("day"))
+    models = {"plain": Model(lambda x: x, ["s"], "table"), "sorted": Model(lambda x: x, ["s"], "table", ["g"]),
+              "parted": Model(lambda x: x, ["s"], "table", ["g"], {"year": F.trunc("day", "year")}), "seen": Model(lambda x: x, ["parted"])}
+    for _ in range(2):  # a second build replaces the tables
+        built = build(spark, models, {"s": rows}, list(models), str(tmp_path), "lay_")
+        listed = {t.name: t.isTemporary for t in spark.catalog.listTables() if t.name.startswith("lay_")}
+        assert listed == {"lay_plain": False, "lay_sorted": False, "lay_parted": False, "lay_seen": True}
+        assert spark.table("lay_parted").count() == 20 and built["seen"].columns == ["id", "g", "day", "year"]
+    assert [c.name for c in spark.catalog.listColumns("lay_parted") if c.isPartition] == ["year"]
