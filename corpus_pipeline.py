@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, language, repeats, simhash
+from millrace.llm.batches import columns
 from millrace.llm.queries import RANKS, table
 from millrace.llm.scratch import Scratch
 
@@ -43,7 +44,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col(names[1]) == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return cut.select(*docs.columns)
+    return cut.select(*columns(docs.columns))
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

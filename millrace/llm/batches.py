@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at a time (one longer text is taken alone).
 SLICE_BYTES = 4 << 20
@@ -40,6 +41,11 @@ def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(run, schema)
 
 
+def columns(names: list[str]) -> list[Column]:
+    """Columns by their plain names, whatever characters these hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, lists, mapped, ranges, slices
 
 #: Bytes of benchmark text sent along with one pass.
 BLOCK_BYTES = 4 << 20
@@ -229,11 +229,11 @@ def hits(docs: DataFrame, carry: list[str], text: str, items: DataFrame, item_ke
     """``carry`` columns of every document, and under ``names``: its number of words, those hit, the first and
     last-but-one word numbers of each run hit (flat list), and the sorted item ids (strings) whose windows occur."""
     n = len(carry)
-    fields = docs.select(*carry).schema.fields
+    fields = docs.select(*columns(carry)).schema.fields
     state = [T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()),
              T.StructField(names[2], T.ArrayType(T.LongType())), T.StructField(names[3], T.ArrayType(T.StringType()))]
     held = "_" + max([*docs.columns, *names], key=len)
-    out = docs.select(*carry, docs[text].cast("string").alias(held))
+    out = docs.select(*columns(carry), docs[text].cast("string").alias(held))
 
     def one(block: tuple[list, list], first: bool, last: bool):
         benchmark = Benchmark(*block, window)
@@ -326,4 +326,4 @@ def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str = "item_id
     stem = "_" + max(docs.columns, key=len)
     names = tuple(stem + x for x in ("_words", "_hit", "_runs", "_items"))
     marked = hits(docs, docs.columns, text, items, item_key, item_text, window, names)
-    return marked.filter(~contaminated(names[0], names[1], share)).select(*docs.columns)
+    return marked.filter(~contaminated(names[0], names[1], share)).select(*columns(docs.columns))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, lists, mapped, ranges, slices
 from millrace.llm.scratch import Scratch
 
 #: Bytes whose hash chooses anchors, and bytes of a symbol (less for short lengths).
@@ -445,11 +445,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key:
     stem = "_" + max([*docs.columns, *names], key=len)
     inner = [stem + x for x in ("t1", "t2", "text", "runs", "copies")]
     t1, t2 = _identity(docs[text])
-    rows = docs.select(*carry, t1.alias(inner[0]), t2.alias(inner[1]), docs[text].cast("string").alias(inner[2]))
+    rows = docs.select(*columns(carry), t1.alias(inner[0]), t2.alias(inner[1]), docs[text].cast("string").alias(inner[2]))
     found = found.select(F.col("t1").alias(inner[0]), F.col("t2").alias(inner[1]), F.col("runs").alias(inner[3]), F.col("copies").alias(inner[4]))
-    joined = rows.join(found, inner[:2], "left").select(*carry, *inner[2:])
+    joined = rows.join(found, inner[:2], "left").select(*columns(carry), *inner[2:])
     n = len(carry)
-    schema = T.StructType([*docs.select(*carry).schema.fields, *[T.StructField(x, T.LongType()) for x in names[:3]],
+    schema = T.StructType([*docs.select(*columns(carry)).schema.fields, *[T.StructField(x, T.LongType()) for x in names[:3]],
                            T.StructField(names[3], T.StringType() if characters else T.BinaryType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
