@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, mapped, ranges, slices
 
 #: Bytes of a window, filter widths, filters of each width, size of a byte's vector.
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 16, 8
 #: Labelled windows a language that training takes at most.
 PER_LANGUAGE = 2000
+#: Languages that are learned at most, the most frequent ones.
+LANGUAGES = 512
 EPOCHS, BATCH, RATE = 6, 64, 0.004
 UNKNOWN = "und"
 _letter = regex.compile(r"\p{L}")
@@ -132,6 +134,10 @@ def sample(docs: DataFrame, text: str, lang: str, learn: Column, per_language: i
     begin = F.pmod(F.xxhash64(whole, F.lit("begin")), F.greatest(F.length(whole) - WINDOW + 1, F.lit(1))).cast("int") + 1
     rows = docs.filter(learn & docs[lang].isNotNull() & docs[text].isNotNull()).select(
         docs[lang].cast("string").alias("lang"), F.xxhash64(whole).alias("h"), F.substring(whole, begin, F.lit(WINDOW)).alias("piece"))
+    # a share by hash leaves a few times the bound, however many rows a language has; copies of a text count once
+    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
+    share = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(4.0 * per_language * (1 << 20)) / F.col("n")
+    rows = rows.join(counts, "lang").filter(share).select("lang", "h", "piece").distinct()
     order = Window.partitionBy("lang").orderBy("h", "piece")
     return rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("lang", "piece")
 
@@ -152,7 +158,7 @@ def learn(docs: DataFrame, text: str, lang: str, chosen: Column, per_language: i
 def predict(docs: DataFrame, carry: list[str], text: str, net: Network | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``carry`` columns of every row, and under ``names`` its language and the probability of that."""
     n = len(carry)
-    schema = T.StructType([*docs.select(*carry).schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    schema = T.StructType([*docs.select(*columns(carry)).schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     held = "_" + max([*docs.columns, *names], key=len)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +185,7 @@ def predict(docs: DataFrame, carry: list[str], text: str, net: Network | None, n
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array([called[b] for b in best], pa.string()), pa.array(score)],
                                              names=[*carry, *names])
 
-    return mapped(docs.select(*carry, docs[text].cast("string").alias(held)), run, schema)
+    return mapped(docs.select(*columns(carry), docs[text].cast("string").alias(held)), run, schema)
 
 
 def held_out(key: str | Column, folds: int = 4, fold: int = 2) -> Column:
@@ -194,4 +200,4 @@ def known_language(docs: DataFrame, text: str, lang: str, key: str, least: float
     stem = "_" + max(docs.columns, key=len)
     names = (stem + "_lang", stem + "_score")
     found = predict(docs, docs.columns, text, net, names)
-    return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)
+    return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*columns(docs.columns))
