@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.running import before, chunked, upto
+
 
 def block_rows(df: DataFrame, keys: list[str], text: str, size: int = 6) -> DataFrame:
     """One row per block of ``size`` lines: its number, head (line 0) and item (line 1).
@@ -42,3 +44,27 @@ def block_lists(df: DataFrame, keys: list[str], text: str, size: int = 6) -> Dat
             F.array_join(F.transform(F.array_sort(items), lambda x: x["item"]), ", ").alias("items"),
         )
     )
+
+
+def line_block_lists(lines: DataFrame, keys: list[str], size: int = 6, blocks_per_chunk: int = 100_000) -> DataFrame:
+    """As ``block_lists``, for texts that come as numbered lines (``keys``, line from 0, text), however long.
+
+    Only the first two lines of a block are grouped; heads are carried along
+    chunks of blocks, so no task holds all lines of a text.
+    """
+    trimmed = F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", "")
+    place = F.col("line") % size
+    rows = lines.filter(place < 2).groupBy(*keys, F.floor(F.col("line") / size).alias("block")).agg(
+        F.max(F.when(place == 0, trimmed)).alias("_head"), F.coalesce(F.max(F.when(place == 1, trimmed)), F.lit("")).alias("item"))
+    named = F.nullif(F.col("_head"), F.lit(""))
+    got = chunked(
+        rows, keys, F.floor(F.col("block") / blocks_per_chunk), [F.col("block")],
+        local={"_in": lambda w: F.last(named, ignorenulls=True).over(upto(w))},
+        summary={"_last": F.max_by(named, F.when(named.isNotNull(), F.col("block")))},
+        carry={"_before": lambda w: F.last("_last", ignorenulls=True).over(before(w))},
+    )
+    items = F.collect_list(F.when(F.col("item") != "", F.struct("block", "item")))
+    return (
+        got.withColumn("head", F.coalesce("_in", "_before")).filter(F.col("head").isNotNull()).groupBy(*keys, "head")
+        .agg(F.min("block").alias("first_block"), F.array_join(F.transform(F.array_sort(items), lambda x: x["item"]), ", ").alias("items"))
+    )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import profile
-from millrace.operators.blocks import block_lists
+from millrace.operators.blocks import block_lists, line_block_lists
 from millrace.operators.running import best_so_far as flag_best
 from millrace.operators.running import previous_value, slice_chunk
 from millrace.probes.registry import Tables, probe
@@ -74,6 +74,22 @@ def best_so_far(t: Tables):
     return flagged.select("user_id", "event_id", "value", "is_best")
 
 
+@probe("line_block_lines", r"""
+WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS lines FROM documents),
+b AS (SELECT doc_id, unnest(range(0, (len(lines) - 1) // 6 + 1)) AS block, lines FROM l),
+f AS (SELECT doc_id, block, regexp_replace(lines[block * 6 + 1], '^\s+|\s+$', '', 'g') AS head,
+             regexp_replace(coalesce(lines[block * 6 + 2], ''), '^\s+|\s+$', '', 'g') AS item FROM b),
+g AS (SELECT doc_id, block, item, last_value(nullif(head, '') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY block
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head FROM f)
+SELECT doc_id, head, min(block) AS first_block, coalesce(string_agg(item, ', ' ORDER BY block) FILTER (WHERE item <> ''), '') AS items
+FROM g WHERE head IS NOT NULL GROUP BY 1, 2
+""")
+def line_block_lines(t: Tables):
+    """The same lists from numbered lines, in chunks of 4 blocks."""
+    parts = F.posexplode(F.split("text", r"\r\n|\r|\n", -1)).alias("line", "text")
+    return line_block_lists(t.documents.select("doc_id", parts), ["doc_id"], blocks_per_chunk=4)
+
+
 @probe("line_block_records", r"""
 WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS lines FROM documents),
 b AS (SELECT doc_id, unnest(range(0, (len(lines) - 1) // 6 + 1)) AS block, lines FROM l),

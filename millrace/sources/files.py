@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,22 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line: path, line (from 0 in its file) and text; a long file is read by many tasks.
+
+    A line's place in its split is known where it is read; how many lines come
+    before the split follows from one small row a split.  No line is shuffled.
+    """
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("text"),
+    )
+    splits = rows.groupBy("path", "_start").agg(F.min("_id").alias("_first"), F.count("text").alias("_n"))
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(splits, ["path", "_start"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"), "text")
+
+
 def read_labelled_folders(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Files below ``root``; the folder a file lies in is its label.
 

@@ -150,3 +150,26 @@ def test_work_folder_comes_from_the_session(spark):
 def test_materialized_result(spark, tmp_path):
     df = tables.materialize(spark.range(7), str(tmp_path / "m"))
     assert df.count() == 7 and os.path.isdir(tmp_path / "m")
+
+
+def test_lines_of_split_files(spark, tmp_path):
+    from millrace.operators.blocks import block_lists, line_block_lists
+    texts = {}
+    for name, n in (("a", 700), ("b", 1), ("c", 61)):
+        lines = [("" if (i // 6) % 4 == 2 else f" head {i % 30} ") if i % 6 == 0 else f"item {i}" for i in range(n)]
+        texts[name] = lines
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "d.txt").write_text("")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400b")
+    try:
+        rows = files.read_lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 8
+        got = [(os.path.basename(r.path)[0], r.line, r.text) for r in rows.collect()]
+        assert sorted(got) == sorted((k, i, x) for k, lines in texts.items() for i, x in enumerate(lines))
+        named = rows.withColumn("path", F.substring(F.element_at(F.split("path", "/"), -1), 1, 1))
+        lists = {tuple(r) for r in line_block_lists(named, ["path"], blocks_per_chunk=3).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    whole = spark.createDataFrame([(k, "\n".join(v)) for k, v in texts.items()], "path string, text string")
+    assert lists == {tuple(r) for r in block_lists(whole, ["path"], "text").collect()} and len(lists) > 5
