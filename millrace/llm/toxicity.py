@@ -27,11 +27,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import mapped, slices
+from millrace.llm.batches import columns, mapped, slices
 
 #: Labelled documents of each class that training takes at most, and characters of each.
 PER_CLASS, CHARACTERS = 2500, 8000
@@ -185,8 +185,12 @@ def learn(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
     total = sum(counts.values())
     if not total:
         return Model(0.0)
-    order = Window.partitionBy("y").orderBy(F.xxhash64("k"), "k")
-    few = marked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("k", "y")
+    few = None
+    for y, n in sorted(counts.items()):
+        # a share by hash first, so that no more than a few times the bound is ordered
+        share = F.pmod(F.xxhash64(F.lit("share"), "k"), F.lit(1 << 20)) < 4.0 * per_class / n * (1 << 20)
+        some = marked.filter((F.col("y") == y) & share).orderBy(F.xxhash64("k"), "k").limit(per_class)
+        few = some if few is None else few.unionByName(some)
     # at most 2 * per_class rows of two numbers
     rows = docs.select(docs[key].alias("k"), F.substring(docs[text].cast("string"), 1, CHARACTERS).alias("t")).join(F.broadcast(few), "k").collect()
     seen = {r["k"]: r for r in sorted(rows, key=lambda r: (r["k"], r["t"] or ""), reverse=True) if r["t"]}
@@ -197,7 +201,7 @@ def learn(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
 def score(docs: DataFrame, carry: list[str], text: str, model: Model, name: str = "score") -> DataFrame:
     """``carry`` columns and the score (0 to 1) of every whole text."""
     n = len(carry)
-    schema = T.StructType([*docs.select(*carry).schema.fields, T.StructField(name, T.DoubleType())])
+    schema = T.StructType([*docs.select(*columns(carry)).schema.fields, T.StructField(name, T.DoubleType())])
     held = "_" + max([*docs.columns, name], key=len)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,4 +210,4 @@ def score(docs: DataFrame, carry: list[str], text: str, model: Model, name: str
             found = [model.score(gains, t) for t in part.column(n).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(found, pa.float64())], names=[*carry, name])
 
-    return mapped(docs.select(*carry, docs[text].cast("string").alias(held)), run, schema)
+    return mapped(docs.select(*columns(carry), docs[text].cast("string").alias(held)), run, schema)
