@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, language, repeats, simhash
-from millrace.llm.batches import columns
+from millrace.llm.batches import columns, fresh
 from millrace.llm.queries import RANKS, table
 from millrace.llm.scratch import Scratch
 
@@ -37,7 +37,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     follows the text.  Null stays null, and documents that lose all text stay
     with an empty one.
     """
-    names = tuple("_" + max(docs.columns, key=len) + x for x in ("_bytes", "_removed", "_spans", "_kept"))
+    names = tuple(fresh(docs.columns, "bytes", "removed", "spans", "kept"))
     found = repeats.without_repeats(spark, docs, docs.columns, "doc_id", "text", 400, names, characters=True)
     text = F.when(F.col(names[1]) == 0, F.col("text")).otherwise(F.col(names[3]))
     cut = found.withColumn("text", text)

@@ -38,7 +38,8 @@ def ship(spark: SparkSession) -> None:
 def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow`` with the modules that ``run`` imports at hand in the tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    # ``run`` takes columns by place: plain names spare it those that Spark would have to quote
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
 
 
 def columns(names: list[str]) -> list[Column]:
@@ -46,6 +47,14 @@ def columns(names: list[str]) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names`` with as many underscores in front as it takes to be none of ``taken``."""
+    used, lead = {t.lower() for t in taken}, "_"
+    while any((lead + n).lower() in used for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

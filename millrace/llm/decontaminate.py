@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, columns, lists, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, fresh, lists, mapped, ranges, slices
 
 #: Bytes of benchmark text sent along with one pass.
 BLOCK_BYTES = 4 << 20
@@ -232,7 +232,7 @@ def hits(docs: DataFrame, carry: list[str], text: str, items: DataFrame, item_ke
     fields = docs.select(*columns(carry)).schema.fields
     state = [T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()),
              T.StructField(names[2], T.ArrayType(T.LongType())), T.StructField(names[3], T.ArrayType(T.StringType()))]
-    held = "_" + max([*docs.columns, *names], key=len)
+    held, = fresh([*docs.columns, *names], "held")
     out = docs.select(*columns(carry), docs[text].cast("string").alias(held))
 
     def one(block: tuple[list, list], first: bool, last: bool):
@@ -323,7 +323,6 @@ def contaminated(n_words: str = "n_words", n_hit: str = "n_hit", share: int = 20
 def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str = "item_id", item_text: str = "text",
           window: int = 13, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated documents, all columns as they were."""
-    stem = "_" + max(docs.columns, key=len)
-    names = tuple(stem + x for x in ("_words", "_hit", "_runs", "_items"))
+    names = tuple(fresh(docs.columns, "words", "hit", "runs", "items"))
     marked = hits(docs, docs.columns, text, items, item_key, item_text, window, names)
     return marked.filter(~contaminated(names[0], names[1], share)).select(*columns(docs.columns))

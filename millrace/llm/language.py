@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, columns, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, fresh, mapped, ranges, slices
 
 #: Bytes of a window, filter widths, filters of each width, size of a byte's vector.
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 16, 8
@@ -33,6 +33,8 @@ PER_LANGUAGE = 2000
 #: Languages that are learned at most, the most frequent ones.
 LANGUAGES = 512
 EPOCHS, BATCH, RATE = 6, 64, 0.004
+#: Steps that training takes at least, however few the windows.
+STEPS = 400
 UNKNOWN = "und"
 _letter = regex.compile(r"\p{L}")
 
@@ -85,7 +87,7 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
     params = [net.vectors, net.filters, net.bias, net.out, net.out_bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     widest, step = max(WIDTHS), 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(windows)))):
         order = rng.permutation(len(windows))
         for begin in range(0, len(order), BATCH):
             some = order[begin:begin + BATCH]
@@ -159,7 +161,7 @@ def predict(docs: DataFrame, carry: list[str], text: str, net: Network | None, n
     """``carry`` columns of every row, and under ``names`` its language and the probability of that."""
     n = len(carry)
     schema = T.StructType([*docs.select(*columns(carry)).schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    held = "_" + max([*docs.columns, *names], key=len)
+    held, = fresh([*docs.columns, *names], "held")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, n, 1 << 20):
@@ -197,7 +199,6 @@ def held_out(key: str | Column, folds: int = 4, fold: int = 2) -> Column:
 def known_language(docs: DataFrame, text: str, lang: str, key: str, least: float = 0.3) -> DataFrame:
     """``docs`` without texts of no language: null, without a letter, or no language with a probability of ``least``."""
     net = learn(docs, text, lang, ~held_out(docs[key]))
-    stem = "_" + max(docs.columns, key=len)
-    names = (stem + "_lang", stem + "_score")
+    names = tuple(fresh(docs.columns, "lang", "score"))
     found = predict(docs, docs.columns, text, net, names)
     return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*columns(docs.columns))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import byte_view, columns, lists, mapped, ranges, slices
+from millrace.llm.batches import byte_view, columns, fresh, lists, mapped, ranges, slices
 from millrace.llm.scratch import Scratch
 
 #: Bytes whose hash chooses anchors, and bytes of a symbol (less for short lengths).
@@ -442,8 +442,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, carry: list[str], key:
     The rest is binary; with ``characters`` it is text, without the bytes of characters that a cut has parted.
     """
     found = repeated_runs(spark, docs, key, text, length, crowd)
-    stem = "_" + max([*docs.columns, *names], key=len)
-    inner = [stem + x for x in ("t1", "t2", "text", "runs", "copies")]
+    inner = fresh([*docs.columns, *names], "t1", "t2", "text", "runs", "copies")
     t1, t2 = _identity(docs[text])
     rows = docs.select(*columns(carry), t1.alias(inner[0]), t2.alias(inner[1]), docs[text].cast("string").alias(inner[2]))
     found = found.select(F.col("t1").alias(inner[0]), F.col("t2").alias(inner[1]), F.col("runs").alias(inner[3]), F.col("copies").alias(inner[4]))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import mapped, slices
+from millrace.llm.batches import fresh, mapped, slices
 from millrace.llm.components import components, unite
 from millrace.llm.scratch import Scratch
 
@@ -247,5 +247,5 @@ def first_of_groups(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     if firsts.filter("n > 1").isEmpty():
         return kept
     order = Window.partitionBy(key, text).orderBy(F.lit(0))
-    number = "_" + max(docs.columns, key=len)
+    number, = fresh(docs.columns, "number")
     return kept.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number)
