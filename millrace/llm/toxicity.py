@@ -1,14 +1,17 @@
-"""Toxicity as a compression distance between two zstandard dictionaries.
+"""Toxicity as a compression distance between zstandard dictionaries.
 
-Training, on the driver, takes a bounded sample of labelled documents.  Both
+Training, on the driver, takes a bounded sample of labelled documents.  All
 dictionaries begin with the same ordinary prose; behind it stand, in each, the
-strings that mark its class: runs of GRAM-byte strings that occur in many more
-documents of the class than of the other.  What they share compresses alike, so
-the lengths differ where a mark of one class stands.
+strings that mark its class: runs of short strings that occur in clearly more
+documents of the class than those of the other let expect.  There is one
+ordinary dictionary and a toxic one for each line of GRAMS: one for short
+strings that ordinary text hardly has, one for longer strings that it has less
+often.  What the dictionaries share compresses alike, so the lengths differ
+where a mark of one class stands.
 
 A text is cut into windows of about WINDOW bytes at blanks, twice, the second
 time half a window off.  The gain of a window is its compressed length with the
-ordinary dictionary less that with the toxic one.  Counts, shares and maxima of
+ordinary dictionary less that with a toxic one.  Counts, shares and maxima of
 the gains go through a logistic function that is calibrated on labelled
 documents that the dictionaries have not seen; 0.5 is its threshold.
 
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +34,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import columns, mapped, slices
+from millrace.llm.batches import columns, fresh, mapped, slices
 
 #: Labelled documents of each class that training takes at most, and characters of each.
 PER_CLASS, CHARACTERS = 2500, 8000
-WINDOW, GRAM, LEVEL = 64, 5, 6
-#: Bytes of prose that both dictionaries share, and of marks in each.
+WINDOW, LEVEL = 64, 6
+#: Bytes of prose that all dictionaries share, and of marks in each.
 SHARED, MARKED = 8192, 16384
-#: A mark occurs in this share of its class's documents, and so many times the other's share.
-SUPPORT, LIFT = 0.006, 40
+#: Kinds of marks: bytes of a string, times and standard deviations that it occurs in more documents than expected.
+GRAMS = ((5, 40, 4), (8, 7, 8))
+#: Share of its class's documents that a mark occurs in, and share of a mark's strings that no other mark has.
+SUPPORT, NEW = 0.006, 0.5
 GAINS = (2, 3, 4, 5, 6)
 
 
@@ -63,47 +68,55 @@ def windows(text: str | None) -> list[bytes]:
     return out
 
 
-def _grams(held: bytes) -> np.ndarray:
+def _grams(held: bytes, size: int) -> np.ndarray:
+    """All strings of ``size`` bytes (8 at most) of a text, as numbers."""
     data = np.frombuffer(held, np.uint8).astype(np.uint64)
-    if len(data) < GRAM:
+    if len(data) < size:
         return np.zeros(0, np.uint64)
-    grams = np.zeros(len(data) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        grams = grams << np.uint64(8) | data[k:len(data) - GRAM + 1 + k]
+    grams = np.zeros(len(data) - size + 1, np.uint64)
+    for k in range(size):
+        grams = grams << np.uint64(8) | data[k:len(data) - size + 1 + k]
     return grams
 
 
-def marks(own: list[bytes], other: list[bytes]) -> bytes:
-    """Strings that mark the documents of ``own`` against ``other``, the most frequent last."""
-    count = lambda texts: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(t)) for t in texts)]), return_counts=True)
+def _marking(own: list[bytes], other: list[bytes], size: int, lift: float, clear: float) -> np.ndarray:
+    """Strings in clearly more documents of ``own`` than those in ``other`` let expect."""
+    count = lambda texts: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(t, size)) for t in texts)]), return_counts=True)
     (grams, n), (others, m) = count(own), count(other)
     at = np.minimum(np.searchsorted(others, grams), max(0, len(others) - 1))
     beside = np.where(others[at] == grams, m[at], 0) if len(others) else np.zeros(len(grams))
-    lift = (n / max(1, len(own))) / ((beside + 1) / max(1, len(other)))
-    chosen = grams[(n >= max(4, SUPPORT * len(own))) & (lift >= LIFT)]
-    runs: Counter[bytes] = Counter()
+    expected = (beside + 1) * (len(own) / max(1, len(other)))
+    above = (n - expected) / np.sqrt(expected + 1)
+    return grams[(n >= max(4, SUPPORT * len(own))) & (above >= clear) & (n >= lift * expected)]
+
+
+def marks(own: list[bytes], other: list[bytes], size: int, lift: float, clear: float) -> bytes:
+    """Strings that mark the documents of ``own`` against ``other``, the most frequent last."""
+    grams, runs = _marking(own, other, size, lift, clear), Counter()
     for text in own:
-        hit = np.flatnonzero(np.isin(_grams(text), chosen))
+        hit = np.flatnonzero(np.isin(_grams(text, size), grams))
         if not len(hit):
             continue
         first = np.flatnonzero(np.diff(hit, prepend=-9) > 1)
         for a, b in zip(hit[first].tolist(), [*hit[first[1:] - 1].tolist(), int(hit[-1])]):
-            runs[text[a:b + GRAM]] += 1
-    kept, covered, size = [], set(), 0
+            runs[text[a:b + size]] += 1
+    kept, covered, held = [], set(), 0
     for run, _ in sorted(runs.items(), key=lambda x: (-x[1], x[0])):
-        new = {run[i:i + GRAM] for i in range(len(run) - GRAM + 1)} - covered
-        if new and size + len(run) <= MARKED:
+        parts = {run[i:i + size] for i in range(len(run) - size + 1)}
+        new = parts - covered
+        # what is mostly there already would add chance matches, not marks
+        if len(new) >= NEW * len(parts) and held + len(run) <= MARKED:
             kept.append(run)
-            covered |= new
-            size += len(run)
+            covered |= parts
+            held += len(run)
     return b"".join(reversed(kept))
 
 
 class Gains:
     """Compressed length with the ordinary dictionary less that with the toxic one."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
-        self.ordinary, self.toxic = self._compressor(ordinary), self._compressor(toxic)
+    def __init__(self, ordinary: bytes, toxic: list[bytes]):
+        self.ordinary, self.toxic = self._compressor(ordinary), [self._compressor(t) for t in toxic]
 
     @staticmethod
     def _compressor(content: bytes):
@@ -115,24 +128,26 @@ class Gains:
         return zstandard.ZstdCompressor(dict_data=held, compression_params=params).compress
 
     def __call__(self, parts: list[bytes]) -> np.ndarray:
-        a, b = self.ordinary, self.toxic
-        return np.array([len(a(x)) - len(b(x)) for x in parts], np.float64)
+        """A row for each window, a column for each toxic dictionary."""
+        plain = np.array([len(self.ordinary(x)) for x in parts], np.float64)
+        return plain[:, None] - np.array([[len(c(x)) for x in parts] for c in self.toxic], np.float64).T
 
     def features(self, text: str | None) -> np.ndarray:
-        gains = self(windows(text))
-        if not len(gains):
-            gains = np.zeros(1)
-        over = gains[:, None] >= np.array(GAINS)
-        top = np.sort(gains)[-3:]
-        return np.concatenate([[gains.max(), top.mean(), np.maximum(gains - 2, 0).mean(), gains.mean()],
-                               np.log1p(over.sum(axis=0)), over.mean(axis=0), [np.log1p(len(gains))]])
+        parts = windows(text)
+        every = self(parts) if parts else np.zeros((1, len(self.toxic)))
+        out = [np.log1p(len(every))]
+        for gains in every.T:
+            over = gains[:, None] >= np.array(GAINS)
+            out += [gains.max(), np.sort(gains)[-3:].mean(), np.maximum(gains - 2, 0).mean(), gains.mean(),
+                    *np.log1p(over.sum(axis=0)), *over.mean(axis=0)]
+        return np.array(out)
 
 
 @dataclass
 class Model:
     share: float
     ordinary: bytes = b""
-    toxic: bytes = b""
+    toxic: list[bytes] = field(default_factory=list)
     weights: np.ndarray | None = None
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
@@ -159,7 +174,7 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Model:
         return Model(share)
     each = max(16, SHARED // len(good))
     shared = b"".join(t[len(t) // 2:len(t) // 2 + each] for t in good)[:SHARED]
-    model = Model(share, shared + marks(good, bad), shared + marks(bad, good))
+    model = Model(share, shared + marks(good, bad, *GRAMS[0]), [shared + marks(bad, good, *kind) for kind in GRAMS])
     gains = Gains(model.ordinary, model.toxic)
     rows = np.array([gains.features(texts[i]) for i in rest])
     model.mean, model.spread = rows.mean(axis=0), rows.std(axis=0) + 1e-6
@@ -202,7 +217,7 @@ def score(docs: DataFrame, carry: list[str], text: str, model: Model, name: str
     """``carry`` columns and the score (0 to 1) of every whole text."""
     n = len(carry)
     schema = T.StructType([*docs.select(*columns(carry)).schema.fields, T.StructField(name, T.DoubleType())])
-    held = "_" + max([*docs.columns, name], key=len)
+    held, = fresh([*docs.columns, name], "held")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains = Gains(model.ordinary, model.toxic) if model.weights is not None else None
