@@ -81,6 +81,22 @@ def train(df: DataFrame, categorical: list[str], numeric: list[str], label: str,
         return Pipeline(stages=[*encoder(categorical, numeric), model]).fit(rows)
 
 
+def loss_slopes(model: PipelineModel, df: DataFrame, categorical: list[str], numeric: list[str], label: str, c: float) -> DataFrame:
+    """Per feature and for the bias: rows where it is not zero, and the slope of the penalized mean loss.
+
+    At the optimum every slope is zero.
+    """
+    fitted = model.stages[-1]
+    names = [*feature_names(model, categorical, numeric), "bias"]
+    weights = [*map(float, fitted.coefficients), 0.0]  # the bias is not penalized
+    terms = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    wrong = F.get(vector_to_array("probability"), F.lit(1)) - F.col(label)
+    rows = model.transform(df).select(wrong.alias("_wrong"), F.posexplode(terms).alias("_i", "_x"))
+    slopes = rows.groupBy("_i").agg(F.sum(F.col("_wrong") * F.col("_x")).alias("_s"), F.count_if(F.col("_x") != 0).alias("n_rows"), F.count("*").alias("_n"))
+    name, weight = F.get(F.array(*map(F.lit, names)), F.col("_i")), F.get(F.array(*map(F.lit, weights)), F.col("_i"))
+    return slopes.select(name.alias("feature"), "n_rows", ((F.col("_s") + weight / F.lit(c)) / F.col("_n")).alias("slope"))
+
+
 def score(model: PipelineModel, df: DataFrame, keep: list[str], threshold: float = 0.5, strict: bool = False) -> DataFrame:
     """Probability of class 1 and the flag ``>= threshold`` (``>`` if strict)."""
     probability = F.get(vector_to_array("probability"), F.lit(1))

@@ -147,6 +147,21 @@ def logreg_scores(t: Tables):
     return classify.score(model, val, ["doc_id", "label"]).select("doc_id", "label", F.round("probability", 4).alias("probability"), "flag")
 
 
+@probe("logreg_optimum", """
+WITH d AS (SELECT l.doc_id, lang, source, n_chars, row_number() OVER (ORDER BY md5('2|' || l.doc_id), l.doc_id) AS rn, count(*) OVER () AS n
+           FROM labels l JOIN documents USING (doc_id)), t AS (SELECT * FROM d WHERE rn <= n - floor(n * 0.2))
+SELECT 'lang=' || lang AS feature, count(*) AS n_rows, true AS flat FROM t GROUP BY 1
+UNION ALL SELECT 'source=' || source, count(*), true FROM t GROUP BY 1
+UNION ALL SELECT 'log_chars', count(*) FILTER (WHERE n_chars > 0), true FROM t UNION ALL SELECT 'bias', count(*), true FROM t
+""")
+def logreg_optimum(t: Tables):
+    """The fitted weights are the optimum: the loss has no slope along any feature."""
+    train, _ = classify.split_80_20(_churn(t), "doc_id", 2)
+    model = classify.train(train, _CATS, _NUMS, "label", 10.0)
+    slopes = classify.loss_slopes(model, train, _CATS, _NUMS, "label", 10.0)
+    return slopes.select("feature", "n_rows", (F.abs("slope") < 1e-4).alias("flat"))
+
+
 @probe("churn_auc")
 def churn_auc(t: Tables):
     _, area = classify.fit_and_judge(_churn(t), "doc_id", _CATS, _NUMS, "label")

@@ -13,6 +13,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables
 
 
 
+#: Fitted models and hashed random rows: tested against their rules in test_ml.py and test_rows.py.
+NO_SQL = {"logreg_scores", "churn_auc", "batch_scoring", "feature_elimination", "param_grid", "mlp_train", "cnn_batch_scoring", "random_schema"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     return oracle(FOLDER)
@@ -21,7 +25,7 @@ def duck():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     state, n, detail = compare(QUERIES[name](spark, FOLDER), duck, ORACLES.get(name))
-    assert state in ("ok", "rows only"), detail
+    assert state == ("rows only" if name in NO_SQL else "ok"), detail
     assert n > 0
 
 
