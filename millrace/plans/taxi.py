@@ -13,7 +13,7 @@ from millrace.functions.names import rename_all, to_snake
 from millrace.operators.rows import first_per_key, keep_positive, limited, tag_union
 from millrace.plans import quality
 from millrace.plans.models import Model
-from millrace.session import scratch_path
+from millrace.session import remove_path, scratch_path
 from millrace.sources.files import read_csv
 from millrace.sources.tables import add_partitions, write_partitioned
 
@@ -77,10 +77,14 @@ def load_trips(spark: SparkSession, paths: str | list[str], out: str, kind: str
     """
     by = f"{PREFIX[kind]}_pickup_date"
     trips = clean_trips(read_trips(spark, paths, kind), kind)
-    # Checked on the staged files, so that the source is read once.
-    staged = spark.read.schema(trips.schema).parquet(write_partitioned(trips, scratch_path(spark, "load"), [by]))
-    quality.enforce(check_clean(staged))
-    return add_partitions(staged, out, [by], replace)
+    stage = scratch_path(spark, "load")
+    try:
+        # Checked on the staged files, so that the source is read once.
+        staged = spark.read.schema(trips.schema).parquet(write_partitioned(trips, stage, [by]))
+        quality.enforce(check_clean(staged))
+        return add_partitions(staged, out, [by], replace)
+    finally:
+        remove_path(spark, stage)
 
 
 def trips_within_day(trips: DataFrame, day: str, prefix: str = "lpep") -> DataFrame:

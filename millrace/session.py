@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _local_dirs: dict[str, str] = {}
+_handed: list[str] = []
 
 
 def local_session(app: str = "millrace", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -44,5 +45,21 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the working folder that nothing else uses."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the working folder that nothing else uses; ``release_scratch`` removes what was written there."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _handed:
+        _handed.remove(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate data of this process; results that still read it end with that."""
+    for path in [p for p in _handed if p.startswith(f"{work_dir(spark)}/")]:
+        remove_path(spark, path)

@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import football, quality, taxi, telemetry
 from millrace.plans.models import Model, build
+from millrace.session import work_dir
 
 
 def trips(spark, prefix):
@@ -191,6 +194,8 @@ def test_trip_files_to_dataset(spark, tmp_path):
 
 
 def test_loads_add_up(spark, tmp_path):
+    staged = lambda: {p for p in os.listdir(work_dir(spark).removeprefix("file:")) if p.startswith("load-")}
+    earlier = staged()
     first, second = trip_files(tmp_path)
     out = str(tmp_path / "out")
     days = lambda: {str(r[0]): r[1] for r in spark.read.parquet(out).groupBy("lpep_pickup_date").count().collect()}
@@ -207,6 +212,8 @@ def test_loads_add_up(spark, tmp_path):
     with pytest.raises(ValueError, match="has_rows"):
         taxi.load_trips(spark, str(empty), out, replace=True)
     assert days() == {"2020-10-01": 2, "2020-11-01": 4}
+    # Nothing is left of the staged files.
+    assert staged() == earlier
 
 
 def test_load_to_facts(spark, tmp_path):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import scratch_path, work_dir
+from millrace.session import release_scratch, scratch_path, work_dir
 from millrace.sources import files, jdbc, tables
 
 
@@ -173,3 +173,11 @@ def test_lines_of_split_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     whole = spark.createDataFrame([(k, "\n".join(v)) for k, v in texts.items()], "path string, text string")
     assert lists == {tuple(r) for r in block_lists(whole, ["path"], "text").collect()} and len(lists) > 5
+
+
+def test_scratch_has_an_owner(spark):
+    paths = [scratch_path(spark, "owned") for _ in range(2)]
+    spark.range(3).write.parquet(paths[0])  # the other is never written
+    release_scratch(spark)
+    assert not os.path.exists(paths[0].removeprefix("file:"))
+    release_scratch(spark)
