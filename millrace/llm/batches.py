@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -12,8 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a task works on at a time (one longer text is taken alone).
-SLICE_BYTES = 4 << 20
+#: Bytes of text that a task works on at a time (one longer text is taken alone), and of the batches it gets.
+SLICE_BYTES, BATCH_BYTES = 1 << 20, 8 << 20
+#: Spark's own bound of a batch, which a session that has not chosen another gets replaced by BATCH_BYTES.
+BATCH_SETTING, USUAL_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 _shipped: set[str] = set()
 
@@ -36,10 +40,30 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``df.mapInArrow`` with the modules that ``run`` imports at hand in the tasks."""
-    ship(df.sparkSession)
+    """``df.mapInArrow`` with the modules that ``run`` imports at hand in the tasks, and in small batches.
+
+    Workers serve one task after another: each gives back what it does not need any more.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if int(spark.conf.get(BATCH_SETTING, str(USUAL_BYTES)).rstrip("b")) == USUAL_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     # ``run`` takes columns by place: plain names spare it those that Spark would have to quote
-    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(bounded, schema)
+
+
+def give_back() -> None:
+    """Return memory that is free inside this process to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def columns(names: list[str]) -> list[Column]:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
@@ -27,8 +28,8 @@ from millrace.llm.batches import byte_view, lists, mapped, ranges, slices
 NONE = np.int32(2**31 - 1)
 #: Rows and columns of a matrix; longer pieces go one at a time.
 CELLS, WIDEST = 1 << 18, 64
-#: Pieces remembered by a task between slices; beyond that it starts anew.  Bytes of text in a slice.
-REMEMBERED, SLICE = 1 << 17, 1 << 20
+#: Pieces remembered by a task between slices; beyond that it starts anew.
+REMEMBERED = 1 << 17
 #: Bytes of a rank file that a task closure may carry.
 RANK_FILE_BYTES = 16 << 20
 
@@ -240,7 +241,7 @@ def encode(docs: DataFrame, keys: list[str], text: str, ranks: str, pattern: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(rank_file, pattern)
-        for part in slices(batches, n, SLICE):
+        for part in slices(batches, n):
             flat, counts = vocabulary.encode([x or "" for x in part.column(n).to_pylist()])
             yield pa.RecordBatch.from_arrays([*part.columns[:n], lists(flat, counts, pa.int32())], names=[*keys, ids])
 
@@ -266,14 +267,26 @@ def decode(encoded: DataFrame, keys: list[str], ids: str, ranks: str, decoded: s
     return mapped(encoded.select(*keys, ids), run, schema)
 
 
+def round_trip(docs: DataFrame, keys: list[str], text: str, ranks: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``keys``, the token ids of ``text`` and the bytes that these decode to, in one pass."""
+    rank_file, n = read_ranks(ranks), len(keys)
+    chosen = docs.select(*keys, docs[text].cast("string").alias("_text"))
+    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.BinaryType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(rank_file, pattern)
+        for part in slices(batches, n):
+            flat, counts = vocabulary.encode([x or "" for x in part.column(n).to_pylist()])
+            held, at = vocabulary.decode(flat, counts)
+            texts = pa.array([held[a:b] for a, b in zip(at[:-1], at[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], lists(flat, counts, pa.int32()), texts], names=[*keys, ids, decoded])
+
+    return mapped(chosen, run, schema)
+
+
 def digest_rows(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """Per document the number of ids, and the digests of the ids and of the bytes they decode to."""
-    from pyspark.sql import functions as F
-
-    ids = encode(docs, ["doc_id"], "text", ranks, pattern)
-    # the ids travel with the document, so that a repeated doc_id needs no join
-    both = decode(ids.select("doc_id", "ids"), ["doc_id", "ids"], "ids", ranks)
-    return both.select(
+    return round_trip(docs, ["doc_id"], "text", ranks, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

@@ -374,7 +374,7 @@ def _finer(length: int, step: int):
     hash takes the place of the anchor's key.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 8, 1 << 20):
+        for part in slices(batches, 8):
             rows: list[int] = []
             numbers: list[tuple[int, int, int]] = []
             keys, names, texts = [], [], []

@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, keys: list[str | Column], text: str, shingle:
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(into, T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, len(names), 1 << 20):
+        for part in slices(batches, len(names)):
             found = fingerprints_of(part.column(len(names)).to_pylist(), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], names=[*names, into])
 
