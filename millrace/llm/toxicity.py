@@ -1,6 +1,8 @@
 """Toxicity as a compression distance between zstandard dictionaries.
 
-Training, on the driver, takes a bounded sample of labelled documents.  All
+Training takes a bounded number of labelled documents, each as a whole: tasks
+count their strings and work out their gains, the driver gets the strings that
+mark a class, one row of gains a document and the dictionaries.  All
 dictionaries begin with the same ordinary prose; behind it stand, in each, the
 strings that mark its class: runs of short strings that occur in clearly more
 documents of the class than those of the other let expect.  There is one
@@ -23,7 +25,7 @@ its labels does; null labels and null ids are left out of training.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -35,9 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.batches import columns, fresh, mapped, slices
+from millrace.llm.scratch import Scratch
 
-#: Labelled documents of each class that training takes at most, and characters of each.
-PER_CLASS, CHARACTERS = 2500, 8000
+#: Labelled documents of each class that training takes at most.
+PER_CLASS = 2500
 WINDOW, LEVEL = 64, 6
 #: Bytes of prose that all dictionaries share, and of marks in each.
 SHARED, MARKED = 8192, 16384
@@ -46,6 +49,10 @@ GRAMS = ((5, 40, 4), (8, 7, 8))
 #: Share of its class's documents that a mark occurs in, and share of a mark's strings that no other mark has.
 SUPPORT, NEW = 0.006, 0.5
 GAINS = (2, 3, 4, 5, 6)
+#: The dictionaries' marks: class, then a line of GRAMS.  The ordinary dictionary comes first.
+KINDS = ((0, *GRAMS[0]), *((1, *kind) for kind in GRAMS))
+#: Counted strings that a task hands over at a time.
+COUNTED = 1 << 18
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -79,37 +86,88 @@ def _grams(held: bytes, size: int) -> np.ndarray:
     return grams
 
 
-def _marking(own: list[bytes], other: list[bytes], size: int, lift: float, clear: float) -> np.ndarray:
-    """Strings in clearly more documents of ``own`` than those in ``other`` let expect."""
-    count = lambda texts: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(t, size)) for t in texts)]), return_counts=True)
-    (grams, n), (others, m) = count(own), count(other)
-    at = np.minimum(np.searchsorted(others, grams), max(0, len(others) - 1))
-    beside = np.where(others[at] == grams, m[at], 0) if len(others) else np.zeros(len(grams))
-    expected = (beside + 1) * (len(own) / max(1, len(other)))
-    above = (n - expected) / np.sqrt(expected + 1)
-    return grams[(n >= max(4, SUPPORT * len(own))) & (above >= clear) & (n >= lift * expected)]
+def _plain(text: str) -> bytes:
+    return b" " + b" ".join(text.encode().lower().split()) + b" "
 
 
-def marks(own: list[bytes], other: list[bytes], size: int, lift: float, clear: float) -> bytes:
-    """Strings that mark the documents of ``own`` against ``other``, the most frequent last."""
-    grams, runs = _marking(own, other, size, lift, clear), Counter()
-    for text in own:
-        hit = np.flatnonzero(np.isin(_grams(text, size), grams))
-        if not len(hit):
+def _counted(rows: DataFrame) -> DataFrame:
+    """(size, gram, n0, n1): documents (t, y) of each class that hold a string."""
+    schema = T.StructType([T.StructField("size", T.IntegerType()), *(T.StructField(x, T.LongType()) for x in ("gram", "n0", "n1"))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 0):
+            toxic = part.column(1).to_numpy(zero_copy_only=False)
+            held = [_plain(t) for t in part.column(0).to_pylist()]
+            for size in sorted({kind[0] for kind in GRAMS}):
+                each = [np.unique(_grams(t, size)) for t in held]
+                grams, which = np.unique(np.concatenate(each), return_inverse=True)
+                bad = np.bincount(which, np.repeat(toxic, [len(x) for x in each]), len(grams)).astype(np.int64)
+                good = np.bincount(which, minlength=len(grams)) - bad
+                for at in range(0, len(grams), COUNTED):
+                    some = slice(at, at + COUNTED)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(grams[some]), size, np.int32)), pa.array(grams[some].view(np.int64)), pa.array(good[some]),
+                        pa.array(bad[some])], names=schema.names)
+
+    return mapped(rows, run, schema).groupBy("size", "gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def _marking(rows: DataFrame, n: tuple[int, int]) -> list[np.ndarray]:
+    """For each of KINDS the strings in clearly more documents of its class than those of the other let expect; n: documents of each class."""
+    found = []
+    for k, (own, size, lift, clear) in enumerate(KINDS):
+        here, expected = F.col(f"n{own}"), (F.col(f"n{1 - own}") + 1) * (n[own] / max(1, n[1 - own]))
+        above = (here - expected) / F.sqrt(expected + 1)
+        marks_ = (F.col("size") == size) & (here >= max(4, SUPPORT * n[own])) & (above >= clear) & (here >= lift * expected)
+        found.append(F.when(marks_, F.lit(k)))
+    kinds = F.filter(F.array(*found), lambda x: x.isNotNull())
+    held = _counted(rows).select(F.explode(kinds).alias("kind"), "gram").toArrow()
+    kind, gram = held["kind"].to_numpy(), held["gram"].to_numpy().view(np.uint64)
+    return [np.sort(gram[kind == k]) for k in range(len(KINDS))]
+
+
+def _runs(rows: DataFrame, grams: list[np.ndarray]) -> DataFrame:
+    """(kind, run, n): unbroken stretches of a kind's strings in the documents (t, y) of its class, and how often they occur.
+
+    Stretches longer than all marks together may be cannot become one.
+    """
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("run", T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 0):
+            runs = Counter()
+            for t, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                text = _plain(t)
+                for kind, (own, size, *_) in enumerate(KINDS):
+                    hit = np.flatnonzero(np.isin(_grams(text, size), grams[kind])) if y == own else ()
+                    if not len(hit):
+                        continue
+                    first = np.flatnonzero(np.diff(hit, prepend=-9) > 1)
+                    for a, b in zip(hit[first].tolist(), [*hit[first[1:] - 1].tolist(), int(hit[-1])]):
+                        if b + size - a <= MARKED:
+                            runs[kind, text[a:b + size]] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in runs], pa.int32()), pa.array([x[1] for x in runs], pa.binary()),
+                                              pa.array(runs.values(), pa.int64())], names=schema.names)
+
+    return mapped(rows, run, schema).groupBy("kind", "run").agg(F.sum("n").alias("n"))
+
+
+def marks(rows: DataFrame, n: tuple[int, int]) -> list[bytes]:
+    """For each of KINDS the strings that mark its class in the documents (t, y), the most frequent last."""
+    kept, covered, held = defaultdict(list), defaultdict(set), Counter()
+    # one row after the other, a partition at a time
+    for kind, run, _ in _runs(rows, _marking(rows, n)).orderBy("kind", F.desc("n"), "run").toLocalIterator():
+        if held[kind] + len(run) > MARKED:
             continue
-        first = np.flatnonzero(np.diff(hit, prepend=-9) > 1)
-        for a, b in zip(hit[first].tolist(), [*hit[first[1:] - 1].tolist(), int(hit[-1])]):
-            runs[text[a:b + size]] += 1
-    kept, covered, held = [], set(), 0
-    for run, _ in sorted(runs.items(), key=lambda x: (-x[1], x[0])):
+        run, size = bytes(run), KINDS[kind][1]
         parts = {run[i:i + size] for i in range(len(run) - size + 1)}
-        new = parts - covered
+        new = parts - covered[kind]
         # what is mostly there already would add chance matches, not marks
-        if len(new) >= NEW * len(parts) and held + len(run) <= MARKED:
-            kept.append(run)
-            covered |= parts
-            held += len(run)
-    return b"".join(reversed(kept))
+        if len(new) >= NEW * len(parts):
+            kept[kind].append(run)
+            covered[kind] |= parts
+            held[kind] += len(run)
+    return [b"".join(reversed(kept[kind])) for kind in range(len(KINDS))]
 
 
 class Gains:
@@ -159,24 +217,52 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(row @ self.weights[:-1] + self.weights[-1], -500, 500))))
 
 
-def fit(texts: list[str], toxic: list[int], share: float) -> Model:
+def _shared(rows: DataFrame, n: int) -> bytes:
+    """Prose from the middle of ``n`` documents (i, t), in the order of i."""
+    each = max(16, SHARED // n)
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("piece", T.BinaryType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            held = [_plain(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t[len(t) // 2:len(t) // 2 + each] for t in held], pa.binary())], names=schema.names)
+
+    return b"".join(bytes(r["piece"]) for r in sorted(mapped(rows, run, schema).collect(), key=lambda r: r["i"]))[:SHARED]
+
+
+def _features(rows: DataFrame, ordinary: bytes, toxic: list[bytes]) -> dict[int, list[float]]:
+    """Features of the documents (i, t)."""
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("row", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = Gains(ordinary, toxic)
+        for part in slices(batches, 1):
+            found = [gains.features(t).tolist() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.float64()))], names=schema.names)
+
+    return {r["i"]: r["row"] for r in mapped(rows, run, schema).collect()}
+
+
+def fit(rows: DataFrame, toxic: list[int], share: float) -> Model:
     """Dictionaries from two thirds of the texts, the logistic function from the rest.
 
+    rows: number (0, 1, ...), whole text and class of each document, as i, t and
+    y; they are read several times.  toxic: the classes by number.
     share: that of toxic documents among all labelled ones; the classes of the
     sample are weighted to it.
     """
-    held = [b" " + b" ".join(t.encode().lower().split()) + b" " for t in texts]
-    build = [i for i in range(len(texts)) if i % 3]
-    rest = [i for i in range(len(texts)) if i % 3 == 0]
-    bad, good = [held[i] for i in build if toxic[i]], [held[i] for i in build if not toxic[i]]
+    build = [y for i, y in enumerate(toxic) if i % 3]
+    rest = range(0, len(toxic), 3)
+    n = len(build) - sum(build), sum(build)
     label = np.array([toxic[i] for i in rest], np.float64)
-    if not bad or not good or not 0 < label.sum() < len(label):
+    if not all(n) or not 0 < label.sum() < len(label):
         return Model(share)
-    each = max(16, SHARED // len(good))
-    shared = b"".join(t[len(t) // 2:len(t) // 2 + each] for t in good)[:SHARED]
-    model = Model(share, shared + marks(good, bad, *GRAMS[0]), [shared + marks(bad, good, *kind) for kind in GRAMS])
-    gains = Gains(model.ordinary, model.toxic)
-    rows = np.array([gains.features(texts[i]) for i in rest])
+    built = rows.filter("i % 3 <> 0")
+    shared = _shared(built.filter("y = 0").select("i", "t"), n[0])
+    ordinary, *bad = (shared + x for x in marks(built.select("t", "y"), n))
+    model = Model(share, ordinary, bad)
+    found = _features(rows.filter("i % 3 = 0").select("i", "t"), model.ordinary, model.toxic)
+    rows = np.array([found[i] for i in rest])
     model.mean, model.spread = rows.mean(axis=0), rows.std(axis=0) + 1e-6
     x = np.column_stack([(rows - model.mean) / model.spread, np.ones(len(rows))])
     weight = np.where(label == 1, share / label.mean(), (1 - share) / (1 - label.mean()))
@@ -206,11 +292,18 @@ def learn(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: st
         share = F.pmod(F.xxhash64(F.lit("share"), "k"), F.lit(1 << 20)) < 4.0 * per_class / n * (1 << 20)
         some = marked.filter((F.col("y") == y) & share).orderBy(F.xxhash64("k"), "k").limit(per_class)
         few = some if few is None else few.unionByName(some)
-    # at most 2 * per_class rows of two numbers
-    rows = docs.select(docs[key].alias("k"), F.substring(docs[text].cast("string"), 1, CHARACTERS).alias("t")).join(F.broadcast(few), "k").collect()
-    seen = {r["k"]: r for r in sorted(rows, key=lambda r: (r["k"], r["t"] or ""), reverse=True) if r["t"]}
-    held = [seen[k] for k in sorted(seen)]
-    return fit([r["t"] for r in held], [int(r["y"] > 0) for r in held], sum(n for y, n in counts.items() if y > 0) / total)
+    # at most 2 * per_class rows of two numbers; of texts with the same key the least
+    texts = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).filter("t <> ''")
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    held = scratch.write(texts.join(F.broadcast(few), "k").groupBy("k", "y").agg(F.min("t").alias("t")), "sample")
+    keys = sorted((r["k"], int(r["y"] > 0)) for r in held.select("k", "y").collect())
+    model = Model(sum(n for y, n in counts.items() if y > 0) / total)
+    if keys:
+        numbers = docs.sparkSession.createDataFrame([(k, i, y) for i, (k, y) in enumerate(keys)], T.StructType([
+            held.schema["k"], T.StructField("i", T.LongType()), T.StructField("y", T.IntegerType())]))
+        model = fit(held.select("k", "t").join(F.broadcast(numbers), "k").select("i", "t", "y"), [y for _, y in keys], model.share)
+    scratch.drop("sample")
+    return model
 
 
 def score(docs: DataFrame, carry: list[str], text: str, model: Model, name: str = "score") -> DataFrame:

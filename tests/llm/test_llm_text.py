@@ -325,6 +325,20 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), ["doc_id"], "text", model).count() == 0
 
 
+def test_toxicity_behind_long_prose(spark):
+    """Marks that begin after 8000 characters are learned."""
+    rng = random.Random(5)
+    prose = lambda n: ["".join(rng.choice(["the", "re", "ti", "on", "an", "ed", "wh", "or"]) for _ in range(rng.randrange(1, 4))) for _ in range(n)]
+    docs = [(i, " ".join(prose(2000) + (["wretched", "scoundrel"] * 4 if i % 2 else prose(8)))) for i in range(240)]
+    assert min(len(t) for _, t in docs) > 8500
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marked = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    model = toxicity.learn(df, "doc_id", "text", marked, "doc_id", "toxic", marked["doc_id"] >= 30)
+    assert all(b"wretched" in x and b"scoundrel" in x for x in model.toxic)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, ["doc_id"], "text", model).collect()}
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(30))
+
+
 def test_toxicity_query(spark):
     folder = "/root/testdata/sf0.1"
     rows = {r["doc_id"]: r for r in QUERIES["op7_toxicity"](spark, folder).collect()}
