@@ -136,8 +136,9 @@ def sample(docs: DataFrame, text: str, lang: str, learn: Column, per_language: i
     begin = F.pmod(F.xxhash64(whole, F.lit("begin")), F.greatest(F.length(whole) - WINDOW + 1, F.lit(1))).cast("int") + 1
     rows = docs.filter(learn & docs[lang].isNotNull() & docs[text].isNotNull()).select(
         docs[lang].cast("string").alias("lang"), F.xxhash64(whole).alias("h"), F.substring(whole, begin, F.lit(WINDOW)).alias("piece"))
-    # a share by hash leaves a few times the bound, however many rows a language has; copies of a text count once
-    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
+    # a share by hash leaves a few times the bound, however many texts a language has; copies of a text count once
+    texts = rows.select("lang", "h").distinct()
+    counts = F.broadcast(texts.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     share = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(4.0 * per_language * (1 << 20)) / F.col("n")
     rows = rows.join(counts, "lang").filter(share).select("lang", "h", "piece").distinct()
     order = Window.partitionBy("lang").orderBy("h", "piece")

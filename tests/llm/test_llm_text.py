@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from millrace.llm import backoff, bpe, decontaminate, language, licences, tokencount, toxicity
 from millrace.llm.queries import QUERIES, RANKS
@@ -205,6 +206,14 @@ def test_language_edges(spark):
     assert language.known_language(df.limit(0), "text", "lang", "doc_id").count() == 0
 
 
+def test_language_sample_of_copies(spark):
+    """The bound counts different texts: copies do not thin them out."""
+    texts = spark.range(60).selectExpr("concat('text number ', id, ' of some words') text", "'en' lang")
+    copies = spark.range(40000).selectExpr("concat('text number ', id % 3, ' of some words') text", "'en' lang")
+    rows = language.sample(texts.unionByName(copies), "text", "lang", F.lit(True), 50).collect()
+    assert len({r["piece"] for r in rows}) == len(rows) == 50
+
+
 def test_network_slopes():
     """One training step lowers the loss of the windows it saw."""
     rng = np.random.default_rng(0)
