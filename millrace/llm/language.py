@@ -7,7 +7,8 @@ its maximum over the window, and a softmax layer gives the languages.  The
 probabilities of a text are those of its windows, weighted by their bytes.
 
 The network is trained on the driver on at most ``per_language`` labelled
-windows a language, one of each document, chosen by the hash of the text.
+windows a language, one of each document, chosen by the hash of the text.  Every
+label found is learned; what the driver holds grows with their number.
 Scoring reads whole texts.  A text that is null or has no letter is ``und`` with
 score 0, and so is every text if nothing is labelled.
 """
@@ -30,8 +31,6 @@ from millrace.llm.batches import byte_view, columns, fresh, mapped, ranges, slic
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 16, 8
 #: Labelled windows a language that training takes at most.
 PER_LANGUAGE = 2000
-#: Languages that are learned at most, the most frequent ones.
-LANGUAGES = 512
 EPOCHS, BATCH, RATE = 6, 64, 0.004
 #: Steps that training takes at least, however few the windows.
 STEPS = 400
@@ -138,7 +137,7 @@ def sample(docs: DataFrame, text: str, lang: str, learn: Column, per_language: i
         docs[lang].cast("string").alias("lang"), F.xxhash64(whole).alias("h"), F.substring(whole, begin, F.lit(WINDOW)).alias("piece"))
     # a share by hash leaves a few times the bound, however many texts a language has; copies of a text count once
     texts = rows.select("lang", "h").distinct()
-    counts = F.broadcast(texts.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
+    counts = F.broadcast(texts.groupBy("lang").agg(F.count("*").alias("n")))
     share = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(4.0 * per_language * (1 << 20)) / F.col("n")
     rows = rows.join(counts, "lang").filter(share).select("lang", "h", "piece").distinct()
     order = Window.partitionBy("lang").orderBy("h", "piece")

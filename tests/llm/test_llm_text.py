@@ -214,6 +214,12 @@ def test_language_sample_of_copies(spark):
     assert len({r["piece"] for r in rows}) == len(rows) == 50
 
 
+def test_language_many_labels(spark):
+    """No label is left out, however many there are."""
+    rows = spark.range(1200).selectExpr("concat('some text ', id) text", "concat('l', id % 600) lang")
+    assert language.sample(rows, "text", "lang", F.lit(True)).select("lang").distinct().count() == 600
+
+
 def test_network_slopes():
     """One training step lowers the loss of the windows it saw."""
     rng = np.random.default_rng(0)
