@@ -15,6 +15,9 @@ table that names a text twice yields the first name.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,39 @@ NOTICES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
 
+# Title lines that stand above the texts of LICENCES.
+TITLES = (
+    ("MIT", ("MIT License", "The MIT License", "The MIT License (MIT)")),
+    ("ISC", ("ISC License", "The ISC License", "ISC License (ISC)")),
+    ("Zlib", ("zlib License", "The zlib License", "zlib/libpng License")),
+)
+
+#: Folder of whole licence texts with their titles, one file each, named for its licence.
+TEXTS = Path(__file__).parent / "texts"
+
+
+def list_texts() -> tuple[tuple[str, str], ...]:
+    """All known licences: LICENCES and the files of TEXTS, each with and without its title, with and without what follows
+    the end of its terms, with and without the numbers of its clauses."""
+    titled = [(name, f"{title}\n{text}") for name, text in LICENCES for of, titles in TITLES if of == name for title in titles]
+    out = [*LICENCES, *titled]
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text().strip("\n")
+        bodies = {text, re.split(r"\n[ \t]*\n", text, maxsplit=1)[1]}
+        bodies |= {re.sub(r"(END OF TERMS AND CONDITIONS).*", r"\1", x, flags=re.DOTALL) for x in bodies}
+        if path.stem.startswith("BSD"):
+            bodies |= {re.sub(r"(?m)^[0-9]\. ", "", x) for x in bodies}
+        out += [(path.stem, x) for x in sorted(bodies)]
+    return tuple(out)
+
+
+def list_notices() -> tuple[tuple[str, str], ...]:
+    """NOTICES, the first line of the Apache header and an SPDX line for each known licence."""
+    names = sorted({name for name, _ in (*list_texts(), *NOTICES)})
+    return (*NOTICES, ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+            *((name, f"SPDX-License-Identifier: {name}") for name in names))
+
+
 #: A copyright line: begins with a copyright mark, and names a year or a second mark.
 COPYRIGHT = r"^[^\p{L}\p{N}(©]*(copyright|\(c\)|©)[^\p{L}\p{N}]*([0-9]{4}|\(c\)|©|c\)|<year>|\[year\]|yyyy)"
 

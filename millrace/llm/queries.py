@@ -61,8 +61,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_licences", licences.scan_sql())
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known(spark, licences.LICENCES),
-                         licences.known(spark, licences.NOTICES))
+    return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known(spark, licences.list_texts()),
+                         licences.known(spark, licences.list_notices()))
 
 
 @query("op5_bpe")

@@ -279,6 +279,17 @@ def test_licences(spark):
     assert licences.scan(df.limit(0), "doc_id", "text", *known).count() == 0
 
 
+def test_licence_query_knows_titles_and_long_texts(spark, tmp_path):
+    texts = {p.stem: p.read_text() for p in licences.TEXTS.glob("*.txt")}
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + dict(licences.LICENCES)["MIT"]
+    header = '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file'
+    rows = [*texts.items(), ("mit", mit), ("header", header), ("spdx", "// SPDX-License-Identifier: MPL-2.0")]
+    spark.createDataFrame(rows, "doc_id string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["licence"], r["notices"]) for r in QUERIES["op4_licences"](spark, str(tmp_path)).collect()}
+    assert all(got[name][0] == name for name in texts) and {"Apache-2.0", "BSD-3-Clause", "GPL-3.0"} <= texts.keys()
+    assert (got["mit"], got["header"], got["spdx"]) == (("MIT", ""), (None, "Apache-2.0"), (None, "MPL-2.0"))
+
+
 def brute_scores(rows, order):
     grams, own, n = collections.Counter(), collections.defaultdict(collections.Counter), collections.Counter()
     texts = [(k, re.findall(r"[^\W_]+", (t or "").lower())) for k, t in rows]
