@@ -21,7 +21,10 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in a known language; null, letterless and unrecognised texts go."""
+    """Documents in a known language; null, letterless and unrecognised texts go.
+
+    Without a labelled row to learn from, only null and letterless texts go.
+    """
     return language.known_language(docs, "text", "lang", "doc_id")
 
 

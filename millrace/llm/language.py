@@ -197,8 +197,13 @@ def held_out(key: str | Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def known_language(docs: DataFrame, text: str, lang: str, key: str, least: float = 0.3) -> DataFrame:
-    """``docs`` without texts of no language: null, without a letter, or no language with a probability of ``least``."""
+    """``docs`` without texts of no language: null, without a letter, or no language with a probability of ``least``.
+
+    If no row to learn from is labelled, no language can be told: every text with a letter stays.
+    """
     net = learn(docs, text, lang, ~held_out(docs[key]))
+    if net is None:
+        return docs.filter(F.rlike(docs[text].cast("string"), F.lit(r"\p{L}"))).select(*columns(docs.columns))
     names = tuple(fresh(docs.columns, "lang", "score"))
     found = predict(docs, docs.columns, text, net, names)
     return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*columns(docs.columns))

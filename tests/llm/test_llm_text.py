@@ -214,6 +214,13 @@ def test_language_sample_of_copies(spark):
     assert len({r["piece"] for r in rows}) == len(rows) == 50
 
 
+def test_known_language_without_labels(spark):
+    """Texts with a letter stay if nothing is labelled."""
+    df = spark.createDataFrame([(1, "some text", None), (2, "été", None), (3, "12 | 3", None), (4, None, None), (5, "", None)], "doc_id long, text string, lang string")
+    kept = language.known_language(df, "text", "lang", "doc_id")
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
 def test_language_many_labels(spark):
     """No label is left out, however many there are."""
     rows = spark.range(1200).selectExpr("concat('some text ', id) text", "concat('l', id % 600) lang")
