@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import backoff, bpe, decontaminate, language, licences, repeats, simhash, tokencount, toxicity, vectors
+from millrace.llm import backoff, bpe, decontaminate, language, licences, repeats, simhash, tokencount, toxicity, trie, vectors
 from millrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,38 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_vectors")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_copies(spark, table(spark, folder, "embeddings"), "vec_id", "embedding", "label", least=0.98)
+
+
+#: Unsigned CRC-32 of the decimal digits of c, in DuckDB's SQL: bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+  lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda b, i: xor(b >> 1, (b & 1) * 3988292384))))"""
+
+TRIE_SQL = f"""
+with o as (select conv_id c, coalesce(role, '') r, coalesce(text, '') t,
+             row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) p
+           from conversations where conv_id is not null),
+ids as (select c, {_CRC} % 6 h from (select distinct c from o)),
+lent as (select ids.c, o.p, o.r, o.t from ids join o on o.c = ids.c - ids.c % 100 and o.p <= ids.h),
+many as (select c, count(*) n from lent group by 1),
+own as (select o.c, o.p - ids.h + coalesce(many.n, 0) p, o.r, o.t from o join ids using (c) left join many using (c) where o.p > ids.h),
+w as (select ids.c, list({{'r': r, 't': t}} order by p) filter (p is not null) s
+      from ids left join (select * from lent union all select * from own) x using (c) group by 1),
+m as (select c, coalesce(len(s), 0) n, d, coalesce(s[1:d], []) path from (select c, s, unnest(range(0, coalesce(len(s), 0) + 1)) d from w)),
+nodes as (select path, d, min(c) c, count(*) n_convs, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (n = d), '')) ends_sha256
+          from m group by 1, 2),
+kids as (select path[1:d - 1] up, count(*) n_children from nodes where d > 0 group by 1),
+full_nodes as (select nodes.*, coalesce(n_children, 0) n_children, case when d > 0 then (n_convs - 1) * length(path[d].t) else 0 end saved
+               from nodes left join kids on kids.up = nodes.path),
+sums as (select path[1:k] path, sum(saved)::bigint saved_tokens, count(*) filter (n_children = 0) n_leaves
+         from (select *, unnest(range(0, d + 1)) k from full_nodes) group by 1)
+select f.c conv_id, f.d::bigint as depth, u.c parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+from full_nodes f join sums s on s.path = f.path left join nodes u on f.d > 0 and u.path = f.path[1:f.d - 1]
+"""
+
+
+@query("op13_conversations", TRIE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "turns")
+    turns = scratch.write(trie.numbered(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text"), "numbered")
+    taken = F.crc32(F.col("conv").cast("string").cast("binary")) % 6
+    return trie.trie(spark, trie.spliced(turns, F.col("conv") - F.col("conv") % 100, taken, 5))
