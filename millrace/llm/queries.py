@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import backoff, bpe, decontaminate, language, licences, repeats, simhash, tokencount, toxicity, trie, vectors
+from millrace.llm import backoff, bpe, decontaminate, divergence, language, licences, repeats, simhash, tokencount, toxicity, trie, vectors
 from millrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_copies(spark, table(spark, folder, "embeddings"), "vec_id", "embedding", "label", least=0.98)
 
 
+@query("op12_divergence", divergence.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, folder, "documents"), "lang", "source", "text", least=30, top=50)
+
+
 #: Unsigned CRC-32 of the decimal digits of c, in DuckDB's SQL: bit by bit.
 _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
   lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda b, i: xor(b >> 1, (b & 1) * 3988292384))))"""
