@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import backoff, bpe, decontaminate, divergence, language, licences, repeats, simhash, tokencount, toxicity, trie, vectors
+from millrace.llm import backoff, bpe, decontaminate, divergence, language, licences, pii, repeats, simhash, tokencount, toxicity, trie, vectors
 from millrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_copies(spark, table(spark, folder, "embeddings"), "vec_id", "embedding", "label", least=0.98)
 
 
+@query("op11_personal")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find(docs, ["doc_id"], "text", pii.learn(docs, "text"))
+    return found.withColumn("base_sha256", F.sha2(F.col("base").cast("binary"), 256)).drop("base")
+
+
 @query("op12_divergence", divergence.SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(spark, table(spark, folder, "documents"), "lang", "source", "text", least=30, top=50)
