@@ -11,7 +11,7 @@ before, characters around).  The votes of the whole corpus are counted by patter
 votes and shape, a table whose size does not depend on the corpus.  Over it,
 expectation-maximisation estimates for each kind how reliable each labeler is
 and how likely each pattern is personal data, where base spans are known to be
-and refused matches not to be; a logistic classifier of the shape is trained on
+and refused matches and forms behind a contrary word not to be; a logistic classifier of the shape is trained on
 these likelihoods.  Loose forms that it calls personal data and that cross no base
 span are added, likelier ones first.
 
@@ -158,7 +158,9 @@ def _loose(text: str) -> Iterator[tuple[int, int, int]]:
         for found in pattern.finditer(text):
             yield kind, *found.span()
     for found in _loose_phone.finditer(text):
-        if 7 <= len(_not_digit.sub("", found.group())) <= 15 and len(re.findall(r"[0-9]+", found.group())) > 1:
+        # bare groups of digits are of many kinds; a bracketed area, an international prefix or a cue tells
+        told = found.group().startswith(("(", "00")) or _cue(PHONE, text, found.start())
+        if told and 7 <= len(_not_digit.sub("", found.group())) <= 15 and len(re.findall(r"[0-9]+", found.group())) > 1:
             yield PHONE, *found.span()
 
 
@@ -243,15 +245,17 @@ def estimate(codes: np.ndarray, counts: np.ndarray, known: np.ndarray | None = N
     belief = np.clip(0.5 + ((votes == YES).sum(1) - (votes == NO).sum(1)) / (2.0 * len(LABELERS)), 0.05, 0.95)
     belief = np.where(np.isnan(known), belief, known)
     prior = np.ones((2, len(LABELERS), 3))
-    prior[0, :, NO], prior[1, :, YES] = 3.0, 3.0
-    seen = np.stack([votes == v for v in range(3)], axis=2).astype(float)
+    prior[:, :, 0], prior[0, :, NO], prior[1, :, YES] = 0.0, 3.0, 3.0
+    # a labeler that abstains says nothing
+    seen = np.stack([np.zeros(votes.shape, bool), votes == NO, votes == YES], axis=2).astype(float)
     chances = prior
     for _ in range(rounds):
         weight = np.stack([(1 - belief) * counts, belief * counts])
         chances = np.einsum("cp,plv->clv", weight, seen) + prior
         chances /= chances.sum(2, keepdims=True)
-        share = (weight.sum(1) + 1) / (weight.sum() + 2)
-        log = np.log(share)[:, None] + np.einsum("clv,plv->cp", np.log(chances), seen)
+        open_rows = weight[:, np.isnan(known)]
+        share = (open_rows.sum(1) + 1) / (open_rows.sum() + 2)
+        log = np.log(share)[:, None] + np.einsum("clv,plv->cp", np.log(np.maximum(chances, 1e-300)), seen)
         new = np.where(np.isnan(known), 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500))), known)
         done = np.abs(new - belief).max(initial=0.0) < least
         belief = new
@@ -322,8 +326,8 @@ def learn(docs: DataFrame, text: str) -> Model:
     for kind in range(len(KINDS)):
         own = np.array([r[1:] for r in rows if r[0] == kind], np.int64).reshape(-1, 3)
         if len(own):
-            pattern = own[:, 0] // 3 ** (len(LABELERS) - 1)
-            known = np.select([pattern == YES, pattern == NO], [1.0, 0.0], np.nan)
+            pattern, cue = _votes(own[:, 0])[:, [0, LABELERS.index("cue")]].T
+            known = np.select([pattern == YES, (pattern == NO) | (cue == NO)], [1.0, 0.0], np.nan)
             belief, model.reliability[kind] = estimate(own[:, 0], own[:, 2], known)
             model.weights[kind] = classifier(own[:, 1], belief, own[:, 2].astype(float))
     return model
