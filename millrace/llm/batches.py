@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at a time (one longer text is taken alone), and of the batches it gets.
 SLICE_BYTES, BATCH_BYTES = 1 << 20, 8 << 20
-#: Spark's own bound of a batch, which a session that has not chosen another gets replaced by BATCH_BYTES.
-BATCH_SETTING, USUAL_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+#: Bound of a batch; a session that names none gets BATCH_BYTES, any other stays as it is.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped: set[str] = set()
 
@@ -46,7 +46,7 @@ def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
     """
     spark = df.sparkSession
     ship(spark)
-    if int(spark.conf.get(BATCH_SETTING, str(USUAL_BYTES)).rstrip("b")) == USUAL_BYTES:
+    if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
     def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

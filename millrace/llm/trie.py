@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from millrace.llm.batches import mapped
 from millrace.llm.scratch import Scratch
-from millrace.operators.running import row_numbers, slice_chunk
 
 #: Positions that one stretch spans, conversations of one shard.
 STRETCH, SHARD = 256, 1024
@@ -55,6 +54,9 @@ def numbered(convs: DataFrame, conv: str, turn: str, role: str, text: str) -> Da
 
     One conversation may hold most rows.
     """
+    # needed on the driver only; tasks have this subpackage alone
+    from millrace.operators.running import row_numbers, slice_chunk
+
     rows = convs.filter(convs[conv].isNotNull()).select(
         convs[conv].cast("long").alias("conv"), convs[turn].alias("turn"),
         *[F.coalesce(convs[c].cast("string"), F.lit("")).alias(n) for n, c in (("role", role), ("text", text))])

@@ -382,3 +382,15 @@ def test_toxicity_query(spark):
     area = (order[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
     assert area >= 0.95 and np.mean((s >= 0.5) == y) >= 0.95
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in rows.values())
+
+
+@pytest.mark.parametrize("size", ["32m", "64m", "67108864b", "4194304"])
+def test_batch_setting_of_the_session_stays(spark, size):
+    name, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    spark.conf.set(name, size)
+    try:
+        df = spark.createDataFrame([(1, "hi there")], "doc_id long, text string")
+        assert bpe.digest_rows(df, RANKS, public_tokenizers.PATTERN).first()["n_tokens"] == 2
+        assert spark.conf.get(name) == size
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
