@@ -303,7 +303,7 @@ def test_pipeline(spark, tmp_path):
     # one of each near group stays: the smallest id
     _, component = brute_groups(list(texts[0].items()), 4)
     assert texts[1] == {k: texts[0][k] for k in component}
-    rest = brute_rest_fast([t.encode() for t in texts[1].values()])
+    rest = brute_rest_fast([t.encode() for t in texts[1].values()], corpus_pipeline.REPEATED_BYTES)
     assert texts[2] == {k: b.decode(errors="ignore") for k, b in zip(texts[1], rest)}
     assert texts[3].items() <= texts[2].items() and len(texts[3]) < len(texts[2])
     assert all(r["n_chars"] == len(r["text"]) for r in held[2].collect())
@@ -312,7 +312,7 @@ def test_pipeline(spark, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(tuple, held[4].collect()))
 
 
-def brute_rest_fast(texts, length=400):
+def brute_rest_fast(texts, length):
     count = collections.Counter(xxhash.xxh3_64_intdigest(b[i:i + length]) for b in texts for i in range(len(b) - length + 1))
     out = []
     for b in texts:
