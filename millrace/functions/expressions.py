@@ -121,19 +121,36 @@ def ratio_if_positive(a: Column, b: Column) -> Column:
     return F.when(b > 0, (a / b).cast("long"))
 
 
+def _slice_units(text: Column, first: Column, size: Column) -> Column:
+    """``size`` two-byte units of a text from unit ``first`` (from 1); half a character that is left at an end becomes U+FFFD."""
+    cut = F.substring(F.encode(text, "UTF-16LE"), first * 2 - 1, size * 2)
+    lost = F.unhex(F.lit("FDFF"))
+    # the second byte of a unit tells the halves of a character apart
+    front = F.hex(F.substring(cut, 2, 1)).between("DC", "DF")
+    cut = F.when(front, F.concat(lost, F.substring(cut, F.lit(3), F.greatest(F.length(cut) - 2, F.lit(0))))).otherwise(cut)
+    back = F.hex(F.substring(cut, -1, 1)).between("D8", "DB")
+    cut = F.when(back, F.concat(F.substring(cut, F.lit(1), F.length(cut) - 2), lost)).otherwise(cut)
+    return F.decode(cut, "UTF-16LE")
+
+
 def statement_slice(text: Column, start: Column, end: Column, first_shift: int = 1,
                     length_shift: int = 1) -> Column:
-    """Part of a text given by two byte offsets of two-byte characters.
+    """Part of a text given by two byte offsets into its two-byte units.
 
     ``end`` -1 means up to the end of the text.  The two callers differ in
     whether 1 is added to start and length, so both shifts are parameters.
+    Characters beyond the first 65,536 are two units; only texts that hold one
+    are encoded.
     """
-    last = F.when(end == -1, F.length(text) * 2).otherwise(end)
+    wide = F.rlike(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+    units = F.when(wide, F.length(F.encode(text, "UTF-16LE")) / 2).otherwise(F.length(text)).cast("int")
+    last = F.when(end == -1, units * 2).otherwise(end)
     first = F.floor(start / 2).cast("int") + first_shift
     size = F.floor((last - start) / 2).cast("int") + length_shift
     # A first position below 1 eats into the length, as in T-SQL SUBSTRING.
-    size = F.when(first < 1, size + first - 1).otherwise(size)
-    return F.substring(text, F.greatest(first, F.lit(1)), F.greatest(size, F.lit(0)))
+    size = F.greatest(F.when(first < 1, size + first - 1).otherwise(size), F.lit(0))
+    first = F.greatest(first, F.lit(1))
+    return F.when(wide, _slice_units(text, first, F.least(size, units))).otherwise(F.substring(text, first, size))
 
 
 def update_threshold(rows: Column) -> Column:

@@ -44,6 +44,51 @@ def left_join_many(few: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return met.select(*order).unionByName(alone, allowMissingColumns=True)
 
 
+#: Rows of one key from which several tasks share them.
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, least: int = HOT_ROWS) -> DataFrame | None:
+    """(_hot, _copies): keys with more rows than a shuffle partition's even share, ``least`` at least, and how many shares they are.
+
+    Null is a key as any other.  As each holds more than an even share, they are
+    fewer than shuffle partitions, so their list may be collected and broadcast.
+    One pass over the keys tells whether there are any.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    share = max(least, -(-(total or 0) // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    if (most or 0) <= share:
+        return None
+    hot = counts.filter(F.col("_n") > share).select("_hot", F.ceil(F.col("_n") / share).cast("int").alias("_copies"))
+    return spark.createDataFrame(hot.collect(), hot.schema)
+
+
+def spread_joins(long: DataFrame, key: str, sides: list[tuple[DataFrame, str]], least: int = HOT_ROWS) -> DataFrame:
+    """``long`` joined to one short side after the other on the same key, as ``(side, how)``: inner or left.
+
+    Such a chain runs within one shuffle, in which the planner splits no key.
+    Rows of a hot key are dealt out by their content over several parts, and
+    the short sides' rows are repeated for these keys and parts only.  Rows
+    that are equal in every column stay together.
+    """
+    hot = hot_keys(long.select(key), key, least)
+    if hot is None:
+        for side, how in sides:
+            long = long.join(side, key, how)
+        return long
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), df[key].eqNullSafe(hot["_hot"]), "left").drop("_hot")
+
+    out = marked(long).withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*long.columns), F.col("_copies")).cast("int"), F.lit(0))).drop("_copies")
+    for side, how in sides:
+        parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)) - 1))
+        out = out.join(marked(side).withColumn("_part", parts).drop("_copies"), [key, "_part"], how)
+    return out.drop("_part")
+
+
 def borders_by_offset(parts: DataFrame, borders: DataFrame, keys: list[str], number: str, border_id: str,
                       value: str) -> DataFrame:
     """Lower and upper border of each part: border ``n - 1`` and border ``n``."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import clock_seconds
+from millrace.session import scratch_path
 
 OverWindow = Callable[[WindowSpec], Column]
 
@@ -104,6 +105,24 @@ def slice_chunk(df: DataFrame, column: str, rows_per_slice: int = 1_000_000) ->
     return F.when(known, F.floor(spot(0, SLICE_POINTS) * F.lit(slices / SLICE_POINTS)))
 
 
+def range_chunks(df: DataFrame, order: list[Column], rows_per_chunk: int = 1_000_000, out: str = "_chunk") -> DataFrame:
+    """``df`` with the number of the range of ``order`` that a row falls in, about equal rows each.
+
+    Where slices of one column keep rows of one value together, ranges over all
+    order columns, a tie-break among them, part these as well: half of all rows
+    may have one time.  The ranges are written to the shared folder, so that
+    all passes over them see the same borders.  Small frames are one range and
+    not written.
+    """
+    parts = -(-df.count() // rows_per_chunk)
+    if parts <= 1:
+        return df.withColumn(out, F.lit(0))
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(parts, *order).withColumn(out, F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def running_sum(df, keys, chunk, order, value: Column, out: str) -> DataFrame:
     """Inclusive running sum; ``order`` must be total for equal results on every run."""
     got = chunked(

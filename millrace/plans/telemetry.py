@@ -14,7 +14,7 @@ from millrace.functions.expressions import (
     concat_empty, int_div, lookup_text, seconds_behind, statement_slice, update_threshold,
 )
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
-from millrace.operators.joins import borders_by_offset, coalesced_join, left_join_many
+from millrace.operators.joins import HOT_ROWS, borders_by_offset, coalesced_join, left_join_many, spread_joins
 from millrace.operators.rows import in_order
 
 # Alert limits.
@@ -253,29 +253,25 @@ def lock_waits(
     Object ids mean something in their own database only, so the partitions,
     objects and indexes given are those of ``database_id``.
     """
+    entity = "resource_associated_entity_id"
     waits = wait.select(F.col("resource_address").alias("lock_owner_address"), "blocking_session_id", "wait_duration_ms")
-    parts = partition.select(
-        F.col("hobt_id").alias("resource_associated_entity_id"), F.col("object_id").alias("_part_object"),
-        F.col("index_id").alias("_part_index"),
-    )
-    objects = obj.select(F.col("object_id").alias("_object"), F.col("name").alias("_object_name"))
+    parts = partition.select(F.col("hobt_id").alias(entity), F.col("object_id").alias("_part_object"), F.col("index_id").alias("_part_index"))
+    objects = obj.select(F.col("object_id").alias(entity), F.col("object_id").alias("_object"), F.col("name").alias("_object_name"))
     part_objects = obj.select(F.col("object_id").alias("_part_object"), F.col("name").alias("_part_name"))
     indexes = index.select(
         F.struct("object_id", F.coalesce("index_id", F.lit(1)).alias("index_id")).alias("_index_key"),
         F.col("name").alias("index_name"),
     )
-    held = lock.filter((F.col("resource_associated_entity_id") > 0) & (F.col("resource_database_id") == database_id))
+    held = lock.filter((F.col(entity) > 0) & (F.col("resource_database_id") == database_id))
     if own_session is not None:
         held = held.filter(F.col("request_session_id") != own_session)
-    rows = (
-        held.join(waits, "lock_owner_address", "left")
-        .join(parts, "resource_associated_entity_id", "left")
-        .join(objects, F.col("resource_associated_entity_id") == F.col("_object"), "left")
-        .join(part_objects, "_part_object", "left")
-    )
+    # What an id names is put together among the short tables, so the locks take part in two joins
+    # on different ids, each alone in its stage, where the planner splits a hot id.
+    named = parts.join(objects, entity, "full").join(part_objects, "_part_object", "left")
     key = F.struct(F.coalesce("_object", "_part_object").alias("object_id"), F.coalesce("_part_index", F.lit(1)).alias("index_id"))
-    rows = rows.withColumn("_key", F.when(key["object_id"].isNotNull(), key))
-    rows = coalesced_join(rows, indexes, [F.col("_key")], F.col("_index_key"))
+    named = named.withColumn("_key", F.when(key["object_id"].isNotNull(), key))
+    named = coalesced_join(named, indexes, [F.col("_key")], F.col("_index_key")).select(entity, "_object_name", "_part_name", "index_name")
+    rows = held.join(waits, "lock_owner_address", "left").join(named, entity, "left")
     report = rows.select(
         F.lit(database).alias("database_name"), "request_session_id", "resource_type",
         F.when(F.col("resource_type") == "OBJECT", F.col("_object_name")).otherwise(F.col("_part_name")).alias("object_name"),
@@ -398,6 +394,7 @@ def top_io(stats: DataFrame, database_id: int | None = None, n: int = 50) -> Dat
 def running_statements(
     session: DataFrame, process: DataFrame, request: DataFrame, grant: DataFrame, text: DataFrame,
     buffer: DataFrame, plan: DataFrame, database_id: int, own_session: int, system_sessions: int = 50,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """What each user session runs now: thread, wait, memory, statement and plan."""
     own = session.filter(
@@ -411,12 +408,14 @@ def running_statements(
     requests = request.select("session_id", "sql_handle", "plan_handle", "wait_type", "wait_time", "start_time",
                               "statement_start_offset", "statement_end_offset")
     start, end = F.col("statement_start_offset"), F.col("statement_end_offset")
+    # A session may have many requests and many threads: its requests meet the tables of one row a session
+    # in one chain, spread where it is hot, and the threads come last, in a join of their own.
+    running = spread_joins(requests, "session_id", [
+        (own, "inner"), (grant.select("session_id", "dop", "granted_memory_kb"), "left"), (buffer.select("session_id", "event_info"), "inner")], hot_rows)
     report = (
-        own.join(threads, ["session_id", "database_id"]).join(requests, "session_id")
-        .join(grant.select("session_id", "dop", "granted_memory_kb"), "session_id", "left")
-        .join(text.select("sql_handle", "text"), "sql_handle")
-        .join(buffer.select("session_id", "event_info"), "session_id")
+        running.join(text.select("sql_handle", "text"), "sql_handle")
         .join(plan.select("plan_handle", "query_plan"), "plan_handle", "left")
+        .join(threads, ["session_id", "database_id"])
         .select(
             "session_id", "kpid", "ecid", "host_name", "program_name", "login_name", "wait_type", "wait_time", "status",
             "dop", "granted_memory_kb", "open_tran", "waitresource", "start_time",

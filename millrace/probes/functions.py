@@ -67,6 +67,28 @@ def statement_slice(t: Tables):
     )
 
 
+# A character of two units stands as two others there; halves that a cut leaves are U+FFFD.
+_PAIR = "chr(57344) || chr(57345)"
+_WHOLE = f"replace(replace(replace({{}}, {_PAIR}, chr(128512)), chr(57344), chr(65533)), chr(57345), chr(65533))"
+_WITH_SHIFT = _WHOLE.format("substring(u, a // 2 + 1, (e - a) // 2 + 1)")
+_NO_SHIFT = _WHOLE.format("CASE WHEN a = 0 THEN substring(u, 1, greatest((e - a) // 2 - 1, 0)) ELSE substring(u, a // 2, greatest((e - a) // 2, 0)) END")
+
+
+@probe("statement_slice_wide", f"""
+WITH o AS (SELECT doc_id, replace(text, 'e', {_PAIR}) AS u, (doc_id % 50) * 2 AS a,
+                  CASE WHEN doc_id % 3 = 0 THEN -1 ELSE (doc_id % 50) * 2 + n_chars END AS b FROM documents),
+e AS (SELECT *, CASE WHEN b = -1 THEN length(u) * 2 ELSE b END AS e FROM o)
+SELECT doc_id, {_WITH_SHIFT} AS with_shift, {_NO_SHIFT} AS without_shift FROM e
+""")
+def statement_slice_wide(t: Tables):
+    """Cuts by two-byte units in texts with many characters of two units."""
+    start = F.col("doc_id") % 50 * 2
+    end = F.when(F.col("doc_id") % 3 == 0, -1).otherwise(start + F.col("n_chars"))
+    text = F.replace(F.col("text"), F.lit("e"), F.lit("😀"))
+    return t.documents.select(
+        "doc_id", x.statement_slice(text, start, end).alias("with_shift"), x.statement_slice(text, start, end, 0, 0).alias("without_shift"))
+
+
 @probe("seconds_behind", """
 SELECT event_id, date_diff('second', ts, TIMESTAMP '2024-02-01 00:00:00.25') AS seconds_behind FROM events
 """)

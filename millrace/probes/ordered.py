@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import profile
 from millrace.operators.blocks import block_lists, line_block_lists
 from millrace.operators.running import best_so_far as flag_best
-from millrace.operators.running import previous_value, slice_chunk
+from millrace.operators.running import previous_value, range_chunks
 from millrace.probes.registry import Tables, probe
 from millrace.sources.tables import materialize
 
@@ -57,10 +57,9 @@ def first_misaligned(t: Tables):
 SELECT user_id, event_id, lag(event_id, 1, -1) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_event FROM events
 """)
 def lag_default(t: Tables):
-    events = t.events.select("user_id", "event_id")
-    return previous_value(
-        events, ["user_id"], slice_chunk(events, "event_id"), "event_id", F.lit(-1).cast("long"), "prev_event"
-    )
+    events = range_chunks(t.events.select("user_id", "event_id"), [F.col("event_id"), F.col("user_id")])
+    rows = previous_value(events, ["user_id"], F.col("_chunk"), "event_id", F.lit(-1).cast("long"), "prev_event")
+    return rows.select("user_id", "event_id", "prev_event")
 
 
 @probe("best_so_far", """
@@ -69,8 +68,9 @@ WITH p AS (SELECT user_id, event_id, value, max(value) OVER (PARTITION BY user_i
 SELECT user_id, event_id, value, prev IS NULL OR value > prev AS is_best FROM p
 """)
 def best_so_far(t: Tables):
-    events = t.events.select("user_id", "event_id", "ts", "value")
-    flagged = flag_best(events, ["user_id"], slice_chunk(events, "ts"), [F.col("ts"), F.col("event_id")], "value")
+    order = [F.col("ts"), F.col("event_id")]
+    events = range_chunks(t.events.select("user_id", "event_id", "ts", "value"), order)
+    flagged = flag_best(events, ["user_id"], F.col("_chunk"), order, "value")
     return flagged.select("user_id", "event_id", "value", "is_best")
 
 

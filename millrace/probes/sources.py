@@ -224,3 +224,22 @@ def column_stats(t: Tables):
     tables.publish(t.orders.select("o_orderkey", "o_custkey"), name, path)
     # distinct_count is an estimate and stays out of the comparison
     return tables.column_stats(t.spark, name, ["o_custkey", "o_orderkey"]).drop("distinct_count")
+
+
+@probe("numbered_lines", r"""
+SELECT doc_id, CAST(len(regexp_split_to_array(text, '\r\n|\r|\n')) AS BIGINT) AS n_lines, true AS in_order FROM documents WHERE text IS NOT NULL
+""")
+def numbered_lines(t: Tables):
+    """Line numbers of files that hold the texts one line a row: those of a text follow each other, and a file's start at 0."""
+    path = t.scratch("lines")
+    lines = t.documents.filter(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n", -1)).alias("n", "line"))
+    dealt = lines.repartition("doc_id").sortWithinPartitions("doc_id", "n")
+    dealt.select(F.concat_ws("|", "doc_id", "n", "line").alias("value")).write.text(path)
+    parts = F.split("text", r"\|", 3)
+    read = files.read_lines(t.spark, path).select(
+        "path", "line", parts[0].cast("long").alias("doc_id"), parts[1].cast("long").alias("n"))
+    whole = read.groupBy("path").agg(F.min("line").alias("low"), F.max("line").alias("high"), F.count(F.lit(1)).alias("many"))
+    texts = read.groupBy("path", "doc_id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min(F.col("line") - F.col("n")).alias("least"), F.max(F.col("line") - F.col("n")).alias("most"))
+    good = (F.col("least") == F.col("most")) & (F.col("low") == 0) & (F.col("high") == F.col("many") - 1)
+    return texts.join(whole, "path").select("doc_id", "n_lines", good.alias("in_order"))

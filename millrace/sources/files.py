@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import scratch_path
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
@@ -96,11 +98,19 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+#: Splits whose first line numbers (24 bytes each) may be sent to every executor; 128 MB a split.
+MOST_SPLITS = 1 << 20
+
+
+def read_lines(spark: SparkSession, path: str, most_splits: int = MOST_SPLITS) -> DataFrame:
     """One row per line: path, line (from 0 in its file) and text; a long file is read by many tasks.
 
-    A line's place in its split is known where it is read; how many lines come
-    before the split follows from one small row a split.  No line is shuffled.
+    A first scan counts the lines of each split and writes how many come before
+    it: one small row a split.  The second scan attaches these numbers where it
+    reads, so no line is shuffled.  Beyond ``most_splits`` the lines are joined
+    to the index instead.  If the second scan is cut into other splits than the
+    first (files or the number of cores have changed), it fails, instead of
+    giving wrong numbers.
     """
     rows = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
@@ -108,8 +118,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     splits = rows.groupBy("path", "_start").agg(F.min("_id").alias("_first"), F.count("text").alias("_n"))
     before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(splits, ["path", "_start"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"), "text")
+    key = F.xxhash64("path", "_start")
+    written = scratch_path(spark, "splits")
+    splits.select(key.alias("_key"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+                  "_first", "_n").write.parquet(written)
+    index = spark.read.parquet(written)
+    if index.count() <= most_splits:
+        index = F.broadcast(index)
+    place = F.col("_id") - F.col("_first")
+    known = F.coalesce((place >= 0) & (place < F.col("_n")), F.lit(False))
+    moved = F.raise_error(F.lit("the files are cut into other splits than when their lines were counted"))
+    return rows.join(index, key == F.col("_key"), "left").select(
+        "path", F.when(known, F.col("_id") + F.col("_shift")).otherwise(moved.cast("long")).alias("line"), "text")
 
 
 def read_labelled_folders(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
