@@ -32,12 +32,12 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct non-null values of every column.
 
-    Values are made distinct per (column, value) first, so no task holds all
-    values of one column.
+    All columns in one pass: the planner groups by (column, value), with the
+    values in their own types and reduced before the shuffle, and counts the
+    groups, so no task holds all values of one column.
     """
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    values = df.select(F.inline(F.array(*cells))).groupBy("column", "value").agg(F.lit(1).alias("_one"))
-    return values.groupBy("column").agg(F.count("value").alias("n_distinct"))
+    row = df.agg(*[F.count_distinct(F.col(c)).alias(f"n_{i}") for i, c in enumerate(columns)])
+    return as_rows(row, columns, "column", {"n_distinct": {c: f"n_{i}" for i, c in enumerate(columns)}})
 
 
 def type_profile(df: DataFrame) -> DataFrame:

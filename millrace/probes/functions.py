@@ -6,6 +6,7 @@ from millrace.functions import binary, expressions as x
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
 from millrace.plans import telemetry
 from millrace.probes.registry import Tables, probe
+from millrace.sources.tables import spread_scan
 
 
 @probe("safe_cast", """
@@ -160,6 +161,11 @@ def json_to_columns(t: Tables):
     return rows.drop("data")
 
 
+def _plan_rows(t: Tables):
+    """What the plan texts below are made of; reading them back costs far more than dealing these columns out."""
+    return spread_scan(t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"))
+
+
 @probe("xml_operators", """
 SELECT l_orderkey, l_partkey, l_linenumber, l_linenumber AS "NodeId", 'Hash Match' AS "PhysicalOp",
        CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_quantity END AS "EstimateRows", CAST(1 AS DOUBLE) AS "Parallel" FROM lineitem
@@ -176,7 +182,7 @@ def xml_operators(t: Tables):
         text("l_extendedprice"), F.lit('" NodeId="'), (F.col("l_linenumber") + 100).cast("string"),
         F.lit('"/></p:RelOp></p:Plan>'),
     )
-    plans = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", doc.alias("plan"))
+    plans = _plan_rows(t).select("l_orderkey", "l_partkey", "l_linenumber", doc.alias("plan"))
     wanted = {c: PLAN_ATTRIBUTES[c] for c in ("NodeId", "PhysicalOp", "EstimateRows", "Parallel")}
     return markup_elements(plans, "plan", "RelOp", wanted).drop("plan", "pos")
 
@@ -222,7 +228,7 @@ def plan_operators(t: Tables):
         (F.col("l_linenumber") + 50).cast("string"), F.lit("' PhysicalOp='Scan'/></RelOp>"),
         F.when(F.col("l_returnflag") == "A", "<RelOp NodeId=").otherwise("</Plan>\n"),
     )
-    plans = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("plan_id"), doc.alias("query_plan"))
+    plans = _plan_rows(t).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("plan_id"), doc.alias("query_plan"))
     return telemetry.plan_operators(plans)
 
 

@@ -119,3 +119,14 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A plain scan, dealt out over all cores if it has fewer splits than these.
+
+    For work that costs more than a shuffle of the rows it starts from: a table
+    of one row group would be worked on by one task.  A table with splits enough
+    is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
