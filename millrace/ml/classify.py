@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.ml import network
 from millrace.operators.metrics import auc
 from millrace.operators.rows import exact_split, flag
 from millrace.operators.running import width_chunk
@@ -144,36 +145,20 @@ def _vectors(df: DataFrame, vector: str, label: str) -> DataFrame:
 
 
 def train_network(df: DataFrame, vector: str, label: str, hidden: int = 64, step: float | None = None, iterations: int = 10,
-                  seed: int = 42, validation: DataFrame | None = None):
+                  seed: int = 42, validation: DataFrame | None = None, **options):
     """Binary classifier with one hidden layer on array columns; returns a model and the history.
 
-    With ``step`` every epoch is one gradient step of that size over all rows.
-    The model is that of the epoch with the best accuracy on ``validation`` (on
-    ``df`` if none is given), the history has epoch, loss, accuracy,
-    val_accuracy and saved (better than any before).  Without ``step`` the
-    optimizer (L-BFGS) chooses its own; the history then has epoch and loss.
+    With ``step`` (a learning rate) it is trained by ``network.train``, which see;
+    ``options`` are its ``momentum`` and ``batches``.  Without it MLlib's
+    optimizer (L-BFGS) chooses its own steps; the history then has epoch and loss.
     """
+    if step is not None:
+        return network.train(df, vector, label, hidden, step, epochs=iterations, seed=seed, validation=validation, **options)
     size = df.select(F.size(vector)).first()[0]
-    if step is None:
-        with reused(_vectors(df, vector, label)) as rows:
-            model = MultilayerPerceptronClassifier(layers=[size, hidden, 2], maxIter=iterations, seed=seed, solver="l-bfgs").fit(rows)
-        losses = [float(v) for v in model.summary().objectiveHistory]
-        return model, df.sparkSession.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double")
-    weights, best, kept, history = None, -1.0, None, []
-    with reused(_vectors(df, vector, label)) as rows, reused(_vectors(df if validation is None else validation, vector, label)) as judged:
-        right = lambda model, on: model.transform(on).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
-        for epoch in range(1, iterations + 1):
-            net = MultilayerPerceptronClassifier(layers=[size, hidden, 2], maxIter=1, stepSize=step, seed=seed, solver="gd")
-            if weights is not None:
-                net.setInitialWeights(weights)
-            model = net.fit(rows)
-            weights = model.weights
-            value = right(model, judged)
-            same = rows is judged or validation is None
-            history.append((epoch, float(model.summary().objectiveHistory[-1]), value if same else right(model, rows), value, value > best))
-            if value > best:
-                best, kept = value, model
-    return kept, df.sparkSession.createDataFrame(history, "epoch int, loss double, accuracy double, val_accuracy double, saved boolean")
+    with reused(_vectors(df, vector, label)) as rows:
+        model = MultilayerPerceptronClassifier(layers=[size, hidden, 2], maxIter=iterations, seed=seed, solver="l-bfgs").fit(rows)
+    losses = [float(v) for v in model.summary().objectiveHistory]
+    return model, df.sparkSession.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double")
 
 
 def compare_steps(df: DataFrame, validation: DataFrame, vector: str, label: str, steps: list[float], **options) -> DataFrame:
@@ -187,6 +172,8 @@ def compare_steps(df: DataFrame, validation: DataFrame, vector: str, label: str,
 
 
 def predict_network(model, df: DataFrame, vector: str, keep: list[str]) -> DataFrame:
+    if isinstance(model, network.Network):
+        return network.predict(model, df, vector, keep)
     rows = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
     probability = F.get(vector_to_array("probability"), F.lit(1))
     return model.transform(rows).select(*keep, probability.alias("probability"))

@@ -292,3 +292,44 @@ def test_step_size_matters(spark):
     model, history = classify.train_network(train, "vec", "y", hidden=6, step=1.0, iterations=6, validation=val)
     scored = classify.predict_network(model, val, "vec", ["y"])
     assert scored.agg(F.avg(((F.col("probability") > 0.5) == (F.col("y") == 1)).cast("int"))).first()[0] == max(r.val_accuracy for r in history.collect())
+
+
+@pytest.mark.parametrize("batches, momentum", [(1, 0.0), (5, 0.8)])
+def test_mini_batches_equal_a_plain_run(spark, batches, momentum):
+    """The same training written plainly over all rows at once."""
+    from millrace.ml import network
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in rng.normal(size=5) + (i % 2)], i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, vec array<double>, y int").repartition(7)
+    train, val = df.filter("id < 240"), df.filter("id >= 240")
+    net, history = network.train(train, "vec", "y", hidden=6, step=0.1, momentum=momentum, epochs=6, batches=batches, seed=3, validation=val)
+    numbered = train.select(F.col("vec").alias("vector"), F.col("y").cast("double").alias("label")).withColumn("b", network.batch_number("vector", "label", batches, 3)).collect()
+    x, y, b = np.array([r[0] for r in numbered]), np.array([r[1] for r in numbered]), np.array([r[2] for r in numbered])
+    vx, vy = np.array([r[1] for r in rows[240:]]), np.array([r[2] for r in rows[240:]])
+    first = network.first_network(5, 6, 3)
+    w, order = [first.w1, first.b1, first.w2, np.array(first.b2)], np.random.default_rng(4)
+    speed, want, chance = [0 * p for p in w], [], lambda a: 1 / (1 + np.exp(-(np.maximum(a @ w[0] + w[1], 0) @ w[2] + w[3])))
+    for epoch in range(1, 7):
+        loss = right = 0.0
+        for k in order.permutation(batches):
+            xs, ys = x[b == k], y[b == k]
+            h, p = np.maximum(xs @ w[0] + w[1], 0), chance(xs)
+            loss, right = loss - (ys * np.log(p) + (1 - ys) * np.log(1 - p)).sum(), right + ((p >= 0.5) == (ys == 1)).sum()
+            e = (p - ys) / len(ys)
+            d = e[:, None] * w[2] * (h > 0)
+            for i, g in enumerate([xs.T @ d, d.sum(0), h.T @ e, e.sum()]):
+                speed[i] = momentum * speed[i] - 0.1 * g
+                w[i] = w[i] + speed[i]
+        want.append((epoch, loss / len(y), right / len(y), ((chance(vx) >= 0.5) == (vy == 1)).mean()))
+    got = [tuple(r)[:4] for r in history.orderBy("epoch").collect()]
+    assert np.abs(np.array(got) - np.array(want)).max() < 1e-6
+    scored = {r["id"]: r["probability"] for r in network.predict(net, val, "vec", ["id"]).collect()}
+    assert len(scored) == 60 and ((np.array([scored[i] for i in range(240, 300)]) >= 0.5) == (vy == 1)).mean() == max(r[3] for r in got)
+
+
+def test_mini_batches_refuse_nulls(spark):
+    from millrace.ml import network
+    for vec, y in (([1.0, None], 1), ([1.0], 1), (None, 1), ([1.0, float("nan")], 0), ([1.0, 2.0], None)):
+        df = spark.createDataFrame([([1.0, 2.0], 1), (vec, y)], "vec array<double>, y int")
+        with pytest.raises(ValueError, match="rows"):
+            network.train(df, "vec", "y")
