@@ -83,6 +83,10 @@ def seeded_augment(
     return drawn.withColumn(pixels, new).drop("_flip", "_dx", "_dy", "_deg", "_zoom")
 
 
+#: Bytes of weights that may be sent to every executor.
+MOST_WEIGHTS = 256 << 20
+
+
 def forward(images: np.ndarray, weights: dict[str, np.ndarray]) -> np.ndarray:
     """Convolution, relu, pooling, dense relu, dense sigmoid for a batch (n, h, w, c)."""
     windows = np.lib.stride_tricks.sliding_window_view(images, (KERNEL, KERNEL), axis=(1, 2))
@@ -102,6 +106,8 @@ def score_images(df: DataFrame, key: str, pixels: str, shape: tuple[int, int, in
     """
     # Workers get the functions of this module sent along and need no installed package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    if sum(w.nbytes for w in weights.values()) > MOST_WEIGHTS:
+        raise ValueError(f"weights of more than {MOST_WEIGHTS} bytes")
     sent = df.sparkSession.sparkContext.broadcast(weights)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,3 +136,15 @@ def random_weights(shape: tuple[int, int, int], seed: int) -> dict[str, np.ndarr
         "conv": rng.normal(0, 1 / 3, (KERNEL, KERNEL, c, FILTERS)), "conv_bias": np.zeros(FILTERS),
         "dense": draw(flat, HIDDEN), "dense_bias": np.zeros(HIDDEN), "out": draw(HIDDEN, 1), "out_bias": np.zeros(1),
     }
+
+
+def stated_weights(shape: tuple[int, int, int]) -> dict[str, np.ndarray]:
+    """Weights by a rule on their place, so that other engines can state the same network."""
+    h, w, c = shape
+    flat = ((h - KERNEL + 1) // POOL) * ((w - KERNEL + 1) // POOL) * FILTERS
+    rule = lambda size, scale: ((np.arange(np.prod(size)) * 37 % 101 - 50) / scale).reshape(size)
+    bias = lambda n: (np.arange(n) * 13 % 7 - 3) / 10
+    return {
+        "conv": rule((KERNEL, KERNEL, c, FILTERS), 250.0), "conv_bias": bias(FILTERS), "dense": rule((flat, HIDDEN), 1000.0),
+        "dense_bias": bias(HIDDEN), "out": rule((HIDDEN, 1), 250.0), "out_bias": bias(1),
+    }

@@ -248,8 +248,28 @@ def image_augmentation(t: Tables):
     return changed.select("vec_id", F.size("embedding").alias("n"), known.alias("known_pixels"))
 
 
-@probe("cnn_batch_scoring")
+_WEIGHT, _BIAS = "(({} * 37) % 101 - 50) / {}", "(({} * 13) % 7 - 3) / 10.0"
+
+
+@probe("cnn_batch_scoring", f"""
+WITH pixel AS (SELECT vec_id, p // 8 AS y, p % 8 AS x, CAST(embedding[p + 1] AS DOUBLE) AS v FROM (SELECT vec_id, embedding, unnest(range(64)) AS p FROM embeddings)),
+kernel AS (SELECT k // 96 AS i, k // 32 % 3 AS j, k % 32 AS f, {_WEIGHT.format("k", "250.0")} AS w FROM range(288) r(k)),
+conv AS (SELECT vec_id, y - i AS cy, x - j AS cx, f, sum(v * w) AS s FROM pixel, kernel WHERE y - i BETWEEN 0 AND 5 AND x - j BETWEEN 0 AND 5 GROUP BY ALL),
+pool AS (SELECT vec_id, cy // 2 AS py, cx // 2 AS px, f, max(greatest(s + {_BIAS.format("f")}, 0)) AS v FROM conv GROUP BY ALL),
+dense AS (SELECT vec_id, u, greatest(sum(v * {_WEIGHT.format("(((py * 3 + px) * 32 + f) * 64 + u)", "1000.0")}) + {_BIAS.format("u")}, 0) AS v
+          FROM pool, range(64) r(u) GROUP BY vec_id, u)
+SELECT vec_id, round(1 / (1 + exp(-(sum(v * {_WEIGHT.format("u", "250.0")}) + {_BIAS.format("0")}))), 6) AS probability FROM dense GROUP BY 1
+""")
 def cnn_batch_scoring(t: Tables):
+    """The whole network of the survey, its weights by rule, against convolution, pooling and layers as joins and sums."""
     shape = (8, 8, 1)
-    scored = images.score_images(t.embeddings, "vec_id", "embedding", shape, images.random_weights(shape, 1))
+    scored = images.score_images(t.embeddings, "vec_id", "embedding", shape, images.stated_weights(shape))
     return scored.select("vec_id", F.round("probability", 6).alias("probability"))
+
+
+@probe("step_comparison")
+def step_comparison(t: Tables):
+    """Histories of two learning rates under each other."""
+    train, val = classify.split_80_20(_vectors(t), "vec_id", 42)
+    got = classify.compare_steps(train, val, "embedding", "y", [0.002, 0.2], hidden=16, iterations=2, momentum=0.8, batches=2)
+    return got.withColumns({c: F.round(c, 4) for c in ("loss", "accuracy", "val_accuracy")})
