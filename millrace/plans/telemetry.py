@@ -281,8 +281,8 @@ def lock_waits(
     return in_order(report, "request_session_id", "resource_associated_entity_id")
 
 
-def _with_hints(rows: DataFrame, plan: DataFrame, hint: DataFrame) -> DataFrame:
-    return rows.join(plan.select("plan_id", "query_id"), "plan_id").join(
+def _with_hints(rows: DataFrame, plan: DataFrame, hint: DataFrame, *carried: str) -> DataFrame:
+    return rows.join(plan.select("plan_id", "query_id", *carried), "plan_id").join(
         hint.select("query_id", "query_hint_text"), "query_id", "left"
     )
 
@@ -304,8 +304,8 @@ def estimation_feedback(feedback: DataFrame, plan: DataFrame, hint: DataFrame, f
     used = json_value(F.col("feedback_data"), "Feedback hints")
     wanted = feedback.filter(F.col("feature_desc") == feature)
     hinted = wanted.withColumn("hint_in_use", used).drop("feedback_data").filter("hint_in_use <> ''")
-    report = _with_hints(hinted, plan, hint).select(
-        "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "hint_in_use",
+    report = _with_hints(hinted, plan, hint, "query_plan").select(
+        "plan_id", "feature_id", "feature_desc", "state", "state_desc", "last_updated_time", "query_plan", "hint_in_use",
         "query_hint_text", lookup_text(F.col("hint_in_use"), HINT_TEXT).alias("meaning"), "query_id",
     )
     return in_order(report, "query_id")
@@ -366,8 +366,8 @@ def plan_operators(plan: DataFrame, plan_column: str = "query_plan") -> DataFram
     return in_order(report, "plan_id", "NodeId")
 
 
-def top_io(stats: DataFrame, database_id: int | None = None, n: int = 50) -> DataFrame:
-    """Slow statements that read and write most per run."""
+def top_io(stats: DataFrame, plan: DataFrame, database_id: int | None = None, n: int = 50) -> DataFrame:
+    """Slow statements that read and write most per run, each with its plan; only the plans of those ``n`` are looked up."""
     second = F.lit(1000000.0)
     slow = (F.col("max_worker_time") / second > SLOW_SECONDS) | (F.col("max_elapsed_time") / second > SLOW_SECONDS)
     rows = stats.filter(slow)
@@ -375,8 +375,8 @@ def top_io(stats: DataFrame, database_id: int | None = None, n: int = 50) -> Dat
         rows = rows.filter(F.col("dbid") == database_id)
     runs = F.col("execution_count")
     io = F.col("total_logical_reads") + F.col("total_logical_writes")
-    return rows.select(
-        "statement_id", "last_execution_time",
+    top = rows.select(
+        "statement_id", "last_execution_time", "plan_handle",
         statement_slice(F.col("text"), F.col("statement_start_offset"), F.col("statement_end_offset")).alias("statement"),
         "execution_count", int_div(io, runs).alias("avg_io_pages"),
         int_div(F.col("total_logical_reads"), runs).alias("avg_read_pages"),
@@ -389,14 +389,20 @@ def top_io(stats: DataFrame, database_id: int | None = None, n: int = 50) -> Dat
         (F.col("total_elapsed_time") / second).alias("total_elapsed_seconds"),
         (F.col("max_elapsed_time") / second).alias("max_elapsed_seconds"), "total_rows", "max_rows",
     ).orderBy(F.desc("avg_io_pages"), "statement_id").limit(n)
+    found = left_join_many(top, plan.select("plan_handle", "query_plan"), "plan_handle").drop("plan_handle")
+    return found.orderBy(F.desc("avg_io_pages"), "statement_id")
 
 
 def running_statements(
     session: DataFrame, process: DataFrame, request: DataFrame, grant: DataFrame, text: DataFrame,
     buffer: DataFrame, plan: DataFrame, database_id: int, own_session: int, system_sessions: int = 50,
-    hot_rows: int = HOT_ROWS,
+    runtime_plan: DataFrame | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """What each user session runs now: thread, wait, memory, statement and plan."""
+    """What each user session runs now: thread, wait, memory, statement and plan.
+
+    ``runtime_plan`` has the plan of a session as far as it has run; where it is
+    not collected, that column is null.
+    """
     own = session.filter(
         (F.col("is_user_process") == 1) & (F.col("database_id") == database_id)
         & (F.col("session_id") > system_sessions) & (F.col("session_id") != own_session)
@@ -411,7 +417,10 @@ def running_statements(
     # A session may have many requests and many threads: its requests meet the tables of one row a session
     # in one chain, spread where it is hot, and the threads come last, in a join of their own.
     running = spread_joins(requests, "session_id", [
-        (own, "inner"), (grant.select("session_id", "dop", "granted_memory_kb"), "left"), (buffer.select("session_id", "event_info"), "inner")], hot_rows)
+        (own, "inner"), (grant.select("session_id", "dop", "granted_memory_kb"), "left"), (buffer.select("session_id", "event_info"), "inner"),
+        *([] if runtime_plan is None else [(runtime_plan.select("session_id", F.col("query_plan").alias("runtime_plan")), "left")])], hot_rows)
+    if runtime_plan is None:
+        running = running.withColumn("runtime_plan", F.lit(None).cast("string"))
     report = (
         running.join(text.select("sql_handle", "text"), "sql_handle")
         .join(plan.select("plan_handle", "query_plan"), "plan_handle", "left")
@@ -420,7 +429,7 @@ def running_statements(
             "session_id", "kpid", "ecid", "host_name", "program_name", "login_name", "wait_type", "wait_time", "status",
             "dop", "granted_memory_kb", "open_tran", "waitresource", "start_time",
             statement_slice(F.col("text"), start, end, 0, 0).alias("statement"),
-            F.col("event_info").alias("parent_statement"), "query_plan",
+            F.col("event_info").alias("parent_statement"), "query_plan", "runtime_plan",
         )
     )
     return in_order(report, "session_id")

@@ -40,6 +40,7 @@ def linreg_weights(t: Tables):
 
 
 _ORDER_X = ["x1", "x2"]
+# The ridge values that are compared.
 _RIDGES = (0.0, 0.000001, 0.0001, 0.001, 0.01, 0.1, 1.0, 5.0, 10.0)
 
 

@@ -106,7 +106,7 @@ STAND_INS = {
                     WHEN 5 THEN 'Something else' ELSE '' END, '"}}')
                ELSE concat('{{"NodeId":"', user_id, '","AdditionalMemoryKB":"', event_id, '","Count":"3"}}') END AS feedback_data,
                2 AS state, 'FEEDBACK_VALID' AS state_desc, ts AS last_updated_time FROM {events}""",
-    "plan_of": "SELECT event_id AS plan_id, user_id AS query_id FROM {events} WHERE event_id % 10 <> 9",
+    "plan_of": "SELECT event_id AS plan_id, user_id AS query_id, props AS query_plan FROM {events} WHERE event_id % 10 <> 9",
     "hint": "SELECT c_custkey AS query_id, c_mktsegment AS query_hint_text FROM {customer} WHERE c_custkey % 2 = 0",
     "node": "SELECT n_nationkey AS node_id, CASE WHEN n_nationkey % 7 = 0 THEN 'OFFLINE' ELSE 'ONLINE' END AS node_state_desc FROM {nation}",
     "scheduler": """
@@ -130,7 +130,7 @@ STAND_INS = {
                CAST(sum(l_linenumber) AS BIGINT) AS total_logical_writes, CAST(sum(floor(l_extendedprice)) * 3000 AS BIGINT) AS total_worker_time,
                CAST(max(floor(l_extendedprice)) * 1800 AS BIGINT) AS max_worker_time, CAST(sum(floor(l_quantity)) * 1000000 AS BIGINT) AS total_elapsed_time,
                CAST(max(floor(l_quantity)) * 3700000 AS BIGINT) AS max_elapsed_time, CAST(sum(l_linenumber) AS BIGINT) AS total_dop,
-               CAST(sum(l_linenumber) AS BIGINT) AS total_rows, max(l_linenumber) AS max_rows, 1 AS dbid
+               CAST(sum(l_linenumber) AS BIGINT) AS total_rows, max(l_linenumber) AS max_rows, 1 AS dbid, p_partkey % 7000 AS plan_handle
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey GROUP BY p_partkey""",
     "session": """
         SELECT c_custkey AS session_id, c_custkey % 2 AS database_id, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 END AS is_user_process,
@@ -145,6 +145,7 @@ STAND_INS = {
     "grant_": "SELECT vec_id AS session_id, label AS dop, vec_id * 10 AS granted_memory_kb FROM {embeddings}",
     "text_": "SELECT doc_id AS sql_handle, text FROM {documents}",
     "buffer": "SELECT doc_id AS session_id, source AS event_info FROM {documents}",
+    "runtime_text": "SELECT page_id AS session_id, concat('run ', url) AS query_plan FROM {pages} WHERE page_id % 3 = 0",
     "plan_text": "SELECT page_id AS plan_handle, url AS query_plan FROM {pages}",
     "part_rows": """
         SELECT CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS object_id, concat('icon.', l_linestatus) AS table_name, 1 AS index_id, 7 AS function_id,
@@ -359,7 +360,7 @@ _MEANING = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in tm.HINT_TEXT.items())
 
 @probe("ce_feedback", _with("feedback", "plan_of", "hint") + f"""
 , j AS (SELECT *, json_extract_string(feedback_data, '$."Feedback hints"') AS hint_in_use FROM feedback WHERE feature_desc = 'CE Feedback')
-SELECT plan_id, feature_id, feature_desc, state, state_desc, last_updated_time, hint_in_use, query_hint_text,
+SELECT plan_id, feature_id, feature_desc, state, state_desc, last_updated_time, query_plan, hint_in_use, query_hint_text,
        CASE hint_in_use {_MEANING} END AS meaning, query_id
 FROM j JOIN plan_of USING (plan_id) LEFT JOIN hint USING (query_id) WHERE hint_in_use <> ''
 """)
@@ -395,7 +396,7 @@ def query_store_top(t: Tables):
     return out.withColumns({c: F.col(c).cast("double") for c in ("min_duration_ms", "avg_duration_ms", "max_duration_ms")})
 
 
-@probe("top_io", _with("statement") + """
+@probe("top_io", _with("statement", "plan_text") + """
 , e AS (SELECT *, CASE WHEN statement_end_offset = -1 THEN length(text) * 2 ELSE statement_end_offset END AS e FROM statement
         WHERE max_worker_time / 1000000.0 > 180 OR max_elapsed_time / 1000000.0 > 180)
 SELECT statement_id, last_execution_time, substring(text, statement_start_offset // 2 + 1, (e - statement_start_offset) // 2 + 1) AS statement,
@@ -405,27 +406,28 @@ SELECT statement_id, last_execution_time, substring(text, statement_start_offset
        round(max_worker_time / 1000000.0, 6) AS max_cpu_seconds, total_dop // execution_count AS avg_dop,
        round(total_elapsed_time / (execution_count * 1000000.0), 6) AS avg_elapsed_seconds,
        round(total_elapsed_time / 1000000.0, 6) AS total_elapsed_seconds, round(max_elapsed_time / 1000000.0, 6) AS max_elapsed_seconds,
-       total_rows, max_rows
-FROM e ORDER BY avg_io_pages DESC, statement_id LIMIT 50
+       total_rows, max_rows, query_plan
+FROM e LEFT JOIN plan_text USING (plan_handle) ORDER BY avg_io_pages DESC, statement_id LIMIT 50
 """)
 def top_io(t: Tables):
-    out = tm.top_io(*_frames(t, "statement"), database_id=1)
+    out = tm.top_io(*_frames(t, "statement", "plan_text"), database_id=1)
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("_seconds")})
 
 
-@probe("running_statements", _with("session", "process", "request", "grant_", "text_", "buffer", "plan_text") + """
+@probe("running_statements", _with("session", "process", "request", "grant_", "text_", "buffer", "plan_text", "runtime_text") + """
 , e AS (SELECT *, CASE WHEN statement_end_offset = -1 THEN length(text) * 2 ELSE statement_end_offset END AS e FROM request JOIN text_ USING (sql_handle))
 SELECT s.session_id, kpid, ecid, host_name, program_name, login_name, wait_type, wait_time, status, dop, granted_memory_kb, open_tran, waitresource,
        start_time, CASE WHEN statement_start_offset = 0 THEN substring(text, 1, greatest((e - statement_start_offset) // 2 - 1, 0))
                         ELSE substring(text, statement_start_offset // 2, greatest((e - statement_start_offset) // 2, 0)) END AS statement,
-       event_info AS parent_statement, query_plan
+       event_info AS parent_statement, x.query_plan, w.query_plan AS runtime_plan
 FROM session s JOIN process p ON s.session_id = p.spid AND s.database_id = p.dbid JOIN e ON e.session_id = s.session_id
 LEFT JOIN grant_ g ON g.session_id = s.session_id JOIN buffer b ON b.session_id = s.session_id LEFT JOIN plan_text x ON x.plan_handle = e.plan_handle
+LEFT JOIN runtime_text w ON w.session_id = s.session_id
 WHERE is_user_process = 1 AND s.database_id = 1 AND s.session_id > 50 AND s.session_id <> 51
 """)
 def running_statements(t: Tables):
-    frames = _frames(t, "session", "process", "request", "grant_", "text_", "buffer", "plan_text")
-    return tm.running_statements(*frames, database_id=1, own_session=51)
+    *frames, runtime = _frames(t, "session", "process", "request", "grant_", "text_", "buffer", "plan_text", "runtime_text")
+    return tm.running_statements(*frames, database_id=1, own_session=51, runtime_plan=runtime)
 
 
 @probe("stats_freshness", _with("part_rows", "border", "stats", "inc_stats") + """
