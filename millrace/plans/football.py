@@ -9,7 +9,7 @@ from millrace.functions.expressions import numeric, season_start
 from millrace.functions.names import columns_except, drop_first, rename_all, to_camel
 from millrace.operators.rows import sentinel_to_null
 from millrace.plans.models import Model
-from millrace.sources.files import promote_first_row, read_csv
+from millrace.sources.files import promote_first_row, read_csv, write_csv
 
 # Dataset -> published table, cluster keys of the tables, tables
 # partitioned by season, the duplicate column of the match statistics and the
@@ -38,6 +38,12 @@ CLUSTER_KEYS = {
     "DimStadium": ["stadiumId"],
     "FactMatch": ["matchId"],
 }
+# The datasets of each source and the encoding of their files.
+SOURCES = {
+    "DataSource1": ["club", "club_stats", "manager", "manager_club", "match", "player", "player_club", "player_performance", "player_stats", "stadium"],
+    "DataSource2": ["team_discipline", "matches", "goal_leaders", "events", "assist_leaders", "all_tables"],
+}
+SOURCE_ENCODING = "windows-1252"
 BY_SEASON = ["DimManagerClub", "DimPlayerClub", "FactMatch"]
 DUPLICATE_STAT = "offsides1"
 # Names of an index column: none in the header (as Spark reads it), or the exporter's own.
@@ -45,6 +51,23 @@ INDEX_NAMES = ("", "_c0", "Unnamed: 0")
 GOAL_CODES = [1, 2]
 
 
+def export_sources(spark: SparkSession, root: str, target: str, sources: dict[str, list[str]] | None = None,
+                   encodings: dict[str, str] | None = None) -> dict[str, str]:
+    """Every dataset of every source, ``root/source/dataset.csv``, as UTF-8 files in a folder of the same name below ``target``.
+
+    Values stay text, as they are in the file.  A folder is replaced as a whole,
+    so an export that stopped half-way is simply run again.  ``encodings``
+    names datasets that are not in SOURCE_ENCODING.  Returns dataset -> folder,
+    datasets by ``source/dataset``.
+    """
+    encodings, done = encodings or {}, {}
+    for source, datasets in (sources or SOURCES).items():
+        for name in datasets:
+            rows = read_csv(spark, f"{root}/{source}/{name}.csv", encoding=encodings.get(name, SOURCE_ENCODING), infer=False)
+            done[f"{source}/{name}"] = write_csv(rows, f"{target}/{source}/{name}.csv")
+    return done
+
+
 def read_sources(spark: SparkSession, root: str, datasets: list[str] | None = None, encodings: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The CSV files below ``root`` by dataset name, every column as text, header row as names.
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import between_midnights
 from millrace.operators.rows import repeat_rows
+from millrace.plans import football
 from millrace.probes.registry import Tables, probe
 from millrace.sources import files, tables
 
@@ -137,6 +138,34 @@ def fanout_export(t: Tables):
     return files.read_all(t.spark, counts)
 
 
+# What stands in for each dataset: table, key and text.
+_EXPORTED = {
+    "club": ("supplier", "s_suppkey", "s_name"), "club_stats": ("region", "r_regionkey", "r_name"), "manager": ("nation", "n_nationkey", "n_name"),
+    "manager_club": ("supplier", "s_suppkey", "s_nationkey"), "match": ("orders", "o_orderkey", "o_orderpriority"), "player": ("customer", "c_custkey", "c_name"),
+    "player_club": ("customer", "c_custkey", "c_mktsegment"), "player_performance": ("part", "p_partkey", "p_name"),
+    "player_stats": ("part", "p_partkey", "p_brand"), "stadium": ("nation", "n_nationkey", "n_regionkey"),
+    "team_discipline": ("documents", "doc_id", "source"), "matches": ("pages", "page_id", "url"), "goal_leaders": ("documents", "doc_id", "lang"),
+    "events": ("events", "event_id", "event_type"), "assist_leaders": ("benchmark", "item_id", "item_id"), "all_tables": ("embeddings", "vec_id", "label"),
+}
+
+
+@probe("source_export", " UNION ALL ".join(
+    f"SELECT '{source}/{name}' AS dataset, count(*) AS n_rows, CAST(sum(length(concat({text}, ' é, \"ñ\" ü'))) AS BIGINT) AS n_chars FROM {table}"
+    for source, names in football.SOURCES.items() for name in names for table, _, text in [_EXPORTED[name]]))
+def source_export(t: Tables):
+    """All 16 datasets, from files in the encoding of the sources to UTF-8 folders, read back."""
+    root, target = t.scratch("sources"), t.scratch("exported")
+    for source, names in football.SOURCES.items():
+        for name in names:
+            table, key, text = _EXPORTED[name]
+            rows = getattr(t, table).select(F.col(key).alias("id"), F.concat(F.col(text).cast("string"), F.lit(' é, "ñ" ü')).alias("name"))
+            files.write_csv(rows, f"{root}/{source}/{name}.csv", "iso-8859-1")  # the same bytes for these letters
+    done = football.export_sources(t.spark, root, target)
+    return files.read_all(t.spark, [
+        files.read_csv(t.spark, path, infer=False).agg(F.count("id").alias("n_rows"), F.sum(F.length("name")).alias("n_chars"))
+        .select(F.lit(dataset).alias("dataset"), "n_rows", "n_chars") for dataset, path in done.items()])
+
+
 @probe("values_relation", """
 SELECT v.rank, v.priority, count(o.o_orderkey) AS n
 FROM (VALUES (1, '1-URGENT'), (2, '2-HIGH'), (9, 'NONE')) AS v(rank, priority)

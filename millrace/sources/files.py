@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.session import scratch_path
 
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
