@@ -15,6 +15,7 @@ from millrace.functions.expressions import (
 )
 from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_value, markup_elements
 from millrace.operators.joins import HOT_ROWS, borders_by_offset, coalesced_join, left_join_many, spread_joins
+from millrace.operators.profile import equi_height_histogram
 from millrace.operators.rows import in_order
 
 # Alert limits.
@@ -23,6 +24,7 @@ REDO_HIGH_KB = 100000
 REDO_MEDIUM_KB = 50000
 SLOW_SECONDS = 180
 PAGES_PER_MB = 128
+HISTOGRAM_STEPS = 200
 OPEN_UPPER_BORDER = 10000000
 
 # Estimation hints and what they mean.
@@ -476,3 +478,30 @@ def stats_catalog(table: DataFrame, stats: DataFrame, columns: DataFrame, name:
         "schema_name", "table_name", "stats_name", "column_name", "stats_id", "is_incremental", "last_updated"
     )
     return in_order(report, "stats_name", "column_name")
+
+
+def histogram_steps(df: DataFrame, column: str, object_id: int, stats_id: int, chunk: Column, steps: int = HISTOGRAM_STEPS) -> DataFrame:
+    """The equal-height histogram of a column as rows of one statistic; counts of values below a step's highest, and of that."""
+    found = equi_height_histogram(df, column, steps, chunk)
+    mean = F.when(F.col("distinct_range") > 0, F.col("range_rows") / F.col("distinct_range")).otherwise(F.lit(1.0))
+    return found.select(
+        F.lit(object_id).cast("long").alias("object_id"), F.lit(stats_id).cast("long").alias("stats_id"), F.col("step").alias("step_number"),
+        F.col("range_hi").cast("string").alias("range_high_key"), "range_rows", F.col("eq_rows").alias("equal_rows"),
+        F.col("distinct_range").alias("distinct_range_rows"), mean.alias("average_range_rows"))
+
+
+def stats_histograms(table: DataFrame, stats: DataFrame, columns: DataFrame, histogram: DataFrame, in_memory: bool | None = True,
+                     name: str | None = None) -> DataFrame:
+    """Statistics with the columns they cover and their histograms, last step first; those without steps keep a row.
+
+    ``in_memory`` takes tables of one storage only, None all; ``name`` one table.
+    """
+    own = table if in_memory is None else table.filter(F.col("is_memory_optimized") == in_memory)
+    if name is not None:
+        own = own.filter(F.col("table_name") == name)
+    on = ["object_id", "stats_id"]
+    report = own.join(stats, "object_id").join(columns, on, "left").join(histogram, on, "left").select(
+        "schema_name", "table_name", "stats_name", "column_name", "stats_id", "is_incremental", "is_memory_optimized", "last_updated",
+        "step_number", "range_high_key", "range_rows", "equal_rows", "distinct_range_rows", "average_range_rows",
+    )
+    return in_order(report, "stats_id", F.desc_nulls_last("step_number"))

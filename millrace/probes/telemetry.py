@@ -164,7 +164,7 @@ STAND_INS = {
                count(*) * CASE o_custkey % 3 WHEN 0 THEN 10 WHEN 1 THEN 1000 ELSE 5000 END AS rows FROM {orders} GROUP BY o_custkey""",
     "cust_stats": """
         SELECT o_custkey AS object_id, count(*) * 400 AS modification_counter, max(o_orderdate) AS last_updated FROM {orders} GROUP BY o_custkey""",
-    "stat_table": "SELECT s_suppkey AS object_id, 'dbo' AS schema_name, s_name AS table_name FROM {supplier}",
+    "stat_table": "SELECT s_suppkey AS object_id, 'dbo' AS schema_name, s_name AS table_name, s_suppkey % 2 = 0 AS is_memory_optimized FROM {supplier}",
     "stat_list": """
         SELECT l_suppkey AS object_id, l_linenumber AS stats_id, concat('stats_', max(l_linenumber)) AS stats_name, false AS is_incremental,
                max(l_shipdate) AS last_updated FROM {lineitem} GROUP BY l_suppkey, l_linenumber""",
@@ -472,3 +472,23 @@ WHERE table_name = 'Supplier#000000002'
 """)
 def stats_catalog(t: Tables):
     return tm.stats_catalog(*_frames(t, "stat_table", "stat_list", "stat_cols"), name="Supplier#000000002")
+
+
+@probe("stats_histograms", _with("stat_table", "stat_list", "stat_cols") + """
+, v AS (SELECT l_suppkey AS object_id, l_linenumber AS stats_id, l_quantity AS v, count(*) AS n FROM lineitem WHERE l_suppkey = 2 AND l_linenumber < 3 GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY stats_id ORDER BY v) AS upto, sum(n) OVER (PARTITION BY stats_id) AS total FROM v),
+h AS (SELECT object_id, stats_id, CAST(ceil(upto * 20 / total) AS INTEGER) AS step_number, CAST(max(v) AS VARCHAR) AS range_high_key,
+             CAST(sum(n) - arg_max(n, v) AS BIGINT) AS range_rows, arg_max(n, v) AS equal_rows, count(*) - 1 AS distinct_range_rows FROM c GROUP BY 1, 2, 3)
+SELECT schema_name, table_name, stats_name, column_name, s.stats_id, is_incremental, is_memory_optimized, last_updated, step_number, range_high_key,
+       range_rows, equal_rows, distinct_range_rows,
+       round(CASE WHEN distinct_range_rows > 0 THEN range_rows / distinct_range_rows WHEN distinct_range_rows = 0 THEN 1.0 END, 6) AS average_range_rows
+FROM stat_table t JOIN stat_list s USING (object_id) LEFT JOIN stat_cols c ON c.object_id = s.object_id AND c.stats_id = s.stats_id
+LEFT JOIN h ON h.object_id = s.object_id AND h.stats_id = s.stats_id WHERE is_memory_optimized
+""")
+def stats_histograms(t: Tables):
+    """Every statistic of the in-memory tables, two of them with the histogram of their quantities."""
+    table, stats, columns = _frames(t, "stat_table", "stat_list", "stat_cols")
+    own = lambda n: t.lineitem.filter((F.col("l_suppkey") == 2) & (F.col("l_linenumber") == n))
+    steps = [tm.histogram_steps(own(n), "l_quantity", 2, n, F.col("l_quantity"), 20) for n in (1, 2)]
+    out = tm.stats_histograms(table, stats, columns, steps[0].unionByName(steps[1]))
+    return out.withColumn("average_range_rows", F.round("average_range_rows", 6))
