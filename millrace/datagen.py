@@ -27,6 +27,9 @@ FIRST_TIME = "2000-01-01 00:00:00"
 BINARY_BYTES = 5
 LONGEST_TEXT = 10000
 
+# Hex digits of a digest that make a number below 2 ** 60.
+DIGITS = 15
+
 # Longest text written out as one expression.
 UNROLLED_TEXT = 64
 
@@ -104,6 +107,15 @@ class Draw:
         return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), each), "")
 
 
+class DigestDraw(Draw):
+    """Hash numbers from a digest that other engines have too, so that these can state the same rows."""
+
+    def hash(self, part: Column | int = 0) -> Column:
+        part = F.lit(part) if isinstance(part, int) else part
+        text = F.concat_ws("|", F.lit(str(self.seed)), F.lit(self.name), self.row.cast("string"), part.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("long")
+
+
 def table_value(spec: Spec, draw: Draw, as_of: str) -> Column:
     """Value for a column of an existing table; types without a rule are null."""
     kind, first = spec.kind, F.lit(FIRST_TIME).cast("timestamp_ntz")
@@ -221,7 +233,7 @@ def one_row_values(as_of: str) -> dict[str, Callable[[Draw], Column]]:
 
 def fill_random(rows: DataFrame, key: str, specs: list[Spec], seed: int, as_of: str, many: bool = True) -> DataFrame:
     values = many_row_values(as_of) if many else one_row_values(as_of)
-    return rows.select(*[values[s.type](Draw(F.col(key), seed, s.name)).alias(s.name) for s in specs])
+    return rows.select(*[values[s.type](DigestDraw(F.col(key), seed, s.name)).alias(s.name) for s in specs])
 
 
 def tally(spark: SparkSession, n: int) -> DataFrame:

@@ -50,11 +50,35 @@ def random_text_shape(t: Tables):
     )
 
 
-@probe("random_schema")
+def _digest(*parts: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(parts)}))"
+
+
+def _stated(spec: dg.Spec, seed: int, key: str) -> str:
+    """SQL of one column of a random table."""
+    h = f"CAST('0x' || substr({_digest(f"'{seed}'", f"'{spec.name}'", f'CAST({key} AS VARCHAR)', "'0'")}, 1, 15) AS BIGINT)"
+    whole = f"upper({_digest(f"'{seed}'", f"'{spec.name}'", f'CAST({key} AS VARCHAR)')})"
+    dashed = " || '-' || ".join(f"substr({whole}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    rules = {
+        "TINYINT": f"{h} % 256", "SMALLINT": f"{h} % 32768", "INT": f"{h} % 2147483648", "BIGINT": f"{h} % 1000000", "BIT": f"{h} % 2 = 1",
+        "CHAR(5)": f"left({dashed}, 5)", "CHAR(10)": f"left({dashed}, 10)", "VARCHAR(20)": f"left({dashed}, 20)", "VARCHAR(50)": dashed,
+        "DATE": f"DATE '2000-01-01' + CAST({h} % 3650 AS INTEGER)", "DATETIME": f"TIMESTAMP '2000-01-01' + to_seconds({h} % 31536000)",
+        "TIME": f"strftime(TIMESTAMP '2000-01-01' + to_milliseconds({h} % 31536000 % 86400000), '%H:%M:%S.%g')",
+        "DECIMAL(10,2)": f"CAST({h} % 100000 / 100.0 AS DECIMAL(10, 2))", "DECIMAL(8,3)": f"CAST({h} % 10000 / 1000.0 AS DECIMAL(8, 3))",
+        "FLOAT": f"{h} % 100000 / 100.0", "REAL": f"CAST({h} % 100000 / 1000.0 AS FLOAT)",
+    }
+    return f'{rules[spec.type]} AS "{spec.name}"'
+
+
+# Columns with all types of tables of many rows, then those of one seed.
+_ALL_TYPES = [dg.Spec(f"All{i}", kind) for i, kind in enumerate(dg.MANY_ROW_TYPES, 1)]
+_SCHEMA = [*_ALL_TYPES, *dg.random_specs(11, dg.MANY_ROW_TYPES)]
+
+
+@probe("random_schema", f"SELECT {', '.join(_stated(s, 11, 'c_custkey') for s in _SCHEMA)} FROM customer")
 def random_schema(t: Tables):
     """A table of random columns, one row per customer; seeds fix columns and values."""
-    specs = dg.random_specs(11, dg.MANY_ROW_TYPES)
-    return dg.fill_random(t.customer.select("c_custkey"), "c_custkey", specs, 11, _AS_OF)
+    return dg.fill_random(t.customer.select("c_custkey"), "c_custkey", _SCHEMA, 11, _AS_OF)
 
 
 # The one-row kind takes the given time for its two clock types.

@@ -13,8 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables
 
 
 
-#: Fitted models and hashed random rows: tested against their rules in test_ml.py and test_rows.py.
-NO_SQL = {"logreg_scores", "churn_auc", "batch_scoring", "feature_elimination", "param_grid", "mlp_train", "step_comparison", "random_schema"}
+#: Fitted models: tested against their rules in test_ml.py.
+NO_SQL = {"logreg_scores", "churn_auc", "batch_scoring", "feature_elimination", "param_grid", "mlp_train", "step_comparison"}
 
 
 @pytest.fixture(scope="module")
