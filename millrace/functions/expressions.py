@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,14 +125,13 @@ def ratio_if_positive(a: Column, b: Column) -> Column:
 
 def _slice_units(text: Column, first: Column, size: Column) -> Column:
     """``size`` two-byte units of a text from unit ``first`` (from 1); half a character that is left at an end becomes U+FFFD."""
-    cut = F.substring(F.encode(text, "UTF-16LE"), first * 2 - 1, size * 2)
-    lost = F.unhex(F.lit("FDFF"))
+    units = F.encode(text, "UTF-16LE")
     # the second byte of a unit tells the halves of a character apart
-    front = F.hex(F.substring(cut, 2, 1)).between("DC", "DF")
-    cut = F.when(front, F.concat(lost, F.substring(cut, F.lit(3), F.greatest(F.length(cut) - 2, F.lit(0))))).otherwise(cut)
-    back = F.hex(F.substring(cut, -1, 1)).between("D8", "DB")
-    cut = F.when(back, F.concat(F.substring(cut, F.lit(1), F.length(cut) - 2), lost)).otherwise(cut)
-    return F.decode(cut, "UTF-16LE")
+    high = lambda at: F.hex(F.substring(units, at * 2, F.lit(1)))
+    front = ((size > 0) & high(first).between("DC", "DF")).cast("int")
+    back = ((size > 0) & high(first + size - 1).between("D8", "DB")).cast("int")
+    whole = F.decode(F.substring(units, (first + front) * 2 - 1, (size - front - back) * 2), "UTF-16LE")
+    return F.concat(F.repeat(F.lit("\ufffd"), front), whole, F.repeat(F.lit("\ufffd"), back))
 
 
 def statement_slice(text: Column, start: Column, end: Column, first_shift: int = 1,
@@ -142,7 +143,9 @@ def statement_slice(text: Column, start: Column, end: Column, first_shift: int =
     Characters beyond the first 65,536 are two units; only texts that hold one
     are encoded.
     """
-    wide = F.rlike(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+    # such a character begins with one of five bytes, which begin or continue no other
+    raw = text.cast("binary")
+    wide = reduce(lambda a, b: a | b, [F.contains(raw, F.unhex(F.lit(lead))) for lead in ("F0", "F1", "F2", "F3", "F4")])
     units = F.when(wide, F.length(F.encode(text, "UTF-16LE")) / 2).otherwise(F.length(text)).cast("int")
     last = F.when(end == -1, units * 2).otherwise(end)
     first = F.floor(start / 2).cast("int") + first_shift
@@ -150,7 +153,7 @@ def statement_slice(text: Column, start: Column, end: Column, first_shift: int =
     # A first position below 1 eats into the length, as in T-SQL SUBSTRING.
     size = F.greatest(F.when(first < 1, size + first - 1).otherwise(size), F.lit(0))
     first = F.greatest(first, F.lit(1))
-    return F.when(wide, _slice_units(text, first, F.least(size, units))).otherwise(F.substring(text, first, size))
+    return F.when(wide, _slice_units(text, first, F.greatest(F.least(size, units - first + 1), F.lit(0)))).otherwise(F.substring(text, first, size))
 
 
 def update_threshold(rows: Column) -> Column:

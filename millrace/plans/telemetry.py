@@ -369,7 +369,7 @@ def plan_operators(plan: DataFrame, plan_column: str = "query_plan") -> DataFram
 
 
 def top_io(stats: DataFrame, plan: DataFrame, database_id: int | None = None, n: int = 50) -> DataFrame:
-    """Slow statements that read and write most per run, each with its plan; only the plans of those ``n`` are looked up."""
+    """Slow statements that read and write most per run, each with its plan, joined to those ``n`` rows only."""
     second = F.lit(1000000.0)
     slow = (F.col("max_worker_time") / second > SLOW_SECONDS) | (F.col("max_elapsed_time") / second > SLOW_SECONDS)
     rows = stats.filter(slow)
@@ -391,7 +391,7 @@ def top_io(stats: DataFrame, plan: DataFrame, database_id: int | None = None, n:
         (F.col("total_elapsed_time") / second).alias("total_elapsed_seconds"),
         (F.col("max_elapsed_time") / second).alias("max_elapsed_seconds"), "total_rows", "max_rows",
     ).orderBy(F.desc("avg_io_pages"), "statement_id").limit(n)
-    found = left_join_many(top, plan.select("plan_handle", "query_plan"), "plan_handle").drop("plan_handle")
+    found = top.join(plan.select("plan_handle", "query_plan"), "plan_handle", "left").drop("plan_handle")
     return found.orderBy(F.desc("avg_io_pages"), "statement_id")
 
 
