@@ -1,87 +1,252 @@
 """Stupid-backoff scores of documents, computed relationally.
 
-Words are runs of letters and digits, lower-cased.  N-grams are told by the
-64-bit hash of their words, and their count tables are dealt out by that hash.
-A document is scored by the other documents: its own counts are taken off.  From
-the highest order down, the n-grams of a document are joined to the count table
-of their order.  One that others have adds the logarithm of its count and passes
-its context on as a denominator; one that they have not costs the logarithm of
-the discount and passes on what is left without its first word.  Both are summed
-per document and n-gram before they move to the next lower order.  A word that
-others have not counts as half an occurrence; the last denominator is the number
-of all words of others, 1 at least.
-
-Both sides of each join are written tables, so a frequent n-gram can be split.
+Words are runs of letters and digits, lower-cased.  N-grams are told by 64-bit
+hashes of their words, and their count tables are dealt out by ranges of the hash.
+A document is scored by the other documents: its own counts are taken off.  A
+word whose n-gram of the highest order others have adds the logarithm of that
+count less that of the context; one whose n-gram others have not costs the
+logarithm of the discount and asks for the n-gram without its first word.  A
+word that others have not counts as half an occurrence; the last denominator is
+the number of all words of others, 1 at least.
+
+What is joined are blocks, not rows: a slice of the corpus (about SLICE_WORDS
+words) counts its n-grams and sends each once, sorted, to the range it falls in.
+A range adds up what the slices sent and answers each in the order it asked, so
+neither a document's number nor a frequent n-gram travels more than once a
+slice.  The slice then sums its documents.  Slices are written before anything
+is asked, so a task that runs again asks the same.
+
 Null and empty texts have no words and score 0.  Rows that repeat a key are one
-document, also those of null key; n-grams do not cross rows.
+document, also those of null key: their own counts are added up by the ranges.
+N-grams do not cross rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.llm.batches import mapped, ship
 from millrace.llm.scratch import Scratch
 
 DISCOUNT = 0.4
+#: Words of a slice (one longer text is taken alone) and n-grams asked for in one range of hashes.
+SLICE_WORDS, RANGE_GRAMS = 1 << 19, 1 << 21
+#: Slices are long rows: few of them make a row group, so that readers hold few at a time.
+FEW_ROWS = {"parquet.block.row.count.limit": "4"}
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _name(some: list[Column]) -> Column:
-    return F.xxhash64(F.lit(len(some)), *some) if some else F.lit(0).cast("long")
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit values, first all their lowest bytes, then all second ones: the even ones compress."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _joined(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([_values(p) for p in column.to_pylist()] or [np.zeros(0, np.int64)])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (document, owner, word hashes) as slices; those that have an owner are slices of their own."""
+    def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held)
+        alone = pc.is_null(whole.column(1))
+        for part in (whole.filter(alone), whole.filter(pc.invert(alone))):
+            if part.num_rows:
+                part = part.combine_chunks()
+                doc, owner, rows = (part.column(i).chunk(0) for i in range(3))
+                sizes = pc.list_value_length(rows)
+                vocabulary, codes = np.unique(rows.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+                one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+                yield pa.RecordBatch.from_arrays([
+                    one(doc), one(owner), one(sizes.cast(pa.int32())), one(pa.array(vocabulary, pa.int64())),
+                    one(pa.array(codes.astype(np.int32))), pa.array([len(codes)], pa.int64())],
+                    names=["docs", "owners", "sizes", "vocabulary", "codes", "n"])
 
-def _grams(rows: DataFrame, n: int, top: bool) -> DataFrame:
-    """N-grams of all rows; those of the highest order all predict their last word, of lower ones a text's first does."""
-    def gram(i: Column) -> Column:
-        at = [F.get("w", i + k) for k in range(n)]
-        asked = F.lit(1).cast("long") if top else (i == 0).cast("long")
-        return F.struct(_name(at).alias("gram"), _name(at[:-1]).alias("context"), _name(at[1:]).alias("shorter"), asked.alias("asked"))
+    held, n = [], 0
+    for batch in batches:
+        # a batch may hold many words: cut it where a slice is full
+        ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + SLICE_WORDS - n, side="right")))
+            held.append(batch.slice(begin, end - begin))
+            n += int(ends[end - 1]) - before
+            begin = end
+            if n >= SLICE_WORDS or begin < batch.num_rows:
+                yield from made(held)
+                held, n = [], 0
+    if held:
+        yield from made(held)
 
-    some = rows.filter(F.size("w") >= n)
-    every = F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), gram)).alias("g")
-    return some.select("doc", every).select("doc", "g.*", F.lit(1).cast("long").alias("own"), F.lit(0).cast("long").alias("divided"))
+
+class _Slice:
+    """N-grams of a slice: which ends at each word, by order, and what the slice asks the ranges for."""
+
+    def __init__(self, table: pa.Table, order: int):
+        def flat(name: str) -> pa.Array:
+            return table.column(name).combine_chunks().flatten()
+
+        self.docs, sizes = flat("docs"), flat("sizes").to_numpy()
+        vocabulary = flat("vocabulary").to_numpy().view(np.uint64)
+        codes = flat("codes").to_numpy().astype(np.int64)
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.sizes, self.place = sizes, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        owners = flat("owners")
+        self.owners = np.zeros(0, np.int64)
+        if len(owners) and owners[0].is_valid:
+            self.owners, owner = np.unique(owners.to_numpy(), return_inverse=True)
+        # numbers go on from one order to the next; -1 where a row has no such n-gram
+        numbers, names, first = codes, _mixed(vocabulary + np.uint64(1)), 0
+        self.ends, every = [codes], [names]
+        for n in range(2, order + 1):
+            at = np.flatnonzero(self.place >= n - 1)
+            some, which = np.unique(numbers[at - 1] * len(vocabulary) + codes[at], return_inverse=True)
+            longer = np.full(len(codes), -1, np.int64)
+            longer[at] = which
+            if len(some):
+                names = _mixed(names[some // len(vocabulary)] * np.uint64(0x9E3779B97F4A7C15) + vocabulary[some % len(vocabulary)] + np.uint64(n))
+            else:
+                names = names[:0]
+            first += len(every[-1])
+            self.ends.append(np.where(longer >= 0, longer + first, -1))
+            every.append(names)
+            numbers = longer
+        names = np.concatenate(every)
+        # an entry is an n-gram or, where owners count apart, an n-gram of an owner
+        if len(self.owners):
+            many = len(self.owners)
+            pairs = [np.where(e >= 0, e * many + owner[self.doc], -1) for e in self.ends]
+            entries = np.unique(np.concatenate(pairs))
+            entries = entries[entries >= 0]
+            self.entry = [np.searchsorted(entries, p) for p in pairs]
+            names, self.owner = names[entries // many], self.owners[entries % many]
+        else:
+            self.entry, self.owner = self.ends, None
+        self.counts = sum(np.bincount(e[k >= 0], minlength=len(names)) for e, k in zip(self.entry, self.ends))
+        self.order = np.argsort(names, kind="stable" if len(self.owners) else None)
+        self.names = names[self.order]
+
+    def asked(self, ranges: int) -> Iterator[tuple[int, slice]]:
+        """Ranges that the slice asks, and where what it asks stands among the sorted names."""
+        of = ((self.names >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        at = np.flatnonzero(np.diff(of, prepend=np.uint64(ranges)))
+        for begin, end in zip(at, [*at[1:], len(of)]):
+            yield int(of[begin]), slice(int(begin), int(end))
+
+    def others(self, answers: np.ndarray) -> list[np.ndarray]:
+        """By order, how often other documents have the n-gram that ends at each word."""
+        got = np.zeros(len(self.names), np.int64)
+        got[self.order] = answers
+        found = []
+        for entry, ends in zip(self.entry, self.ends):
+            some = ends >= 0
+            n = np.zeros(len(ends), np.int64)
+            n[some] = got[entry[some]]
+            if self.owner is None:
+                _, which, own = np.unique(ends[some] * len(self.sizes) + self.doc[some], return_inverse=True, return_counts=True)
+                n[some] -= own[which]
+            found.append(n)
+        return found
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    """Answers of one range: how often the corpus has each n-gram, less what its owner has."""
+    grams, counts = _joined(table.column("grams")), _joined(table.column("counts"))
+    sizes = [len(p) // 8 for p in table.column("grams").to_pylist()]
+    some, which = np.unique(grams, return_inverse=True)
+    n = np.bincount(which, weights=counts, minlength=len(some)).astype(np.int64)[which]
+    owners = table.column("owners")
+    if owners.null_count < len(owners):
+        owned = np.repeat(pc.is_valid(owners).to_numpy(), sizes)
+        numbers = np.unique(_joined(owners.drop_null()), return_inverse=True)[1]
+        _, pair = np.unique(numbers * len(some) + which[owned], return_inverse=True)
+        n[owned] -= np.bincount(pair, weights=counts[owned]).astype(np.int64)[pair]
+    ends = np.cumsum(sizes)
+    return pa.table({"slice": table.column("slice"), "range": table.column("range"),
+                     "answers": pa.array([_planes(n[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())})
 
 
 def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int = 3, discount: float = DISCOUNT) -> DataFrame:
     """Per different ``key``: n_words and score, the sum of the natural logarithms of its words' scores."""
     scratch = Scratch(spark, "backoff")
-    rows = docs.select(docs[key].alias("doc"), words(docs[text]).alias("w"))
-    ids = scratch.write(rows.groupBy("doc").agg(F.sum(F.size("w")).cast("long").alias("n_words")), "ids")
-    total = ids.agg(F.sum("n_words")).first()[0] or 0
-    carried, parts = None, []
-    for n in range(order, 0, -1):
-        grams = _grams(rows, n, n == order)
-        if carried is not None:
-            none = F.lit(None).cast("long")
-            grams = grams.unionByName(carried.select("doc", "gram", none.alias("context"), none.alias("shorter"), "asked",
-                                                     F.lit(0).cast("long").alias("own"), "divided"))
-        mine = scratch.write(grams.groupBy("doc", "gram").agg(
-            F.max("context").alias("context"), F.max("shorter").alias("shorter"),
-            *[F.sum(c).alias(c) for c in ("asked", "own", "divided")]), f"mine{n}")
-        counts = scratch.write(mine.groupBy("gram").agg(F.sum("own").alias("n")), f"counts{n}")
-        found = mine.join(counts, "gram").withColumn("others", F.col("n") - F.col("own"))
-        log = F.log(F.greatest(F.col("others").cast("double"), F.lit(0.5)))
-        unseen = F.log(F.lit(float(discount))) if n > 1 else log
-        part = F.col("asked") * F.when(F.col("others") > 0, log).otherwise(unseen) - F.col("divided") * log
-        bare = F.col("asked") if n == 1 else F.lit(0).cast("long")
-        found = scratch.write(found.select("doc", "context", "shorter", "asked", "others", part.alias("part"), bare.alias("bare")), f"found{n}")
-        parts.append(found.groupBy("doc").agg(F.sum("part").alias("part"), F.sum("bare").alias("bare")))
-        seen = F.col("others") > 0
-        carried = found.filter("asked > 0").select(
-            "doc", F.when(seen, F.col("context")).otherwise(F.col("shorter")).alias("gram"),
-            F.when(seen, 0).otherwise(F.col("asked")).alias("asked"), F.when(seen, F.col("asked")).otherwise(0).alias("divided"))
-        scratch.drop(f"mine{n}", f"counts{n}")
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    summed = every.groupBy(F.col("doc").alias("d")).agg(F.sum("part").alias("part"), F.sum("bare").alias("bare"))
-    both = ids.join(summed, ids["doc"].eqNullSafe(summed["d"]), "left")
+    ship(spark)
+    rows = docs.select(docs[key].alias("doc"), docs[text].alias("t"))
+    kind = rows.schema["doc"].dataType
+    repeated = rows.groupBy(F.col("doc").alias("d")).count().filter("count > 1").select("d", F.monotonically_increasing_id().alias("owner"))
+    repeated = scratch.write(repeated, "repeated")
+    hashed = rows.join(repeated, F.col("doc").eqNullSafe(F.col("d")), "left").select(
+        "doc", "owner", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
+    lists = [("docs", kind), ("owners", T.LongType()), ("sizes", T.IntegerType()), ("vocabulary", T.LongType()), ("codes", T.IntegerType())]
+    cut = mapped(hashed, _cut, T.StructType([*[T.StructField(n, T.ArrayType(t)) for n, t in lists], T.StructField("n", T.LongType())]))
+    slices = scratch.write(cut.withColumn("slice", F.monotonically_increasing_id()), "slices", FEW_ROWS)
+    total = slices.agg(F.sum("n")).first()[0] or 0
+    ranges = -(-total * order // RANGE_GRAMS) or 1
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = pa.Table.from_batches([batch.slice(i, 1)]).rename_columns(["docs", "owners", "sizes", "vocabulary", "codes", "slice"])
+                one = _Slice(part, order)
+                counts, owner = one.counts[one.order], None if one.owner is None else one.owner[one.order]
+                to = list(one.asked(ranges))
+                yield pa.RecordBatch.from_pydict({
+                    "range": pa.array([r for r, _ in to], pa.int32()), "slice": pa.array([part.column("slice")[0].as_py()] * len(to), pa.int64()),
+                    "grams": pa.array([_planes(one.names[at]) for _, at in to], pa.binary()),
+                    "counts": pa.array([_planes(counts[at]) for _, at in to], pa.binary()),
+                    "owners": pa.array([None if owner is None else _planes(owner[at]) for _, at in to], pa.binary())})
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        one = _Slice(left, order)
+        answers = _joined(right.sort_by("range").column("answers"))
+        others = one.others(answers)
+        value, bare, left_open = np.zeros(len(one.place)), np.zeros(len(one.place)), np.zeros(len(one.place), bool)
+        for n in range(order, 0, -1):
+            left_open |= one.place >= n - 1 if n == order else one.place == n - 1
+            seen = others[n - 1]
+            if n == 1:
+                value[left_open] += np.log(np.maximum(seen[left_open], 0.5))
+                bare[left_open] = 1
+            else:
+                has = np.flatnonzero(left_open & (seen > 0))
+                value[has] += np.log(seen[has]) - np.log(np.maximum(others[n - 2][has - 1], 0.5))
+                left_open[has] = False
+                value[left_open] += np.log(discount)
+        each = len(one.sizes)
+        return pa.table({"doc": one.docs, "n_words": pa.array(one.sizes.astype(np.int64)),
+                         "part": pa.array(np.bincount(one.doc, value, each), pa.float64()),
+                         "bare": pa.array(np.bincount(one.doc, bare, each), pa.float64())})
+
+    asked = mapped(slices.select("docs", "owners", "sizes", "vocabulary", "codes", "slice"), ask,
+                   "range int, slice long, grams binary, counts binary, owners binary")
+    answers = asked.groupBy("range").applyInArrow(_add_up, "slice long, range int, answers binary")
+    scored = slices.drop("n").groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, T.StructType([
+        T.StructField("doc", kind), T.StructField("n_words", T.LongType()), T.StructField("part", T.DoubleType()), T.StructField("bare", T.DoubleType())]))
+    scored = scratch.write(scored, "scored")
+    scratch.drop("slices", "repeated")
+    each = scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("n_words", "part", "bare")])
     rest = F.log(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)).cast("double"))
-    return both.select(F.col("doc").alias(key), "n_words", F.coalesce(F.col("part") - F.col("bare") * rest, F.lit(0.0)).alias("score"))
+    return each.select(F.col("doc").alias(key), "n_words", (F.col("part") - F.col("bare") * rest).alias("score"))
 
 
 #: The scores of order 3 in DuckDB's SQL, on words instead of hashes.

@@ -20,8 +20,8 @@ class Scratch:
         self.spark, self.base = spark, scratch_path(spark, name)
         _left.append(self.base)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.base}/{name}")
+    def write(self, df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+        df.write.options(**(options or {})).parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
     def drop(self, *names: str) -> None:
