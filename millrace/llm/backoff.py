@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +38,7 @@ from millrace.llm.scratch import Scratch
 
 DISCOUNT = 0.4
 #: Words of a slice (one longer text is taken alone) and n-grams asked for in one range of hashes.
-SLICE_WORDS, RANGE_GRAMS = 1 << 19, 1 << 21
+SLICE_WORDS, RANGE_GRAMS = 1 << 20, 1 << 20
 #: Slices are long rows: few of them make a row group, so that readers hold few at a time.
 FEW_ROWS = {"parquet.block.row.count.limit": "4"}
 
@@ -46,13 +47,26 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """64-bit values, first all their lowest bytes, then all second ones: the even ones compress."""
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """64-bit values (the steps between them if ascending), first all lowest bytes, then all second ones, compressed.
 
+    The number of values stands in front.
+    """
+    values = values.astype("<i8", copy=False) if values.dtype != np.uint64 else values.view("<i8")
+    planes = (np.diff(values, prepend=0) if ascending else values).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
-def _values(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+def _values(packed: bytes, ascending: bool = False) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], 8 * n, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    values = np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").ravel()
+    return np.cumsum(values) if ascending else values
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each value, equal ones the same, in order of appearance; the different values."""
+    return pd.factorize(values)
 
 
 def _joined(column: pa.ChunkedArray) -> np.ndarray:
@@ -74,13 +88,16 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if part.num_rows:
                 part = part.combine_chunks()
                 doc, owner, rows = (part.column(i).chunk(0) for i in range(3))
-                sizes = pc.list_value_length(rows)
-                vocabulary, codes = np.unique(rows.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+                sizes = pc.list_value_length(rows).to_numpy(zero_copy_only=False)
+                codes, vocabulary = _numbered(rows.flatten().to_numpy(zero_copy_only=False))
+                # frequent words get small numbers, which compress better
+                order = np.argsort(-np.bincount(codes, minlength=len(vocabulary)), kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
                 one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-                yield pa.RecordBatch.from_arrays([
-                    one(doc), one(owner), one(sizes.cast(pa.int32())), one(pa.array(vocabulary, pa.int64())),
-                    one(pa.array(codes.astype(np.int32))), pa.array([len(codes)], pa.int64())],
-                    names=["docs", "owners", "sizes", "vocabulary", "codes", "n"])
+                packed = [pa.array([_packed(v)], pa.binary()) for v in (sizes, vocabulary[order], rank[codes])]
+                yield pa.RecordBatch.from_arrays([one(doc), one(owner), *packed, pa.array([len(codes)], pa.int64())],
+                                                 names=["docs", "owners", "sizes", "vocabulary", "codes", "n"])
 
     held, n = [], 0
     for batch in batches:
@@ -107,9 +124,9 @@ class _Slice:
         def flat(name: str) -> pa.Array:
             return table.column(name).combine_chunks().flatten()
 
-        self.docs, sizes = flat("docs"), flat("sizes").to_numpy()
-        vocabulary = flat("vocabulary").to_numpy().view(np.uint64)
-        codes = flat("codes").to_numpy().astype(np.int64)
+        self.docs = flat("docs")
+        sizes, vocabulary, codes = (_values(table.column(name)[0].as_py()) for name in ("sizes", "vocabulary", "codes"))
+        vocabulary = vocabulary.view(np.uint64)
         self.doc = np.repeat(np.arange(len(sizes)), sizes)
         self.sizes, self.place = sizes, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         owners = flat("owners")
@@ -121,7 +138,7 @@ class _Slice:
         self.ends, every = [codes], [names]
         for n in range(2, order + 1):
             at = np.flatnonzero(self.place >= n - 1)
-            some, which = np.unique(numbers[at - 1] * len(vocabulary) + codes[at], return_inverse=True)
+            which, some = _numbered(numbers[at - 1] * len(vocabulary) + codes[at])
             longer = np.full(len(codes), -1, np.int64)
             longer[at] = which
             if len(some):
@@ -160,31 +177,33 @@ class _Slice:
         got[self.order] = answers
         found = []
         for entry, ends in zip(self.entry, self.ends):
-            some = ends >= 0
+            some = np.flatnonzero(ends >= 0)
             n = np.zeros(len(ends), np.int64)
             n[some] = got[entry[some]]
             if self.owner is None:
-                _, which, own = np.unique(ends[some] * len(self.sizes) + self.doc[some], return_inverse=True, return_counts=True)
-                n[some] -= own[which]
+                # where the corpus has one, it is the document's own
+                own = np.flatnonzero(n > 1)
+                which, pairs = _numbered(ends[own] * len(self.sizes) + self.doc[own])
+                n[some] = np.where(n[some] > 1, n[some], 0)
+                n[own] -= np.bincount(which, minlength=len(pairs))[which]
             found.append(n)
         return found
 
 
 def _add_up(table: pa.Table) -> pa.Table:
     """Answers of one range: how often the corpus has each n-gram, less what its owner has."""
-    grams, counts = _joined(table.column("grams")), _joined(table.column("counts"))
-    sizes = [len(p) // 8 for p in table.column("grams").to_pylist()]
-    some, which = np.unique(grams, return_inverse=True)
+    each = [_values(p, True) for p in table.column("grams").to_pylist()]
+    sizes, counts = [len(e) for e in each], _joined(table.column("counts"))
+    which, some = _numbered(np.concatenate(each))
     n = np.bincount(which, weights=counts, minlength=len(some)).astype(np.int64)[which]
     owners = table.column("owners")
     if owners.null_count < len(owners):
         owned = np.repeat(pc.is_valid(owners).to_numpy(), sizes)
-        numbers = np.unique(_joined(owners.drop_null()), return_inverse=True)[1]
-        _, pair = np.unique(numbers * len(some) + which[owned], return_inverse=True)
+        pair, _ = _numbered(_numbered(_joined(owners.drop_null()))[0] * len(some) + which[owned])
         n[owned] -= np.bincount(pair, weights=counts[owned]).astype(np.int64)[pair]
     ends = np.cumsum(sizes)
     return pa.table({"slice": table.column("slice"), "range": table.column("range"),
-                     "answers": pa.array([_planes(n[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())})
+                     "answers": pa.array([_packed(n[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())})
 
 
 def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int = 3, discount: float = DISCOUNT) -> DataFrame:
@@ -197,8 +216,10 @@ def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int
     repeated = scratch.write(repeated, "repeated")
     hashed = rows.join(repeated, F.col("doc").eqNullSafe(F.col("d")), "left").select(
         "doc", "owner", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
-    lists = [("docs", kind), ("owners", T.LongType()), ("sizes", T.IntegerType()), ("vocabulary", T.LongType()), ("codes", T.IntegerType())]
-    cut = mapped(hashed, _cut, T.StructType([*[T.StructField(n, T.ArrayType(t)) for n, t in lists], T.StructField("n", T.LongType())]))
+    lists = [("docs", kind), ("owners", T.LongType())]
+    cut = mapped(hashed, _cut, T.StructType([
+        *[T.StructField(n, T.ArrayType(t)) for n, t in lists],
+        *[T.StructField(n, T.BinaryType()) for n in ("sizes", "vocabulary", "codes")], T.StructField("n", T.LongType())]))
     slices = scratch.write(cut.withColumn("slice", F.monotonically_increasing_id()), "slices", FEW_ROWS)
     total = slices.agg(F.sum("n")).first()[0] or 0
     ranges = -(-total * order // RANGE_GRAMS) or 1
@@ -212,9 +233,9 @@ def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int
                 to = list(one.asked(ranges))
                 yield pa.RecordBatch.from_pydict({
                     "range": pa.array([r for r, _ in to], pa.int32()), "slice": pa.array([part.column("slice")[0].as_py()] * len(to), pa.int64()),
-                    "grams": pa.array([_planes(one.names[at]) for _, at in to], pa.binary()),
-                    "counts": pa.array([_planes(counts[at]) for _, at in to], pa.binary()),
-                    "owners": pa.array([None if owner is None else _planes(owner[at]) for _, at in to], pa.binary())})
+                    "grams": pa.array([_packed(one.names[at], True) for _, at in to], pa.binary()),
+                    "counts": pa.array([_packed(counts[at]) for _, at in to], pa.binary()),
+                    "owners": pa.array([None if owner is None else _packed(owner[at]) for _, at in to], pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         one = _Slice(left, order)
