@@ -14,7 +14,8 @@ words) counts its n-grams and sends each once, sorted, to the range it falls in.
 A range adds up what the slices sent and answers each in the order it asked, so
 neither a document's number nor a frequent n-gram travels more than once a
 slice.  The slice then sums its documents.  Slices are written before anything
-is asked, so a task that runs again asks the same.
+is asked, so a task that runs again asks the same; they are bucketed by their
+number, so only the answers move when both meet again.
 
 Null and empty texts have no words and score 0.  Rows that repeat a key are one
 document, also those of null key: their own counts are added up by the ranges.
@@ -23,6 +24,7 @@ N-grams do not cross rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -220,7 +222,11 @@ def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int
     cut = mapped(hashed, _cut, T.StructType([
         *[T.StructField(n, T.ArrayType(t)) for n, t in lists],
         *[T.StructField(n, T.BinaryType()) for n in ("sizes", "vocabulary", "codes")], T.StructField("n", T.LongType())]))
-    slices = scratch.write(cut.withColumn("slice", F.monotonically_increasing_id()), "slices", FEW_ROWS)
+    # as many buckets as the session has shuffle partitions: fewer would make the planner shuffle the slices after all
+    buckets, stored = int(spark.conf.get("spark.sql.shuffle.partitions")), f"backoff_{uuid.uuid4().hex}"
+    cut.withColumn("slice", F.monotonically_increasing_id()).write.options(**FEW_ROWS).bucketBy(buckets, "slice").saveAsTable(
+        stored, format="parquet", path=f"{scratch.base}/slices")
+    slices = spark.table(stored)
     total = slices.agg(F.sum("n")).first()[0] or 0
     ranges = -(-total * order // RANGE_GRAMS) or 1
 
@@ -263,7 +269,10 @@ def scores(spark: SparkSession, docs: DataFrame, key: str, text: str, order: int
     answers = asked.groupBy("range").applyInArrow(_add_up, "slice long, range int, answers binary")
     scored = slices.drop("n").groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, T.StructType([
         T.StructField("doc", kind), T.StructField("n_words", T.LongType()), T.StructField("part", T.DoubleType()), T.StructField("bare", T.DoubleType())]))
-    scored = scratch.write(scored, "scored")
+    try:
+        scored = scratch.write(scored, "scored")
+    finally:
+        spark.sql(f"drop table {stored}")
     scratch.drop("slices", "repeated")
     each = scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("n_words", "part", "bare")])
     rest = F.log(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)).cast("double"))
