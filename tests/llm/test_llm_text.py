@@ -331,6 +331,51 @@ def test_backoff(spark, order):
     assert backoff.scores(spark, df.limit(0), "doc_id", "text", order).count() == 0
 
 
+def test_backoff_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        values = rng.integers(-2**63, 2**63, n)
+        assert (backoff._values(backoff._packed(values)) == values).all()
+        names = np.sort(values.view(np.uint64))
+        assert (backoff._values(backoff._packed(names, True), True).view(np.uint64) == names).all()
+    # slices of 10 words: rows stay whole, rows with an owner are apart, none is lost
+    monkeypatch.setattr(backoff, "SLICE_WORDS", 10)
+    rows = [rng.integers(0, 5, rng.integers(0, 25)).tolist() for _ in range(60)]
+    owner = [None if i % 4 else i % 3 for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, a + 20)), pa.array(owner[a:a + 20], pa.int64()), pa.array(rows[a:a + 20], pa.list_(pa.int64()))],
+                                          names=["c0", "c1", "c2"]) for a in (0, 20, 40)]
+    cut = [pa.Table.from_batches([b]) for b in backoff._cut(batches)]
+    seen, asked, others = {}, [], collections.Counter()
+    for k, t in enumerate(cut):
+        one = backoff._Slice(t, 2)
+        owners = t.column("owners")[0].as_py()
+        assert len(set(o is None for o in owners)) == 1 and (len(one.sizes) == 1 or sum(one.sizes) <= 34)
+        words = backoff._values(t.column("vocabulary")[0].as_py())[backoff._values(t.column("codes")[0].as_py())]
+        for d, w in zip(one.docs.to_pylist(), np.split(words, np.cumsum(one.sizes)[:-1])):
+            seen[d] = w.tolist()
+        counts, whose = one.counts[one.order], None if one.owner is None else one.owner[one.order]
+        asked += [(r, k, backoff._packed(one.names[at], True), backoff._packed(counts[at]), None if whose is None else backoff._packed(whose[at])) for r, at in one.asked(3)]
+    assert seen == dict(enumerate(rows)) and len(cut) > 10
+    # the ranges' answers are the counts of the others, by documents or by owners
+    kinds = [("range", pa.int32()), ("slice", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary()), ("owners", pa.binary())]
+    answers = collections.defaultdict(list)
+    for r in range(3):
+        part = [a for a in asked if a[0] == r]
+        for row in backoff._add_up(pa.table({n: pa.array([a[i] for a in part], t) for i, (n, t) in enumerate(kinds)})).to_pylist():
+            answers[row["slice"]].append(backoff._values(row["answers"]))
+    grams = {d: collections.Counter(tuple(w[i:i + 2]) for i in range(len(w) - 1)) for d, w in seen.items()}
+    total = sum(grams.values(), others)
+    for k, t in enumerate(cut):
+        one = backoff._Slice(t, 2)
+        found = one.others(np.concatenate(answers[k] or [np.zeros(0, np.int64)]))[1]
+        for at, n in enumerate(found):
+            if one.place[at] >= 1:
+                d = one.docs[int(one.doc[at])].as_py()
+                g = tuple(seen[d][one.place[at] - 1:one.place[at] + 1])
+                own = sum(grams[x][g] for x in seen if owner[x] == owner[d]) if owner[d] is not None else grams[d][g]
+                assert n == total[g] - own
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     syllables = ["the", "re", "ti", "on", "an", "ed", "wh", "or", "st", "ble", "nd", "ea"]
