@@ -227,8 +227,47 @@ def test_language_many_labels(spark):
     assert language.sample(rows, "text", "lang", F.lit(True)).select("lang").distinct().count() == 600
 
 
+def test_network_forward():
+    """Filters, maxima and probabilities against plain loops; filters see no byte beyond their width."""
+    rng = np.random.default_rng(5)
+    mask, widest, size = language._width_mask(), max(language.WIDTHS), language.VECTOR
+    draw = lambda *shape: rng.standard_normal(shape).astype(np.float32)
+    net = language.Network(["a", "b", "c"], draw(256, size), draw(*mask.shape) * mask, draw(mask.shape[1]), draw(mask.shape[1], 3), draw(3))
+    windows = rng.integers(0, 256, (130, language.WINDOW)).astype(np.uint8)
+    got = net(windows)
+    for k in (0, 1, 127, 128, 129):
+        held = net.vectors[windows[k]].astype(np.float64)
+        pooled = []
+        for f in range(mask.shape[1]):
+            width = language.WIDTHS[f // language.FILTERS]
+            one = net.filters[:width * size, f].reshape(width, size)
+            best = max((held[i:i + width] * one).sum() for i in range(language.WINDOW - widest + 1))
+            pooled.append(max(best + net.bias[f], 0))
+        logits = np.array(pooled) @ net.out + net.out_bias
+        raised = np.exp(logits - logits.max())
+        assert got[k] == pytest.approx(raised / raised.sum(), abs=1e-4)
+
+
+def test_windows_cover_texts():
+    """Windows of a text begin a window less the widest filter's overlap apart and hold each run of bytes that a filter can see."""
+    rng = np.random.default_rng(6)
+    sizes = [0, 1, 3, 255, 256, 257, 509, 510, 1000, 0, 5000]
+    data = rng.integers(1, 256, sum(sizes)).astype(np.uint8)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    held, of, left = language._windows(data, at)
+    overlap = max(language.WIDTHS) - 1
+    for k, n in enumerate(sizes):
+        mine = [held[i][:left[i]].tolist() for i in np.flatnonzero(of == k)]
+        text = mine[0] if mine else []
+        for part in mine[1:]:
+            assert part[:overlap] == text[-overlap:]
+            text = text + part[overlap:]
+        assert text == data[at[k]:at[k + 1]].tolist()
+    assert all((held[i][left[i]:] == 0).all() for i in range(len(of)))
+
+
 def test_network_slopes():
-    """One training step lowers the loss of the windows it saw."""
+    """Training tells two classes of windows apart."""
     rng = np.random.default_rng(0)
     windows = rng.integers(97, 123, (64, language.WINDOW)).astype(np.uint8)
     windows[:32, ::3] = 101
