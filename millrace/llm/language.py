@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.batches import byte_view, columns, fresh, mapped, ranges, slices
+from millrace.llm.scratch import Scratch
 
 #: Bytes of a window, filter widths, filters of each width, size of a byte's vector.
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 16, 8
@@ -137,7 +138,8 @@ def sample(docs: DataFrame, text: str, lang: str, learn: Column, per_language: i
         docs[lang].cast("string").alias("lang"), F.xxhash64(whole).alias("h"), F.substring(whole, begin, F.lit(WINDOW)).alias("piece"))
     # a share by hash leaves a few times the bound, however many texts a language has; copies of a text count once
     texts = rows.select("lang", "h").distinct()
-    counts = F.broadcast(texts.groupBy("lang").agg(F.count("*").alias("n")))
+    # written, so that the planner knows its size before it chooses the join
+    counts = Scratch(docs.sparkSession, "language").write(texts.groupBy("lang").agg(F.count("*").alias("n")), "counts")
     share = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(4.0 * per_language * (1 << 20)) / F.col("n")
     rows = rows.join(counts, "lang").filter(share).select("lang", "h", "piece").distinct()
     order = Window.partitionBy("lang").orderBy("h", "piece")
@@ -199,6 +201,7 @@ def held_out(key: str | Column, folds: int = 4, fold: int = 2) -> Column:
 def known_language(docs: DataFrame, text: str, lang: str, key: str, least: float = 0.3) -> DataFrame:
     """``docs`` without texts of no language: null, without a letter, or no language with a probability of ``least``.
 
+    With more than six languages the bar is twice the probability of a guess, if that is lower.
     If no row to learn from is labelled, no language can be told: every text with a letter stays.
     """
     net = learn(docs, text, lang, ~held_out(docs[key]))
@@ -206,4 +209,4 @@ def known_language(docs: DataFrame, text: str, lang: str, key: str, least: float
         return docs.filter(F.rlike(docs[text].cast("string"), F.lit(r"\p{L}"))).select(*columns(docs.columns))
     names = tuple(fresh(docs.columns, "lang", "score"))
     found = predict(docs, docs.columns, text, net, names)
-    return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*columns(docs.columns))
+    return found.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min(least, 2 / len(net.languages)))).select(*columns(docs.columns))
