@@ -17,6 +17,8 @@ from millrace.functions.semistructured import PLAN_ATTRIBUTES, json_rows, json_v
 from millrace.operators.joins import HOT_ROWS, borders_by_offset, coalesced_join, left_join_many, spread_joins
 from millrace.operators.profile import equi_height_histogram
 from millrace.operators.rows import in_order
+from millrace.session import scratch_path
+from millrace.sources.tables import materialize
 
 # Alert limits.
 SEND_QUEUE_LIMIT_KB = 10240
@@ -361,11 +363,16 @@ def query_store_top(query: DataFrame, plan: DataFrame, runtime: DataFrame, as_of
 
 
 def plan_operators(plan: DataFrame, plan_column: str = "query_plan") -> DataFrame:
-    """One row per operator of every plan text; a plan that is cut off has none."""
+    """One row per operator of every plan text; a plan that is cut off has none.
+
+    The operators are written before they are sorted: a sort reads its input
+    twice, first for the borders of its ranges, and would split every text twice.
+    """
     report = markup_elements(plan.select("plan_id", plan_column), plan_column, "RelOp", PLAN_ATTRIBUTES, whole=True).drop(
         plan_column, "pos"
     )
-    return in_order(report, "plan_id", "NodeId")
+    found = materialize(report, scratch_path(plan.sparkSession, "plan-operators"))
+    return in_order(found, "plan_id", "NodeId")
 
 
 def top_io(stats: DataFrame, plan: DataFrame, database_id: int | None = None, n: int = 50) -> DataFrame:

@@ -194,3 +194,11 @@ def test_markup_cut_off(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     got = markup_elements(df, "t", "R", {"n": "int"}, whole=True).select("i", "n").orderBy("i").collect()
     assert [tuple(r) for r in got] == [(0, 1), (3, 1), (4, 1)]
+
+
+def test_markup_splits_a_tag_once(spark):
+    df = spark.createDataFrame([("""<R a="=x" b = '"q"' c=y/z d e="" f="b='no'" b="2nd"/>""",)], "t string")
+    rows = markup_elements(df, "t", "R", {k: "string" for k in "abcdefg"})
+    assert tuple(rows.select(*"abcdefg").first()) == ("=x", '"q"', "y/z", None, "", "b='no'", None)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(_tag") == 1

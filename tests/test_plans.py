@@ -144,6 +144,14 @@ def test_plan_operators(spark):
     assert [(r.plan_id, r.NodeId, r.PhysicalOp, r.EstimateRows, r.LogicalOp) for r in got] == [(1, 2, "Sort", 1.5, None)]
 
 
+def test_plan_operators_split_no_text_in_the_sort(spark):
+    texts = [(2, '<P><RelOp NodeId="2"/><RelOp NodeId="1"/></P>'), (1, '<P><RelOp NodeId="3"/></P>\n'), (3, '<P><RelOp NodeId="4"/>'), (2, None),
+             (None, '<RelOp NodeId="5"/>')]
+    got = telemetry.plan_operators(spark.createDataFrame(texts, "plan_id int, query_plan string"))
+    assert [(r.plan_id, r.NodeId) for r in got.collect()] == [(None, 5), (1, 3), (2, 1), (2, 2)]
+    assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_zone_joins_do_not_shuffle_the_trips(spark):
     staged = taxi.stage_green(trips(spark, "lpep"), ORDER)
     fact = taxi.fact_trips(staged, staged, taxi.dim_zones(zones(spark)))
