@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Parts of a scan that is dealt out, per core or split.
+TASKS_A_CORE = 4
+
 
 def write_partitioned(df: DataFrame, path: str, by: list[str]) -> str:
     """Parquet dataset with one folder per value of ``by``.
@@ -122,11 +125,11 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def spread_scan(scan: DataFrame) -> DataFrame:
-    """A plain scan, dealt out over all cores if it has fewer splits than these.
+    """A plain scan, dealt out evenly over several tasks a core.
 
-    For work that costs more than a shuffle of the rows it starts from: a table
-    of one row group would be worked on by one task.  A table with splits enough
-    is left as it is.
+    For work that costs far more than a shuffle of the rows it starts from.  The
+    number of splits does not say how the work lies: splits are cut by bytes,
+    but a Parquet row group is read whole by one of them, and the rest are empty.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    splits = max(scan.sparkSession.sparkContext.defaultParallelism, scan.rdd.getNumPartitions())
+    return scan.repartition(TASKS_A_CORE * splits)

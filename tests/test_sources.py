@@ -181,3 +181,22 @@ def test_scratch_has_an_owner(spark):
     release_scratch(spark)
     assert not os.path.exists(paths[0].removeprefix("file:"))
     release_scratch(spark)
+
+
+def test_spread_scan_of_few_row_groups(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from millrace.sources.tables import spread_scan
+
+    path = str(tmp_path / "t.parquet")
+    pq.write_table(pa.table({"i": list(range(20_000))}), path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        scan = spark.read.parquet(path)
+        assert scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        rows = spread_scan(scan).rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sum(rows) == 20_000 and max(rows) < 5_000
